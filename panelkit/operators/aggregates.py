@@ -7,7 +7,7 @@ from itertools import combinations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.operators.lookback import Measure, Span, count, highest, lowest, lookback_agg, total
+from panelkit.operators.lookback import Measure, Span, count, highest, history_agg, lowest, lookback_agg, total
 
 
 def agg(df: DataFrame, keys: list[str | Column], **aggs: Column) -> DataFrame:
@@ -40,21 +40,28 @@ def classes_by_size(df: DataFrame, col: str) -> DataFrame:
 
 
 def pivot_actions(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts: str, action: str,
-                  actions: dict[str, list], history: Span, recent: Span, amount: str | None = None) -> DataFrame:
+                  actions: dict[str, list], recent: Span, amount: str | None = None) -> DataFrame:
     """Per named action: days with it, recent days, age of first and last day, total and recent count.
 
-    All actions come from one pass over the log.
+    The log is collapsed to days once; the whole history is a running total, the recent window a
+    bounded look-back, and all actions share both.
     """
     value = F.lit(1) if amount is None else F.col(amount)
-    per_day = log.groupBy(*key, F.col(ts).cast("date").alias("_ts"), action).agg(F.sum(value).alias("_n"))
-    measures: dict[str, Measure] = {}
-    for name, codes in actions.items():
-        mine = F.col(action).isin(codes)
-        measures[f"{name}_days"] = count(mine)
-        measures[f"{name}_first"] = lowest(F.when(mine, F.col("_ts")))
-        measures[f"{name}_last"] = highest(F.when(mine, F.col("_ts")))
-        measures[f"{name}_total"] = total("_n", mine)
-    out = lookback_agg(panel, per_day, key, rd, "_ts", {"": history, "_recent": recent}, measures)
+    codes = sorted({c for group in actions.values() for c in group})
+    per_day = (log.where(F.col(action).isin(codes)).groupBy(*key, F.col(ts).cast("date").alias("_ts"), action)
+               .agg(F.sum(value).alias("_n")))
+    past: dict[str, Measure] = {}
+    now: dict[str, Measure] = {}
+    for name, group in actions.items():
+        mine = F.col(action).isin(group)
+        past[f"{name}_days"] = count(mine)
+        past[f"{name}_first"] = lowest(F.when(mine, F.col("_ts")))
+        past[f"{name}_last"] = highest(F.when(mine, F.col("_ts")))
+        past[f"{name}_total"] = total("_n", mine)
+        now[f"{name}_days"] = count(mine)
+        now[f"{name}_total"] = total("_n", mine)
+    out = history_agg(panel, per_day, key, rd, "_ts", past)
+    out = lookback_agg(out, per_day, key, rd, "_ts", {"_recent": recent}, now)
     cols = []
     for name in actions:
         cols += [F.col(f"{name}_days"), F.col(f"{name}_days_recent"),

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import month_index
-from panelkit.scale import BROADCAST_ROWS, skew_join
+from panelkit.scale import BROADCAST_ROWS
 
 
 def inner(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -47,7 +47,7 @@ def interval_join(facts: DataFrame, dim: DataFrame, key: list[str], at: str, val
              .withColumn("_bucket", F.explode(F.sequence(month_index("_from"), month_index("_to")))))
     pairs = (dates.withColumn("_bucket", month_index(at)).join(spans, [*key, "_bucket"])
              .where(F.col(at).between(F.col("_from"), F.col("_to"))).select(*key, at, *values))
-    return skew_join(facts, pairs, [*key, at], how)
+    return facts.join(pairs, [*key, at], how)
 
 
 def next_period(facts: DataFrame, key: list[str], period: str, values: list[str]) -> DataFrame:

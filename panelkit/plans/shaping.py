@@ -1,0 +1,164 @@
+"""Projections, samples, clean-up, set operations and scalar functions."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from panelkit.functions import scalars as S
+from panelkit.operators import rows, sets
+from panelkit.plans.registry import query
+from panelkit.plans.views import ORDER_LOG, months_between, order_log, shift, whole_months
+from panelkit.sources.writers import to_triples
+from panelkit.tables import Tables
+
+
+@query("bands", """SELECT p_partkey, CAST(floor(p_size / 3) * 3 AS INT) AS size_band,
+  CAST(CASE WHEN p_size <= 11 THEN floor(p_size / 6) * 6 ELSE floor(p_size / 12) * 12 END AS INT) AS tenor_band FROM part""")
+def bands(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", S.band("p_size", 3).alias("size_band"), S.tenor_band("p_size").alias("tenor_band"))
+
+
+@query("period_labels", f"""WITH {ORDER_LOG} SELECT contract, year(day) || '_' || quarter(day) AS label, CAST(last_day(day) AS VARCHAR) AS month_end,
+  CAST(trunc({months_between("DATE '2002-01-01'", 'day')} / 12) AS INT) AS age FROM order_log""")
+def period_labels(t: Tables) -> DataFrame:
+    return order_log(t).select("contract", S.period_label("day").alias("label"), F.last_day("day").alias("month_end"),
+                               S.age_years("day", F.lit("2002-01-01").cast("date")).alias("age"))
+
+
+@query("regexp_text", r"""SELECT p_partkey, trim(p_brand) || '-' || trim(CAST(p_size AS VARCHAR)) AS label, regexp_replace(trim(p_name), '\s+', '_', 'g') AS clean,
+  regexp_extract(p_brand, '#(\d+)', 1) AS brand_no, substr(p_type, 1, 3) AS short_type FROM part""")
+def regexp_text(t: Tables) -> DataFrame:
+    return t.part.select("p_partkey", S.join_text("p_brand", "p_size", sep="-").alias("label"), S.clean_name("p_name").alias("clean"),
+                         S.extract("p_brand", r"#(\d+)").alias("brand_no"), F.substring("p_type", 1, 3).alias("short_type"))
+
+
+@query("scalar_functions", f"""WITH {ORDER_LOG} SELECT contract, CASE WHEN status = 'F' THEN 'done' WHEN status = 'O' THEN 'open' ELSE 'other' END AS state,
+  COALESCE(NULLIF(priority, '5-LOW'), 'none') AS priority, TRY_CAST(left(priority, 1) AS INT) AS rank, TRY_CAST(priority AS INT) AS not_a_number,
+  CAST({shift('day', 3)} AS VARCHAR) AS plus_3m, CAST(day - 30 AS VARCHAR) AS minus_30d, CAST(DATE '2002-01-01' - day AS INT) AS days_left,
+  {whole_months("DATE '2002-01-01'", 'day')} AS months_left, round(ln(CAST(price AS DOUBLE)), 6) AS log_price, round(sqrt(CAST(price AS DOUBLE)), 6) AS root_price
+FROM order_log""")
+def scalar_functions(t: Tables) -> DataFrame:
+    end = F.lit("2002-01-01").cast("date")
+    price = F.col("price").cast("double")
+    return order_log(t).select(
+        "contract", S.case_of("status", {"done": ["F"], "open": ["O"]}, "other").alias("state"),
+        S.first_non_null(S.null_if("priority", "5-LOW"), F.lit("none")).alias("priority"),
+        S.cast_to(F.left("priority", F.lit(1)), "int").alias("rank"), S.cast_to("priority", "int").alias("not_a_number"),
+        S.shift_months("day", 3).alias("plus_3m"), S.shift_days("day", -30).alias("minus_30d"),
+        S.days_between(end, "day").alias("days_left"), S.months_diff(end, "day").alias("months_left"),
+        F.round(F.log(price), 6).alias("log_price"), F.round(F.sqrt(price), 6).alias("root_price"))
+
+
+@query("window_start", f"""WITH {ORDER_LOG} SELECT contract, CAST(CAST((last_day(day) + 1) - INTERVAL 3 MONTH AS DATE) - 1 AS VARCHAR) AS start_3m,
+  CAST(CAST((last_day(day) + 1) - INTERVAL 1 MONTH AS DATE) - 1 AS VARCHAR) AS start_1m FROM order_log""")
+def window_start(t: Tables) -> DataFrame:
+    rd = F.last_day("day")
+    return order_log(t).select("contract", S.month_window_start(rd, 3).alias("start_3m"), S.month_window_start(rd, 1).alias("start_1m"))
+
+
+@query("margin_columns", """SELECT l_tax, l_discount, l_quantity, COUNT(*) AS n, round(l_tax + l_discount / 0.6::DOUBLE / l_quantity * 12, 9) AS margin,
+  round((l_tax + l_discount + l_quantity) / 3, 9) AS mean_of_three FROM lineitem GROUP BY 1, 2, 3""")
+def margin_columns(t: Tables) -> DataFrame:
+    per = t.lineitem.groupBy("l_tax", "l_discount", "l_quantity").agg(F.count(F.lit(1)).alias("n"))
+    return per.select("*", F.round(S.margin("l_tax", "l_discount", "l_quantity"), 9).alias("margin"),
+                      F.round(S.list_mean("l_tax", "l_discount", "l_quantity"), 9).alias("mean_of_three"))
+
+
+@query("union_modes", """SELECT 'all' AS mode, n, COUNT(*) AS rows FROM (SELECT n_regionkey AS n FROM nation UNION ALL SELECT r_regionkey FROM region UNION ALL SELECT 99) GROUP BY 2
+UNION ALL SELECT 'distinct', n, COUNT(*) FROM (SELECT n_regionkey AS n FROM nation UNION SELECT r_regionkey FROM region) GROUP BY 2""")
+def union_modes(t: Tables) -> DataFrame:
+    a, b = t.nation.select(F.col("n_regionkey").alias("n")), t.region.select(F.col("r_regionkey").alias("n"))
+
+    def counted(df: DataFrame, mode: str) -> DataFrame:
+        return df.groupBy("n").agg(F.count(F.lit(1)).alias("rows")).select(F.lit(mode).alias("mode"), "n", "rows")
+
+    return sets.union_all(counted(sets.add_rows(sets.union_all(a, b), [(99,)]), "all"),
+                          counted(sets.union_distinct(a, b), "distinct"))
+
+
+@query("except_rows", """SELECT o_custkey AS c_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'""")
+def except_rows(t: Tables) -> DataFrame:
+    def keys(status: str) -> DataFrame:
+        return t.orders.where(F.col("o_orderstatus") == status).select(F.col("o_custkey").alias("c_custkey"))
+
+    return sets.except_rows(keys("F"), keys("P"))
+
+
+@query("profile", """SELECT 'p_size' AS "column", COUNT(p_size) AS count, round(AVG(p_size), 6) AS mean, round(stddev_samp(p_size), 6) AS stddev,
+  MIN(p_size)::DOUBLE AS min, MAX(p_size)::DOUBLE AS max FROM part
+UNION ALL SELECT 'p_retailprice', COUNT(p_retailprice), round(AVG(p_retailprice), 6), round(stddev_samp(p_retailprice), 6), MIN(p_retailprice), MAX(p_retailprice) FROM part""")
+def profile(t: Tables) -> DataFrame:
+    out = rows.column_summary(t.part, ["p_size", "p_retailprice"])
+    return out.withColumns({c: F.round(c, 6) for c in ("mean", "stddev")})
+
+
+@query("constant_columns", """SELECT 'c_custkey' AS "column", 1.0 AS fill, 0 AS is_constant UNION ALL SELECT 'c_mktsegment', 1.0, 0
+UNION ALL SELECT 'fixed', 1.0, 1 UNION ALL SELECT 'rare', round(COUNT(CASE WHEN c_acctbal > 9000 THEN 1 END) / COUNT(*), 9),
+  CAST(COALESCE(MIN(CASE WHEN c_acctbal > 9000 THEN 1 END) = MAX(CASE WHEN c_acctbal > 9000 THEN 1 END), TRUE) AS INT) FROM customer""")
+def constant_columns(t: Tables) -> DataFrame:
+    table = t.customer.select("c_custkey", "c_mktsegment", F.lit("x").alias("fixed"), F.when(F.col("c_acctbal") > 9000, 1).alias("rare"))
+    return rows.column_fill(table).withColumn("fill", F.round("fill", 9))
+
+
+@query("wide_strings", """SELECT "column", distinct_values FROM (SELECT 'p_name' AS "column", COUNT(DISTINCT p_name) AS distinct_values FROM part
+UNION ALL SELECT 'p_brand', COUNT(DISTINCT p_brand) FROM part UNION ALL SELECT 'p_type', COUNT(DISTINCT p_type) FROM part) WHERE distinct_values <= 31""")
+def wide_strings(t: Tables) -> DataFrame:
+    from panelkit.operators.aggregates import distinct_counts
+
+    kept = rows.drop_wide_strings(t.part.select("p_name", "p_brand", "p_type"), 31)
+    return distinct_counts(t.part.select(*kept.columns), kept.columns)
+
+
+@query("fill_and_replace", """SELECT d.doc_id, COALESCE(l.quality, -10000) AS quality, CASE COALESCE(d.lang, 'unknown') WHEN 'en' THEN 'english' WHEN 'de' THEN 'german' ELSE d.lang END AS lang,
+  round(COALESCE(l.toxic, (SELECT AVG(toxic) FROM documents JOIN labels USING (doc_id))), 9) AS toxic FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def fill_and_replace(t: Tables) -> DataFrame:
+    joined = t.documents.select("doc_id", "lang").join(t.labels, "doc_id", "left")
+    filled = rows.fill_nulls(joined, {"quality": -10000, "lang": "unknown"}, mean_of=["toxic"])
+    return rows.replace_values(filled, "lang", {"en": "english", "de": "german"}).withColumn("toxic", F.round("toxic", 9))
+
+
+@query("separate_special", """SELECT d.doc_id, CASE WHEN l.toxic = 1 THEN 'Churn' WHEN l.quality = 1 THEN 'NewJoiner' ELSE d.lang END AS segment,
+  CAST(COALESCE(l.toxic = 1 OR l.quality = 1, FALSE) AS INT) AS special FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id""")
+def separate_special(t: Tables) -> DataFrame:
+    joined = t.documents.select("doc_id", F.col("lang").alias("segment")).join(t.labels, "doc_id", "left")
+    plain, special = rows.separate_special(joined, F.col("toxic") == 1, F.col("quality") == 1, "segment")
+    return sets.union_all(plain.withColumn("special", F.lit(0)), special.withColumn("special", F.lit(1))).select(
+        "doc_id", "segment", "special")
+
+
+@query("dates_to_epoch", "SELECT o_orderkey, CAST(epoch(o_orderdate) AS BIGINT) AS o_orderdate FROM orders")
+def dates_to_epoch(t: Tables) -> DataFrame:
+    return rows.dates_to_epoch(t.orders.select("o_orderkey", "o_orderdate"))
+
+
+HASH = "(({0} % 2147483648) * 2654435761) % 4294967296"
+
+
+@query("stratified_sample", f"""WITH r AS (SELECT c_custkey, c_mktsegment, row_number() OVER (PARTITION BY c_mktsegment ORDER BY {HASH.format('c_custkey')}, c_custkey) AS rn,
+  COUNT(*) OVER (PARTITION BY c_mktsegment) AS n FROM customer)
+SELECT c_custkey, c_mktsegment FROM r WHERE rn <= floor(CASE c_mktsegment WHEN 'BUILDING' THEN 0.5::DOUBLE WHEN 'MACHINERY' THEN 0.25::DOUBLE ELSE 0 END * n)""")
+def stratified_sample(t: Tables) -> DataFrame:
+    return rows.stratified_sample(t.customer.select("c_custkey", "c_mktsegment"), "c_mktsegment",
+                                  {"BUILDING": 0.5, "MACHINERY": 0.25}, "c_custkey")
+
+
+@query("split_by_key", f"""SELECT c_custkey, CAST(row_number() OVER (ORDER BY {HASH.format('c_custkey')}, c_custkey) <= floor(0.2::DOUBLE * (SELECT COUNT(*) FROM customer)) AS INT) AS is_test FROM customer""")
+def split_by_key(t: Tables) -> DataFrame:
+    return rows.split_train_test(t.customer.select("c_custkey"), "c_custkey", 0.2)
+
+
+@query("cap_sample", f"""SELECT o_orderkey, o_totalprice FROM orders ORDER BY {HASH.format('o_orderkey')}, o_orderkey LIMIT 5000""")
+def cap_sample(t: Tables) -> DataFrame:
+    return rows.cap_sample(t.orders.select("o_orderkey", "o_totalprice"), 5000, "o_orderkey")
+
+
+BASE = "https://example.org/part/"
+
+
+@query("to_triples", f"""WITH c AS (SELECT p_partkey, 'name' AS predicate, p_name AS object, 'xsd:string' AS datatype FROM part
+UNION ALL SELECT p_partkey, 'brand', p_brand, 'xsd:string' FROM part UNION ALL SELECT p_partkey, 'size', CAST(p_size AS VARCHAR), 'xsd:integer' FROM part)
+SELECT '{BASE}' || p_partkey AS subject, predicate, object, datatype FROM c WHERE object IS NOT NULL AND p_partkey IS NOT NULL""")
+def to_triples_query(t: Tables) -> DataFrame:
+    return to_triples(t.part, "p_partkey", {"p_name": ("name", "xsd:string"), "p_brand": ("brand", "xsd:string"),
+                                            "p_size": ("size", "xsd:integer")}, BASE)
