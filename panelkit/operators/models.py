@@ -75,8 +75,11 @@ def bayes_fit(df: DataFrame, label: str, cols: list[str]) -> PipelineModel:
     return fit(df, cols, C.NaiveBayes(labelCol=label, modelType="gaussian"))
 
 
-def mlp_fit(df: DataFrame, label: str, cols: list[str], hidden=(6, 6), classes: int = 2, seed: int = 7) -> PipelineModel:
-    net = C.MultilayerPerceptronClassifier(labelCol=label, layers=[len(cols), *hidden, classes], seed=seed, maxIter=50)
+def mlp_fit(df: DataFrame, label: str, cols: list[str], hidden=(6, 6), classes: int = 2, seed: int = 7,
+            width: int | None = None) -> PipelineModel:
+    """Two-layer perceptron; ``width`` is the number of inputs when a column is a vector."""
+    net = C.MultilayerPerceptronClassifier(labelCol=label, layers=[width or len(cols), *hidden, classes], seed=seed,
+                                           maxIter=50)
     return fit(df, cols, net, scale=True)
 
 

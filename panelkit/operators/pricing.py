@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import margin
 from panelkit.operators.joins import cross
+from panelkit.scale import lookup_join
 
 #: Bounds of the search (fixed values): rate, commission, step and margin.
 RATE = (0.05, 0.10)
@@ -49,20 +50,23 @@ def weighted_grid(grid: DataFrame, rate_density: DataFrame, commission_density:
 
 
 def best_price(offers: DataFrame, grid: DataFrame, keys: list[str], instalments: str,
-               probability: Callable[[Column, Column], Column], bounds=MARGIN) -> DataFrame:
+               probability: Callable[[Column, Column], Column], inputs: list[str] | None = None,
+               bounds=MARGIN) -> DataFrame:
     """The grid prices with the highest expected profit per offer key, ties kept.
 
     ``grid`` has rate, commission and weight (and may have scenario, margin_lo, margin_hi).
-    ``probability`` maps (rate, commission) to an expression over the offer columns. Each offer row
-    searches the grid as an array, so only its winners are shuffled; a key spread over many rows is
-    combined by aggregation.
+    ``probability`` maps (rate, commission) to an expression over the offer columns. An offer searches
+    the grid as an array, so no grid row is shuffled. When ``inputs`` names the offer columns that
+    matter, offers that agree in them share one search. A key spread over many rows is combined by
+    aggregation.
     """
     if "margin_lo" not in grid.columns:
         grid = grid.withColumn("margin_lo", F.lit(float(bounds[0]))).withColumn("margin_hi", F.lit(float(bounds[1])))
     tag = ["scenario"] if "scenario" in grid.columns else []
     per = grid.groupBy(*tag).agg(F.collect_list(F.struct("rate", "commission", "weight")).alias("_cells"),
                                  F.first("margin_lo").alias("_lo"), F.first("margin_hi").alias("_hi"))
-    searches = cross(offers, per)
+    shared = inputs is not None
+    searches = cross(offers.select(*inputs).distinct() if shared else offers, per)
 
     def price(cell: Column) -> Column:
         rate, commission = cell["rate"], cell["commission"]
@@ -74,12 +78,15 @@ def best_price(offers: DataFrame, grid: DataFrame, keys: list[str], instalments:
     priced = searches.withColumn("_priced", F.filter(
         F.transform("_cells", price), lambda c: c["margin"].between(F.col("_lo"), F.col("_hi"))))
     top = F.array_max(F.transform("_priced", lambda c: c["profit"]))
-    winners = (priced.withColumn("_top", top)
-               .select(*keys, *tag, F.inline(F.filter("_priced", lambda c: c["profit"] == F.col("_top")))))
-    cell = F.struct("rate", "commission", "margin", "probability")
-    by_profit = winners.groupBy(*keys, *tag, "profit").agg(F.collect_set(cell).alias("_cells"))
-    return (by_profit.groupBy(*keys, *tag).agg(F.max_by("_cells", "profit").alias("_cells"), F.max("profit").alias("profit"))
-            .select(*keys, *tag, "profit", F.inline("_cells")))
+    winners = priced.withColumn("_top", top).withColumn(
+        "_won", F.filter("_priced", lambda c: c["profit"] == F.col("_top"))).where(F.size("_won") > 0)
+    if shared:
+        winners = lookup_join(offers.select(*dict.fromkeys([*keys, *inputs])),
+                              winners.select(*inputs, *tag, "_won", "_top"), inputs, "inner")
+    by_profit = (winners.select(*keys, *tag, F.col("_top").alias("profit"), F.explode("_won").alias("_cell"))
+                 .groupBy(*keys, *tag, "profit").agg(F.collect_set("_cell").alias("_cells")))
+    best = by_profit.groupBy(*keys, *tag).agg(F.max_by("_cells", "profit").alias("_cells"))
+    return best.select(*keys, *tag, F.inline("_cells"))
 
 
 def with_original(best: DataFrame, offers: DataFrame, keys: list[str], rate: str, commission: str,

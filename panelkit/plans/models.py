@@ -1,0 +1,191 @@
+"""Fitted models on the given tables; results depend on the solver, so these queries have no SQL."""
+
+from __future__ import annotations
+
+from pyspark.ml import Pipeline
+from pyspark.ml import classification as C
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from panelkit.functions.vectors import to_array, to_vector
+from panelkit.operators import encode, models, select
+from panelkit.operators.scores import gini
+from panelkit.plans.registry import query
+from panelkit.tables import Tables
+
+CLIENT_FEATURES = ["c_acctbal", "c_nationkey", "orders", "spend", "urgent"]
+
+
+def clients(t: Tables) -> DataFrame:
+    """Customers with their order totals; a customer above the usual spend per order is the target."""
+    per = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.count(F.lit(1)).cast("double").alias("orders"), F.sum("o_totalprice").alias("spend"),
+        F.sum(F.when(F.col("o_orderpriority") == "1-URGENT", 1.0).otherwise(0.0)).alias("urgent"),
+        F.max("o_totalprice").alias("top"))
+    rows = t.customer.join(per, "c_custkey", "left").fillna(0.0, ["orders", "spend", "urgent", "top"])
+    return rows.withColumn("label", (F.col("top") > 450000).cast("int"))
+
+
+def vectors(t: Tables) -> DataFrame:
+    return t.embeddings.select("vec_id", (F.col("label") < 5).cast("int").alias("label"), F.col("label").alias("class"),
+                               to_vector("embedding").alias("v"))
+
+
+def predictions(model, rows: DataFrame, key: str) -> DataFrame:
+    return model.transform(rows).select(key, "label", "prediction")
+
+
+@query("logistic")
+def logistic(t: Tables) -> DataFrame:
+    rows = clients(t)
+    return models.score_table(models.logistic_fit(rows, "label", CLIENT_FEATURES, 0.01), rows, ["c_custkey"], "label")
+
+
+@query("logistic_coefficients")
+def logistic_coefficients(t: Tables) -> DataFrame:
+    return models.coefficient_table(models.logistic_fit(clients(t), "label", CLIENT_FEATURES, 0.01), CLIENT_FEATURES)
+
+
+@query("logistic_gini")
+def logistic_gini(t: Tables) -> DataFrame:
+    rows = clients(t)
+    return gini(models.score_table(models.logistic_fit(rows, "label", CLIENT_FEATURES, 0.01), rows, ["c_custkey"], "label"), "label", "score")
+
+
+@query("nonzero_coefficients")
+def nonzero_coefficients(t: Tables) -> DataFrame:
+    rows = clients(t).persist()
+    kept = select.nonzero_coefficients(rows, "label", CLIENT_FEATURES)
+    rows.unpersist()
+    out = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in kept])
+    return out
+
+
+for _kind in ("tree", "forest", "boosted"):
+    @query({"tree": "trees", "forest": "forests", "boosted": "boosted"}[_kind])
+    def _classifier(t: Tables, kind: str = _kind) -> DataFrame:
+        rows = clients(t)
+        return predictions(models.tree_fit(rows, "label", CLIENT_FEATURES, kind), rows, "c_custkey")
+
+    @query(f"{_kind}_regression")
+    def _regression(t: Tables, kind: str = _kind) -> DataFrame:
+        rows = clients(t)
+        model = models.tree_fit(rows, "spend", ["c_acctbal", "c_nationkey", "orders", "urgent"], f"{kind}_regression")
+        return model.transform(rows).select("c_custkey", "spend", "prediction")
+
+
+@query("linear_regression")
+def linear_regression(t: Tables) -> DataFrame:
+    rows = t.part.withColumn("price", F.col("p_retailprice"))
+    cols = ["p_size", "p_partkey"]
+    return models.coefficient_table(models.linear_fit(rows, "price", cols), cols)
+
+
+@query("polynomial_regression")
+def polynomial_regression(t: Tables) -> DataFrame:
+    model = models.linear_fit(t.part, "p_retailprice", ["p_size"], degree=4)
+    return model.transform(t.part).select("p_partkey", "p_retailprice", "prediction")
+
+
+@query("svm")
+def svm(t: Tables) -> DataFrame:
+    return predictions(models.svm_fit(vectors(t), "label", ["v"]), vectors(t), "vec_id")
+
+
+@query("bayes")
+def bayes(t: Tables) -> DataFrame:
+    return predictions(models.bayes_fit(vectors(t), "label", ["v"]), vectors(t), "vec_id")
+
+
+@query("mlp")
+def mlp(t: Tables) -> DataFrame:
+    width = t.embeddings.select(F.size("embedding")).first()[0]
+    return predictions(models.mlp_fit(vectors(t), "label", ["v"], width=width), vectors(t), "vec_id")
+
+
+@query("text_bayes")
+def text_bayes(t: Tables) -> DataFrame:
+    """Quality of documents from word counts."""
+    rows = t.labels.join(t.documents.select("doc_id", "text"), "doc_id").withColumn("label", F.col("quality"))
+    pipeline = Pipeline(stages=[encode.text_vectorizer("text"), C.NaiveBayes(labelCol="label", modelType="gaussian")])
+    return predictions(pipeline.fit(rows), rows, "doc_id")
+
+
+@query("kmeans_curve")
+def kmeans_curve(t: Tables) -> DataFrame:
+    return models.kmeans_curve(vectors(t), ["v"])
+
+
+@query("kmeans")
+def kmeans(t: Tables) -> DataFrame:
+    return models.kmeans_fit(vectors(t), ["v"], 5).transform(vectors(t)).select("vec_id", "prediction")
+
+
+@query("bisecting")
+def bisecting(t: Tables) -> DataFrame:
+    return models.bisecting_fit(vectors(t), ["v"], 5).transform(vectors(t)).select("vec_id", "prediction")
+
+
+@query("pca")
+def pca(t: Tables) -> DataFrame:
+    return models.pca_fit(vectors(t), ["v"], 2).transform(vectors(t)).select("vec_id", to_array("components").alias("components"))
+
+
+@query("lda")
+def lda(t: Tables) -> DataFrame:
+    rows = clients(t).withColumn("segment", F.col("c_mktsegment"))
+    return models.lda_fit(rows, "segment", CLIENT_FEATURES, 2).select("c_custkey", "segment", "ld1", "ld2")
+
+
+@query("cross_validate")
+def cross_validate(t: Tables) -> DataFrame:
+    rows = encode.assemble(clients(t).select("label", *CLIENT_FEATURES), CLIENT_FEATURES).select("label", "features").persist()
+    estimator = C.LogisticRegression(labelCol="label")
+    out = models.cross_validate(estimator, rows, "label", 10, {estimator.regParam: [0.01, 0.1]})
+    rows.unpersist()
+    return out
+
+
+@query("classify")
+def classify(t: Tables) -> DataFrame:
+    from panelkit.operators.rows import split_train_test
+
+    rows = split_train_test(clients(t), "c_custkey", 0.25)
+    out = models.classify(rows, "label", CLIENT_FEATURES, C.LogisticRegression(labelCol="label"), F.col("is_test") == 1)
+    return out.select("c_custkey", "label", "prediction")
+
+
+@query("tree_power")
+def tree_power(t: Tables) -> DataFrame:
+    ranked = select.tree_power(clients(t), "label", CLIENT_FEATURES)
+    return t.spark.createDataFrame([(f, float(p), int(n)) for f, p, n in ranked], "feature string, power double, leaves int")
+
+
+@query("segment_trees")
+def segment_trees(t: Tables) -> DataFrame:
+    """Micro-segments: a tree per market segment predicts the cell of spend and order count."""
+    rows = clients(t).withColumn("one", F.lit(1))
+    cells = encode.quantile_bins(rows, "spend", "orders", ["c_custkey"], 3, 2)
+    cols = ["c_acctbal", "c_nationkey", "urgent"]
+    fitted = models.segment_trees(cells, "c_mktsegment", "cell", cols, min_rows=10)
+    parts = [models.leaf_id(model, cells.where(F.col("c_mktsegment") == name), F.col("c_mktsegment")) for name, model in fitted.items()]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out.select("c_custkey", "cell", "micro_segment")
+
+
+@query("formula")
+def formula(t: Tables) -> DataFrame:
+    out = encode.formula(t.part, "p_retailprice", ["p_size", "p_type"])
+    return out.select("p_partkey", "label", to_array("features").alias("features"))
+
+
+@query("dummy_vectors")
+def dummy_vectors(t: Tables) -> DataFrame:
+    return encode.one_hot(t.part.select("p_partkey", "p_type"), ["p_type"]).select("p_partkey", to_array("p_type_dummy").alias("dummy"))
+
+
+@query("slice_vector")
+def slice_vector(t: Tables) -> DataFrame:
+    return encode.slice_vector(vectors(t), [0, 3, 5], "v").select("vec_id", to_array("selected").alias("selected"))

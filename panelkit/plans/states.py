@@ -103,13 +103,14 @@ def segment_aggregates(t: Tables) -> DataFrame:
     return out.withColumns({c: F.round(c, 6) for c in ("revenue_mean", "revenue_sd", "score_mean", "score_sd")})
 
 
-REWARD = F.col("event_type") == "purchase"
+def reward():
+    return (F.col("event_type") == "purchase").cast("int")
 
 
 @query("arm_ucb", """WITH a AS (SELECT props AS arm, COUNT(*) AS trials, COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS rewards FROM events GROUP BY 1)
 SELECT arm, trials, rewards, round(rewards / trials, 9) AS mean, round(rewards / trials + sqrt(1.5::DOUBLE * ln((SELECT SUM(trials) FROM a) + 1) / trials), 9) AS upper_bound FROM a""")
 def arm_ucb_query(t: Tables) -> DataFrame:
-    return arm_ucb(t.events, "props", REWARD.cast("int")).withColumns({c: F.round(c, 9) for c in ("mean", "upper_bound")})
+    return arm_ucb(t.events, "props", reward()).withColumns({c: F.round(c, 9) for c in ("mean", "upper_bound")})
 
 
 @query("arm_stats_stream", """SELECT props AS arm, COUNT(*) AS trials, COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS rewards,
@@ -120,6 +121,6 @@ def arm_stats_stream_query(t: Tables) -> DataFrame:
 
     ensure_checkpoint_dir(t.spark)
     folder = f"{t.spark.sparkContext.getCheckpointDir()}/stream-{uuid.uuid4().hex}"
-    out = arm_stats_stream(t.spark, f"{t.directory}/events*.parquet", t.events.schema, "props", REWARD.cast("int"),
+    out = arm_stats_stream(t.spark, f"{t.directory}/events*.parquet", t.events.schema, "props", reward(),
                            f"{folder}/out", f"{folder}/state")
     return out.withColumn("mean", F.round("mean", 9))
