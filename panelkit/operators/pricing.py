@@ -75,15 +75,22 @@ def best_price(offers: DataFrame, grid: DataFrame, keys: list[str], instalments:
         return F.struct(F.round(accept * gain * cell["weight"], 9).alias("profit"), rate.alias("rate"),
                         commission.alias("commission"), gain.alias("margin"), accept.alias("probability"))
 
-    priced = searches.withColumn("_priced", F.filter(
-        F.transform("_cells", price), lambda c: c["margin"].between(F.col("_lo"), F.col("_hi"))))
-    top = F.array_max(F.transform("_priced", lambda c: c["profit"]))
-    winners = priced.withColumn("_top", top).withColumn(
-        "_won", F.filter("_priced", lambda c: c["profit"] == F.col("_top"))).where(F.size("_won") > 0)
+    found = "struct<profit:double,rate:double,commission:double,margin:double,probability:double>"
+
+    def keep_best(best: Column, cell: Column) -> Column:
+        inside = cell["margin"].between(F.col("_lo"), F.col("_hi"))
+        only = F.struct(cell["profit"].alias("profit"), F.array(cell).alias("cells"))
+        also = F.struct(best["profit"].alias("profit"), F.concat(best["cells"], F.array(cell)).alias("cells"))
+        return (F.when(inside & (cell["profit"] > best["profit"]), only)
+                .when(inside & (cell["profit"] == best["profit"]), also).otherwise(best))
+
+    nothing = F.struct(F.lit(float("-inf")).alias("profit"), F.array().cast(f"array<{found}>").alias("cells"))
+    winners = searches.select(*[c for c in searches.columns if not c.startswith("_")],
+                              F.aggregate(F.transform("_cells", price), nothing, keep_best).alias("_won"))
     if shared:
         winners = lookup_join(offers.select(*dict.fromkeys([*keys, *inputs])),
-                              winners.select(*inputs, *tag, "_won", "_top"), inputs, "inner")
-    by_profit = (winners.select(*keys, *tag, F.col("_top").alias("profit"), F.explode("_won").alias("_cell"))
+                              winners.select(*inputs, *tag, "_won"), inputs, "inner")
+    by_profit = (winners.select(*keys, *tag, F.col("_won.profit").alias("profit"), F.explode("_won.cells").alias("_cell"))
                  .groupBy(*keys, *tag, "profit").agg(F.collect_set("_cell").alias("_cells")))
     best = by_profit.groupBy(*keys, *tag).agg(F.max_by("_cells", "profit").alias("_cells"))
     return best.select(*keys, *tag, F.inline("_cells"))
