@@ -100,7 +100,7 @@ def extract(col: Column | str, pattern: str, group: int = 1) -> Column:
 
 def words(col: Column | str, stop_words: list[str] | None = None) -> Column:
     """Lower-case words of letters only, stop words removed, repeats kept."""
-    tokens = F.filter(F.split(F.lower(F.regexp_replace(_c(col), "[^a-zA-Z]", " ")), " +"), lambda w: w != "")
+    tokens = F.array_remove(F.split(F.lower(F.regexp_replace(_c(col), "[^a-zA-Z]+", " ")), " "), "")
     if not stop_words:
         return tokens
     return F.filter(tokens, lambda w: ~w.isin(stop_words))

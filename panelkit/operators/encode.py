@@ -112,8 +112,10 @@ def power_columns(df: DataFrame, col: str, degree: int = 4) -> DataFrame:
 
 def text_counts(df: DataFrame, key: str, text: str, vocab: int = 1500, stop_words: list[str] | None = None) -> DataFrame:
     """Counts of the ``vocab`` most frequent words per text."""
-    per = (df.select(key, F.explode(words(text, stop_words)).alias("word"))
-           .groupBy(key, "word").agg(F.count(F.lit(1)).alias("n")))
+    tokens = df.select(key, F.explode(words(text)).alias("word"))
+    if stop_words:
+        tokens = tokens.where(~F.col("word").isin(stop_words))
+    per = tokens.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
     top = (per.groupBy("word").agg(F.sum("n").alias("_total")).orderBy(F.desc("_total"), "word").limit(vocab)
            .select("word"))
     return per.join(F.broadcast(top), "word", "left_semi")

@@ -14,6 +14,8 @@ from panelkit.scale import checkpoint, lookup_join
 #: Monthly discount rate and forecast horizon (fixed values).
 DISCOUNT = 0.0016515813
 HORIZON = 6
+#: Name of the extra state that collects the running sum.
+SUM_STATE = "\u0000sum"
 
 
 def transition_matrix(facts: DataFrame, key: list[str], period: str, state: str) -> DataFrame:
@@ -86,11 +88,16 @@ def segment_value(matrix: DataFrame, revenue: DataFrame, discount: float = DISCO
             if k % 4 == 3:
                 value = checkpoint(value)
         return value
-    for k in range(rounds):
-        value = checkpoint(_add(value, apply_matrix(step, value)))
-        if k < rounds - 1:
-            step = checkpoint(product(step, step))
-    return value
+    # squaring [[M, r], [0, 1]] doubles the reach of the sum that stands in its last column
+    column = reward.select(F.col("state").alias("state_from"), F.lit(SUM_STATE).alias("state_to"),
+                           F.col("value").alias("probability"))
+    corner = matrix.sparkSession.range(1).select(F.lit(SUM_STATE).alias("state_from"),
+                                                 F.lit(SUM_STATE).alias("state_to"), F.lit(1.0).alias("probability"))
+    system = step.unionByName(column).unionByName(corner)
+    for _ in range(rounds):
+        system = checkpoint(product(system, system))
+    return (system.where((F.col("state_to") == SUM_STATE) & (F.col("state_from") != SUM_STATE))
+            .select(F.col("state_from").alias("state"), F.col("probability").alias("value")))
 
 
 def forecast_states(powers: DataFrame, facts: DataFrame, key: str, period: str, state: str,

@@ -15,9 +15,8 @@ from panelkit.functions import scalars as S
 from panelkit.operators import lookback as L
 from panelkit.operators.aggregates import dedupe_then_agg, limits_features, pivot_actions
 from panelkit.operators.joins import interval_join, wide_join
-from panelkit.operators.rows import subset_by_keys
 from panelkit.operators.windows import best_row, frame, lag_of, lead_label, moving
-from panelkit.scale import lookup_join
+from panelkit.scale import checkpoint, lookup_join
 
 # Codes of the source systems (fixed values).
 ACTIONS = {"logins": [95], "transfers_a": [184], "transfers_b": [168], "transfers_c": [172], "transfers_d": [176],
@@ -124,10 +123,10 @@ def excess_payment_mart(history: DataFrame, transactions: DataFrame, kind: int =
     ``history`` has contract, client, rd and instalment.
     """
     paid = (transactions.where(F.col("kind") == kind).select("client", "contract", "day", "amount").distinct())
-    paid = subset_by_keys(paid, history, ["contract"])
+    panel = checkpoint(history.select("contract", "client", "rd", "instalment").distinct())
+    paid = checkpoint(paid.join(panel.select("contract").distinct(), "contract", "left_semi"))
     spans = {"_now": L.Span(F.col("rd"), F.col("rd")), "_3m": L.months_back("rd", 3), "_6m": L.months_back("rd", 6)}
     measures = {"payments": L.count(), "amount": L.total("amount")}
-    panel = history.select("contract", "client", "rd", "instalment").distinct()
     out = L.lookback_agg(panel, paid, ["contract"], "rd", "day", spans, measures)
     per_client = panel.select("client", "rd").distinct()
     ever = L.history_agg(per_client, paid, ["client"], "rd", "day",
@@ -165,7 +164,8 @@ def loan_application_mart(history: DataFrame, applications: DataFrame, risk: Dat
     ``history`` has contract, client, rd, start, planned_end and balance; ``savings`` has client,
     month and savings.
     """
-    best = best_applications(applications, risk, segments, as_of)
+    best = checkpoint(best_applications(applications, risk, segments, as_of))
+    history = checkpoint(history)
     panel = history.groupBy("client", "contract", "rd").agg(F.min("start").alias("start"), F.max("balance").alias("balance"))
     per_month = savings.groupBy("client", F.col("month").alias("rd")).agg(F.max("savings").alias("savings"))
     panel = panel.join(per_month, ["client", "rd"], "left")
@@ -225,10 +225,10 @@ def credit_bureau_mart(panel: DataFrame, reports: DataFrame, requests: DataFrame
     ``panel`` has client, rd, start and balance. Credits are collapsed per report and end date before
     they meet the panel; only the borrower's own credits (relationship 1) count.
     """
-    base = panel.groupBy("client", "rd").agg(F.min("start").alias("start"), F.sum("balance").alias("balance"))
+    base = checkpoint(panel.groupBy("client", "rd").agg(F.min("start").alias("start"), F.sum("balance").alias("balance")))
     log = reports.select("client", F.col("created").alias("day"), "report", "created")
     latest = L.asof_latest(base, log, ["client"], "rd", "day", ["report", "created"], ["report"])
-    latest = latest.where(F.col("report").isNotNull())
+    latest = checkpoint(latest.where(F.col("report").isNotNull()))
     asked = requests.where(F.col("reason") == 1).select("report", "day")
     keys = latest.select("report", "rd").distinct()
     queries = L.lookback_agg(keys, asked, ["report"], "rd", "day",
@@ -319,7 +319,8 @@ def deposit_mart(panel: DataFrame, deposits: DataFrame, transactions: DataFrame,
     ``deposits`` has client, contract, rd, start, balance, active and salary, one row per contract
     and rd; transfers are summed per contract and day before they are joined.
     """
-    incoming, outgoing = transfers_by_bank(transactions, TRANSFER_IN), transfers_by_bank(transactions, TRANSFER_OUT)
+    incoming, outgoing = (checkpoint(transfers_by_bank(transactions, k)) for k in (TRANSFER_IN, TRANSFER_OUT))
+    deposits = checkpoint(deposits)
     per_day = incoming.groupBy("contract", F.col("day").alias("rd")).agg(
         F.sum("amount").alias("in_amount"), F.sum("transfers").alias("in_count"),
         F.sum(F.col("amount") * F.col("same_person")).alias("same_amount"),
@@ -432,10 +433,12 @@ def churn_base(history: DataFrame, blacklist: DataFrame, product: int = CASH_LOA
     refinancing, one row per contract and date. All client-wide facts are counts of collapsed days,
     so contracts of one client are never paired.
     """
+    history = checkpoint(history)
     ends = true_end_date(history)
     seip = history.join(ends, "contract").where("rd <= true_end").withColumn(
         "status_now", F.when((F.col("rd") == F.col("true_end")) & (F.col("had_big_payment") == 1), BIG_PAYMENT_STATUS)
         .otherwise(F.col("status")))
+    seip = checkpoint(seip)
     keys = seip.select("client", "contract", "rd")
     own_product = history.where(F.col("product") == product).withColumn("_day", F.col("rd"))
     other = L.other_rows(keys, own_product, ["client"], "contract", "rd", "_day", L.month_distance("rd", 1, 3), "_other")
@@ -474,6 +477,7 @@ def churn_base(history: DataFrame, blacklist: DataFrame, product: int = CASH_LOA
 def eligibility_sample(base: DataFrame, sales: DataFrame, first_year: int = 2012, first_rd: str = "2011-06-30",
                        min_balance: float = 30) -> DataFrame:
     """Rows of the churn base that may be learned from; ``sales`` has contract and day of sale."""
+    base = checkpoint(base)
     sold = L.exists_flag(base.select("contract", "rd").distinct(), sales.withColumn("_day", F.date_add("day", 1)),
                          ["contract"], "rd", "_day", None, "was_sold")
     days_left = F.datediff("planned_end", "rd")

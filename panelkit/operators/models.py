@@ -247,10 +247,10 @@ def knn(train: DataFrame, test: DataFrame, key: str, features: str, label: str,
         return pd.Series(out)
 
     count_of = F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv])
-    asked = (test.select(key, features)
-             .withColumn("cell", F.explode(reachable(F.col(features))))
+    asked = (test.select(F.col(key).alias("asker"), F.col(features).alias("wanted"))
+             .withColumn("cell", F.explode(reachable(F.col("wanted"))))
              .withColumn("block", F.explode(F.sequence(F.lit(0), count_of[F.col("cell")] - 1)))
-             .withColumn("slice", F.pmod(F.xxhash64(key), F.lit(slices)).cast("int")))
+             .withColumn("slice", F.pmod(F.xxhash64("asker"), F.lit(slices)).cast("int")))
     given = (placed.drop("gap", "part")
              .withColumn("block", F.pmod(F.xxhash64(key), count_of[F.col("cell")]).cast("int"))
              .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))))
@@ -260,12 +260,12 @@ def knn(train: DataFrame, test: DataFrame, key: str, features: str, label: str,
         if have.empty or want.empty:
             return pd.DataFrame({key: [], "neighbour": [], "distance": [], "neighbour_label": []})
         have = have.sort_values(key)
-        d = _distances(np.array(want[features].tolist(), dtype=float), np.array(have[features].tolist(), dtype=float))
+        d = _distances(np.array(want["wanted"].tolist(), dtype=float), np.array(have[features].tolist(), dtype=float))
         d = np.round(d, 9)
         if skip_self:
-            d[want[key].to_numpy()[:, None] == have[key].to_numpy()[None, :]] = np.inf
+            d[want["asker"].to_numpy()[:, None] == have[key].to_numpy()[None, :]] = np.inf
         best = np.argsort(d, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame({key: np.repeat(want[key].to_numpy(), best.shape[1]),
+        out = pd.DataFrame({key: np.repeat(want["asker"].to_numpy(), best.shape[1]),
                             "neighbour": have[key].to_numpy()[best].ravel(),
                             "distance": np.take_along_axis(d, best, axis=1).ravel(),
                             "neighbour_label": have[label].to_numpy()[best].ravel()})

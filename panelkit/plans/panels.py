@@ -121,7 +121,7 @@ SELECT c.contract, c.client, CAST(c.rd AS VARCHAR) AS rd, h.priority
 FROM contract_panel c LEFT JOIN priority_history h ON h.client = c.client AND c.rd >= h.valid_from
   AND (h.valid_to IS NULL OR c.rd <= h.valid_to)""")
 def interval_dim(t: Tables) -> DataFrame:
-    facts = contract_panel(t).select("contract", "client", "rd")
+    facts = rows.materialise(contract_panel(t).select("contract", "client", "rd"))
     return J.interval_join(facts, priority_history(t), ["client"], "rd", "valid_from", "valid_to", ["priority"]).select(
         "contract", "client", "rd", "priority")
 

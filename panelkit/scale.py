@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,9 +30,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> None:
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and cut its lineage."""
-    ensure_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Write ``df`` as a table in the shared checkpoint folder and read it from there.
+
+    The plan starts afresh at the written table, so a lost executor costs a re-read only, later steps
+    read just the columns they need, and the known size lets small tables be broadcast.
+    """
+    spark = df.sparkSession
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
