@@ -33,7 +33,7 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: st
                               + [T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(raw_schema).option("header", True).option("sep", sep).option("quote", quote)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-           .option("enforceSchema", True).csv(path))
+           .option("enforceSchema", True).option("columnPruning", not keep_corrupt).csv(path))
     cols = []
     for field in wanted.fields:
         text = F.trim(F.col(field.name))
