@@ -13,16 +13,23 @@ from panelkit.operators.windows import quantile_label
 from panelkit.scale import lookup_join
 
 
-def woe_fit(df: DataFrame, target: str, cats: list[str], unknown: str = "unknown") -> DataFrame:
+def woe_fit(df: DataFrame, target: str, cats: list[str], unknown: str = "unknown",
+            weight: str | None = None) -> DataFrame:
     """Weight of evidence per column and category, with its part of the information value.
 
-    A class without rows counts as one row; NULL and ``unknown`` get 0.
+    A class without rows counts as one row; NULL and ``unknown`` get 0. ``weight`` names a row count
+    when ``df`` is already aggregated.
     """
+    size = F.lit(1) if weight is None else F.col(weight)
     cells = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("string").alias("value")) for c in cats])
-    long = df.select(F.col(target).alias("_t"), F.inline(cells))
-    per = (long.groupBy("column", "value")
-           .agg(F.count(F.when(F.col("_t") == 1, 1)).alias("n1"), F.count(F.when(F.col("_t") == 0, 1)).alias("n0")))
-    all1, all0 = (df.agg(F.count(F.when(F.col(target) == k, 1))).scalar().cast("double") for k in (1, 0))
+
+    def rows_of(k: int, name: str):
+        return F.sum(F.when(F.col(name) == k, F.col("_w")).otherwise(0))
+
+    weighted = df.withColumn("_w", size.cast("long"))
+    per = (weighted.select(F.col(target).alias("_t"), "_w", F.inline(cells)).groupBy("column", "value")
+           .agg(rows_of(1, "_t").alias("n1"), rows_of(0, "_t").alias("n0")))
+    all1, all0 = (weighted.agg(rows_of(k, target)).scalar().cast("double") for k in (1, 0))
     known = F.col("value").isNotNull() & (F.col("value") != unknown)
     one, zero = F.greatest(F.col("n1"), F.lit(1)), F.greatest(F.col("n0"), F.lit(1))
     woe = F.when(known, F.log(one / zero) + F.log(all0 / all1)).otherwise(F.lit(0.0))

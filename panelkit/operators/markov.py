@@ -111,26 +111,26 @@ def forecast_states(powers: DataFrame, facts: DataFrame, key: str, period: str,
             .select(key, (F.col(period) + F.col("month")).alias(period), F.col("_to").alias(state), "probability"))
 
 
-def joiners_per_period(facts: DataFrame, period: str, state: str, joiner: str) -> Column:
-    """Average number of new joiners per period, rounded down."""
+def joiners_per_period(facts: DataFrame, period: str, state: str, joiner: str) -> tuple[int, int]:
+    """Average number of new joiners per period, rounded down, and the last period."""
     joined = F.count(F.when(F.col(state) == joiner, 1))
-    return facts.agg(F.floor(joined / (F.max(period) - F.min(period) + 1)).cast("long").alias("n")).scalar()
+    row = facts.agg(F.floor(joined / (F.max(period) - F.min(period) + 1)).cast("long").alias("n"),
+                    F.max(period).alias("last")).first()
+    return row["n"] or 0, row["last"] or 0
 
 
 def new_joiners(facts: DataFrame, powers: DataFrame, key: str, period: str, state: str, joiner: str,
                 horizon: int = HORIZON) -> DataFrame:
     """Expected journeys of the keys that will join in the next periods, up to the horizon."""
+    spark = facts.sparkSession
     journey = (powers.where(F.col("state_from") == joiner)
                .select(F.col("month").alias("_step"), F.col("state_to").alias(state), "probability"))
-    start = facts.sparkSession.range(1).select(F.lit(0).alias("_step"), F.lit(joiner).alias(state),
-                                               F.lit(1.0).alias("probability"))
-    journey = start.unionByName(journey)
-    last = facts.agg(F.max(period)).scalar()
-    arrivals = (facts.sparkSession.range(1, horizon + 1)
-                .select((last + F.col("id")).alias("_joined"),
-                        joiners_per_period(facts, period, state, joiner).alias("_n"))
-                .where("_n >= 1").withColumn("_seq", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_n")))))
-    return (cross(arrivals, journey)
+    start = spark.range(1).select(F.lit(0).alias("_step"), F.lit(joiner).alias(state), F.lit(1.0).alias("probability"))
+    n, last = joiners_per_period(facts, period, state, joiner)
+    arrivals = spark.range(n * horizon).select(
+        (F.lit(last + 1).cast("long") + F.expr(f"id div {max(n, 1)}")).alias("_joined"),
+        (F.col("id") % max(n, 1) + 1).alias("_seq"))
+    return (cross(arrivals, start.unionByName(journey))
             .select(F.concat(F.lit("NJ_"), F.col("_joined").cast("string"), F.lit("_"),
                              F.col("_seq").cast("string")).alias(key),
                     (F.col("_joined") + F.col("_step")).alias(period), state, "probability")

@@ -10,6 +10,8 @@ from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.scale import checkpoint, lookup_join
+
 BASKETS_PER_BLOCK = 1024
 ITEMS_PER_BLOCK = 2048
 
@@ -60,7 +62,7 @@ def pair_counts(baskets: DataFrame, basket: str, item: str, frequent: DataFrame)
     baskets are counted together as a matrix product, so pairs of single baskets are never written.
     """
     unique = baskets.select(basket, F.col(item).cast("string").alias("item")).distinct()
-    kept = unique.join(frequent.select(F.col(item).cast("string").alias("item")), "item", "left_semi")
+    kept = lookup_join(unique, frequent.select(F.col(item).cast("string").alias("item")), ["item"], "left_semi")
     sets = kept.groupBy(basket).agg(F.collect_list("item").alias("items")).where(F.size("items") > 1).select("items")
     return (sets.mapInPandas(_count_together, "item_a string, item_b string, n long")
             .groupBy("item_a", "item_b").agg(F.sum("n").alias("n")))
@@ -71,7 +73,7 @@ def pair_rules(baskets: DataFrame, basket: str, item: str, min_support: float, m
     """Support, confidence and lift of every pair of items, in both directions."""
     if min_support <= 0:
         raise ValueError("minimum support must be positive")
-    frequent = frequent_items(baskets, basket, item, min_support)
+    frequent = checkpoint(frequent_items(baskets, basket, item, min_support))
     pairs = pair_counts(baskets, basket, item, frequent)
     both = pairs.select("item_a", "item_b", "n").unionByName(
         pairs.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "n"))

@@ -12,6 +12,7 @@ from panelkit.plans.registry import query
 from panelkit.plans.views import (CLIENT_PANEL, CONTRACT_PANEL, EVENT_LOG, ORDER_LOG, USER_DAY, client_panel,
                                   contract_panel, event_log, months_between, money, order_log, shift, user_day,
                                   whole_months)
+from panelkit.scale import lookup_join, skew_join
 from panelkit.tables import Tables
 
 
@@ -163,9 +164,10 @@ def call_mart(t: Tables) -> DataFrame:
 def payments(t: Tables) -> DataFrame:
     """Line items as transactions; returned ones are excess payments."""
     heads = t.orders.select(F.col("o_orderkey").alias("contract"), F.col("o_custkey").alias("client"))
-    return (t.lineitem.select(F.col("l_orderkey").alias("contract"), F.to_date("l_shipdate").alias("day"),
+    lines = t.lineitem.select(F.col("l_orderkey").alias("contract"), F.to_date("l_shipdate").alias("day"),
                               money("l_extendedprice", 2).alias("amount"),
-                              S.case_of("l_returnflag", {16: ["R"]}, 17).alias("kind")).join(heads, "contract"))
+                              S.case_of("l_returnflag", {16: ["R"]}, 17).alias("kind")).distinct()
+    return skew_join(lines, heads, ["contract"])
 
 
 @query("excess_payment_mart", f"""WITH {CONTRACT_PANEL}, h AS (SELECT contract, client, rd, abs(quantity - 50) AS size FROM contract_panel),
@@ -345,8 +347,8 @@ def deposit_mart(t: Tables) -> DataFrame:
                             (F.col("flag") == "A").cast("int").alias("salary"))
     price, line = money("l_extendedprice", 2), F.col("l_linenumber")
     month = F.last_day(F.to_date("l_shipdate"))
-    banks = t.supplier.select("s_suppkey", F.col("s_nationkey").alias("bank"))
-    transactions = t.lineitem.join(banks, F.col("l_suppkey") == F.col("s_suppkey")).select(
+    banks = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("bank"))
+    transactions = lookup_join(t.lineitem, banks, ["l_suppkey"], "inner").select(
         F.col("l_orderkey").alias("contract"), month.alias("day"), price.alias("amount"), F.col("l_suppkey").alias("account"), "bank",
         (F.col("l_returnflag") == "R").cast("int").alias("same_name"), (F.col("l_linestatus") == "F").cast("int").alias("same_surname"),
         F.when(line <= 3, 17).otherwise(18).alias("kind"))

@@ -9,6 +9,7 @@ from panelkit.operators import pricing as P
 from panelkit.operators import rules as R
 from panelkit.operators.stats import kde
 from panelkit.plans.registry import query
+from panelkit.scale import lookup_join
 from panelkit.tables import Tables
 
 BANDWIDTH = 0.02
@@ -101,7 +102,8 @@ def price_scenarios(t: Tables) -> DataFrame:
 def baskets(t: Tables) -> DataFrame:
     """Brands per order."""
     parts = t.part.select(F.col("p_partkey").alias("l_partkey"), F.col("p_brand").alias("item"))
-    return t.lineitem.select("l_partkey", F.col("l_orderkey").alias("basket")).join(parts, "l_partkey").select("basket", "item")
+    lines = t.lineitem.select("l_partkey", F.col("l_orderkey").alias("basket")).distinct()
+    return lookup_join(lines, parts, ["l_partkey"], "inner").select("basket", "item")
 
 
 SUPPORT = 0.02

@@ -13,6 +13,7 @@ from panelkit.operators import markov, rows, windows
 from panelkit.plans.registry import query
 from panelkit.plans.views import (CLIENT_PANEL, CONTRACT_PANEL, EVENT_LOG, ORDER_LOG, USER_DAY, client_panel,
                                   contract_panel, event_log, money, order_log, shift, user_day, whole_months)
+from panelkit.scale import lookup_join
 from panelkit.tables import Tables
 
 
@@ -270,8 +271,8 @@ JOIN (SELECT l_orderkey, partner FROM b QUALIFY row_number() OVER (PARTITION BY
   ON a.l_orderkey = c.l_orderkey""")
 def main_partner(t: Tables) -> DataFrame:
     nations = t.supplier.select(F.col("s_suppkey").alias("l_suppkey"), F.col("s_nationkey").alias("partner"))
-    per = (t.lineitem.select("l_orderkey", "l_suppkey", money("l_extendedprice", 2).alias("amount"))
-           .join(nations, "l_suppkey"))
+    lines = t.lineitem.select("l_orderkey", "l_suppkey", money("l_extendedprice", 2).alias("amount"))
+    per = lookup_join(lines, nations, ["l_suppkey"], "inner")
     return windows.main_partner(per, ["l_orderkey"], "partner", "amount")
 
 

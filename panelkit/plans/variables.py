@@ -17,9 +17,10 @@ RETURNS = """ret AS (SELECT CAST(l_returnflag = 'R' AS INT) AS target, p_brand,
 
 
 def returns(t: Tables) -> DataFrame:
-    """Line items with the brand and type of the part; a returned line is the target."""
-    parts = t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type")
-    return t.lineitem.select("l_partkey", (F.col("l_returnflag") == "R").cast("int").alias("target")).join(parts, "l_partkey")
+    """Returned and kept line counts per part, with its brand and type; a returned line is the target."""
+    counts = t.lineitem.groupBy("l_partkey", (F.col("l_returnflag") == "R").cast("int").alias("target")).agg(
+        F.count(F.lit(1)).alias("lines"))
+    return counts.join(t.part.select(F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type"), "l_partkey")
 
 
 @query("woe_iv", f"""WITH {RETURNS}, n AS (SELECT SUM(target) AS n1, COUNT(*) - SUM(target) AS n0 FROM ret),
@@ -28,7 +29,7 @@ c AS (SELECT 'p_brand' AS "column", p_brand AS value, SUM(target)::BIGINT AS n1,
 SELECT "column", value, c.n1, c.n0, round(ln(greatest(c.n1, 1) / greatest(c.n0, 1)) + ln(n.n0 / n.n1), 6) AS woe,
   round((c.n1 / n.n1 - c.n0 / n.n0) * (ln(greatest(c.n1, 1) / greatest(c.n0, 1)) + ln(n.n0 / n.n1)), 9) AS iv FROM c, n""")
 def woe_iv(t: Tables) -> DataFrame:
-    fitted = E.woe_fit(returns(t), "target", ["p_brand", "p_type"])
+    fitted = E.woe_fit(returns(t), "target", ["p_brand", "p_type"], weight="lines")
     return fitted.withColumns({"woe": F.round("woe", 6), "iv": F.round("iv", 9)})
 
 
@@ -36,7 +37,7 @@ def woe_iv(t: Tables) -> DataFrame:
 w AS (SELECT p_type, ln(greatest(SUM(target), 1) / greatest(COUNT(*) - SUM(target), 1)) + ln((SELECT n0 / n1 FROM n)) AS woe FROM ret GROUP BY 1)
 SELECT p_partkey, round(w.woe, 6) AS p_type_woe FROM part LEFT JOIN w ON w.p_type = part.p_type""")
 def woe_encode(t: Tables) -> DataFrame:
-    fitted = E.woe_fit(returns(t), "target", ["p_type"])
+    fitted = E.woe_fit(returns(t), "target", ["p_type"], weight="lines")
     out = E.woe_encode(t.part.select("p_partkey", "p_type"), fitted, ["p_type"])
     return out.select("p_partkey", F.round("p_type_woe", 6).alias("p_type_woe"))
 
