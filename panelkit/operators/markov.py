@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.operators.joins import anti, cross, next_period
-from panelkit.scale import checkpoint, lookup_join
+from panelkit.scale import cut, lookup_join
 
 #: Monthly discount rate and forecast horizon (fixed values).
 DISCOUNT = 0.0016515813
@@ -48,11 +48,11 @@ def product(a: DataFrame, b: DataFrame) -> DataFrame:
 
 def transition_powers(matrix: DataFrame, horizon: int = HORIZON) -> DataFrame:
     """Powers 1..horizon stacked, with the step in ``month``."""
-    base = checkpoint(matrix)
+    base = cut(matrix)
     power = base
     out = base.withColumn("month", F.lit(1))
     for step in range(2, horizon + 1):
-        power = checkpoint(product(power, base))
+        power = cut(product(power, base))
         out = out.unionByName(power.withColumn("month", F.lit(step)))
     return out
 
@@ -79,14 +79,14 @@ def segment_value(matrix: DataFrame, revenue: DataFrame, discount: float = DISCO
     earned = (states.join(revenue.select("state", "value"), "state", "left")
               .select("state", F.when(F.col("state") == churn, 0.0)
                       .otherwise(F.coalesce(F.col("value").cast("double"), F.lit(0.0))).alias("value")))
-    reward = checkpoint(earned)
-    step = checkpoint(matrix.withColumn("probability", F.col("probability") / (1 + discount)))
+    reward = cut(earned)
+    step = cut(matrix.withColumn("probability", F.col("probability") / (1 + discount)))
     value = reward
     if horizon is not None:
         for k in range(horizon):
             value = _add(reward, apply_matrix(step, value))
             if k % 4 == 3:
-                value = checkpoint(value)
+                value = cut(value)
         return value
     # squaring [[M, r], [0, 1]] doubles the reach of the sum that stands in its last column
     column = reward.select(F.col("state").alias("state_from"), F.lit(SUM_STATE).alias("state_to"),
@@ -95,7 +95,7 @@ def segment_value(matrix: DataFrame, revenue: DataFrame, discount: float = DISCO
                                                  F.lit(SUM_STATE).alias("state_to"), F.lit(1.0).alias("probability"))
     system = step.unionByName(column).unionByName(corner)
     for _ in range(rounds):
-        system = checkpoint(product(system, system))
+        system = cut(product(system, system))
     return (system.where((F.col("state_to") == SUM_STATE) & (F.col("state_from") != SUM_STATE))
             .select(F.col("state_from").alias("state"), F.col("probability").alias("value")))
 

@@ -42,6 +42,12 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Cut the lineage of a small table that a loop keeps extending."""
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
 def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
     """``df`` as a local table when it has at most ``max_rows`` rows, otherwise ``None``.
 
