@@ -167,6 +167,13 @@ def lookback_rows(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts:
     return skew_join(dated, pairs, [*key, "_day"]).drop("_day")
 
 
+def collapsed_rows(panel: DataFrame, days: DataFrame, key: list[str], rd: str, day: str, span: Span) -> DataFrame:
+    """As ``lookback_rows`` for a log already collapsed per key and day, which has no hot keys left."""
+    log = days.withColumn("_bucket", month_index(day))
+    return (_bucketed(panel, key, rd, [span]).join(log, [*key, "_bucket"]).where(span.holds(0, F.col(day)))
+            .drop("_bucket", "_first0", "_last0"))
+
+
 def lookback_distinct(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts: str, span: Span, item: str,
                       conditions: dict[str, Column]) -> DataFrame:
     """Distinct items per panel row and condition, 0 for an empty window."""

@@ -300,17 +300,24 @@ def account_operations(operations: DataFrame) -> DataFrame:
         (F.max("branch_amount").over(recent) > 0).cast("int").alias("had_branch"))
 
 
-def main_banks(deposits: DataFrame, transfers: DataFrame, span: L.Span, suffix: str) -> DataFrame:
-    """Main bank by amount and by number of transfers per client and date, within a window."""
+def main_banks(deposits: DataFrame, transfers: DataFrame, near: L.Span, wide: L.Span, suffix: str) -> DataFrame:
+    """Main bank per client and date: by amount and by count in the near window, by amount in the wide one.
+
+    The wide window holds the near one, so both come from one pass.
+    """
     per = transfers.groupBy("contract", "day", "bank").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("_n"))
-    panel = deposits.select("contract", "rd").distinct()
-    found = L.lookback_rows(panel, per, ["contract"], "rd", "day", span)
-    owned = deposits.select("client", "contract", "rd")
-    banks = (owned.join(found, ["contract", "rd"]).where(F.col("bank").isNotNull()).groupBy("client", "rd", "bank")
-             .agg(F.sum("amount").alias("_amount"), F.sum("_n").alias("_rows")))
-    return banks.groupBy("client", "rd").agg(
-        F.min_by("bank", F.struct(-F.col("_amount"), F.col("bank"))).alias(f"by_amount{suffix}"),
-        F.min_by("bank", F.struct(-F.col("_rows"), F.col("bank"))).alias(f"by_count{suffix}"))
+    found = L.collapsed_rows(deposits.select("contract", "rd"), per, ["contract"], "rd", "day", wide)
+    close = near.test(F.col("day"))
+    banks = (deposits.select("client", "contract", "rd").join(found.where(F.col("bank").isNotNull()), ["contract", "rd"])
+             .groupBy("client", "rd", "bank")
+             .agg(F.sum("amount").alias("_wide"), F.sum(F.when(close, F.col("amount"))).alias("_near"),
+                  F.sum(F.when(close, F.col("_n"))).alias("_rows")))
+
+    def top(size: str) -> Column:
+        return F.min_by("bank", F.when(F.col(size).isNotNull(), F.struct(-F.col(size), F.col("bank"))))
+
+    return banks.groupBy("client", "rd").agg(top("_near").alias(f"by_amount{suffix}"), top("_rows").alias(f"by_count{suffix}"),
+                                             top("_wide").alias(f"by_amount{suffix}_wide"))
 
 
 def deposit_mart(panel: DataFrame, deposits: DataFrame, transactions: DataFrame, operations: DataFrame) -> DataFrame:
@@ -356,12 +363,8 @@ def deposit_mart(panel: DataFrame, deposits: DataFrame, transactions: DataFrame,
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero}).withColumn(
         "payment_type", F.coalesce("payment_type", F.lit("LackOfTransfer"))).drop("_balance_before")
     near, wide_in, wide_out = (L.month_distance_open("rd", lo, 3) for lo in (1, -6, -5))
-    for suffix, block in (("_sender", main_banks(deposits, incoming, near, "_sender")),
-                          ("_addressee", main_banks(deposits, outgoing, near, "_addressee")),
-                          ("_sender_wide", main_banks(deposits, incoming, wide_in, "_sender_wide").drop("by_count_sender_wide")),
-                          ("_addressee_wide", main_banks(deposits, outgoing, wide_out, "_addressee_wide")
-                           .drop("by_count_addressee_wide"))):
-        out = out.join(block, ["client", "rd"], "left")
+    for suffix, transfers, wide in (("_sender", incoming, wide_in), ("_addressee", outgoing, wide_out)):
+        out = out.join(main_banks(deposits, transfers, near, wide, suffix), ["client", "rd"], "left")
     return out
 
 
