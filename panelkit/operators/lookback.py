@@ -68,11 +68,16 @@ def mean(value: Column | str) -> Measure:
 
 @dataclass(frozen=True)
 class Span:
-    """Days ``first``..``last`` around a panel date, with an optional further test on the day."""
+    """Days ``first``..``last`` around a panel date, with an optional further test on the day.
+
+    ``width`` is the number of months of one join bucket: about half the window, so that a panel row
+    is repeated for two or three buckets, however long its window is.
+    """
 
     first: Column
     last: Column
     test: Callable[[Column], Column] | None = None
+    width: int = 1
 
     def holds(self, i: int, day: Column) -> Column:
         inside = day.between(F.col(f"_first{i}"), F.col(f"_last{i}"))
@@ -81,7 +86,7 @@ class Span:
 
 def months_back(rd: str, n: int) -> Span:
     """Both ends included: ``[add_months(rd, -n), rd]``."""
-    return Span(F.add_months(rd, -n), F.col(rd))
+    return Span(F.add_months(rd, -n), F.col(rd), width=max(1, n // 2))
 
 
 def days_back(rd: str, n: int) -> Span:
@@ -97,13 +102,14 @@ def open_window(start: Column, rd: str) -> Span:
 def month_distance(rd: str, lo: int, hi: int) -> Span:
     """Whole months between panel date and event, cut toward zero, from ``lo`` to ``hi``."""
     return Span(F.add_months(rd, -(hi + 1)), F.add_months(rd, -(lo - 1)),
-                lambda day: months_diff(rd, day).between(lo, hi))
+                lambda day: months_diff(rd, day).between(lo, hi), max(1, (hi - lo + 2) // 2))
 
 
 def month_distance_open(rd: str, lo: int, hi: int) -> Span:
     """Exact months between panel date and event in ``[lo, hi)``."""
     return Span(F.add_months(rd, -(hi + 1)), F.add_months(rd, -(lo - 1)),
-                lambda day: (F.months_between(F.col(rd), day) >= lo) & (F.months_between(F.col(rd), day) < hi))
+                lambda day: (F.months_between(F.col(rd), day) >= lo) & (F.months_between(F.col(rd), day) < hi),
+                max(1, (hi - lo + 2) // 2))
 
 
 def daily(log: DataFrame, key: list[str], ts: str, measures: dict[str, Measure]) -> DataFrame:
@@ -112,8 +118,16 @@ def daily(log: DataFrame, key: list[str], ts: str, measures: dict[str, Measure])
     return (log.where(F.col(ts).isNotNull()).groupBy(*key, F.col(ts).cast("date").alias("_day")).agg(*parts))
 
 
+def _width(spans: list[Span]) -> int:
+    return max(s.width for s in spans)
+
+
+def _bucket(day: str | Column, spans: list[Span]) -> Column:
+    return F.floor(month_index(day) / _width(spans)).cast("int")
+
+
 def _bucketed(panel: DataFrame, key: list[str], rd: str, spans: list[Span]) -> DataFrame:
-    """Panel rows repeated for every month their widest window touches."""
+    """Panel rows repeated for every bucket of months their widest window touches."""
     cols = []
     for i, s in enumerate(spans):
         cols += [s.first.cast("date").alias(f"_first{i}"), s.last.cast("date").alias(f"_last{i}")]
@@ -121,14 +135,14 @@ def _bucketed(panel: DataFrame, key: list[str], rd: str, spans: list[Span]) -> D
     first = F.least(*[F.col(f"_first{i}") for i in range(len(spans))]) if len(spans) > 1 else F.col("_first0")
     last = F.greatest(*[F.col(f"_last{i}") for i in range(len(spans))]) if len(spans) > 1 else F.col("_last0")
     return (rows.where(first <= last)
-            .withColumn("_bucket", F.explode(F.sequence(month_index(first), month_index(last)))))
+            .withColumn("_bucket", F.explode(F.sequence(_bucket(first, spans), _bucket(last, spans)))))
 
 
 def window_agg(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts: str, spans: dict[str, Span],
                measures: dict[str, Measure]) -> DataFrame:
     """Measures of the log per (key, rd) that has any log row in a window; names are measure + suffix."""
-    days = daily(log, key, ts, measures).withColumn("_bucket", month_index("_day"))
     windows = list(spans.values())
+    days = daily(log, key, ts, measures).withColumn("_bucket", _bucket("_day", windows))
     joined = _bucketed(panel, key, rd, windows).join(days, [*key, "_bucket"])
     any_holds = None
     for i, s in enumerate(windows):
@@ -161,7 +175,7 @@ def lookback_rows(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts:
     The (key, day) to panel date map is small per key; hot keys of the log are split over tasks.
     """
     dated = log.withColumn("_day", F.col(ts).cast("date"))
-    days = dated.select(*key, "_day").distinct().withColumn("_bucket", month_index("_day"))
+    days = dated.select(*key, "_day").distinct().withColumn("_bucket", _bucket("_day", [span]))
     pairs = (_bucketed(panel, key, rd, [span]).join(days, [*key, "_bucket"])
              .where(span.holds(0, F.col("_day"))).select(*key, "_day", rd))
     return skew_join(dated, pairs, [*key, "_day"]).drop("_day")
@@ -169,7 +183,7 @@ def lookback_rows(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts:
 
 def collapsed_rows(panel: DataFrame, days: DataFrame, key: list[str], rd: str, day: str, span: Span) -> DataFrame:
     """As ``lookback_rows`` for a log already collapsed per key and day, which has no hot keys left."""
-    log = days.withColumn("_bucket", month_index(day))
+    log = days.withColumn("_bucket", _bucket(day, [span]))
     return (_bucketed(panel, key, rd, [span]).join(log, [*key, "_bucket"]).where(span.holds(0, F.col(day)))
             .drop("_bucket", "_first0", "_last0"))
 

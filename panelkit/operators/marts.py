@@ -272,13 +272,13 @@ def credit_bureau_mart(panel: DataFrame, reports: DataFrame, requests: DataFrame
         "queries_3m", "queries_1m", "queries_at_application"))
 
 
-def transfers_by_bank(transactions: DataFrame, kind: int) -> DataFrame:
-    """Unique transfers per contract, day and bank; the name flag holds when name and surname agree."""
-    chosen = transactions.where(F.col("kind") == kind)
+def transfers_by_bank(transactions: DataFrame) -> DataFrame:
+    """Unique transfers in and out per contract, day and bank; the name flag holds when name and surname agree."""
+    chosen = transactions.where(F.col("kind").isin(TRANSFER_IN, TRANSFER_OUT))
     return dedupe_then_agg(
-        chosen, ["contract", "day", "amount", "account", "bank"],
+        chosen, ["kind", "contract", "day", "amount", "account", "bank"],
         {"name": F.max("same_name"), "surname": F.max("same_surname")},
-        ["contract", "day", "bank", (F.col("name") * F.col("surname")).alias("same_person")],
+        ["kind", "contract", "day", "bank", (F.col("name") * F.col("surname")).alias("same_person")],
         amount=F.sum("amount"), transfers=F.count(F.lit(1)))
 
 
@@ -326,7 +326,8 @@ def deposit_mart(panel: DataFrame, deposits: DataFrame, transactions: DataFrame,
     ``deposits`` has client, contract, rd, start, balance, active and salary, one row per contract
     and rd; transfers are summed per contract and day before they are joined.
     """
-    incoming, outgoing = (checkpoint(transfers_by_bank(transactions, k)) for k in (TRANSFER_IN, TRANSFER_OUT))
+    transfers = checkpoint(transfers_by_bank(transactions))
+    incoming, outgoing = (transfers.where(F.col("kind") == k).drop("kind") for k in (TRANSFER_IN, TRANSFER_OUT))
     deposits = checkpoint(deposits)
     per_day = incoming.groupBy("contract", F.col("day").alias("rd")).agg(
         F.sum("amount").alias("in_amount"), F.sum("transfers").alias("in_count"),
@@ -363,8 +364,8 @@ def deposit_mart(panel: DataFrame, deposits: DataFrame, transactions: DataFrame,
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero}).withColumn(
         "payment_type", F.coalesce("payment_type", F.lit("LackOfTransfer"))).drop("_balance_before")
     near, wide_in, wide_out = (L.month_distance_open("rd", lo, 3) for lo in (1, -6, -5))
-    for suffix, transfers, wide in (("_sender", incoming, wide_in), ("_addressee", outgoing, wide_out)):
-        out = out.join(main_banks(deposits, transfers, near, wide, suffix), ["client", "rd"], "left")
+    for suffix, moved, wide in (("_sender", incoming, wide_in), ("_addressee", outgoing, wide_out)):
+        out = out.join(main_banks(deposits, moved, near, wide, suffix), ["client", "rd"], "left")
     return out
 
 
