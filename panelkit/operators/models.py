@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import sys
+
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml import classification as C
 from pyspark.ml import clustering as K
@@ -191,6 +194,9 @@ def leaf_id(model: PipelineModel, df: DataFrame, segment: Column) -> DataFrame:
 
 # k nearest neighbours --------------------------------------------------------------------------
 
+# executors get the functions below by value and need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 KNN_BLOCK = 2048
 
 

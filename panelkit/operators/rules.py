@@ -2,16 +2,21 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.scale import checkpoint, lookup_join
 
+# executors get the functions below by value and need not have this package installed
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 BASKETS_PER_BLOCK = 1024
 ITEMS_PER_BLOCK = 2048
 
