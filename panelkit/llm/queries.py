@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from panelkit.llm import quality, sharding
+from panelkit.llm import mixing, packing, quality, sharding, topk, urls
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -22,6 +23,39 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op4_mixing")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    out = mixing.mix(table(spark, sf_dir, "documents"))
+    return out.select("doc_id", "size", "source_size", "target", "taken", "copies")
+
+
+def tokenizer_path(name: str = "word_bpe_49k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op5_best_fit_packing")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+@query("op6_top_k_search", sql="""
+WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e)::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id <> c.vec_id WHERE q.vec_id % 50 = 0),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
+SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5""")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0)
+
+
+@query("op8_url_filters")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"))
+
+
 @query("op9_quality_rules")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = quality.quality(table(spark, sf_dir, "documents"))
