@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import mixing, packing, quality, sharding, topk, urls
+from panelkit.llm import mixing, packing, quality, sharding, substring, topk, urls
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,11 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op3_substring_dedup")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 @query("op4_mixing")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = mixing.mix(table(spark, sf_dir, "documents"))
