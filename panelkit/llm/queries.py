@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import jaccard, mixing, packing, quality, sharding, substring, topk, urls
+from panelkit.llm import jaccard, mixing, packing, quality, sharding, substring, topk, toxicity, urls
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -23,6 +23,14 @@ def query(name: str, sql: str | None = None):
     return add
 
 
+@query("op1_toxicity")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "windows", "top_window")
+
+
 @query("op3_substring_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
