@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import jaccard, mixing, packing, quality, sharding, substring, topk, toxicity, urls
+from panelkit.llm import jaccard, mixing, packing, pii, quality, sharding, substring, topk, toxicity, urls
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,12 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "windows", "top_window")
 
 
+@query("op2_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return pii.find(docs, pii.fit(docs))
+
+
 @query("op3_substring_dedup")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove(table(spark, sf_dir, "documents")).select("doc_id", "n_words", "n_removed", "kept_sha256")
