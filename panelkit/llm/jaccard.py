@@ -213,24 +213,25 @@ def _across(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
             .where(F.col("k") >= _meetings(F.col("n"), percent)).select("sig"))
     rows = written(rows.join(live, "sig", "left_semi"))
     listed = rows.mapInArrow(_explode(False, percent), shape)
-    seen = written(listed.groupBy("h").agg(F.count(F.lit(1)).alias("f"), F.min("label").alias("lo"), F.max("label").alias("hi"))
-                   .where("f > 1"))
-    listed = listed.join(seen, "h", "left").select("sig", "n", "label", "h", F.coalesce("f", F.lit(1)).alias("f"),
-                                                   F.coalesce(F.col("lo") < F.col("hi"), F.lit(False)).alias("open"))
-    order = Window.partitionBy("sig").orderBy("f", "h")
+    # only elements that other labels hold too can be shared across labels; a set needs enough of them
+    seen = (listed.groupBy("h").agg(F.count(F.lit(1)).alias("f"), F.min("label").alias("lo"), F.max("label").alias("hi"))
+            .where("lo < hi").select("h", "f"))
+    own = Window.partitionBy("sig")
     need = F.ceil(F.col("n") * F.lit(percent) / F.lit(100))
-    listed = listed.withColumn("p", F.row_number().over(order)).where(F.col("open") & (F.col("p") <= F.col("n") - need + 1))
+    listed = (listed.join(seen, "h").withColumn("c", F.count(F.lit(1)).over(own))
+              .withColumn("p", F.row_number().over(own.orderBy("f", "h")))
+              .where(F.col("p") <= F.col("c") - need + 1))
     block = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / percent))).cast("int")
-    listed = written(listed.select("sig", "n", "label", "h", "p", block.alias("block")))
+    listed = written(listed.select("sig", "n", "label", "h", "p", "c", block.alias("block")))
     x = listed.select(*[F.col(c).alias(f"x_{c}") for c in listed.columns])
     y = listed.withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
     y = y.select(*[F.col(c).alias(f"y_{c}") for c in listed.columns])
-    # what both can share is at most this element and all that stands after it in either set, and the earlier ones
-    rest = F.least(F.col("x_n") - F.col("x_p"), F.col("y_n") - F.col("y_p")) + F.least("x_p", "y_p")
+    # what both can share is at most what stands up to this element in either list and what stands after it
+    most = F.least(F.col("x_c") - F.col("x_p"), F.col("y_c") - F.col("y_p")) + F.least("x_p", "y_p")
     fits = ((F.col("x_h") == F.col("y_h")) & (F.col("x_block") == F.col("y_block")) & (F.col("x_sig") < F.col("y_sig"))
             & (F.col("x_label") != F.col("y_label")) & (100 * F.col("x_n") >= percent * F.col("y_n"))
             & (100 * F.col("y_n") >= percent * F.col("x_n"))
-            & (100 * rest >= percent * (F.col("x_n") + F.col("y_n") - rest)))
+            & (100 * most >= percent * (F.col("x_n") + F.col("y_n") - most)))
     return x.join(y, fits).select(F.col("x_sig").alias("a"), F.col("y_sig").alias("b")).distinct()
 
 
@@ -269,12 +270,15 @@ def links(docs: DataFrame, texts: DataFrame, named: DataFrame, percent: int, par
     shared = shared.groupBy("sig").agg(F.sum("shared").alias("shared"))
     reps = named.where("n > 0").groupBy("sig", "n").agg(F.min(F.struct("doc_id", "_text")).alias("r"))
     live = written(reps.join(shared, "sig").where(F.col("shared") >= _meetings(F.col("n"), percent))
-                   .select("sig", "n", "r.doc_id", "r._text"))
+                   .select("sig", "n", "shared", "r.doc_id", "r._text"))
     sets = written(texts.join(live, ["doc_id", "_text"]).dropDuplicates(["sig"]).select("sig", "n", "text")
                    .mapInArrow(_elements, "sig long, n long, elems binary"))
     keys = sets.select("sig", "elems").mapInArrow(_band_keys, "sig long, key long")
     keys = written(keys)
-    first = keys.groupBy("key").agg(F.min("sig").alias("b"), F.count(F.lit(1)).alias("k")).where("k > 1").select("key", "b")
+    # the first partner of a set is the one with its minima that meets most others: edits make a set meet fewer
+    ranked = keys.join(live.select("sig", (F.col("shared") / F.col("n")).alias("rank")), "sig")
+    first = (ranked.groupBy("key").agg(F.max_by("sig", F.struct("rank", "sig")).alias("b"), F.count(F.lit(1)).alias("k"))
+             .where("k > 1").select("key", "b"))
     stars = keys.join(first, "key").where("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
     stars = written(verified(stars, sets, percent))
     across = _across(sets, components(stars, "a", "b"), percent)

@@ -130,7 +130,21 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MA
     Null and empty texts have size 0 and are never taken; null is a source like others, last in order. An
     empty table gives no rows; extra columns are left out. Reruns agree.
     """
-    rows = written(sized(docs.select("doc_id", "source", "text")).select("doc_id", "source", "size"))
+    return _mixed(docs, weights, budget, most, seed, rows_per_bucket).drop("_text")
+
+
+def repeat(docs: DataFrame, **options) -> DataFrame:
+    """The rows, with all their columns, as often as the mix takes them; rows it does not take go."""
+    plan = _mixed(docs, **options).where("copies > 0").groupBy("doc_id", "_text").agg(F.sum("copies").alias("_copies"))
+    plan = plan.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "_copies")
+    rows = docs.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"])
+    joined = rows.join(plan, rows["doc_id"].eqNullSafe(plan["_id"]) & (rows["_text"] == plan["_hash"]))
+    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+
+
+def _mixed(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MAX_COPIES, seed: int = 17,
+           rows_per_bucket: int = ROWS_PER_BUCKET) -> DataFrame:
+    rows = written(sized(docs.select("doc_id", "source", "text")).select("doc_id", "source", "size", F.xxhash64("text").alias("_text")))
     counts = written(rows.groupBy("source", "size").agg(F.count(F.lit(1)).alias("n")))
     goals = targets(counts.groupBy("source").agg(F.sum(F.col("size") * F.col("n")).alias("source_size")),
                     weights, budget, most)
@@ -144,7 +158,7 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MA
                        "rounds", "extra", "_buckets")
     joined = (rows.join(plan, rows["source"].eqNullSafe(plan["_src"]) & (rows["size"] == plan["_size"]))
               .withColumn("_draw", key).withColumn("_bucket", F.pmod("_draw", "_buckets")))
-    inside = Window.partitionBy("_sid", "size", "_bucket").orderBy("_draw", "doc_id")
+    inside = Window.partitionBy("_sid", "size", "_bucket").orderBy("_draw", "doc_id", "_text")
     ranked = joined.withColumn("_rank", F.row_number().over(inside))
     sizes = (joined.where("_buckets > 1").groupBy("_sid", "size", "_bucket").agg(F.count(F.lit(1)).alias("_in")))
     before = Window.partitionBy("_sid", "size").orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
@@ -153,5 +167,5 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MA
     chosen = F.coalesce("_start", F.lit(0)) + F.col("_rank") <= F.col("extra")
     copies = F.least(F.lit(most), F.col("rounds") + chosen.cast("long"))
     copies = F.when(F.col("size") > 0, copies).otherwise(F.lit(0)).cast("long")
-    return ranked.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"),
+    return ranked.select("doc_id", "_text", "source", "size", "source_size", "target", copies.alias("copies"),
                          (F.col("size") * copies).alias("taken"))

@@ -24,10 +24,10 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 
 #: Characters of a window and between window starts; hidden units of a direction.
 WINDOW, STRIDE = 128, 96
-HIDDEN = 8
+HIDDEN = 16
 #: The training sample: documents with a digit or @, windows of each.
 SAMPLE_DOCS, SAMPLE_WINDOWS = 800, 6
-EPOCHS, BATCH, RATE = 8, 64, 0.02
+EPOCHS, BATCH, RATE = 12, 64, 0.02
 CHUNK = 1024
 
 #: Characters with a class of their own; other digits, letters and signs share one each.
@@ -253,12 +253,12 @@ def variants(text: str, spans: list[tuple[int, int, int]], rng) -> tuple[str, li
     return "".join(out) + text[at:], moved
 
 
-def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Windows of a document around its spans, and windows with digits but no span."""
     for batch in batches:
         out = []
         for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text, rng = value.as_py(), np.random.default_rng(abs(hash(int(doc))))
+            text, rng = value.as_py(), np.random.default_rng(int(doc) & 0xFFFFFFFF)
             spans = base_spans(text)
             spots = [s for s, _, _ in spans] or [m.start() for m in re.finditer(r"[0-9@]", text)]
             rows = []
@@ -281,7 +281,7 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 5) -> dict[
     some = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]"))
     drawn = some.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id").limit(sample_docs).distinct()
     rows = some.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cut = rows.mapInArrow(_sample, "doc_id long, windows array<struct<text:string,spans:array<array<bigint>>>>")
+    cut = rows.mapInArrow(_sample_windows, "doc_id long, windows array<struct<text:string,spans:array<array<bigint>>>>")
     got = sorted((w["text"], [tuple(s) for s in w["spans"]]) for r in cut.collect() for w in r["windows"])
     rng = np.random.default_rng(seed)
     return train(got + [variants(t, s, rng) for t, s in got if s])
@@ -358,50 +358,66 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
     return "".join(out) + text[at:]
 
 
+def _search(p: dict, column: pa.Array) -> Iterator[tuple[int, str, list, list]]:
+    """Row, text, fixed spans and all spans of each text of a column that may hold any."""
+    raw, at = text_bytes(column)
+    hits = np.flatnonzero(((raw >= 48) & (raw <= 57)) | (raw == 64))
+    having = np.flatnonzero(np.diff(np.searchsorted(hits, at)) > 0)
+    for a in range(0, len(having), 256):
+        rows = having[a:a + 256].tolist()
+        texts = [column[i].as_py() for i in rows]
+        codes = [classes(t) for t in texts]
+        anchored = [np.flatnonzero((c == len(_SINGLE)) | (c == 0)) for c in codes]
+        for i, text, tags in zip(rows, texts, tag_windows(p, codes, anchored)):
+            base = base_spans(text)
+            yield i, text, base, sorted(base + added_spans(text, tags, base))
+
+
 def _find(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = model.value
         for batch in batches:
-            raw, at = text_bytes(batch.column(1))
-            hits = np.flatnonzero(((raw >= 48) & (raw <= 57)) | (raw == 64))
-            having = np.flatnonzero(np.diff(np.searchsorted(hits, at)) > 0)
-            cols: dict[str, list] = {c: [0] * batch.num_rows for c in ("n_email", "n_ip", "n_card", "n_phone")}
-            sha, spans = [hashlib.sha256(b"").hexdigest()] * batch.num_rows, [""] * batch.num_rows
-            text_out = None if batch.num_columns < 3 else [None] * batch.num_rows
-            for a in range(0, len(having), 256):
-                rows = having[a:a + 256].tolist()
-                texts = [batch.column(1)[i].as_py() for i in rows]
-                bases = [base_spans(t) for t in texts]
-                codes = [classes(t) for t in texts]
-                anchored = [np.flatnonzero((c == len(_SINGLE)) | (c == 0)) for c in codes]
-                for i, text, base, tags in zip(rows, texts, bases, tag_windows(p, codes, anchored)):
-                    whole = sorted(base + added_spans(text, tags, base))
-                    for c, name in enumerate(cols):
-                        cols[name][i] = sum(k == c for _, k, _ in base)
-                    sha[i] = hashlib.sha256(_listed(base).encode()).hexdigest()
-                    spans[i] = _listed(whole)
-                    if text_out is not None:
-                        text_out[i] = masked(text, whole)
-            arrays = [batch.column(0), *[pa.array(v, pa.int64()) for v in cols.values()], pa.array(sha, pa.string()), pa.array(spans, pa.string())]
-            names = ["doc_id", *cols, "base_sha256", "spans"]
-            if text_out is not None:
-                arrays.append(pa.array(text_out, pa.string()))
-                names.append("masked")
-            yield pa.RecordBatch.from_arrays(arrays, names)
+            n = batch.num_rows
+            counts = np.zeros((len(KINDS), n), np.int64)
+            sha, spans = [hashlib.sha256(b"").hexdigest()] * n, [""] * n
+            for i, _, base, whole in _search(model.value, batch.column(1)):
+                for _, k, _ in base:
+                    counts[k, i] += 1
+                sha[i], spans[i] = hashlib.sha256(_listed(base).encode()).hexdigest(), _listed(whole)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), *map(pa.array, counts), pa.array(sha, pa.string()), pa.array(spans, pa.string())],
+                ["doc_id", *[f"n_{k}" for k in KINDS], "base_sha256", "spans"])
 
     return run
 
 
-def find(docs: DataFrame, model: dict[str, np.ndarray], mask: bool = False) -> DataFrame:
+def find(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     """Personal data in every whole text (needs doc_id, text): counts of the fixed patterns, their digest, all spans.
 
-    ``mask`` adds ``masked``, the text with spans replaced where it has any, else null. Spans count code
-    points. Null and empty texts have none. Repeated rows are searched each; spans of equal start stand in the
-    order of KINDS. The model is of fixed size and sent to every executor. An empty table gives no rows; extra
-    columns are left out.
+    Spans count code points and are listed as kind:start:end. Null and empty texts have none. Repeated rows
+    are searched each; spans of equal start stand in the order of KINDS. The model is of fixed size and sent
+    to every executor. An empty table gives no rows; extra columns are left out.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
-    shape = f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string"
-    rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), *([F.lit(True).alias("mask")] if mask else []))
-    return rows.mapInArrow(_find(shared), shape + (", masked string" if mask else ""))
+    return docs.select("doc_id", "text").mapInArrow(
+        _find(shared), f"doc_id {kind}, n_email long, n_ip long, n_card long, n_phone long, base_sha256 string, spans string")
+
+
+def mask(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
+    """The rows, with all their columns, and every span in ``text`` replaced by its kind; no row moves."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = {i: masked(text, whole) for i, text, _, whole in _search(shared.value, batch.column(at)) if whole}
+            if found:
+                rows = sorted(found)
+                mine = np.full(batch.num_rows, -1)
+                mine[rows] = np.arange(len(rows))
+                both = pa.concat_arrays([batch.column(at).cast(pa.string()), pa.array([found[i] for i in rows], pa.string())])
+                new = both.take(pa.array(np.where(mine >= 0, batch.num_rows + mine, np.arange(batch.num_rows))))
+                batch = batch.set_column(at, "text", new.cast(batch.column(at).type))
+            yield batch
+
+    return docs.mapInArrow(run, docs.schema)

@@ -283,31 +283,34 @@ def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> d
     return train([[x.decode(errors="replace") for x in t] for _, _, t in got], [y for _, y, _ in got])
 
 
+def _text_scores(p: dict, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Score, number of windows and start of the highest window of each text of a column."""
+    scores, counts, tops = [np.zeros(0)], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for a, b, raw, at in slices(column):
+        w = words(raw, at, lower=True)
+        n = np.diff(w.first)
+        starts = [window_starts(int(k)) for k in n]
+        of = np.repeat(np.arange(b - a), [len(s) for s in starts])
+        start = np.concatenate(starts)
+        value = np.full(b - a, p["bias"][0], np.float64)
+        top = np.full(b - a, -1, np.int64)
+        if len(of):
+            one = score_windows(p, Vocabulary(w), w.first[of] + start, np.minimum(WINDOW, n[of] - start)).astype(float)
+            order = np.lexsort((-start, one, of))  # highest window, the first of equal ones
+            last = order[np.append(of[order][1:] != of[order][:-1], True)]
+            value[of[last]], top[of[last]] = one[last], start[last]
+        scores.append(sigmoid(value))
+        counts.append(np.bincount(of, minlength=b - a))
+        tops.append(top)
+    return np.concatenate(scores), np.concatenate(counts), np.concatenate(tops)
+
+
 def _score(model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        p = model.value
         for batch in batches:
-            scores, tops, counts = [], [], []
-            for a, b, raw, at in slices(batch.column(1)):
-                w = words(raw, at, lower=True)
-                n = np.diff(w.first)
-                starts = [window_starts(int(k)) for k in n]
-                of = np.repeat(np.arange(b - a), [len(s) for s in starts])
-                start = np.concatenate(starts) if starts else np.zeros(0, np.int64)
-                value = np.full(b - a, p["bias"][0], np.float64)
-                top = np.full(b - a, -1, np.int64)
-                if len(of):
-                    one = score_windows(p, Vocabulary(w), w.first[of] + start, np.minimum(WINDOW, n[of] - start)).astype(float)
-                    order = np.lexsort((-start, one, of))  # highest window, the first of equal ones
-                    last = order[np.append(of[order][1:] != of[order][:-1], True)]
-                    value[of[last]], top[of[last]] = one[last], start[last]
-                scores.append(sigmoid(value))
-                tops.append(top)
-                counts.append(np.bincount(of, minlength=b - a))
-            if scores:
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0), pa.array(np.concatenate(scores)), pa.array(np.concatenate(counts).astype(np.int64)),
-                     pa.array(np.concatenate(tops))], ["doc_id", "score", "windows", "top_window"])
+            scores, counts, tops = _text_scores(model.value, batch.column(1))
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(scores), pa.array(counts), pa.array(tops)],
+                                             ["doc_id", "score", "windows", "top_window"])
 
     return run
 
@@ -322,3 +325,15 @@ def score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema["doc_id"].dataType.simpleString()
     return docs.select("doc_id", "text").mapInArrow(_score(shared), f"doc_id {kind}, score double, windows long, top_window long")
+
+
+def keep_clean(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = 0.5) -> DataFrame:
+    """The rows, with all their columns, whose text scores below ``threshold``; no row moves."""
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    at = docs.columns.index("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield batch.filter(pa.array(_text_scores(shared.value, batch.column(at))[0] < threshold))
+
+    return docs.mapInArrow(run, docs.schema)
