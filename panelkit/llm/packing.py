@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+import unicodedata
 import zlib
 from collections.abc import Iterator
 
@@ -15,62 +17,123 @@ from panelkit.llm.common import parts_for, written
 
 #: Pieces packed together by one task.
 GROUP_PIECES = 16_384
-#: Words a task remembers the ids of.
-CACHE_WORDS = 400_000
+#: Words a worker process remembers the ids of.
+CACHE_WORDS = 500_000
 #: Characters of one text cut into words at a time.
 STEP_CHARS = 1 << 20
+#: Texts whose new words are learnt together.
+TEXTS = 256
+
+
+#: Words whose parts can be cut here just as the tokenizer cuts them: printable ASCII and Latin letters.
+_PLAIN = re.compile("[!-~\u00c0-\u024f]+")
+_PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[0-9]| |[^ a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
+
+#: Stands for the space between two words while their ids are joined; no id is as large.
+_GAP = b"\xff" * 4
 
 
 class WordIds:
-    """Token ids of texts as little-endian unsigned 32-bit bytes, one tokenizer call per new word.
+    """Token ids of texts as little-endian unsigned 32-bit bytes, one look-up per word.
 
-    The tokenizer never joins characters across spaces or line feeds, so a text's ids are its words' ids.
+    The tokenizer never joins characters across spaces or line feeds, so a text's ids are its words' ids;
+    inside a word it never joins letters with digits or signs, so a word's ids are its parts' ids. New parts
+    are tokenized many at a time: the last token of each part is known by its end-of-word suffix.
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        suffix = self.tokenizer.model.end_of_word_suffix
+        vocab = self.tokenizer.get_vocab()
+        self.ends = np.zeros(max(vocab.values()) + 1, bool)
+        if suffix:
+            self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
+        self.by_part = bool(suffix)
         self.limit = limit
         self.known: dict[str, bytes] = {"": b""}
+        self.parts: dict[str, bytes] = {" ": _GAP}
+
+    def _learn_parts(self, new: list[str]) -> None:
+        lines = [" ".join(new[i:i + 256]) for i in range(0, len(new), 256)]
+        done = 0
+        for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+            ids = np.asarray(e.ids, "<u4")
+            stops = np.flatnonzero(self.ends[ids]) + 1
+            data, at = ids.tobytes(), 0
+            want = new[done:done + 256]
+            if len(stops) != len(want):
+                raise ValueError("the tokenizer cuts words in another way")
+            for part, stop in zip(want, (4 * stops).tolist()):
+                self.parts[part] = data[at:stop]
+                at = stop
+            done += 256
 
     def learn(self, new: list[str]) -> None:
-        if len(self.known) > self.limit:
-            self.known = {"": b""}
-        for word, e in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
+        plain, whole = [], []
+        for word in new:
+            simple = word.isprintable() if word.isascii() else _PLAIN.fullmatch(word)
+            (plain if simple and self.by_part and "<|" not in word else whole).append(word)
+        parts = _PARTS.findall(unicodedata.normalize("NFC", " ".join(plain)).lower())
+        self._learn_parts(list(set(parts).difference(self.parts)))
+        ids = b"".join(map(self.parts.__getitem__, parts)).split(_GAP) if plain else []
+        self.known.update(zip(plain, ids))
+        for word, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
             self.known[word] = np.asarray(e.ids, "<u4").tobytes()
 
-    def ids(self, text: str) -> bytes:
-        out, at = [], 0
-        while at < len(text):
-            end = len(text)
-            if end - at > STEP_CHARS:  # a long text goes in steps that end at a space, where there is one
-                cut = max(text.rfind(" ", at, at + STEP_CHARS), text.rfind("\n", at, at + STEP_CHARS))
-                end = cut + 1 if cut >= at else min((p for p in (text.find(" ", at), text.find("\n", at)) if p >= 0), default=end - 1) + 1
-            parts = text[at:end].replace("\n", " ").split(" ")
-            try:
-                out.append(b"".join(map(self.known.__getitem__, parts)))
-            except KeyError:
-                self.learn(list({w for w in parts if w not in self.known}))
-                out.append(b"".join([self.known[w] if w in self.known else self._one(w) for w in parts]))
-            at = end
-        return b"".join(out)
-
-    def _one(self, word: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u4").tobytes()
+    def of(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text. The texts of one call should be few: their new words are learnt together."""
+        if len(self.known) > self.limit:
+            self.known, self.parts = {"": b""}, {" ": _GAP}
+        cut = [[t.replace("\n", " ").split(" ") for t in _steps(text)] for text in texts]
+        new = set().union(*[ws for steps in cut for ws in steps]).difference(self.known)
+        if new:
+            self.learn(list(new))
+        return [b"".join([b"".join(map(self.known.__getitem__, ws)) for ws in steps]) for steps in cut]
+
+
+def shared_words(path: str) -> WordIds:
+    """The table of a worker process, which its tasks fill together; it is bounded by CACHE_WORDS.
+
+    It hangs on the tokenizer library because the functions of this package come anew with every task.
+    """
+    import tokenizers
+
+    held = tokenizers.__dict__.setdefault("_word_ids", {})
+    if path not in held:
+        held[path] = WordIds(path)
+    return held[path]
+
+
+def _steps(text: str) -> Iterator[str]:
+    """A text in stretches that end at a space or line feed, so that a long text is never cut in words at once."""
+    at = 0
+    while len(text) - at > STEP_CHARS:
+        cut = max(text.rfind(" ", at, at + STEP_CHARS), text.rfind("\n", at, at + STEP_CHARS))
+        if cut < at:
+            after = [x for x in (text.find(" ", at), text.find("\n", at)) if x >= 0]
+            if not after:
+                break
+            cut = min(after)
+        yield text[at:cut + 1]
+        at = cut + 1
+    yield text[at:]
 
 
 def _cut(path: str, length: int, end_id: int):
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordIds(path)
+        words = shared_words(path)
         end = np.uint32(end_id).tobytes()
         for batch in batches:
             doc, out = batch.column(0), []
-            for row in range(batch.num_rows):
-                ids = words.ids(batch.column(1)[row].as_py() or "") + end
-                for k, at in enumerate(range(0, len(ids), 4 * length)):
-                    part = ids[at:at + 4 * length]
-                    out.append((row, k, at // 4, len(part) // 4, zlib.crc32(part)))
+            for some in range(0, batch.num_rows, TEXTS):
+                texts = [t or "" for t in batch.column(1).slice(some, TEXTS).to_pylist()]
+                for row, ids in enumerate(words.of(texts), some):
+                    ids += end
+                    for k, at in enumerate(range(0, len(ids), 4 * length)):
+                        part = ids[at:at + 4 * length]
+                        out.append((row, k, at // 4, len(part) // 4, zlib.crc32(part)))
             rows, k, at, n, crc = np.array(out, np.int64).reshape(-1, 5).T
             yield pa.RecordBatch.from_arrays([doc.take(pa.array(rows)), pa.array(k.astype(np.int32)), pa.array(at),
                                               pa.array(n), pa.array(crc)],
