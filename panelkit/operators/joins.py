@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import month_index
-from panelkit.scale import BROADCAST_ROWS
+from panelkit.scale import BROADCAST_BYTES, checkpoint
 
 
 def inner(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -61,23 +61,20 @@ def next_period(facts: DataFrame, key: list[str], period: str, values: list[str]
             .select("*", *[F.col("_next")[v].alias(f"{v}_next") for v in values]).drop("_next"))
 
 
-def cross(rows: DataFrame, grid: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+def cross(rows: DataFrame, grid: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Every row with every grid row.
 
-    A grid of at most ``max_rows`` rows becomes one array that each row unfolds. A larger grid is cut
-    into chunks and matched chunk by chunk with an equi join.
+    The grid is cut into chunks of at most about ``max_bytes``, each one array; a row meets every chunk through an
+    equi join on the chunk's number and unfolds it. A grid of one chunk is simply the case of one number.
     """
-    size = grid.count()
-    if size <= max_rows:
-        cells = grid.agg(F.collect_list(F.struct(*grid.columns))).scalar()
-        return rows.select("*", F.inline(cells))
-    chunks = -(-size // max_rows)
-    salts = rows.sparkSession.sparkContext.defaultParallelism
-    pieces = (grid.withColumn("_chunk", F.pmod(F.xxhash64(*grid.columns), F.lit(chunks)).cast("int"))
-              .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)))))
-    spread = (rows.withColumn("_salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-              .withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)))))
-    return spread.join(pieces, ["_chunk", "_salt"]).drop("_chunk", "_salt")
+    grid = checkpoint(grid)
+    size = grid.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    chunks = max(1, -(-size // max_bytes))
+    cells = (grid.select(F.struct("*").alias("_cell"), F.pmod(F.monotonically_increasing_id(), F.lit(chunks)).alias("_chunk"))
+             .groupBy("_chunk").agg(F.collect_list("_cell").alias("_cells")))
+    asked = rows.withColumn("_chunk", F.explode(F.sequence(F.lit(0), F.lit(chunks - 1)).cast("array<long>")))
+    met = asked.join(F.broadcast(cells) if chunks == 1 else cells, "_chunk")
+    return met.select(*rows.columns, F.inline("_cells"))
 
 
 def with_scalar(rows: DataFrame, source: DataFrame, **aggs: Column) -> DataFrame:
@@ -87,5 +84,12 @@ def with_scalar(rows: DataFrame, source: DataFrame, **aggs: Column) -> DataFrame
 
 
 def wide_join(base: DataFrame, blocks: list[DataFrame], key: list[str]) -> DataFrame:
-    """One wide row per key from many feature blocks; a repeated key in a block keeps one row."""
-    return reduce(lambda acc, block: acc.join(block.dropDuplicates(key), key, "left"), blocks, base)
+    """One wide row per key from many feature blocks.
+
+    A key that a block repeats keeps the row that is smallest in the order of the block's columns, so reruns agree.
+    """
+    def one_row(block: DataFrame) -> DataFrame:
+        rest = [c for c in block.columns if c not in key]
+        return block.groupBy(*key).agg(F.min(F.struct(*rest)).alias("_row")).select(*key, "_row.*")
+
+    return reduce(lambda acc, block: acc.join(one_row(block), key, "left"), blocks, base)

@@ -2,18 +2,20 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
+import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-#: Most rows a table may have to be sent to every executor.
-BROADCAST_ROWS = 20_000
-#: A key is hot when it holds more than this share of the rows: at most 1/share keys can be.
-HOT_SHARE = 0.002
-#: Keys below this row count are never split.
-HOT_ROWS = 200_000
+#: Most bytes, as JSON text, of a table that is sent to every executor.
+BROADCAST_BYTES = 4 << 20
+#: Rows of one key that a task can take; a key with more is split.
+ROWS_PER_PART = 200_000
+
+_written: list[tuple[weakref.ref, str]] = []
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
@@ -39,53 +41,78 @@ def checkpoint(df: DataFrame) -> DataFrame:
     ensure_checkpoint_dir(spark)
     path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
     df.write.parquet(path)
+    _written.append((weakref.ref(spark), path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> int:
+    """Delete the tables that ``checkpoint`` wrote for this session; results still to be read must be gone or kept.
+
+    It also runs when the driver ends, so a finished job leaves nothing in the shared folder.
+    """
+    gone = 0
+    for entry in [e for e in _written if e[0]() is spark]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(entry[1])
+        gone += path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _written.remove(entry)
+    return gone
+
+
+@atexit.register
+def _release_all() -> None:
+    for ref, _ in list(_written):
+        spark = ref()
+        try:
+            if spark is not None and not spark.sparkContext._jsc.sc().isStopped():
+                release(spark)
+        except Exception:  # the driver is ending: there may be no session left to ask
+            return
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Cut the lineage of a small table that a loop keeps extending."""
     ensure_checkpoint_dir(df.sparkSession)
     return df.checkpoint(eager=True)
 
 
-def bounded(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame | None:
-    """``df`` as a local table when it has at most ``max_rows`` rows, otherwise ``None``.
+def small(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether a written table is small enough to be sent to every executor, by the bytes of its rows."""
+    return (table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= max_bytes
 
-    The check reads at most ``max_rows + 1`` rows to the driver.
-    """
-    rows = df.limit(max_rows + 1).collect()
-    if len(rows) > max_rows:
-        return None
-    return df.sparkSession.createDataFrame(rows, df.schema)
 
+def hot_keys(df: DataFrame, on: list[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
+    """Keys with more than ``rows_per_part`` rows and the number of parts to split each into.
 
-def hot_keys(df: DataFrame, on: list[str], share: float = HOT_SHARE, min_rows: int = HOT_ROWS,
-             rows_per_part: int = HOT_ROWS) -> DataFrame:
-    """Keys holding more than ``share`` of the rows, with the number of parts to split each into."""
-    counts = df.groupBy(*on).agg(F.count(F.lit(1)).alias("_n"))
-    total = counts.agg(F.sum("_n")).scalar()
-    return (counts
-            .where((F.col("_n") > min_rows) & (F.col("_n") > F.lit(share) * total))
-            .select(*on, F.least(F.lit(4096), F.ceil(F.col("_n") / rows_per_part)).cast("int").alias("_parts")))
+    NULL keys match nothing in an equi join and are never listed.
+    """
+    known = df.select(*on)
+    for c in on:
+        known = known.where(F.col(c).isNotNull())
+    return (known.groupBy(*on).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > rows_per_part)
+            .select(*on, F.ceil(F.col("_n") / rows_per_part).cast("int").alias("_parts")))
 
 
 def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner",
-              share: float = HOT_SHARE, min_rows: int = HOT_ROWS, rows_per_part: int = HOT_ROWS) -> DataFrame:
+              rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Equi join whose hot keys on the left are split into parts; the right side repeats per part.
 
-    ``right`` should be small per key. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``.
-    The list of hot keys has at most ``1/share`` rows, so it can be broadcast.
+    ``right`` should be small per key. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. The hot
+    keys stay a table, however many there are. Rows are dealt to parts by their place, so equal rows part too;
+    rows with a NULL key, which match nothing, are dealt over all tasks.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot do a {how} join")
-    hot = hot_keys(left, on, share, min_rows, rows_per_part).collect()
-    if not hot:
-        return left.join(right, on, how)
-    marks = F.broadcast(left.sparkSession.createDataFrame(hot))
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in left.columns]), F.col("_parts")).cast("int")
-    salted = (left.join(marks, on, "left")
-              .withColumn("_salt", F.when(F.col("_parts").isNull(), F.lit(0)).otherwise(spread))
-              .drop("_parts"))
+    marks = checkpoint(hot_keys(left, on, rows_per_part))
+    no_key = F.lit(False)
+    for c in on:
+        no_key = no_key | F.col(c).isNull()
+    place = F.monotonically_increasing_id()
+    salt = (F.when(no_key, -1 - F.pmod(place, F.lit(4096))).when(F.col("_parts").isNull(), F.lit(0))
+            .otherwise(F.pmod(place, F.col("_parts"))).cast("int"))
+    if marks.isEmpty():
+        salted = left.withColumn("_salt", F.when(no_key, -1 - F.pmod(place, F.lit(4096))).otherwise(F.lit(0)).cast("int"))
+        return salted.join(right.withColumn("_salt", F.lit(0)), [*on, "_salt"], how).drop("_salt")
+    salted = left.join(marks, on, "left").withColumn("_salt", salt).drop("_parts")
     copies = (right.join(marks, on, "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
               .drop("_parts"))
@@ -93,11 +120,11 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
 
 
 def lookup_join(left: DataFrame, table: DataFrame, on: list[str], how: str = "left",
-                max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Join a lookup table: broadcast when its checked size allows, else split the hot keys."""
-    small = bounded(table, max_rows)
-    if small is not None:
-        return left.join(F.broadcast(small), on, how)
+                max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Join a lookup table: it is written once; its written size decides between a broadcast and a skew join."""
+    table = checkpoint(table)
+    if small(table, max_bytes):
+        return left.join(F.broadcast(table), on, how)
     return skew_join(left, table, on, how)
 
 

@@ -18,25 +18,44 @@ def skewed(spark, n=3000):
 def test_hot_key_is_split_and_the_join_is_whole(spark):
     big = skewed(spark)
     small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    hot = scale.hot_keys(big, ["k"], share=0.1, min_rows=100, rows_per_part=100).collect()
+    hot = scale.hot_keys(big, ["k"], rows_per_part=100).collect()
     assert [(r["k"], r["_parts"] > 1) for r in hot] == [(0, True)]
     for how in ("inner", "left", "left_semi", "left_anti"):
-        got = scale.skew_join(big, small, ["k"], how, share=0.1, min_rows=100, rows_per_part=100)
+        got = scale.skew_join(big, small, ["k"], how, rows_per_part=100)
         assert rows(got.select(sorted(got.columns))) == rows(big.join(small, "k", how).select(sorted(got.columns)))
 
 
 def test_lookup_join_is_the_same_beyond_the_broadcast_bound(spark):
     big = skewed(spark)
     small = spark.range(40).select(F.col("id").alias("k"), (F.col("id") * 2).alias("v"))
-    assert scale.bounded(small, 10) is None and scale.bounded(small, 40).count() == 40
-    assert rows(scale.lookup_join(big, small, ["k"], max_rows=5)) == rows(scale.lookup_join(big, small, ["k"]))
+    assert scale.small(small) and not scale.small(small, 100)
+    assert rows(scale.lookup_join(big, small, ["k"], max_bytes=5)) == rows(scale.lookup_join(big, small, ["k"]))
+
+
+def test_hot_null_keys_equal_rows_and_maps(spark):
+    both = spark.createDataFrame([(None, 1)] * 300 + [(7, 2)] * 300 + [(8, 3)] * 3, "k long, x int")
+    alone = both.where("k is null")
+    small = spark.createDataFrame([(7, "a"), (9, "b"), (None, "c")], "k long, v string")
+    for df in (both, alone, both.withColumn("m", F.create_map(F.lit("a"), F.lit(1)))):
+        for how in ("inner", "left", "left_semi", "left_anti"):
+            got = scale.skew_join(df, small, ["k"], how, rows_per_part=100)
+            cols = sorted(c for c in got.columns if c != "m")
+            assert rows(got.select(cols)) == rows(df.join(small, "k", how).select(cols))
+
+
+def test_written_tables_are_deleted_on_request(spark, tmp_path):
+    out = scale.checkpoint(spark.range(3))
+    files = out.inputFiles()
+    assert files and scale.release(spark) >= 1
+    from pathlib import Path
+    assert not any(Path(f.removeprefix("file://")).exists() for f in files)
 
 
 def test_cross_is_whole_beyond_the_bound(spark):
     a, b = spark.range(30).toDF("a"), spark.range(25).toDF("b")
     want = sorted((x, y) for x in range(30) for y in range(25))
     assert sorted(map(tuple, J.cross(a, b).collect())) == want
-    assert sorted(map(tuple, J.cross(a, b, max_rows=4).select("a", "b").collect())) == want
+    assert sorted(map(tuple, J.cross(a, b, max_bytes=60).select("a", "b").collect())) == want
 
 
 def test_ranks_and_tiles(spark):
@@ -62,7 +81,9 @@ def test_samples_are_exact_and_stable(spark):
     assert R.cap_sample(df, 77, "id").count() == 77 and R.cap_sample(df, 9999, "id").count() == 3000
     first = df.withColumn("h", R.hash32("id")).orderBy("h", "id").limit(77).select("id")
     assert rows(R.cap_sample(df, 77, "id").select("id")) == rows(first)
-    assert R.balanced_fractions(spark.createDataFrame([(1,)] * 2 + [(0,)] * 6, "y int"), "y") == {1: 1.0, 0: 0.25}
+    assert R.balanced_fractions(spark.createDataFrame([(1,)] * 2 + [(0,)] * 6, "y int"), "y") == {1: 0.75, 0: 0.25}
+    named = df.withColumn("name", F.concat(F.lit("n"), F.col("id").cast("string")))
+    assert R.cap_sample(named, 77, "name").count() == 77
 
 
 def test_running_total_and_median(spark):
