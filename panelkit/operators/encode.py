@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import (CountVectorizer, OneHotEncoder, PolynomialExpansion, RegexTokenizer, RFormula,
-                                StopWordsRemover, StringIndexer, VectorAssembler, VectorSlicer)
+from pyspark.ml.feature import (CountVectorizer, PolynomialExpansion, RegexTokenizer, RFormula, StopWordsRemover,
+                                StringIndexer, VectorAssembler, VectorSlicer)
+from pyspark.ml.functions import array_to_vector
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -64,11 +65,15 @@ def string_index(df: DataFrame, cols: list[str]) -> DataFrame:
 
 
 def one_hot(df: DataFrame, cols: list[str]) -> DataFrame:
-    """Index and dummy vector per column, last class dropped."""
-    index = StringIndexer(inputCols=cols, outputCols=[f"{c}_index" for c in cols], handleInvalid="keep")
-    dummy = OneHotEncoder(inputCols=[f"{c}_index" for c in cols], outputCols=[f"{c}_dummy" for c in cols],
-                          dropLast=True)
-    return Pipeline(stages=[index, dummy]).fit(df).transform(df)
+    """Index and dummy vector per column; the last class, by index, has no dummy, and a missing value has none either."""
+    index = StringIndexer(inputCols=cols, outputCols=[f"{c}_index" for c in cols], handleInvalid="keep").fit(df)
+    out = index.transform(df)
+    for c, labels in zip(cols, index.labelsArray):
+        known = F.col(f"{c}_index") < len(labels) - 1
+        place = F.when(known, F.col(f"{c}_index").cast("int"))
+        ones = F.transform(F.sequence(F.lit(0), F.lit(max(len(labels) - 2, 0))), lambda i: F.coalesce((i == place).cast("double"), F.lit(0.0)))
+        out = out.withColumn(f"{c}_dummy", array_to_vector(F.slice(ones, 1, max(len(labels) - 1, 0))))
+    return out
 
 
 def dummy_columns(df: DataFrame, col: str, values: list) -> DataFrame:
@@ -122,10 +127,10 @@ def text_counts(df: DataFrame, key: str, text: str, vocab: int = 1500, stop_word
     tokens = df.select(key, F.explode(words(text)).alias("word"))
     if stop_words:
         tokens = tokens.where(~F.col("word").isin(stop_words))
-    per = tokens.groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
-    top = (per.groupBy("word").agg(F.sum("n").alias("_total")).orderBy(F.desc("_total"), "word").limit(vocab)
+    top = (tokens.groupBy("word").agg(F.count(F.lit(1)).alias("_total")).orderBy(F.desc("_total"), "word").limit(vocab)
            .select("word"))
-    return per.join(F.broadcast(top), "word", "left_semi")
+    # other words leave before texts are grouped, so that only counts of the vocabulary are moved
+    return lookup_join(tokens, top, ["word"], "left_semi").groupBy(key, "word").agg(F.count(F.lit(1)).alias("n"))
 
 
 def text_vectorizer(text: str, vocab: int = 1500) -> Pipeline:

@@ -69,11 +69,12 @@ def _add(a: DataFrame, b: DataFrame) -> DataFrame:
 
 
 def segment_value(matrix: DataFrame, revenue: DataFrame, discount: float = DISCOUNT, horizon: int | None = None,
-                  churn: str = "Churn", rounds: int = 14) -> DataFrame:
+                  churn: str = "Churn", tolerance: float = 1e-9, max_rounds: int = 60) -> DataFrame:
     """Discounted value per state: the sum of (P/(1+d))^k r, for k = 0..horizon or until it settles.
 
-    ``revenue`` is (state, value); the churned state earns nothing. The endless sum doubles its
-    reach every round, so 14 rounds cover 2^14 months.
+    ``revenue`` is (state, value); the churned state earns nothing. The endless sum doubles its reach every
+    round until no value changes by more than ``tolerance`` of the largest one; a sum that has not settled
+    after ``max_rounds`` raises an error.
     """
     states = matrix.select(F.col("state_from").alias("state")).distinct()
     earned = (states.join(revenue.select("state", "value"), "state", "left")
@@ -94,10 +95,18 @@ def segment_value(matrix: DataFrame, revenue: DataFrame, discount: float = DISCO
     corner = matrix.sparkSession.range(1).select(F.lit(SUM_STATE).alias("state_from"),
                                                  F.lit(SUM_STATE).alias("state_to"), F.lit(1.0).alias("probability"))
     system = step.unionByName(column).unionByName(corner)
-    for _ in range(rounds):
-        system = cut(product(system, system))
-    return (system.where((F.col("state_to") == SUM_STATE) & (F.col("state_from") != SUM_STATE))
-            .select(F.col("state_from").alias("state"), F.col("probability").alias("value")))
+    def sums(rows: DataFrame) -> DataFrame:
+        return (rows.where((F.col("state_to") == SUM_STATE) & (F.col("state_from") != SUM_STATE))
+                .select(F.col("state_from").alias("state"), F.col("probability").alias("value")))
+
+    for _ in range(max_rounds):
+        after = cut(product(system, system))
+        moved = (sums(after).join(sums(system).withColumnRenamed("value", "_old"), "state", "left")
+                 .agg(F.max(F.abs(F.col("value") - F.coalesce("_old", F.lit(0.0)))).alias("d"), F.max(F.abs("value")).alias("v")).first())
+        system = after
+        if (moved["d"] or 0.0) <= tolerance * max(1.0, moved["v"] or 0.0):
+            return sums(system)
+    raise ValueError("the value of a state does not settle: it needs a discount or a way out")
 
 
 def forecast_states(powers: DataFrame, facts: DataFrame, key: str, period: str, state: str,

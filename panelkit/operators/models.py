@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import math
 import sys
+from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -12,24 +15,54 @@ from pyspark.ml import classification as C
 from pyspark.ml import clustering as K
 from pyspark.ml import regression as R
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import PCA, PolynomialExpansion, StandardScaler, VectorAssembler
+from pyspark.ml.feature import (PCA, PolynomialExpansion, SQLTransformer, StandardScaler, StandardScalerModel,
+                                StringIndexer, VectorAssembler)
 from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.functions.vectors import vector_at
-from panelkit.operators.rows import cap_sample
+from panelkit.operators.rows import cap_sample, split_train_test
+from panelkit.operators.select import correlated_columns, tree_power
+from panelkit.scale import checkpoint
 
 
-def _assembler(cols: list[str]) -> VectorAssembler:
-    return VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip")
+def mean_fill(df: DataFrame, cols: list[str]) -> tuple[SQLTransformer | None, list[str]]:
+    """A pipeline step that fills missing numbers with the column's mean, and the names of the filled columns.
+
+    The means are those of ``df``, 0 for a column without a value. Vector columns must be complete. Rows are never
+    dropped, neither in fitting nor in scoring.
+    """
+    kinds = dict(df.dtypes)
+    plain = [c for c in cols if not kinds[c].startswith(("vector", "struct", "array"))]
+    if not plain:
+        return None, list(cols)
+    known = lambda c: F.nullif(F.col(c).cast("double"), F.lit(float("nan")))
+    means = df.agg(*[F.coalesce(F.avg(known(c)), F.lit(0.0)).alias(c) for c in plain]).first()
+    filled = [f"coalesce(nullif(cast(`{c}` as double), double('NaN')), double('{means[c]!r}')) as `_filled_{c}`" for c in plain]
+    step = SQLTransformer(statement=f"SELECT *, {', '.join(filled)} FROM __THIS__")
+    return step, [f"_filled_{c}" if c in plain else c for c in cols]
+
+
+def _inputs(df: DataFrame, cols: list[str]) -> list:
+    """Pipeline steps from columns to ``features``."""
+    step, names = mean_fill(df, cols)
+    return [*([step] if step else []), VectorAssembler(inputCols=names, outputCol="features", handleInvalid="error")]
+
+
+def _features(df: DataFrame, cols: list[str]) -> DataFrame:
+    for step in _inputs(df, cols):
+        df = step.transform(df)
+    return df
 
 
 def fit(df: DataFrame, cols: list[str], estimator: Estimator, scale: bool = False, degree: int = 1) -> PipelineModel:
-    """Assemble (expand, scale) and fit."""
-    stages: list = [_assembler(cols)]
+    """Fill, assemble (expand, scale) and fit; rows without a label do not train."""
+    if estimator.hasParam("labelCol") and estimator.getOrDefault("labelCol") in df.columns:
+        df = df.where(F.col(estimator.getOrDefault("labelCol")).isNotNull())
+    stages: list = _inputs(df, cols)
     source = "features"
     if degree > 1:
         stages.append(PolynomialExpansion(degree=degree, inputCol=source, outputCol="expanded"))
@@ -45,10 +78,15 @@ def logistic_fit(df: DataFrame, label: str, cols: list[str], reg: float = 0.0) -
 
 
 def coefficient_table(model: PipelineModel, cols: list[str]) -> DataFrame:
-    """Intercept and weights of a linear model."""
+    """Intercept and weights of a linear model, in the units of the columns."""
     last = model.stages[-1]
-    rows = [("intercept", float(last.intercept))] + list(zip(cols, map(float, last.coefficients.toArray())))
-    from pyspark.sql import SparkSession
+    weights, intercept = last.coefficients.toArray(), float(last.intercept)
+    for step in model.stages:
+        if isinstance(step, StandardScalerModel):
+            sd = step.std.toArray()
+            weights = np.divide(weights, sd, out=np.zeros_like(weights), where=sd > 0)
+            intercept -= float((weights * step.mean.toArray()).sum())
+    rows = [("intercept", intercept)] + list(zip(cols, map(float, weights)))
     return SparkSession.active().createDataFrame(rows, "term string, coefficient double")
 
 
@@ -57,21 +95,22 @@ def score_table(model: PipelineModel, df: DataFrame, keys: list[str], label: str
     return model.transform(df).select(*keys, label, vector_at("probability", 1).alias("score"), "prediction")
 
 
-def tree_fit(df: DataFrame, label: str, cols: list[str], kind: str, seed: int = 7) -> PipelineModel:
+def tree_fit(df: DataFrame, label: str, cols: list[str], kind: str, seed: int = 7, trees: int = 10,
+             rounds: int = 100) -> PipelineModel:
     """``kind``: tree, forest, boosted, tree_regression, forest_regression or boosted_regression."""
     made = {
         "tree": lambda: C.DecisionTreeClassifier(labelCol=label, seed=seed),
-        "forest": lambda: C.RandomForestClassifier(labelCol=label, numTrees=10, seed=seed),
-        "boosted": lambda: C.GBTClassifier(labelCol=label, maxIter=10, seed=seed),
+        "forest": lambda: C.RandomForestClassifier(labelCol=label, numTrees=trees, seed=seed),
+        "boosted": lambda: C.GBTClassifier(labelCol=label, maxIter=rounds, seed=seed),
         "tree_regression": lambda: R.DecisionTreeRegressor(labelCol=label, seed=seed),
-        "forest_regression": lambda: R.RandomForestRegressor(labelCol=label, numTrees=10, seed=seed),
-        "boosted_regression": lambda: R.GBTRegressor(labelCol=label, maxIter=10, seed=seed),
+        "forest_regression": lambda: R.RandomForestRegressor(labelCol=label, numTrees=trees, seed=seed),
+        "boosted_regression": lambda: R.GBTRegressor(labelCol=label, maxIter=rounds, seed=seed),
     }[kind]()
     return fit(df, cols, made)
 
 
-def svm_fit(df: DataFrame, label: str, cols: list[str]) -> PipelineModel:
-    return fit(df, cols, C.LinearSVC(labelCol=label, maxIter=30), scale=True)
+def svm_fit(df: DataFrame, label: str, cols: list[str], rounds: int = 100) -> PipelineModel:
+    return fit(df, cols, C.LinearSVC(labelCol=label, maxIter=rounds), scale=True)
 
 
 def bayes_fit(df: DataFrame, label: str, cols: list[str]) -> PipelineModel:
@@ -79,13 +118,29 @@ def bayes_fit(df: DataFrame, label: str, cols: list[str]) -> PipelineModel:
 
 
 def mlp_fit(df: DataFrame, label: str, cols: list[str], hidden=(6, 6), classes: int = 2, seed: int = 7,
-            width: int | None = None) -> PipelineModel:
+            width: int | None = None, rounds: int = 100) -> PipelineModel:
     """Two-layer perceptron; ``width`` is the number of inputs when a column is a vector."""
     net = C.MultilayerPerceptronClassifier(labelCol=label, layers=[width or len(cols), *hidden, classes], seed=seed,
-                                           maxIter=50)
+                                           maxIter=rounds)
     return fit(df, cols, net, scale=True)
 
 
+def train_test(rows: DataFrame, label: str, cols: list[str], key: str, reg: float = 0.0, test_share: float = 0.25,
+               max_corr: float = 0.7) -> tuple[PipelineModel, list[str], DataFrame]:
+    """The usual model flow: split by key, drop correlated columns, fit on the training part, score both parts.
+
+    Returns the model, the columns it uses, and key, label, score, prediction and ``part`` (train or test) of every row.
+    """
+    parted = checkpoint(split_train_test(rows, key, test_share))
+    train = parted.where("is_test = 0")
+    gone = set(correlated_columns(train, cols, max_corr))
+    kept = [c for c in cols if c not in gone]
+    model = logistic_fit(train, label, kept, reg)
+    part = F.when(F.col("is_test") == 1, "test").otherwise("train").alias("part")
+    scored = model.transform(parted).select(key, label, vector_at("probability", 1).alias("score"), "prediction", part)
+    return model, kept, scored
+
+
 def linear_fit(df: DataFrame, y: str, cols: list[str], degree: int = 1) -> PipelineModel:
     """Linear, multiple or polynomial regression."""
     return fit(df, cols, R.LinearRegression(labelCol=y, solver="auto"), degree=degree)
@@ -100,7 +155,7 @@ def ols(df: DataFrame, y: str, x: str, by: list[str] = ()) -> DataFrame:
 
 def kmeans_curve(df: DataFrame, cols: list[str], ks=range(1, 11), seed: int = 7) -> DataFrame:
     """Within-cluster cost per number of clusters."""
-    rows = _assembler(cols).transform(df.select(*cols)).select("features").persist()
+    rows = _features(df.select(*cols), cols).select("features").persist()
     try:
         cost = [(k, float(K.KMeans(k=k, seed=seed).fit(rows).summary.trainingCost) if k > 1 else _single_cost(rows))
                 for k in ks]
@@ -125,14 +180,14 @@ def bisecting_fit(df: DataFrame, cols: list[str], k: int = 5, seed: int = 7) ->
 
 def pca_fit(df: DataFrame, cols: list[str], k: int = 2) -> PipelineModel:
     """Scaled principal components; explained variance is on the last stage."""
-    stages = [_assembler(cols), StandardScaler(inputCol="features", outputCol="scaled", withMean=True),
+    stages = [*_inputs(df, cols), StandardScaler(inputCol="features", outputCol="scaled", withMean=True),
               PCA(k=k, inputCol="scaled", outputCol="components")]
     return Pipeline(stages=stages).fit(df)
 
 
 def lda_axes(df: DataFrame, label: str, cols: list[str], k: int = 2) -> np.ndarray:
     """Discriminant directions: only class means and the feature covariance reach the driver."""
-    rows = _assembler(cols).transform(df)
+    rows = _features(df, cols)
     per = rows.groupBy(label).agg(Summarizer.mean(F.col("features")).alias("m"), F.count(F.lit(1)).alias("n")).collect()
     sd = np.sqrt(rows.agg(Summarizer.variance(F.col("features"))).first()[0].toArray())
     n = sum(r["n"] for r in per)
@@ -149,11 +204,15 @@ def lda_axes(df: DataFrame, label: str, cols: list[str], k: int = 2) -> np.ndarr
 
 def lda_fit(df: DataFrame, label: str, cols: list[str], k: int = 2) -> DataFrame:
     """Rows projected on the discriminant directions ``ld1``..``ldk``."""
-    axes = lda_axes(df, label, cols, k)
+    axes = lda_axes(df.where(F.col(label).isNotNull()), label, cols, k)
+    step, names = mean_fill(df, cols)
+
     def direction(j: int) -> Column:
-        parts = [F.col(c).cast("double") * float(axes[i, j]) for i, c in enumerate(cols)]
+        parts = [F.col(c) * float(axes[i, j]) for i, c in enumerate(names)]
         return sum(parts[1:], parts[0])
-    return df.withColumns({f"ld{j + 1}": direction(j) for j in range(axes.shape[1])})
+
+    out = step.transform(df).withColumns({f"ld{j + 1}": direction(j) for j in range(axes.shape[1])})
+    return out.drop(*names)
 
 
 def cross_validate(pipeline: Estimator, df: DataFrame, label: str, folds: int = 10, grid: dict | None = None,
@@ -174,13 +233,55 @@ def classify(df: DataFrame, label: str, cols: list[str], estimator: Estimator, i
     return model.transform(df.where(is_test))
 
 
+def evaluate(predicted: DataFrame, label: str) -> DataFrame:
+    """Counts of each (label, prediction) pair with the share of right predictions over all rows."""
+    cells = predicted.groupBy(F.col(label).cast("int").alias("label"), F.col("prediction").cast("int").alias("prediction")).agg(
+        F.count(F.lit(1)).alias("n"))
+    right = predicted.agg(F.avg((F.col(label) == F.col("prediction")).cast("double"))).scalar()
+    return cells.withColumn("accuracy", right)
+
+
 def segment_trees(df: DataFrame, segment: str, target: str, cols: list[str], depth: int = 4, min_rows: int = 1000,
                   max_bins: int = 32, seed: int = 7) -> dict[str, PipelineModel]:
-    """One small tree per segment; the list of segments is a business dictionary."""
+    """One small tree per segment, NULL a segment of its own; the segments are a business dictionary."""
     names = [r[segment] for r in df.select(segment).distinct().orderBy(segment).collect()]
     tree = C.DecisionTreeClassifier(labelCol=target, maxDepth=depth, minInstancesPerNode=min_rows, maxBins=max_bins,
                                     cacheNodeIds=True, checkpointInterval=10, seed=seed)
-    return {n: fit(df.where(F.col(segment) == F.lit(n)), cols, tree) for n in names}
+    return {n: fit(df.where(F.col(segment).eqNullSafe(F.lit(n))), cols, tree) for n in names}
+
+
+def fit_micro_segments(df: DataFrame, segment: str, target: str, numbers: list[str], categories: list[str], path: str,
+                       keep: int = 20, max_values: int = 4, depth: int = 4, min_rows: int = 1000, max_bins: int = 32,
+                       seed: int = 7) -> dict:
+    """Per segment: index its small categories, keep its best features, fit a small tree and save it under ``path``.
+
+    A category with more than ``max_values`` values in the segment is left out; a missing value is a value of its
+    own. NULL is a segment too. Returns the folder of each segment's model.
+    """
+    saved = {}
+    for at, name in enumerate(r[segment] for r in df.select(segment).distinct().orderBy(segment).collect()):
+        rows = df.where(F.col(segment).eqNullSafe(F.lit(name)) & F.col(target).isNotNull())
+        widths = rows.agg(*[F.count_distinct(c).alias(c) for c in categories]).first() if categories else {}
+        small = [c for c in categories if 0 < widths[c] <= max_values]
+        first = [StringIndexer(inputCol=c, outputCol=f"_index_{c}", handleInvalid="keep").fit(rows) for c in small]
+        indexed = PipelineModel(first).transform(rows)
+        ranked = tree_power(indexed, target, [*numbers, *[f"_index_{c}" for c in small]], depth, keep)
+        tree = C.DecisionTreeClassifier(labelCol=target, maxDepth=depth, minInstancesPerNode=min_rows, maxBins=max_bins, seed=seed)
+        model = fit(indexed, [c for c, *_ in ranked], tree)
+        saved[name] = f"{path}/{at}"
+        PipelineModel([*first, *model.stages]).write().overwrite().save(saved[name])
+    return saved
+
+
+def label_micro_segments(df: DataFrame, segment: str, saved: dict) -> DataFrame:
+    """Adds ``micro_segment`` from the saved models; rows of a segment without one keep NULL."""
+    parts = [leaf_id(PipelineModel.load(path), df.where(F.col(segment).eqNullSafe(F.lit(name))), F.coalesce(F.col(segment), F.lit("none")))
+             for name, path in saved.items()]
+    known = F.lit(False)
+    for name in saved:
+        known = known | F.col(segment).eqNullSafe(F.lit(name))
+    rest = df.where(~known).withColumn("micro_segment", F.lit(None).cast("string"))
+    return reduce(DataFrame.unionByName, parts, rest)
 
 
 def leaf_id(model: PipelineModel, df: DataFrame, segment: Column) -> DataFrame:
@@ -207,19 +308,50 @@ def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _neighbours_of_blocks(k: int, skip_self: bool, columns: list[str]):
+    """Batches sorted by cell, block and role (0 training, 1 asking) to the ``k`` best rows of the block per asker."""
+
+    def best_of(have: pd.DataFrame, want: pd.DataFrame) -> list[tuple]:
+        d = np.round(_distances(np.array(want["v"].tolist(), dtype=float), np.array(have["v"].tolist(), dtype=float)), 9)
+        if skip_self:
+            d[want["id"].to_numpy()[:, None] == have["id"].to_numpy()[None, :]] = np.inf
+        best = np.argsort(d, axis=1, kind="stable")[:, :k]
+        ids, labels = have["id"].to_numpy(), have["label"].to_numpy()
+        return [(a, ids[j], x, labels[j]) for a, row, near in zip(want["id"], d, best) for j in near if np.isfinite(x := row[j])]
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        at, held, have = None, [], None
+        for batch in batches:
+            out = []
+            for place, part in batch.groupby(["cell", "block"], sort=False):
+                if place != at:
+                    at, held, have = place, [], None
+                if (part["role"] == 0).any():
+                    held.append(part[part["role"] == 0])
+                    have = None
+                want = part[part["role"] == 1]
+                if len(want) and held:
+                    have = pd.concat(held).sort_values("id") if have is None else have
+                    out += best_of(have, want)
+            if out:
+                yield pd.DataFrame(out, columns=columns)
+
+    return run
+
+
 def knn(train: DataFrame, test: DataFrame, key: str, features: str, label: str, k: int = 5,
         block: int = KNN_BLOCK, skip_self: bool = True) -> DataFrame:
     """The exact ``k`` nearest training rows of every test row as (key, neighbour, distance, label).
 
     Training rows are assigned to the nearest of a few pivots. The pivot distances bound how far the
     k-th neighbour can be, and cells beyond that bound are skipped. Cells are cut into blocks of about
-    ``block`` rows and test rows into slices, so no task sees more than one block and one slice.
+    ``block`` rows; a task holds one block while the rows that ask pass by in batches. The pivots grow with the
+    root of the rows. Exact search stays super-linear in many dimensions, where cells exclude little.
     """
     need = k + 1 if skip_self else k
-    n_train, n_test = train.count(), test.count()
-    pivots = min(256, max(1, n_train // block))
+    n_train = train.count()
+    pivots = max(1, math.isqrt(n_train // max(1, block // 16)))
     centres = np.array([r[features] for r in cap_sample(train, pivots, key).orderBy(key).collect()], dtype=float)
-    slices = max(1, -(-n_test // block))
 
     @F.pandas_udf("struct<cell:int,gap:double>")
     def nearest(v: pd.Series) -> pd.DataFrame:
@@ -253,33 +385,16 @@ def knn(train: DataFrame, test: DataFrame, key: str, features: str, label: str,
         return pd.Series(out)
 
     count_of = F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv])
-    asked = (test.select(F.col(key).alias("asker"), F.col(features).alias("wanted"))
-             .withColumn("cell", F.explode(reachable(F.col("wanted"))))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), count_of[F.col("cell")] - 1)))
-             .withColumn("slice", F.pmod(F.xxhash64("asker"), F.lit(slices)).cast("int")))
-    given = (placed.drop("gap", "part")
-             .withColumn("block", F.pmod(F.xxhash64(key), count_of[F.col("cell")]).cast("int"))
-             .withColumn("slice", F.explode(F.sequence(F.lit(0), F.lit(slices - 1)))))
+    asked = (test.select(F.col(key).alias("id"), F.col(features).alias("v"), F.lit(None).cast(dict(train.dtypes)[label]).alias("label"))
+             .withColumn("cell", F.explode(reachable(F.col("v"))))
+             .withColumn("block", F.explode(F.sequence(F.lit(0), count_of[F.col("cell")] - 1))).withColumn("role", F.lit(1)))
+    given = (placed.select(F.col(key).alias("id"), F.col(features).alias("v"), F.col(label).alias("label"), "cell",
+                           F.pmod(F.xxhash64(key), count_of[F.col("cell")]).cast("int").alias("block"), F.lit(0).alias("role")))
     key_type, label_type = dict(train.dtypes)[key], dict(train.dtypes)[label]
-
-    def match(have: pd.DataFrame, want: pd.DataFrame) -> pd.DataFrame:
-        if have.empty or want.empty:
-            return pd.DataFrame({key: [], "neighbour": [], "distance": [], "neighbour_label": []})
-        have = have.sort_values(key)
-        d = _distances(np.array(want["wanted"].tolist(), dtype=float), np.array(have[features].tolist(), dtype=float))
-        d = np.round(d, 9)
-        if skip_self:
-            d[want["asker"].to_numpy()[:, None] == have[key].to_numpy()[None, :]] = np.inf
-        best = np.argsort(d, axis=1, kind="stable")[:, :k]
-        out = pd.DataFrame({key: np.repeat(want["asker"].to_numpy(), best.shape[1]),
-                            "neighbour": have[key].to_numpy()[best].ravel(),
-                            "distance": np.take_along_axis(d, best, axis=1).ravel(),
-                            "neighbour_label": have[label].to_numpy()[best].ravel()})
-        return out[np.isfinite(out["distance"])]
-
-    on = ["cell", "block", "slice"]
-    near_rows = given.groupBy(*on).cogroup(asked.groupBy(*on)).applyInPandas(
-        match, f"{key} {key_type}, neighbour {key_type}, distance double, neighbour_label {label_type}")
+    # the rows of a block come first and are held, its askers then pass by in batches: nothing is copied for them
+    lined = given.unionByName(asked).repartition("cell", "block").sortWithinPartitions("cell", "block", "role")
+    near_rows = lined.mapInPandas(_neighbours_of_blocks(k, skip_self, [key, "neighbour", "distance", "neighbour_label"]),
+                                  f"{key} {key_type}, neighbour {key_type}, distance double, neighbour_label {label_type}")
     rank = W.partitionBy(key).orderBy("distance", "neighbour")
     return near_rows.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= k).drop("_r")
 

@@ -41,9 +41,10 @@ def subset_by_parent_keys(df: DataFrame, on: list[str], bridge: DataFrame, keys:
 
 
 def hash32(key: Column | str) -> Column:
-    """Multiplicative hash of an integer key in 0..2^32-1."""
+    """Multiplicative hash of a key in 0..2^32-1; an integer is used as it is, anything else by its crc32."""
     col = F.col(key) if isinstance(key, str) else key
-    return F.pmod(F.pmod(col.cast("long"), F.lit(1 << 31)) * F.lit(2654435761), F.lit(1 << 32))
+    number = F.coalesce(col.try_cast("long"), F.crc32(col.cast("string").cast("binary")))
+    return F.pmod(F.pmod(number, F.lit(1 << 31)) * F.lit(2654435761), F.lit(1 << 32))
 
 
 def mark_sample(df: DataFrame, groups: list[str], key: str, quota: Column, name: str) -> DataFrame:
@@ -73,11 +74,12 @@ def mark_sample(df: DataFrame, groups: list[str], key: str, quota: Column, name:
 
 
 def balanced_fractions(df: DataFrame, label: str, target: float = 0.75) -> dict:
-    """Keep the smallest class, thin the largest to ``target`` times the size ratio."""
-    sizes = df.groupBy(label).count().orderBy("count").collect()  # one row per class
+    """Keep ``target`` of the smallest class and as many rows of the largest; other classes stay whole."""
+    sizes = df.groupBy(label).count().orderBy("count", label).collect()  # one row per class
     fractions = {r[label]: 1.0 for r in sizes}
     if len(sizes) > 1:
-        fractions[sizes[-1][label]] = min(1.0, target * sizes[0]["count"] / sizes[-1]["count"])
+        fractions[sizes[0][label]] = target
+        fractions[sizes[-1][label]] = target * sizes[0]["count"] / sizes[-1]["count"]
     return fractions
 
 

@@ -66,7 +66,7 @@ def pair_counts(baskets: DataFrame, basket: str, item: str, frequent: DataFrame)
     A basket is reduced to its frequent items, at most (mean basket size / support) of them. Blocks of
     baskets are counted together as a matrix product, so pairs of single baskets are never written.
     """
-    unique = baskets.select(basket, F.col(item).cast("string").alias("item")).distinct()
+    unique = baskets.where(F.col(item).isNotNull()).select(basket, F.col(item).cast("string").alias("item")).distinct()
     kept = lookup_join(unique, frequent.select(F.col(item).cast("string").alias("item")), ["item"], "left_semi")
     sets = kept.groupBy(basket).agg(F.collect_list("item").alias("items")).where(F.size("items") > 1).select("items")
     return (sets.mapInPandas(_count_together, "item_a string, item_b string, n long")
@@ -78,6 +78,7 @@ def pair_rules(baskets: DataFrame, basket: str, item: str, min_support: float, m
     """Support, confidence and lift of every pair of items, in both directions."""
     if min_support <= 0:
         raise ValueError("minimum support must be positive")
+    baskets = checkpoint(baskets.select(basket, item).distinct())
     frequent = checkpoint(frequent_items(baskets, basket, item, min_support))
     pairs = pair_counts(baskets, basket, item, frequent)
     both = pairs.select("item_a", "item_b", "n").unionByName(
@@ -93,9 +94,11 @@ def pair_rules(baskets: DataFrame, basket: str, item: str, min_support: float, m
                    & (F.col("lift") >= min_lift)))
 
 
-def _item_sets(baskets: DataFrame, basket: str, item: str) -> DataFrame:
-    return (baskets.where(F.col(item).isNotNull()).groupBy(basket)
-            .agg(F.collect_set(F.col(item).cast("string")).alias("items")))
+def _item_sets(baskets: DataFrame, basket: str, item: str, frequent: DataFrame) -> DataFrame:
+    """Baskets as sets of their frequent items, of which there are few; others cannot be in a frequent set."""
+    unique = baskets.select(basket, F.col(item).cast("string").alias("item")).distinct()
+    kept = lookup_join(unique, frequent.select(F.col(item).cast("string").alias("item")), ["item"], "left_semi")
+    return kept.groupBy(basket).agg(F.collect_list("item").alias("items")).select("items")
 
 
 def frequent_itemsets(baskets: DataFrame, basket: str, item: str, min_support: float,
@@ -103,8 +106,18 @@ def frequent_itemsets(baskets: DataFrame, basket: str, item: str, min_support: f
     """Item sets that reach the support, with their basket count."""
     if min_support <= 0:
         raise ValueError("minimum support must be positive")
-    sets = _item_sets(baskets, basket, item)
-    found = FPGrowth(itemsCol="items", minSupport=min_support).fit(sets).freqItemsets
+    baskets = checkpoint(baskets.where(F.col(item).isNotNull()).select(basket, item).distinct())
+    frequent = checkpoint(frequent_items(baskets, basket, item, min_support))
+    total = frequent.agg(F.max("baskets")).first()[0]
+    single = frequent.select(F.array(F.col(item).cast("string")).alias("items"), F.col("n").alias("freq"))
+    if not total or max_length == 1:
+        return single
+    if max_length == 2:  # pairs are counted as they are; nothing longer is mined
+        pairs = pair_counts(baskets, basket, item, frequent).where(F.col("n") >= min_support * total)
+        return single.unionByName(pairs.select(F.sort_array(F.array("item_a", "item_b")).alias("items"), F.col("n").alias("freq")))
+    sets = _item_sets(baskets, basket, item, frequent)
+    share = min_support * total / max(1, sets.count())  # baskets without a frequent item are gone
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, share)).fit(sets).freqItemsets
     out = found.select(F.sort_array("items").alias("items"), "freq")
     return out if max_length is None else out.where(F.size("items") <= max_length)
 
@@ -114,14 +127,21 @@ def rules(baskets: DataFrame, basket: str, item: str, min_support: float, min_co
     """Rules with one added item; single items come with an empty base, confidence = support and lift 1."""
     if min_support <= 0:
         raise ValueError("minimum support must be positive")
-    sets = _item_sets(baskets, basket, item)
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(sets)
-    total = sets.agg(F.count(F.lit(1))).scalar()
-    made = model.associationRules.select(F.sort_array("antecedent").alias("items_base"),
-                                         F.col("consequent").alias("items_add"), "support", "confidence", "lift")
-    single = (model.freqItemsets.where(F.size("items") == 1)
+    baskets = checkpoint(baskets.where(F.col(item).isNotNull()).select(basket, item).distinct())
+    found = checkpoint(frequent_itemsets(baskets, basket, item, min_support, max_length))
+    total = baskets.agg(F.count_distinct(basket)).scalar()
+    sizes = found.select(F.col("items").alias("_set"), F.col("freq").alias("_n"))
+    # each frequent set gives one rule per item it adds to the rest of the set, which is frequent too
+    made = found.where(F.size("items") > 1).select("items", "freq", F.explode("items").alias("added"))
+    made = made.select("freq", "added", F.array_remove(F.col("items"), F.col("added")).alias("items_base"))
+    made = made.join(sizes.withColumnRenamed("_n", "_nb"), F.col("items_base") == F.col("_set")).drop("_set")
+    made = made.join(sizes.withColumnRenamed("_n", "_na"), F.array("added") == F.col("_set")).drop("_set")
+    made = made.withColumn("_all", total).select(
+        "items_base", F.array("added").alias("items_add"), (F.col("freq") / F.col("_all")).alias("support"),
+        (F.col("freq") / F.col("_nb")).alias("confidence"),
+        (F.col("freq") / F.col("_nb") / (F.col("_na") / F.col("_all"))).alias("lift"))
+    single = (found.where(F.size("items") == 1).withColumn("_all", total)
               .select(F.array().cast("array<string>").alias("items_base"), F.col("items").alias("items_add"),
-                      (F.col("freq") / total).alias("support"), (F.col("freq") / total).alias("confidence"),
+                      (F.col("freq") / F.col("_all")).alias("support"), (F.col("freq") / F.col("_all")).alias("confidence"),
                       F.lit(1.0).alias("lift")))
-    out = made.unionByName(single).where((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))
-    return out if max_length is None else out.where(F.size("items_base") + F.size("items_add") <= max_length)
+    return made.unionByName(single).where((F.col("confidence") >= min_confidence) & (F.col("lift") >= min_lift))

@@ -32,11 +32,23 @@ def correlated_walk(matrix: list[list[float]], cols: list[str], threshold: float
     return [cols[i] for i in dropped]
 
 
+def _complete(df: DataFrame, cols: list[str]) -> DataFrame:
+    """The columns as numbers, gaps filled with the mean (0 where a column has no value), in column ``_v``."""
+    known = {c: F.nullif(F.col(c).cast("double"), F.lit(float("nan"))) for c in cols}
+    means = df.agg(F.struct(*[F.coalesce(F.avg(known[c]), F.lit(0.0)).alias(c) for c in cols])).scalar()
+    return VectorAssembler(inputCols=[f"_n_{c}" for c in cols], outputCol="_v", handleInvalid="error").transform(
+        df.withColumns({f"_n_{c}": F.coalesce(known[c], means[c]) for c in cols}))
+
+
+def correlated_columns(df: DataFrame, cols: list[str], threshold: float = 0.7, method: str = "pearson") -> list[str]:
+    """Columns to drop so that no pair is correlated above ``threshold``; only the column matrix reaches the driver."""
+    matrix = Correlation.corr(_complete(df, cols).select("_v"), "_v", method).first()[0].toArray().tolist()
+    return correlated_walk(matrix, cols, threshold)
+
+
 def drop_correlated(df: DataFrame, cols: list[str], threshold: float = 0.7, method: str = "pearson") -> DataFrame:
-    """Drop columns until no pair is correlated above ``threshold``; only the column matrix reaches the driver."""
-    vectors = VectorAssembler(inputCols=cols, outputCol="_v", handleInvalid="skip").transform(df.select(*cols))
-    matrix = Correlation.corr(vectors, "_v", method).first()[0].toArray().tolist()
-    return df.drop(*correlated_walk(matrix, cols, threshold))
+    """Drop columns until no pair is correlated above ``threshold``."""
+    return df.drop(*correlated_columns(df, cols, threshold, method))
 
 
 def single_feature_power(df: DataFrame, target: str, cols: list[str], keep: int = 20, bins: int = 16) -> DataFrame:
@@ -63,14 +75,21 @@ def single_feature_power(df: DataFrame, target: str, cols: list[str], keep: int
 
 
 def tree_power(df: DataFrame, target: str, cols: list[str], depth: int = 4, keep: int = 20) -> list[tuple]:
-    """The same ranking by one small tree per feature: (feature, share right, leaves)."""
+    """The same ranking by one small tree per feature: (feature, share right, leaves); the weakest feature goes first."""
     out = []
     for c in cols:
-        rows = VectorAssembler(inputCols=[c], outputCol="features", handleInvalid="skip").transform(df.select(c, target))
+        rows = _complete(df.select(c, target).where(F.col(target).isNotNull()), [c]).withColumnRenamed("_v", "features")
         model = DecisionTreeClassifier(labelCol=target, maxDepth=depth).fit(rows)
         share = model.transform(rows).agg(F.avg((F.col("prediction") == F.col(target)).cast("double"))).first()[0]
         out.append((c, share, (model.numNodes + 1) // 2))
-    return sorted(out, key=lambda r: (-r[1], r[2], r[0]))[:keep]
+    return best_features(out, keep)
+
+
+def best_features(ranked: list[tuple], keep: int) -> list[tuple]:
+    """The best ``keep`` of (feature, share, size) after those with the least share are dropped, unless all have it."""
+    least = min((r[1] for r in ranked), default=0.0)
+    left = [r for r in ranked if r[1] > least] or ranked
+    return sorted(left, key=lambda r: (-r[1], r[2], r[0]))[:keep]
 
 
 #: Regularisation strengths tried by the selection (fixed values).
@@ -80,7 +99,7 @@ REG_GRID = [0.0, 0.025, 0.5, 0.1, 0.2, 0.4]
 def nonzero_coefficients(df: DataFrame, target: str, cols: list[str], grid: list[float] = REG_GRID, folds: int = 3,
                          elastic_net: float = 1.0, seed: int = 7) -> list[str]:
     """Columns with a non-zero coefficient after a cross-validated penalised fit."""
-    rows = VectorAssembler(inputCols=cols, outputCol="features", handleInvalid="skip").transform(df)
+    rows = _complete(df.where(F.col(target).isNotNull()), cols).withColumnRenamed("_v", "features")
     model = LogisticRegression(labelCol=target, elasticNetParam=elastic_net)
     params = ParamGridBuilder().addGrid(model.regParam, grid).build()
     best = CrossValidator(estimator=model, estimatorParamMaps=params, numFolds=folds, seed=seed, parallelism=4,

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.ml import Pipeline
 from pyspark.ml import classification as C
 from pyspark.sql import DataFrame
@@ -11,8 +13,11 @@ from panelkit.functions.vectors import to_array, to_vector
 from panelkit.operators import encode, models, select
 from panelkit.operators.scores import gini
 from panelkit.plans.registry import query
+from panelkit.scale import checkpoint
 from panelkit.tables import Tables
 
+#: Boosting rounds of the registered queries; the operators' own default is 100.
+ROUNDS = 10
 CLIENT_FEATURES = ["c_acctbal", "c_nationkey", "orders", "spend", "urgent"]
 
 
@@ -37,8 +42,8 @@ def predictions(model, rows: DataFrame, key: str) -> DataFrame:
 
 @query("logistic")
 def logistic(t: Tables) -> DataFrame:
-    rows = clients(t)
-    return models.score_table(models.logistic_fit(rows, "label", CLIENT_FEATURES, 0.01), rows, ["c_custkey"], "label")
+    """Scores of the training and the test part by a model of the training part."""
+    return models.train_test(clients(t), "label", CLIENT_FEATURES, "c_custkey", 0.01)[2]
 
 
 @query("logistic_coefficients")
@@ -48,29 +53,28 @@ def logistic_coefficients(t: Tables) -> DataFrame:
 
 @query("logistic_gini")
 def logistic_gini(t: Tables) -> DataFrame:
-    rows = clients(t)
-    return gini(models.score_table(models.logistic_fit(rows, "label", CLIENT_FEATURES, 0.01), rows, ["c_custkey"], "label"), "label", "score")
+    scored = checkpoint(models.train_test(clients(t), "label", CLIENT_FEATURES, "c_custkey", 0.01)[2])
+    parts = [gini(scored.where(F.col("part") == p), "label", "score").withColumn("part", F.lit(p)) for p in ("train", "test")]
+    return parts[0].unionByName(parts[1])
 
 
 @query("nonzero_coefficients")
 def nonzero_coefficients(t: Tables) -> DataFrame:
-    rows = clients(t).persist()
+    rows = checkpoint(clients(t))
     kept = select.nonzero_coefficients(rows, "label", CLIENT_FEATURES)
-    rows.unpersist()
-    out = rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in kept])
-    return out
+    return rows.groupBy("label").agg(F.count(F.lit(1)).alias("n"), *[F.avg(c).alias(c) for c in kept])
 
 
 for _kind in ("tree", "forest", "boosted"):
     @query({"tree": "trees", "forest": "forests", "boosted": "boosted"}[_kind])
     def _classifier(t: Tables, kind: str = _kind) -> DataFrame:
         rows = clients(t)
-        return predictions(models.tree_fit(rows, "label", CLIENT_FEATURES, kind), rows, "c_custkey")
+        return predictions(models.tree_fit(rows, "label", CLIENT_FEATURES, kind, rounds=ROUNDS), rows, "c_custkey")
 
     @query(f"{_kind}_regression")
     def _regression(t: Tables, kind: str = _kind) -> DataFrame:
         rows = clients(t)
-        model = models.tree_fit(rows, "spend", ["c_acctbal", "c_nationkey", "orders", "urgent"], f"{kind}_regression")
+        model = models.tree_fit(rows, "spend", ["c_acctbal", "c_nationkey", "orders", "urgent"], f"{kind}_regression", rounds=ROUNDS)
         return model.transform(rows).select("c_custkey", "spend", "prediction")
 
 
@@ -155,6 +159,12 @@ def classify(t: Tables) -> DataFrame:
     return out.select("c_custkey", "label", "prediction")
 
 
+@query("classify_evaluate")
+def classify_evaluate(t: Tables) -> DataFrame:
+    """How often each label of the test part was predicted as each label."""
+    return models.evaluate(classify(t), "label")
+
+
 @query("tree_power")
 def tree_power(t: Tables) -> DataFrame:
     ranked = select.tree_power(clients(t), "label", CLIENT_FEATURES)
@@ -175,6 +185,20 @@ def segment_trees(t: Tables) -> DataFrame:
     return out.select("c_custkey", "cell", "micro_segment")
 
 
+@query("micro_segments")
+def micro_segments(t: Tables) -> DataFrame:
+    """The whole flow: quantile cells, per segment selection, categories, tree, save, load and labelled clients."""
+    orders = t.orders.groupBy(F.col("o_custkey").alias("c_custkey")).agg(
+        F.max_by("o_orderstatus", F.struct("o_orderdate", "o_orderkey")).alias("last_status"),
+        F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("last_priority"))
+    rows = checkpoint(clients(t).join(orders, "c_custkey", "left"))
+    cells = checkpoint(encode.quantile_bins(rows, "spend", "orders", ["c_custkey"], 3, 2))
+    path = f"{t.spark.sparkContext.getCheckpointDir()}/segments-{uuid.uuid4().hex}"
+    saved = models.fit_micro_segments(cells, "c_mktsegment", "cell", ["c_acctbal", "c_nationkey", "urgent"],
+                                      ["last_status", "last_priority"], path, min_rows=10)
+    return models.label_micro_segments(cells, "c_mktsegment", saved).select("c_custkey", "c_mktsegment", "cell", "micro_segment")
+
+
 @query("formula")
 def formula(t: Tables) -> DataFrame:
     out = encode.formula(t.part, "p_retailprice", ["p_size", "p_type"])

@@ -160,3 +160,93 @@ def test_model_invariants(spark):
     line = spark.range(20).select((F.col("id") * 3.0 + 2).alias("y"), F.col("id").cast("double").alias("x"))
     r = models.ols(line, "y", "x").first()
     assert (round(r["slope"], 9), round(r["intercept"], 9), round(r["r2"], 9)) == (3.0, 2.0, 1.0)
+
+
+def gappy(spark, n=400):
+    """Two informative columns; every fifth value of ``a`` and every seventh of ``b`` is missing."""
+    df = spark.range(n).select("id", (F.col("id") % 2).cast("int").alias("y"), (F.col("id") % 2 * 100 + F.pmod(F.hash("id"), F.lit(150))).cast("double").alias("a"),
+                               (F.pmod(F.hash("id", F.lit(3)), F.lit(9))).cast("double").alias("b"))
+    return df.withColumns({"a": F.when(F.col("id") % 5 > 0, F.col("a")), "b": F.when(F.col("id") % 7 > 0, F.col("b"))})
+
+
+def test_no_row_is_lost_to_a_missing_value(spark):
+    df = gappy(spark)
+    means = df.agg(F.avg("a"), F.avg("b")).first()
+    full = df.fillna({"a": means[0], "b": means[1]})
+    model = models.logistic_fit(df, "y", ["a", "b"])
+    table = models.score_table(model, df, ["id"], "y")
+    assert table.count() == 400 and table.where("score is null").count() == 0
+    other = dict(rows(models.score_table(models.logistic_fit(full, "y", ["a", "b"]), full, ["id"], "y").select("id", "score")))
+    assert all(r["score"] == pytest.approx(other[r["id"]]) for r in table.collect())
+    for kind in ("tree", "forest", "boosted"):
+        assert models.tree_fit(df, "y", ["a", "b"], kind, trees=3, rounds=2).transform(df).count() == 400
+        assert models.tree_fit(df, "a", ["b"], f"{kind}_regression", trees=3, rounds=2).transform(df).count() == 400
+    for made in (models.svm_fit(df, "y", ["a", "b"], rounds=5), models.bayes_fit(df, "y", ["a", "b"]),
+                 models.mlp_fit(df, "y", ["a", "b"], rounds=5), models.kmeans_fit(df, ["a", "b"], 2),
+                 models.bisecting_fit(df, ["a", "b"], 2), models.pca_fit(df, ["a", "b"], 1)):
+        assert made.transform(df).count() == 400
+    assert models.lda_fit(df, "y", ["a", "b"], 1).where("ld1 is not null").count() == 400
+    assert [r[0] for r in select.tree_power(df, "y", ["a", "b"])] == ["a"]  # the weakest one is dropped
+    assert "a" in select.nonzero_coefficients(df, "y", ["a", "b"], grid=[0.0], folds=2)
+
+
+def test_coefficients_are_in_the_units_of_the_columns(spark):
+    df = gappy(spark).where("a is not null and b is not null")
+    scaled = {r["term"]: r["coefficient"] for r in models.coefficient_table(models.logistic_fit(df, "y", ["a", "b"]), ["a", "b"]).collect()}
+    from pyspark.ml.classification import LogisticRegression
+    raw = models.fit(df, ["a", "b"], LogisticRegression(labelCol="y", tol=1e-9, maxIter=300))
+    plain = {r["term"]: r["coefficient"] for r in models.coefficient_table(raw, ["a", "b"]).collect()}
+    assert scaled == pytest.approx(plain, rel=0.02, abs=1e-3)
+
+
+def test_flow_scores_train_and_test(spark):
+    df = gappy(spark).withColumn("twin", F.col("a") * 2)
+    _, kept, scored = models.train_test(df, "y", ["a", "twin", "b"], "id")
+    assert kept == ["twin", "b"] and scored.count() == 400 and scored.where("part = 'test'").count() == 100
+    assert all(scores.gini(scored.where(F.col("part") == p), "y", "score").first()["gini"] > 0.3 for p in ("train", "test"))
+    checked = models.evaluate(scored.where("part = 'test'"), "y")
+    assert sum(r["n"] for r in checked.collect()) == 100 and 0.5 < checked.first()["accuracy"] <= 1
+
+
+def test_micro_segments_are_saved_and_loaded(spark, tmp_path):
+    df = gappy(spark).withColumns({"seg": F.when(F.col("id") % 3 == 0, "s1").when(F.col("id") % 3 == 1, "s2"),
+                                   "small": F.when(F.col("id") % 4 == 0, "u").otherwise("v"), "wide": F.col("id").cast("string")})
+    saved = models.fit_micro_segments(df, "seg", "y", ["a", "b"], ["small", "wide"], str(tmp_path / "m"), min_rows=5)
+    assert set(saved) == {None, "s1", "s2"}
+    out = models.label_micro_segments(df, "seg", saved)
+    assert out.count() == 400 and out.where("micro_segment is null").count() == 0
+    assert all(r["micro_segment"].rsplit("_", 1)[0] == (r["seg"] or "none") for r in out.collect())
+    unseen = models.label_micro_segments(df, "seg", {"s1": saved["s1"]})
+    assert unseen.count() == 400 and unseen.where("micro_segment is null").count() == df.where("seg is null or seg <> 's1'").count()
+
+
+def test_one_hot_drops_the_last_class(spark):
+    df = spark.createDataFrame([("a",)] * 3 + [("b",)] * 2 + [("c",), (None,)], "c string")
+    out = {r["c"]: list(r["c_dummy"].toArray()) for r in encode.one_hot(df, ["c"]).collect()}
+    assert out == {"a": [1.0, 0.0], "b": [0.0, 1.0], "c": [0.0, 0.0], None: [0.0, 0.0]}
+
+
+def test_endless_values_settle_or_fail(spark):
+    stuck = spark.createDataFrame([("a", "a", 1.0)], "state_from string, state_to string, probability double")
+    earns = spark.createDataFrame([("a", 1.0)], "state string, value double")
+    assert dict(rows(markov.segment_value(stuck, earns, discount=1e-4)))["a"] == pytest.approx(10001.0, rel=1e-6)
+    with pytest.raises(ValueError):
+        markov.segment_value(stuck, earns, discount=0.0, max_rounds=5)
+
+
+def test_longer_item_sets(spark):
+    random.seed(9)
+    baskets = [set(random.sample("abcdef", random.randint(1, 5))) for _ in range(50)]
+    df = spark.createDataFrame([(i, x) for i, s in enumerate(baskets) for x in s], "basket int, item string")
+    from itertools import combinations
+    for top in (1, 2, 3, None):
+        want = {c: sum(set(c) <= s for s in baskets) for n in range(1, (top or 6) + 1) for c in combinations("abcdef", n)}
+        got = {tuple(r["items"]): r["freq"] for r in rules.frequent_itemsets(df, "basket", "item", 0.2, top).collect()}
+        assert got == {c: n for c, n in want.items() if n >= 10}
+
+
+def test_original_price_stands_next_to_the_best(spark):
+    best = spark.createDataFrame([(1, 0.05), (2, 0.10)], "client int, rate double")
+    before = spark.createDataFrame([(1, 0.06, 0.12, 12.0), (2, 0.07, 0.0, 6.0)], "client int, r double, c double, n double")
+    out = rows(pricing.with_original(best, before, ["client"], "r", "c", "n").select("client", "rate", "original_rate", F.round("original_margin", 6)))
+    assert out == [(1, 0.05, 0.06, 0.26), (2, 0.1, 0.07, 0.07)]
