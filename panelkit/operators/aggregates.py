@@ -133,7 +133,8 @@ def trait_correlation(df: DataFrame, traits: list[str], group: str) -> DataFrame
 
 def crosstab_totals(df: DataFrame, zone: str, region: str, household: str, cluster: str) -> DataFrame:
     """Distinct clusters and households per zone and region with total rows and columns."""
-    return (df.cube(zone, region)
+    each = df.select(zone, region, cluster, household).distinct()  # raw rows shrink before the cube multiplies them
+    return (each.cube(zone, region)
             .agg(F.count_distinct(cluster).alias("clusters"), F.count_distinct(household).alias("households"),
                  F.grouping(zone).alias("_gz"), F.grouping(region).alias("_gr"))
             .select(F.when(F.col("_gz") == 1, "Total").otherwise(F.col(zone)).alias(zone),

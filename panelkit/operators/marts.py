@@ -138,10 +138,14 @@ def excess_payment_mart(history: DataFrame, transactions: DataFrame, kind: int =
         "payments_ever", (F.col("amount_ever") != 0).cast("int").alias("has_paid_ever")))
 
 
-def application_status() -> Column:
+#: Reason texts of a rejection by the bank and by the client (fixed values), and the product of the loan mart.
+REJECTIONS, LOAN_PRODUCT = ("Bank", "Klient"), 6
+
+
+def application_status(texts: tuple[str, str] = REJECTIONS) -> Column:
     """Why an application was turned down, from the reason text."""
     reason = F.col("rejection")
-    return S.case_when([(reason == "Bank", F.lit("BankRejected")), (reason == "Client", F.lit("ClientRejected")),
+    return S.case_when([(reason == texts[0], F.lit("BankRejected")), (reason == texts[1], F.lit("ClientRejected")),
                         (reason == "", F.lit("NotRejected")), (reason.isNotNull(), F.lit("Other"))])
 
 
@@ -158,12 +162,14 @@ def best_applications(applications: DataFrame, risk: DataFrame, segments: DataFr
 
 
 def loan_application_mart(history: DataFrame, applications: DataFrame, risk: DataFrame, segments: DataFrame,
-                          savings: DataFrame, as_of: Column) -> DataFrame:
+                          savings: DataFrame, as_of: Column, product: int | None = LOAN_PRODUCT) -> DataFrame:
     """Recent applications against the one that opened the contract, and savings over balance.
 
-    ``history`` has contract, client, rd, start, planned_end and balance; ``savings`` has client,
+    Only applications for ``product`` count, by their column ``product``; None takes all. ``history`` has contract, client, rd, start, planned_end and balance; ``savings`` has client,
     month and savings.
     """
+    if product is not None:
+        applications = applications.where(F.col("product") == product).drop("product")
     best = checkpoint(best_applications(applications, risk, segments, as_of))
     history = checkpoint(history)
     panel = history.groupBy("client", "contract", "rd").agg(F.min("start").alias("start"), F.max("balance").alias("balance"))
@@ -406,8 +412,12 @@ def model_input(label: DataFrame, blocks: dict[str, DataFrame], key: str, tag: s
 
 
 def attach_score(rows: DataFrame, scores: DataFrame, keys: list[str]) -> tuple[DataFrame, DataFrame]:
-    """Rows with their score, and the row counts of input, scores and result for comparison."""
-    unique = scores.dropDuplicates(keys)
+    """Rows with their score, and the row counts of input, scores and result for comparison.
+
+    A key that is scored more than once keeps the smallest row in the order of the columns, so reruns agree.
+    """
+    rest = [c for c in scores.columns if c not in keys]
+    unique = scores.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row")).select(*keys, "_row.*")
     out = rows.join(unique, keys, "left")
     n = lambda df: df.agg(F.count(F.lit(1))).scalar()
     counts = rows.sparkSession.range(1).select(n(rows).alias("input"), n(scores).alias("scores"), n(out).alias("output"))

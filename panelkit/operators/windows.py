@@ -95,6 +95,14 @@ def smooth_2d(hist: DataFrame, x: str, y: str, value: str, b: int, name: str = "
 
 def quantile_label(df: DataFrame, col: str, key: list[str], k: int, name: str) -> DataFrame:
     """Exact quantile bucket 1..k of ``col``, ties by ``key``, from a distributed rank."""
-    n = df.count()
-    ranked = global_rank(df, [col, *key], "_rank")
-    return ranked.withColumn(name, tile(F.col("_rank"), F.lit(n).cast("long"), k)).drop("_rank")
+    narrow = df.select(col, *key)
+    n = narrow.count()
+    ranked = global_rank(narrow, [col, *key], "_rank").withColumn("_tile", tile(F.col("_rank"), F.lit(n).cast("long"), k))
+    # only the first row of each bucket, k - 1 borders, reaches the driver; rows compare with the borders
+    starts = ranked.groupBy("_tile").agg(F.min(F.struct(col, *key)).alias("_first")).where("_tile > 1").orderBy("_tile").collect()
+    kinds = [narrow.schema[c].dataType for c in narrow.columns]
+    label = F.lit(1)
+    for r in starts:
+        border = F.struct(*[F.lit(v).cast(t).alias(c) for v, t, c in zip(r["_first"], kinds, narrow.columns)])
+        label = label + (F.struct(*narrow.columns) >= border).cast("int")
+    return df.withColumn(name, label.cast("int"))

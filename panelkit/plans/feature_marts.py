@@ -76,15 +76,26 @@ def complaints_mart(t: Tables) -> DataFrame:
     return M.complaints_mart(user_day(t), log)
 
 
+#: Action code of an event by its kind and the remainder of its id: every action group has events.
+ACTION_OF = {"click": [95, 96, 78], "purchase": [184, 172, 54], "view": [168, 176, 37], "signup": [219, 238, 219],
+             "error": [113, 117, 113]}
+ACTION_SQL = "CASE " + " ".join(f"WHEN kind = '{k}' AND event_id % 3 = {i} THEN {c}" for k, cs in ACTION_OF.items()
+                                for i, c in enumerate(cs)) + " ELSE 0 END"
+FLAGS = {"has_opened_deposit": 113, "has_closed_deposit": 117, "has_paid_card": 37, "has_activated_card": 54,
+         "has_reached_login_limit": 96, "has_new_order": 238}
+
+
 @query("channel_mart", f"""WITH {USER_DAY}, {EVENT_LOG},
-acts AS (SELECT client, day, kind, COUNT(*) AS n FROM event_log GROUP BY ALL),
+acts AS (SELECT client, day, {ACTION_SQL} AS kind, COUNT(*) AS n FROM event_log GROUP BY ALL),
 p AS (SELECT u.client, u.rd, a.kind, COUNT(CASE WHEN u.rd - a.day <= 30 THEN 1 END) AS recent_days,
   u.rd - MIN(a.day) AS first, u.rd - MAX(a.day) AS last, SUM(n)::BIGINT AS total,
   SUM(CASE WHEN u.rd - a.day <= 30 THEN n ELSE 0 END)::BIGINT AS recent
   FROM user_day u JOIN acts a ON a.client = u.client AND a.day <= u.rd GROUP BY u.client, u.rd, a.kind),
-l AS (SELECT *, CAST(recent AS DOUBLE) / (CASE WHEN first <= 30 THEN first + 1 ELSE 31 END) AS rate FROM p WHERE kind = 'click'),
+l AS (SELECT *, CAST(recent AS DOUBLE) / (CASE WHEN first <= 30 THEN first + 1 ELSE 31 END) AS rate FROM p WHERE kind = 95),
 tr AS (SELECT client, rd, MIN(first) AS first, MIN(last) AS last, SUM(recent) AS recent FROM p
-  WHERE kind IN ('purchase', 'view') GROUP BY 1, 2),
+  WHERE kind IN (184, 168, 172, 176) GROUP BY 1, 2),
+fl AS (SELECT client, rd, SUM(CASE WHEN kind = 219 THEN recent_days END) AS top_up, {', '.join(f'SUM(CASE WHEN kind = {c} THEN recent_days END) AS {n}' for n, c in FLAGS.items())}
+  FROM p GROUP BY 1, 2),
 tok AS (SELECT u.client, u.rd, COUNT(CASE WHEN e.kind = 'click' THEN 1 END) AS physical, COUNT(CASE WHEN e.kind = 'view' THEN 1 END) AS java
   FROM user_day u LEFT JOIN event_log e ON e.client = u.client AND e.day BETWEEN u.rd + 1 - 30 AND u.rd GROUP BY 1, 2),
 v AS (SELECT u.client, u.rd, COUNT(e.kind) AS visits, COUNT(CASE WHEN e.kind = 'purchase' THEN 1 END) AS cash,
@@ -99,20 +110,21 @@ SELECT u.client, CAST(u.rd AS VARCHAR) AS rd, round(COALESCE(l.rate, 0), 6) AS l
   round(l.rate - CAST(l.total AS DOUBLE) / (l.first + 1), 6) AS login_activity_diff, l.last AS days_since_login,
   tr.last AS days_since_transfer,
   round(COALESCE(CAST(tr.recent AS DOUBLE) / (CASE WHEN tr.first <= 30 THEN tr.first + 1 ELSE 30 END), 0), 6) AS transfers_per_day,
-  COALESCE(su.recent_days, 0) AS top_up_days, CAST(COALESCE(er.recent_days, 0) > 0 AS INT) AS has_opened_deposit,
+  CAST(COALESCE(fl.top_up, 0) AS BIGINT) AS top_up_days, {', '.join(f'CAST(COALESCE(fl.{n}, 0) > 0 AS INT) AS {n}' for n in FLAGS)},
   tok.physical AS physical_tokens, tok.java AS java_tokens, vw.visits, vw.cash AS cash_visits, vw.sales AS sales_visits,
   vw.visits_last, vw.cash_last AS cash_visits_last, vw.sales_last AS sales_visits_last,
   round(vw.visits_mean, 6) AS visits_year_mean, round(vw.cash_mean, 6) AS cash_visits_year_mean,
   round(vw.sales_mean, 6) AS sales_visits_year_mean, CAST(c.client IS NOT NULL AS INT) AS has_active_contract,
   {whole_months('u.rd', 'c.first_login')} AS months_since_first_login
 FROM user_day u LEFT JOIN l ON l.client = u.client AND l.rd = u.rd LEFT JOIN tr ON tr.client = u.client AND tr.rd = u.rd
-LEFT JOIN p su ON su.client = u.client AND su.rd = u.rd AND su.kind = 'signup'
-LEFT JOIN p er ON er.client = u.client AND er.rd = u.rd AND er.kind = 'error'
+LEFT JOIN fl ON fl.client = u.client AND fl.rd = u.rd
 JOIN tok ON tok.client = u.client AND tok.rd = u.rd JOIN vw ON vw.client = u.client AND vw.rd = u.rd
 LEFT JOIN c ON c.client = u.client AND u.rd BETWEEN c.start AND c.stop""")
 def channel_mart(t: Tables) -> DataFrame:
     log = event_log(t)
-    code = S.case_of("kind", {95: ["click"], 184: ["purchase"], 168: ["view"], 219: ["signup"], 113: ["error"]}, 0)
+    code = F.lit(0)
+    for kind, codes in ACTION_OF.items():
+        code = F.when(F.col("kind") == kind, F.element_at(F.array(*map(F.lit, codes)), (F.col("event_id") % 3 + 1).cast("int"))).otherwise(code)
     actions = log.select("client", "day", code.alias("action"), F.lit(1).alias("n"))
     tokens = log.select("client", "day", S.case_of("kind", {1: ["click"], 2: ["view"]}, 0).alias("type"))
     visits = log.where("kind <> 'click'").select("client", "day", (F.col("kind") == "purchase").cast("int").alias("is_cash"),
@@ -121,8 +133,7 @@ def channel_mart(t: Tables) -> DataFrame:
         F.min("day").alias("start"), F.max("day").alias("end"), F.min("day").alias("first_login"))
     out = M.channel_mart(user_day(t), actions, tokens, visits, contracts)
     rounded = [c for c, kind in out.dtypes if kind == "double"]
-    return out.withColumns({c: F.round(c, 6) for c in rounded}).drop(
-        "has_closed_deposit", "has_paid_card", "has_activated_card", "has_reached_login_limit", "has_new_order")
+    return out.withColumns({c: F.round(c, 6) for c in rounded})
 
 
 @query("call_mart", f"""WITH {USER_DAY}, {EVENT_LOG},
@@ -283,14 +294,14 @@ LEFT JOIN lifa l ON l.contract = p.contract AND l.client = p.client LEFT JOIN sa
 def loan_mart(t: Tables) -> DataFrame:
     log = order_log(t)
     rejection = S.case_when([
-        (F.col("status") == "O", F.lit("Bank")), ((F.col("status") == "P") & (F.col("priority") == "1-URGENT"), F.lit("Client")),
+        (F.col("status") == "O", F.lit("Bank")), ((F.col("status") == "P") & (F.col("priority") == "1-URGENT"), F.lit("Klient")),
         ((F.col("status") == "P") & (F.col("priority") == "2-HIGH"), F.lit(None).cast("string")),
         (F.col("status") == "P", F.lit("Late"))], F.lit(""))
     applications = log.select(
         F.col("contract").alias("application"), "client", "day", F.when(F.col("status") == "F", F.col("contract")).alias("contract"),
         rejection.alias("rejection"), F.col("price").alias("income"), F.col("priority").alias("education"),
         F.add_months("day", -360).alias("birth"), F.length("priority").alias("marital"), F.col("price").alias("own"),
-        F.col("priority").alias("income_type"))
+        F.col("priority").alias("income_type"), F.lit(6).alias("product"))
     risk = log.select(F.col("contract").alias("application"), F.left("priority", F.lit(1)).cast("int").alias("risk"))
     segments = priority_history(t).withColumnRenamed("priority", "segment")
     savings = log.groupBy("client", F.last_day("day").alias("month")).agg(F.sum("price").alias("savings"))

@@ -166,7 +166,7 @@ def wide_join_query(t: Tables) -> DataFrame:
 
 @query("model_input", f"""WITH {FEATURES}, lab AS (SELECT client, rd, client * 1000 + (year(rd) - 1990) * 12 + month(rd) AS sample_id,
   CAST(COALESCE(lead(rd) OVER (PARTITION BY client ORDER BY rd) <= CAST(rd + INTERVAL 4 MONTH AS DATE), FALSE) AS INT) AS target FROM client_panel),
-b1 AS (SELECT l.sample_id, r.orders_3m, r.spend_3m, r.f_3m, r.u_3m, CAST(r.f_3m AS DOUBLE) / NULLIF(r.u_3m, 0) AS closed_share FROM lab l JOIN recent r ON r.client = l.client AND r.rd = l.rd WHERE r.orders_3m > 1),
+b1 AS (SELECT l.sample_id, r.orders_3m, r.spend_3m, r.f_3m, r.u_3m, CAST(r.f_3m AS DOUBLE) / NULLIF(r.u_3m, 0) AS closed_share FROM lab l JOIN recent r ON r.client = l.client AND r.rd = l.rd),
 b2 AS (SELECT l.sample_id, e.orders_before, l.rd - e.first_order AS age_days FROM lab l JOIN ever e ON e.client = l.client AND e.rd = l.rd)
 SELECT l.sample_id, 'client_months' AS tag, l.target, CAST(l.rd AS VARCHAR) AS rd, COALESCE(orders_3m, 0) AS orders_3m, COALESCE(spend_3m, -100) AS spend_3m,
   COALESCE(f_3m, 0) AS f_3m, COALESCE(u_3m, 0) AS u_3m, round(COALESCE(closed_share, AVG(closed_share) OVER (PARTITION BY l.rd)), 6) AS closed_share,
@@ -178,7 +178,7 @@ def model_input(t: Tables) -> DataFrame:
     ahead = lead_label(client_panel(t), "rd", ["client"], ["rd"], [1], "next_rd")
     soon = F.coalesce(F.col("next_rd") <= F.add_months("rd", 4), F.lit(False)).cast("int")
     label = ahead.select(sample.alias("sample_id"), F.lit("client_months").alias("tag"), soon.alias("target"), "rd")
-    first = recent_block(t).where("orders_3m > 1").select(
+    first = recent_block(t).select(
         sample.alias("sample_id"), "orders_3m", "spend_3m", "f_3m", "u_3m", S.ratio("f_3m", "u_3m").alias("closed_share"))
     second = ever_block(t).select(sample.alias("sample_id"), "orders_before", F.datediff("rd", "first_order").alias("age_days"))
     out = M.model_input(label, {"recent": first, "ever": second}, "sample_id", "client_months",
@@ -188,10 +188,10 @@ def model_input(t: Tables) -> DataFrame:
 
 
 @query("attach_score", """SELECT d.doc_id, d.lang, l.quality AS score, (SELECT COUNT(*) FROM documents) AS input,
-  (SELECT COUNT(*) FROM labels) AS scores FROM documents d LEFT JOIN
+  (SELECT COUNT(DISTINCT doc_id) FROM labels) AS scores, (SELECT COUNT(*) FROM documents) AS output FROM documents d LEFT JOIN
   (SELECT doc_id, MAX(quality) AS quality FROM labels GROUP BY 1) l ON l.doc_id = d.doc_id""")
 def attach_score(t: Tables) -> DataFrame:
     scores = t.labels.groupBy("doc_id").agg(F.max("quality").alias("score"))
-    out, _ = M.attach_score(t.documents.select("doc_id", "lang"), scores, ["doc_id"])
-    n = lambda df: df.agg(F.count(F.lit(1))).scalar()
-    return out.withColumn("input", n(t.documents)).withColumn("scores", n(t.labels))
+    out, counts = M.attach_score(t.documents.select("doc_id", "lang"), scores, ["doc_id"])
+    one = counts.select(F.struct("*").alias("c")).scalar()
+    return out.select("*", *[one[c].alias(c) for c in counts.columns])

@@ -23,9 +23,14 @@ kr AS (SELECT rate, SUM(n * exp(-pow((rate - x) / {BANDWIDTH}::DOUBLE, 2) / 2) /
 kc AS (SELECT commission, SUM(n * exp(-pow((commission - x) / {BANDWIDTH}::DOUBLE, 2) / 2) / ({BANDWIDTH}::DOUBLE * sqrt(2 * pi()))) / SUM(n) AS d FROM comms, discounts GROUP BY 1)"""
 
 
-@query("price_grid", f"WITH {GRID} SELECT rate, commission FROM rates, comms")
+@query("price_grid", """WITH e AS (SELECT MIN(l_tax) AS lo, MAX(l_tax) AS hi, MIN(l_discount) AS clo, MAX(l_discount) AS chi FROM lineitem),
+rates AS (SELECT round(lo + i * 0.005::DOUBLE, 3) AS rate FROM e, range(1000) t(i) WHERE i <= round((hi - lo) / 0.005::DOUBLE)),
+comms AS (SELECT round(clo + i * 0.005::DOUBLE, 3) AS commission FROM e, range(1000) t(i) WHERE i <= round((chi - clo) / 0.005::DOUBLE))
+SELECT rate, commission FROM rates, comms""")
 def price_grid(t: Tables) -> DataFrame:
-    return P.price_grid(t.spark)
+    """The grid between the lowest and the highest rate and commission that were sold."""
+    e = t.lineitem.agg(F.min("l_tax"), F.max("l_tax"), F.min("l_discount"), F.max("l_discount")).first()
+    return P.price_grid(t.spark, (e[0], e[1]), (e[2], e[3]))
 
 
 def densities(t: Tables) -> tuple[DataFrame, DataFrame]:
@@ -77,11 +82,18 @@ def rounded(df: DataFrame) -> DataFrame:
 
 
 @query("best_price", f"""WITH {GRID}, {DENSITY}, grid AS (SELECT 'base' AS scenario, rate, commission, kr.d * kc.d AS weight, 0.075::DOUBLE AS lo, 20::DOUBLE AS hi FROM kr, kc),
-{PRICED} SELECT l_orderkey, l_partkey, {ROUNDED} FROM won""")
+{PRICED}, before AS (SELECT l_orderkey, l_partkey, l_quantity, l_tax AS original_rate, l_discount AS original_commission FROM lineitem
+  QUALIFY row_number() OVER (PARTITION BY l_orderkey, l_partkey ORDER BY l_quantity, l_tax, l_discount) = 1)
+SELECT l_orderkey, l_partkey, {ROUNDED}, original_rate, original_commission,
+  round(original_rate + original_commission / 0.6::DOUBLE / l_quantity * 12, 6) AS original_margin FROM won JOIN before USING (l_orderkey, l_partkey)""")
 def best_price(t: Tables) -> DataFrame:
     r, c = densities(t)
+    keys = ["l_orderkey", "l_partkey"]
     grid = P.weighted_grid(P.price_grid(t.spark), r, c)
-    return rounded(P.best_price(offers(t), grid, ["l_orderkey", "l_partkey"], "l_quantity", accept, ["l_quantity", "l_tax"]))
+    best = rounded(P.best_price(offers(t), grid, keys, "l_quantity", accept, ["l_quantity", "l_tax"]))
+    first = t.lineitem.groupBy(*keys).agg(F.min(F.struct("l_quantity", "l_tax", "l_discount")).alias("_f")).select(*keys, "_f.*")
+    out = P.with_original(best, first, keys, "l_tax", "l_discount", "l_quantity")
+    return out.withColumn("original_margin", F.round("original_margin", 6))
 
 
 #: Bounds of the scenarios (fixed values).

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
@@ -162,29 +163,29 @@ user_states AS (SELECT client, CAST(day - DATE '2024-01-01' AS INT) AS period, k
   QUALIFY row_number() OVER (PARTITION BY client, day ORDER BY n DESC, kind) = 1)"""
 
 
-@query("no_exit_states", """WITH s AS (SELECT DISTINCT o_custkey AS client, o_orderpriority AS state FROM orders
-  WHERE o_orderstatus = 'F'), m AS (SELECT DISTINCT o_custkey AS client, o_orderpriority AS state FROM orders
-  WHERE o_orderstatus = 'O')
-SELECT s.client, s.state AS state_from FROM s WHERE NOT EXISTS
-  (SELECT 1 FROM m WHERE m.client = s.client AND m.state = s.state)""")
+@query("no_exit_states", """WITH s AS (SELECT o_custkey AS client, o_orderpriority AS state,
+  lead(o_orderpriority) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS state_next FROM orders)
+SELECT DISTINCT client, state AS state_from FROM s EXCEPT SELECT client, state FROM s WHERE state_next <> state""")
 def no_exit(t: Tables) -> DataFrame:
-    def pairs(status: str) -> DataFrame:
-        return t.orders.where(F.col("o_orderstatus") == status).select(
-            F.col("o_custkey").alias("client"), F.col("o_orderpriority").alias("state_from")).distinct()
-
-    return J.anti(pairs("F"), pairs("O"), ["client", "state_from"])
-
-
-@query("outer_coalesce", """WITH a AS (SELECT p_brand AS brand, COUNT(*) AS promo FROM part WHERE p_type = 'PROMO' GROUP BY 1),
-b AS (SELECT p_brand AS brand, COUNT(*) AS large FROM part WHERE p_type = 'LARGE' GROUP BY 1)
-SELECT COALESCE(a.brand, b.brand) AS brand, COALESCE(promo, 0) AS promo, COALESCE(large, 0) AS large
-FROM a FULL JOIN b ON a.brand = b.brand""")
+    """Priorities a client has never left for another one with the next order."""
+    order = W.partitionBy("o_custkey").orderBy("o_orderdate", "o_orderkey")
+    states = t.orders.select(F.col("o_custkey").alias("client"), F.col("o_orderpriority").alias("state"),
+                             F.row_number().over(order).alias("period"))
+    moved = J.next_period(states, ["client"], "period", ["state"]).where("state <> state_next")
+    pair = lambda df: df.select("client", F.col("state").alias("state_from")).distinct()
+    return J.anti(pair(states), pair(moved), ["client", "state_from"])
+
+
+@query("outer_coalesce", """WITH a AS (SELECT o_custkey AS client, COUNT(*) AS orders FROM orders GROUP BY 1),
+b AS (SELECT user_id AS client, COUNT(*) AS events FROM events GROUP BY 1)
+SELECT COALESCE(a.client, b.client) AS client, COALESCE(orders, 0) AS orders, COALESCE(events, 0) AS events
+FROM a FULL JOIN b ON a.client = b.client""")
 def outer_coalesce(t: Tables) -> DataFrame:
-    def by_type(kind: str, name: str) -> DataFrame:
-        return (t.part.where(F.col("p_type") == kind).groupBy(F.col("p_brand").alias("brand"))
-                .agg(F.count(F.lit(1)).alias(name)))
+    def counted(df: DataFrame, key: str, name: str) -> DataFrame:
+        return df.groupBy(F.col(key).alias("client")).agg(F.count(F.lit(1)).alias(name))
 
-    return J.full_outer(by_type("PROMO", "promo"), by_type("LARGE", "large"), ["brand"], {"promo": 0, "large": 0})
+    return J.full_outer(counted(t.orders, "o_custkey", "orders"), counted(t.events, "user_id", "events"), ["client"],
+                        {"orders": 0, "events": 0})
 
 
 @query("cross_grid", """SELECT p_partkey, r_regionkey, r_name FROM part CROSS JOIN region""")

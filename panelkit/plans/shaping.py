@@ -77,12 +77,9 @@ def union_modes(t: Tables) -> DataFrame:
                           counted(sets.union_distinct(a, b), "distinct"))
 
 
-@query("except_rows", """SELECT o_custkey AS c_custkey FROM orders WHERE o_orderstatus = 'F' EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'P'""")
+@query("except_rows", """SELECT o_custkey AS client FROM orders EXCEPT SELECT user_id FROM events""")
 def except_rows(t: Tables) -> DataFrame:
-    def keys(status: str) -> DataFrame:
-        return t.orders.where(F.col("o_orderstatus") == status).select(F.col("o_custkey").alias("c_custkey"))
-
-    return sets.except_rows(keys("F"), keys("P"))
+    return sets.except_rows(t.orders.select(F.col("o_custkey").alias("client")), t.events.select(F.col("user_id").alias("client")))
 
 
 @query("profile", """SELECT 'p_size' AS "column", COUNT(p_size) AS count, round(AVG(p_size), 6) AS mean, round(stddev_samp(p_size), 6) AS stddev,

@@ -22,15 +22,18 @@ def sql_scan(spark: SparkSession, path: str) -> DataFrame:
 def read_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",", quote: str = '"',
              null_text: str = "NULL", sentinels: tuple = (), bits: tuple[str, ...] = (),
              keep_corrupt: bool = False) -> DataFrame:
-    """Header CSV with a declared schema.
+    """Header CSV with a declared schema; columns are found by their header name, and a missing one is an error.
 
     Text equal to ``null_text`` or blank, and numbers in ``sentinels``, become NULL; slash dates are
     accepted; a value that does not fit its type becomes NULL. Columns in ``bits`` hold ``\\0``/``\\1``.
     Ragged rows are kept, and shown in ``_corrupt_record`` when ``keep_corrupt`` is set.
     """
     wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
-    raw_schema = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted.fields]
-                              + [T.StructField(CORRUPT, T.StringType())])
+    header = spark.read.option("header", True).option("sep", sep).option("quote", quote).csv(path).columns
+    missing = [f.name for f in wanted.fields if f.name not in header]
+    if missing:
+        raise ValueError(f"the file has no column {', '.join(missing)}; its header is {', '.join(header)}")
+    raw_schema = T.StructType([T.StructField(name, T.StringType()) for name in header] + [T.StructField(CORRUPT, T.StringType())])
     raw = (spark.read.schema(raw_schema).option("header", True).option("sep", sep).option("quote", quote)
            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
            .option("enforceSchema", True).option("columnPruning", not keep_corrupt).csv(path))

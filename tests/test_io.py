@@ -22,6 +22,13 @@ def test_dirty_csv(spark, tmp_path):
     assert rows(odd.select(readers.starred_number("s"), readers.star_level("s"), readers.compact_date("n"))) == [(-0.025, 0, D(1927, 6, 18)), (0.448, 3, None)]
 
 
+def test_csv_columns_follow_the_header(spark, tmp_path):
+    (tmp_path / "b.csv").write_text("b,a\n1,x\n2,y\n")
+    assert rows(readers.read_csv(spark, str(tmp_path / "b.csv"), "a string, b int")) == [("x", 1), ("y", 2)]
+    with pytest.raises(ValueError):
+        readers.read_csv(spark, str(tmp_path / "b.csv"), "a string, c int")
+
+
 def test_csv_tsv_json_parquet_round_trips(spark, tmp_path):
     df = spark.createDataFrame([(1, "a,b"), (2, None)], "id int, s string")
     writers.write_csv_single(df, f"{tmp_path}/csv")
