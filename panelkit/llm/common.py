@@ -14,6 +14,8 @@ from panelkit import scale
 
 #: Most bytes of text handled at once inside a task; one longer document is handled alone.
 SLICE_BYTES = 1 << 20
+#: Most bytes, as JSON text, of a written table that is sent to every executor.
+BROADCAST_BYTES = 16 << 20
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_BREAKS = " \t\n\x0b\f\r"
 
@@ -23,6 +25,11 @@ def written(df: DataFrame) -> DataFrame:
     return scale.checkpoint(df)
 
 
+def sized(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """A written table, marked for broadcast when its rows take at most ``max_bytes``; larger ones are shuffled."""
+    return F.broadcast(df) if scale.small(df, max_bytes) else df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Scan of ``sf_dir/name.parquet``."""
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
@@ -154,25 +161,24 @@ def signed(x: np.ndarray) -> np.ndarray:
 def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     """Smallest node reachable from each linked node: columns ``node``, ``component``.
 
-    Hooking of smallest neighbours with pointer jumping: the number of rounds grows with the logarithm of
-    the longest chain. Every round is written to the shared folder; nothing is collected but one flag.
+    Alternating large and small stars: every node links its larger neighbours, then itself and its smaller
+    neighbours, to the smallest of them, until only stars are left; the rounds grow with the logarithm of the
+    longest chain. ``edges`` is read more than once, so it should be a written table. Every round is written
+    to the shared folder; nothing is collected but one flag.
     """
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v"))
-    both = written(both.unionByName(both.select(F.col("v").alias("u"), F.col("u").alias("v")))
-                   .where("u <> v").distinct())
+    after = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v")
     while True:
-        # large-star: neighbours above u link to the smallest neighbour
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
-        large = large.where("u <> v").distinct()
-        # small-star: u and its smaller neighbours link to the smallest of them
+        both = after.unionByName(after.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        low = both.groupBy("u").agg(F.least("u", F.min("v")).alias("m"))
+        large = both.where("v > u").join(low, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
         least = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v"))
-                                              .alias("u"), F.col("m").alias("v")).where("u <> v").distinct()
+        small = large.join(least, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"),
+                                              F.col("m").alias("v")).where("u <> v").distinct()
         after = written(small)
-        roots = after.select(F.col("v").alias("x")).distinct()
-        if after.join(roots, after["u"] == roots["x"], "left_semi").isEmpty() \
-                and after.groupBy("u").count().where("count > 1").isEmpty():
-            return after.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
-                roots.select(F.col("x").alias("node"), F.col("x").alias("component")))
-        both = written(after.unionByName(after.select(F.col("v").alias("u"), F.col("u").alias("v"))))
+        # only stars are left when every child has one parent and no parent is a child
+        ends = after.select(F.col("u").alias("x"), F.lit(1).alias("child"), F.lit(0).alias("parent")).unionByName(
+            after.select(F.col("v").alias("x"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+        ends = ends.groupBy("x").agg(F.sum("child").alias("child"), F.max("parent").alias("parent"))
+        if ends.where("child + parent > 1").isEmpty():
+            roots = after.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
+            return after.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(roots)

@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import components, mix, parts_for, runs, signed, slices, words, written
+from panelkit.llm.common import WORD_BREAKS, components, mix, parts_for, runs, signed, sized, slices, words, written
 
 #: Words of a shingle, and the smallest similarity of linked sets in hundredths.
 SHINGLE = 5
@@ -180,8 +180,9 @@ def _linked(percent: int):
 
 def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The pairs (a, b) of sets whose similarity, counted exactly, is high enough."""
-    x, y = sets.select(F.col("sig").alias("a"), F.col("elems").alias("_x")), sets.select(F.col("sig").alias("b"), F.col("elems").alias("_y"))
-    return pairs.join(x, "a").join(y, "b").select("a", "b", "_x", "_y").mapInArrow(_linked(percent), "a long, b long")
+    asked = sized(written(pairs))
+    side = lambda c, name: sets.select(F.col("sig").alias(c), F.col("elems").alias(name)).join(asked, c).select("a", "b", name)
+    return side("a", "_x").join(side("b", "_y"), ["a", "b"]).mapInArrow(_linked(percent), "a long, b long")
 
 
 def _explode(head_only: bool, percent: int):
@@ -197,23 +198,21 @@ def _explode(head_only: bool, percent: int):
     return rows
 
 
-def _across(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
-    """Candidate pairs of sets with different labels, without losing any that could link.
+def _lists(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
+    """Index lists of the sets that could link across labels: sig, n, label, h, p, c, block.
 
-    First only sets whose head meets other labels often enough stay. Their index lists are ordered so that
-    rare elements come first; lists hold a set only for its rare part, are split into blocks by set size, and
-    a set meets only the blocks whose sizes fit; positions in both sets bound what they can still share.
+    First only sets whose head meets other labels often enough stay. Of their elements only those that
+    another label holds too count (c of them); a set needs enough of these. They are ordered so that rare ones
+    come first, and a set is listed for its rare part alone, at its positions p.
     """
-    rows = written(sets.join(labels, sets["sig"] == labels["node"], "left").select(
+    rows = written(sets.join(sized(labels), sets["sig"] == labels["node"], "left").select(
         "sig", "n", F.coalesce("component", "sig").alias("label"), "elems"))
     shape = "sig long, n long, label long, h long"
     heads = rows.mapInArrow(_explode(True, percent), shape)
     common = heads.groupBy("h").agg(F.min("label").alias("lo"), F.max("label").alias("hi")).where("lo < hi").select("h")
-    live = (heads.join(common, "h", "left_semi").groupBy("sig", "n").agg(F.count(F.lit(1)).alias("k"))
-            .where(F.col("k") >= _meetings(F.col("n"), percent)).select("sig"))
-    rows = written(rows.join(live, "sig", "left_semi"))
-    listed = rows.mapInArrow(_explode(False, percent), shape)
-    # only elements that other labels hold too can be shared across labels; a set needs enough of them
+    live = written(heads.join(common, "h", "left_semi").groupBy("sig", "n").agg(F.count(F.lit(1)).alias("k"))
+                   .where(F.col("k") >= _meetings(F.col("n"), percent)).select("sig"))
+    listed = rows.join(sized(live), "sig", "left_semi").select("sig", "n", "label", "elems").mapInArrow(_explode(False, percent), shape)
     seen = (listed.groupBy("h").agg(F.count(F.lit(1)).alias("f"), F.min("label").alias("lo"), F.max("label").alias("hi"))
             .where("lo < hi").select("h", "f"))
     own = Window.partitionBy("sig")
@@ -222,12 +221,20 @@ def _across(sets: DataFrame, labels: DataFrame, percent: int) -> DataFrame:
               .withColumn("p", F.row_number().over(own.orderBy("f", "h")))
               .where(F.col("p") <= F.col("c") - need + 1))
     block = F.floor(F.log(F.col("n").cast("double")) / F.lit(np.log(100 / percent))).cast("int")
-    listed = written(listed.select("sig", "n", "label", "h", "p", "c", block.alias("block")))
+    return written(listed.select("sig", "n", "label", "h", "p", "c", block.alias("block")))
+
+
+def _across(listed: DataFrame, percent: int) -> DataFrame:
+    """All pairs of listed sets with different labels that could link.
+
+    Lists are split into blocks by set size; a set meets only the blocks whose sizes fit its own. A pair comes
+    from the first element both sets have in common: what they can share is that element and what stands after
+    it in either list. Sets that link pass this test there; at a later common element it may fail.
+    """
     x = listed.select(*[F.col(c).alias(f"x_{c}") for c in listed.columns])
     y = listed.withColumn("block", F.explode(F.array(F.col("block") - 1, F.col("block"), F.col("block") + 1)))
     y = y.select(*[F.col(c).alias(f"y_{c}") for c in listed.columns])
-    # what both can share is at most what stands up to this element in either list and what stands after it
-    most = F.least(F.col("x_c") - F.col("x_p"), F.col("y_c") - F.col("y_p")) + F.least("x_p", "y_p")
+    most = 1 + F.least(F.col("x_c") - F.col("x_p"), F.col("y_c") - F.col("y_p"))
     fits = ((F.col("x_h") == F.col("y_h")) & (F.col("x_block") == F.col("y_block")) & (F.col("x_sig") < F.col("y_sig"))
             & (F.col("x_label") != F.col("y_label")) & (100 * F.col("x_n") >= percent * F.col("y_n"))
             & (100 * F.col("y_n") >= percent * F.col("x_n"))
@@ -247,17 +254,37 @@ def join(docs: DataFrame, percent: int = PERCENT, part_entries: int = PART_ENTRI
     shingle; a null doc_id never names a group; repeated rows fall into one group. An empty table gives no
     rows; extra columns are left out.
     """
+    named = groups(docs, percent, part_entries)
+    least = named.where("n > 0").groupBy("_group").agg(F.min("doc_id").alias("component_id"))
+    return (named.where("n > 0").join(least, "_group").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
+            .unionByName(named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"),
+                                                     F.col("doc_id").alias("component_id"))))
+
+
+def groups(docs: DataFrame, percent: int = PERCENT, part_entries: int = PART_ENTRIES) -> DataFrame:
+    """doc_id, _text (hash of the text), n (size of its set) and _group of every document; null for empty sets."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     texts = docs.select("doc_id", F.xxhash64("text").alias("_text"), "text")
     named = written(texts.mapInArrow(_name_sets, f"doc_id {kind}, _text long, n long, sig long"))
-    edges = links(docs, texts, named, percent, part_entries)
-    groups = components(edges, "a", "b")
-    tagged = named.where("n > 0").join(groups, named["sig"] == groups["node"], "left").select(
-        "doc_id", "n", F.coalesce("component", "sig").alias("_group"))
-    tagged = written(tagged)
-    least = tagged.groupBy("_group").agg(F.min("doc_id").alias("component_id"))
-    return (tagged.join(least, "_group").select("doc_id", F.col("n").alias("n_shingles"), "component_id")
-            .unionByName(named.where("n = 0").select("doc_id", F.col("n").alias("n_shingles"), F.col("doc_id").alias("component_id"))))
+    found = components(links(docs, texts, named, percent, part_entries), "a", "b")
+    return written(named.join(found, named["sig"] == found["node"], "left").select(
+        "doc_id", "_text", "n", F.when(F.col("n") > 0, F.coalesce("component", "sig")).alias("_group")))
+
+
+def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
+    """The rows, with all their columns, of one document of each group: the smallest doc_id, null last.
+
+    Rows with an empty set all stay; of rows with equal doc_id and text in a group one stays.
+    """
+    found = groups(docs, percent)
+    first = (found.where("n > 0").groupBy("_group")
+             .agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text")).alias("r"))
+             .select(F.col("r.doc_id").alias("_id"), F.col("r._text").alias("_hash")))
+    blank = F.length(F.translate(F.coalesce("text", F.lit("")), WORD_BREAKS, "")) == 0
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), blank.alias("blank"))
+    chosen = (rows.where("not blank").join(first, rows["id"].eqNullSafe(F.col("_id")) & (rows["hash"] == F.col("_hash")), "left_semi")
+              .dropDuplicates(["id", "hash"]))
+    return chosen.unionByName(rows.where("blank")).select("row.*")
 
 
 def links(docs: DataFrame, texts: DataFrame, named: DataFrame, percent: int, part_entries: int) -> DataFrame:
@@ -271,15 +298,15 @@ def links(docs: DataFrame, texts: DataFrame, named: DataFrame, percent: int, par
     reps = named.where("n > 0").groupBy("sig", "n").agg(F.min(F.struct("doc_id", "_text")).alias("r"))
     live = written(reps.join(shared, "sig").where(F.col("shared") >= _meetings(F.col("n"), percent))
                    .select("sig", "n", "shared", "r.doc_id", "r._text"))
-    sets = written(texts.join(live, ["doc_id", "_text"]).dropDuplicates(["sig"]).select("sig", "n", "text")
+    sets = written(texts.join(sized(live.select("sig", "n", "doc_id", "_text")), ["doc_id", "_text"]).dropDuplicates(["sig"]).select("sig", "n", "text")
                    .mapInArrow(_elements, "sig long, n long, elems binary"))
     keys = sets.select("sig", "elems").mapInArrow(_band_keys, "sig long, key long")
     keys = written(keys)
     # the first partner of a set is the one with its minima that meets most others: edits make a set meet fewer
-    ranked = keys.join(live.select("sig", (F.col("shared") / F.col("n")).alias("rank")), "sig")
+    ranked = keys.join(sized(live.select("sig", (F.col("shared") / F.col("n")).alias("rank"))), "sig")
     first = (ranked.groupBy("key").agg(F.max_by("sig", F.struct("rank", "sig")).alias("b"), F.count(F.lit(1)).alias("k"))
              .where("k > 1").select("key", "b"))
     stars = keys.join(first, "key").where("sig <> b").select(F.col("sig").alias("a"), "b").distinct()
     stars = written(verified(stars, sets, percent))
-    across = _across(sets, components(stars, "a", "b"), percent)
-    return stars.unionByName(verified(across, sets, percent))
+    listed = _lists(sets, written(components(stars, "a", "b")), percent)
+    return written(stars.unionByName(verified(_across(listed, percent), sets, percent)))
