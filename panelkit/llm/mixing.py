@@ -137,9 +137,9 @@ def repeat(docs: DataFrame, **options) -> DataFrame:
     """The rows, with all their columns, as often as the mix takes them; rows it does not take go."""
     plan = _mixed(docs, **options).where("copies > 0").groupBy("doc_id", "_text").agg(F.sum("copies").alias("_copies"))
     plan = plan.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "_copies")
-    rows = docs.withColumn("_text", F.xxhash64("text")).dropDuplicates(["doc_id", "_text"])
-    joined = rows.join(plan, rows["doc_id"].eqNullSafe(plan["_id"]) & (rows["_text"] == plan["_hash"]))
-    return joined.withColumn("_n", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int")))).select(*docs.columns)
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash")).dropDuplicates(["id", "hash"])
+    joined = rows.join(plan, rows["id"].eqNullSafe(plan["_id"]) & (rows["hash"] == plan["_hash"]))
+    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_nth")).select("row.*")
 
 
 def _mixed(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MAX_COPIES, seed: int = 17,
