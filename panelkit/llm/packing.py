@@ -42,7 +42,7 @@ class WordIds:
     """
 
     def __init__(self, path: str, limit: int = CACHE_WORDS):
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.tokenizer = Tokenizer.from_file(path)
         suffix = self.tokenizer.model.end_of_word_suffix
@@ -51,6 +51,11 @@ class WordIds:
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.by_part = bool(suffix)
+        # parts come normalised and cut, each once: what is left to do is to merge their bytes
+        self.merger = Tokenizer.from_file(path)
+        self.merger.normalizer = None
+        self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"),
+                                                             pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
         self.limit = limit
         self.known: dict[str, bytes] = {"": b""}
         self.parts: dict[str, bytes] = {" ": _GAP}
@@ -58,7 +63,7 @@ class WordIds:
     def _learn_parts(self, new: list[str]) -> None:
         lines = [" ".join(new[i:i + 256]) for i in range(0, len(new), 256)]
         done = 0
-        for e in self.tokenizer.encode_batch_fast(lines, add_special_tokens=False):
+        for e in self.merger.encode_batch_fast(lines, add_special_tokens=False):
             ids = np.asarray(e.ids, "<u4")
             stops = np.flatnonzero(self.ends[ids]) + 1
             data, at = ids.tobytes(), 0
