@@ -78,11 +78,17 @@ for _kind in ("tree", "forest", "boosted"):
         return model.transform(rows).select("c_custkey", "spend", "prediction")
 
 
-@query("linear_regression")
+@query("linear_regression", """WITH m AS (SELECT AVG(p_size) AS mx, AVG(p_partkey) AS mz, AVG(p_retailprice) AS my,
+  var_pop(p_size) AS xx, var_pop(p_partkey) AS zz, covar_pop(p_size, p_partkey) AS xz, covar_pop(p_size, p_retailprice) AS xy,
+  covar_pop(p_partkey, p_retailprice) AS zy FROM part),
+b AS (SELECT *, (xy * zz - zy * xz) / (xx * zz - xz * xz) AS bx, (zy * xx - xy * xz) / (xx * zz - xz * xz) AS bz FROM m)
+SELECT 'intercept' AS term, round(my - bx * mx - bz * mz, 4) AS coefficient FROM b UNION ALL SELECT 'p_size', round(bx, 4) FROM b
+UNION ALL SELECT 'p_partkey', round(bz, 4) FROM b""")
 def linear_regression(t: Tables) -> DataFrame:
+    """Least squares, checked against the normal equations."""
     rows = t.part.withColumn("price", F.col("p_retailprice"))
     cols = ["p_size", "p_partkey"]
-    return models.coefficient_table(models.linear_fit(rows, "price", cols), cols)
+    return models.coefficient_table(models.linear_fit(rows, "price", cols), cols).withColumn("coefficient", F.round("coefficient", 4))
 
 
 @query("polynomial_regression")
@@ -199,17 +205,23 @@ def micro_segments(t: Tables) -> DataFrame:
     return models.label_micro_segments(cells, "c_mktsegment", saved).select("c_custkey", "c_mktsegment", "cell", "micro_segment")
 
 
-@query("formula")
+#: Part types by frequency, ties by name, and the dummy vector of a type; the last type has none.
+TYPES = "types AS (SELECT p_type, row_number() OVER (ORDER BY COUNT(*) DESC, p_type) - 1 AS i, COUNT(*) OVER () AS k FROM part GROUP BY 1)"
+DUMMY = "list_transform(range(k - 1), lambda j: CASE WHEN j = i THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END)"
+
+
+@query("formula", f"""WITH {TYPES} SELECT p_partkey, p_retailprice AS label, list_concat([p_size::DOUBLE], {DUMMY}) AS features
+FROM part JOIN types USING (p_type)""")
 def formula(t: Tables) -> DataFrame:
     out = encode.formula(t.part, "p_retailprice", ["p_size", "p_type"])
     return out.select("p_partkey", "label", to_array("features").alias("features"))
 
 
-@query("dummy_vectors")
+@query("dummy_vectors", f"WITH {TYPES} SELECT p_partkey, {DUMMY} AS dummy FROM part JOIN types USING (p_type)")
 def dummy_vectors(t: Tables) -> DataFrame:
     return encode.one_hot(t.part.select("p_partkey", "p_type"), ["p_type"]).select("p_partkey", to_array("p_type_dummy").alias("dummy"))
 
 
-@query("slice_vector")
+@query("slice_vector", "SELECT vec_id, [embedding[1]::DOUBLE, embedding[4]::DOUBLE, embedding[6]::DOUBLE] AS selected FROM embeddings")
 def slice_vector(t: Tables) -> DataFrame:
     return encode.slice_vector(vectors(t), [0, 3, 5], "v").select("vec_id", to_array("selected").alias("selected"))

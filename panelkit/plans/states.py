@@ -56,7 +56,16 @@ def segment_value_finite(t: Tables) -> DataFrame:
     return M.segment_value(matrix(t), revenue(t), horizon=6, churn=CHURN).withColumn("value", F.round("value", 6))
 
 
-@query("segment_value")
+def _squares(rounds: int) -> str:
+    """The endless discounted sum by squaring: a sum state collects the value, every square doubles its reach."""
+    first = f"""s0 AS MATERIALIZED (SELECT f, t, p / (1 + {D}::DOUBLE) AS p FROM p1 UNION ALL SELECT state, '+', v FROM rev
+  UNION ALL SELECT '+', '+', 1.0::DOUBLE)"""
+    steps = [f"s{k} AS MATERIALIZED (SELECT a.f, b.t, SUM(a.p * b.p) AS p FROM s{k - 1} a JOIN s{k - 1} b ON b.f = a.t GROUP BY 1, 2)"
+             for k in range(1, rounds + 1)]
+    return f"{MATRIX}, {REVENUE}, {first}, {', '.join(steps)} SELECT f AS state, round(p, 4) AS value FROM s{rounds} WHERE t = '+' AND f <> '+'"
+
+
+@query("segment_value", f"WITH {_squares(20)}")
 def segment_value(t: Tables) -> DataFrame:
     return M.segment_value(matrix(t), revenue(t), churn=CHURN).withColumn("value", F.round("value", 4))
 

@@ -146,10 +146,16 @@ def polynomial_columns(t: Tables) -> DataFrame:
     return E.power_columns(t.part.select("p_partkey", "p_size"), "p_size", 4).drop("p_size")
 
 
-@query("polynomial_features")
+#: Products of x and y up to the fourth degree, in the order of the expansion: by the power of y, then of x.
+POWERS = [(i, j) for j in range(5) for i in range(5 - j) if i + j]
+
+
+@query("polynomial_features", f"""WITH p AS (SELECT p_partkey, p_size::DOUBLE AS x, p_retailprice / 1000 AS y FROM part)
+SELECT p_partkey, [{', '.join(f'round(pow(x, {i}) * pow(y, {j}), 6)' for i, j in POWERS)}] AS poly FROM p""")
 def polynomial_features(t: Tables) -> DataFrame:
-    out = E.polynomial_features(t.part, ["p_size", "p_retailprice"], 4)
-    return out.select("p_partkey", V.to_array("poly").alias("poly"))
+    rows = t.part.select("p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_retailprice") / 1000).alias("y"))
+    out = E.polynomial_features(rows, ["x", "y"], 4)
+    return out.select("p_partkey", F.transform(V.to_array("poly"), lambda v: F.round(v, 6)).alias("poly"))
 
 
 @query("vector_round_trip", """SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS first, round(embedding[2]::DOUBLE, 6) AS second, len(embedding) AS size FROM embeddings""")
