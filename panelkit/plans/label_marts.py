@@ -11,9 +11,10 @@ from panelkit.operators import marts as M
 from panelkit.operators.joins import wide_join
 from panelkit.operators.windows import lead_label
 from panelkit.plans.feature_marts import BLACK_LIST, black_list
-from panelkit.plans.registry import query
-from panelkit.plans.views import (CLIENT_PANEL, ORDER_LOG, client_panel, line_months, months_between, order_log, shift,
-                                  whole_months)
+from panelkit.plans.registry import ORACLES, QUERIES, query
+from panelkit.plans.views import (CLIENT_PANEL, CONTRACT_PANEL, ORDER_LOG, client_panel, contract_panel, line_months,
+                                  months_between, order_log, shift, whole_months)
+from panelkit.scale import checkpoint
 from panelkit.tables import Tables
 
 HISTORY = """lm AS (SELECT l_orderkey AS contract, last_day(CAST(l_shipdate AS DATE)) AS rd,
@@ -187,6 +188,50 @@ def model_input(t: Tables) -> DataFrame:
     return out.withColumn("closed_share", F.round("closed_share", 6))
 
 
+#: The nine marts and the keys they are found by through the key map.
+MARTS = {"limits_mart": ["contract", "rd"], "excess_payment_mart": ["contract", "rd"], "loan_mart": ["contract", "rd"],
+         "client_mart": ["client", "rd"], "bureau_mart": ["client", "rd"], "deposit_mart": ["client", "rd"],
+         "complaints_mart": ["client", "day"], "channel_mart": ["client", "day"], "call_mart": ["client", "day"]}
+#: Columns of the marts that the scorecard input takes.
+TAKEN = {"limits_mart": ["current_limit", "limit_reached_3m"], "excess_payment_mart": ["payments_3m", "payments_6m"],
+         "loan_mart": ["applications", "age", "segment"], "client_mart": ["is_on_blacklist"],
+         "bureau_mart": ["foreign_credits", "queries_3m"], "deposit_mart": ["accounts", "operations"],
+         "complaints_mart": ["complaint_threads", "query_threads"], "channel_mart": ["visits", "top_up_days", "days_since_login"],
+         "call_mart": ["offered_3m", "answered_1m"]}
+ZERO = ["payments_3m", "payments_6m", "applications", "foreign_credits", "queries_3m", "accounts", "operations",
+        "complaint_threads", "query_threads", "visits", "top_up_days", "offered_3m", "answered_1m"]
+
+
+def _scorecard_sql() -> str:
+    blocks = " ".join(
+        f"LEFT JOIN (SELECT {', '.join(keys[:1])}, rd AS key_rd, {', '.join(TAKEN[name])} FROM ({ORACLES[name]})) {name} "
+        f"ON {name}.{keys[0]} = k.{keys[0]} AND {name}.key_rd = {'k.day' if keys[1] == 'day' else 'CAST(k.rd AS VARCHAR)'}"
+        for name, keys in MARTS.items())
+    zero = ", ".join(f"COALESCE({c}, 0) AS {c}" for c in ZERO)
+    return f"""WITH {CONTRACT_PANEL}, k AS (SELECT contract, client, rd, contract * 1000 + (year(rd) - 1990) * 12 + month(rd) AS sample_id,
+  CAST(DATE '2024-01-01' + CAST(contract % 30 AS INT) AS VARCHAR) AS day FROM contract_panel)
+SELECT k.sample_id, 'contracts' AS tag, CAST(k.rd AS VARCHAR) AS rd, current_limit, COALESCE(limit_reached_3m, -1) AS limit_reached_3m, {zero},
+  round(COALESCE(CAST(age AS DOUBLE), AVG(age) OVER (PARTITION BY k.rd)), 6) AS age, segment, is_on_blacklist,
+  COALESCE(days_since_login, -10) AS days_since_login FROM k {blocks}"""
+
+
+@query("scorecard_input", _scorecard_sql())
+def scorecard_input(t: Tables) -> DataFrame:
+    """All nine marts on the contract panel: the key map leads from a sample to the keys of each mart."""
+    sample = F.col("contract") * 1000 + (F.year("rd") - 1990) * 12 + F.month("rd")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("contract") % 30).cast("int")).cast("string").alias("day")
+    keys = checkpoint(contract_panel(t).select("contract", "client", "rd", sample.alias("sample_id"), day, F.col("rd").cast("string").alias("_rd")))
+    label = keys.select("sample_id", F.lit("contracts").alias("tag"), "rd")
+    blocks = {}
+    for name, (who, when) in MARTS.items():
+        mart = checkpoint(QUERIES[name](t.spark, t.directory).select(who, F.col("rd").alias("_key"), *TAKEN[name]))
+        found = keys.select("sample_id", who, F.col("day" if when == "day" else "_rd").alias("_key")).join(mart, [who, "_key"])
+        blocks[name] = found.select("sample_id", *TAKEN[name])
+    out = M.model_input(label, blocks, "sample_id", "contracts", zero=ZERO, fills={"limit_reached_3m": -1, "days_since_login": -10},
+                        impute=["age"], by="rd")
+    return out.withColumn("age", F.round("age", 6))
+
+
 @query("attach_score", """SELECT d.doc_id, d.lang, l.quality AS score, (SELECT COUNT(*) FROM documents) AS input,
   (SELECT COUNT(DISTINCT doc_id) FROM labels) AS scores, (SELECT COUNT(*) FROM documents) AS output FROM documents d LEFT JOIN
   (SELECT doc_id, MAX(quality) AS quality FROM labels GROUP BY 1) l ON l.doc_id = d.doc_id""")
