@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.functions import scalars as S
@@ -430,11 +431,16 @@ def attach_score(rows: DataFrame, scores: DataFrame, keys: list[str]) -> tuple[D
 BIG_PAYMENT_STATUS, CLOSED_STATUS, CASH_LOAN = 666, 6, 6
 
 
+def big_payment() -> Column:
+    """A big repayment before the planned end: the balance falls to a tenth; ``_before`` is the balance of the row before."""
+    return F.coalesce((S.ratio("balance", "_before") <= 0.1) & (F.col("balance") < 0)
+                      & (F.col("rd") < F.col("planned_end")), F.lit(False))
+
+
 def true_end_date(history: DataFrame) -> DataFrame:
     """First big repayment before the planned end, else the last reporting date, per contract."""
     marked = lag_of(history, "balance", ["contract"], ["rd"], "_before")
-    big = F.coalesce((S.ratio("balance", "_before") <= 0.1) & (F.col("balance") < 0)
-                     & (F.col("rd") < F.col("planned_end")), F.lit(False))
+    big = big_payment()
     return marked.groupBy("contract").agg(
         F.coalesce(F.min(F.when(big, F.col("rd"))), F.max("rd")).alias("true_end"),
         F.max(big.cast("int")).alias("had_big_payment"))
@@ -447,12 +453,16 @@ def churn_base(history: DataFrame, blacklist: DataFrame, product: int = CASH_LOA
     refinancing, one row per contract and date. All client-wide facts are counts of collapsed days,
     so contracts of one client are never paired.
     """
-    history = checkpoint(history)
-    ends = true_end_date(history)
-    seip = history.join(ends, "contract").where("rd <= true_end").withColumn(
+    # the true end comes from windows over a contract's own rows, so the history is dealt out and written once
+    marked = lag_of(history, "balance", ["contract"], ["rd"], "_before")
+    whole = W.partitionBy("contract")
+    marked = marked.withColumn("_big", F.when(big_payment(), F.col("rd")))
+    marked = marked.withColumns({"true_end": F.coalesce(F.min("_big").over(whole), F.max("rd").over(whole)),
+                                 "had_big_payment": F.max(F.col("_big").isNotNull().cast("int")).over(whole)})
+    history = checkpoint(marked.drop("_before", "_big"))
+    seip = history.where("rd <= true_end").withColumn(
         "status_now", F.when((F.col("rd") == F.col("true_end")) & (F.col("had_big_payment") == 1), BIG_PAYMENT_STATUS)
         .otherwise(F.col("status")))
-    seip = checkpoint(seip)
     keys = seip.select("client", "contract", "rd")
     own_product = history.where(F.col("product") == product).withColumn("_day", F.col("rd"))
     other = L.other_rows(keys, own_product, ["client"], "contract", "rd", "_day", L.month_distance("rd", 1, 3), "_other")
@@ -461,8 +471,9 @@ def churn_base(history: DataFrame, blacklist: DataFrame, product: int = CASH_LOA
     others = other.groupBy("client", "rd").agg((F.sum("_other") > 0).cast("int").alias("has_other"))
     started = history.groupBy("client", "contract", "start").agg(F.lit(1).alias("_one"))
     flags = L.exists_flag(per_client, started, ["client"], "rd", "start", L.month_distance("rd", 3, 6), "has_new_contract")
-    flags = L.exists_flag(flags, blacklist, ["client"], "rd", "month", L.month_distance("rd", 0, 3), "blacklisted_last_3m")
-    flags = L.exists_flag(flags, blacklist, ["client"], "rd", "month", L.month_distance("rd", -3, 0), "blacklisted_next_3m")
+    around = {"_last_3m": L.month_distance("rd", 0, 3), "_next_3m": L.month_distance("rd", -3, 0)}
+    flags = L.lookback_agg(flags, blacklist, ["client"], "rd", "month", around, {"blacklisted": L.count()})
+    flags = flags.withColumns({f"blacklisted{s}": (F.col(f"blacklisted{s}") > 0).cast("int") for s in around})
     late = L.history_agg(keys, history.where("dpd > 30").withColumn("_day", F.col("rd")), ["contract"], "rd", "_day",
                          {"_late": L.count()})
     late = late.groupBy("client", "rd").agg((F.sum("_late") == 0).cast("int").alias("dpd_clean"))
@@ -491,12 +502,11 @@ def churn_base(history: DataFrame, blacklist: DataFrame, product: int = CASH_LOA
 def eligibility_sample(base: DataFrame, sales: DataFrame, first_year: int = 2012, first_rd: str = "2011-06-30",
                        min_balance: float = 30) -> DataFrame:
     """Rows of the churn base that may be learned from; ``sales`` has contract and day of sale."""
-    base = checkpoint(base)
-    sold = L.exists_flag(base.select("contract", "rd").distinct(), sales.withColumn("_day", F.date_add("day", 1)),
-                         ["contract"], "rd", "_day", None, "was_sold")
+    sold = sales.groupBy("contract").agg(F.min(F.date_add("day", 1)).alias("_sold"))
     days_left = F.datediff("planned_end", "rd")
     label = F.coalesce("churn_in_3", "churn_in_2", "churn_in_1")
-    return (base.join(sold, ["contract", "rd"]).withColumn("target", label)
+    return (base.join(sold, "contract", "left").withColumn("target", label)
+            .withColumn("was_sold", F.coalesce(F.col("_sold") <= F.col("rd"), F.lit(False)).cast("int")).drop("_sold")
             .where((F.col("start_year") >= first_year) & (F.col("dpd_clean") == 1) & (F.col("was_sold") == 0)
                    & (F.abs("balance") > min_balance) & (F.months_between("end", "rd") >= 0)
                    & F.when(F.col("tenor") > 24, days_left >= 90).otherwise(days_left >= 60)

@@ -1,4 +1,5 @@
 import sys
+import tempfile
 from pathlib import Path
 
 import pytest
@@ -12,7 +13,8 @@ sys.path[:0] = [str(ROOT), str(ROOT / "tools")]
 def spark():
     session = (SparkSession.builder.master("local[8]").appName("tests").config("spark.ui.enabled", "false")
                .config("spark.ui.showConsoleProgress", "false").config("spark.sql.shuffle.partitions", "4")
-               .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC").getOrCreate())
+               .config("spark.driver.memory", "8g").config("spark.sql.session.timeZone", "UTC")
+               .config("spark.checkpoint.dir", tempfile.mkdtemp(prefix="tests-")).getOrCreate())
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()
