@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -9,6 +11,8 @@ from panelkit.functions import scalars as S
 from panelkit.operators import rows, sets
 from panelkit.plans.registry import query
 from panelkit.plans.views import ORDER_LOG, months_between, order_log, shift, whole_months
+from panelkit.scale import ensure_checkpoint_dir
+from panelkit.sources import readers, writers
 from panelkit.sources.writers import to_triples
 from panelkit.tables import Tables
 
@@ -159,3 +163,64 @@ SELECT '{BASE}' || p_partkey AS subject, predicate, object, datatype FROM c WHER
 def to_triples_query(t: Tables) -> DataFrame:
     return to_triples(t.part, "p_partkey", {"p_name": ("name", "xsd:string"), "p_brand": ("brand", "xsd:string"),
                                             "p_size": ("size", "xsd:integer")}, BASE)
+
+
+def folder(t: Tables, name: str) -> str:
+    """A new folder beside the written intermediates, shared by all executors."""
+    ensure_checkpoint_dir(t.spark)
+    return f"{t.spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
+@query("csv_round_trip", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def csv_round_trip(t: Tables) -> DataFrame:
+    """One CSV file; the columns come back by their header names, here in another order."""
+    path = folder(t, "csv")
+    writers.write_csv_single(t.nation, path)
+    out = readers.read_csv(t.spark, path, "n_name string, n_regionkey int, n_nationkey int")
+    return out.select("n_nationkey", "n_name", "n_regionkey")
+
+
+@query("csv_files_round_trip", """SELECT s_suppkey, NULLIF(trim(s_name), '') AS s_name, s_nationkey, s_acctbal FROM supplier""")
+def csv_files_round_trip(t: Tables) -> DataFrame:
+    path = folder(t, "csv")
+    writers.write_csv(t.supplier, path, ";")
+    return readers.read_csv(t.spark, path, "s_suppkey long, s_name string, s_nationkey int, s_acctbal double", sep=";")
+
+
+@query("json_round_trip", "SELECT conv_id, turn, role, text FROM conversations")
+def json_round_trip(t: Tables) -> DataFrame:
+    path = folder(t, "json")
+    writers.write_json(t.conversations, path)
+    return readers.read_json(t.spark, path, "conv_id long, turn long, role string, text string", multi_line=False)
+
+
+@query("parquet_files", "SELECT r_regionkey, r_name FROM region")
+def parquet_files(t: Tables) -> DataFrame:
+    """A dictionary table copied whole, then written again as two files."""
+    path = folder(t, "copy")
+    writers.copy_table(t.spark, f"{t.directory}/region.parquet", path)
+    writers.write_parquet(t.spark.read.parquet(path), f"{path}-two", files=2)
+    return t.spark.read.parquet(f"{path}-two").select("r_regionkey", "r_name")
+
+
+@query("transactions_round_trip", """SELECT item, COUNT(*) AS n FROM (SELECT DISTINCT o_custkey, o_orderpriority AS item FROM orders) GROUP BY 1""")
+def transactions_round_trip(t: Tables) -> DataFrame:
+    """Baskets as lines of text, read back and counted by item."""
+    path = folder(t, "lines")
+    (t.orders.groupBy("o_custkey").agg(F.array_sort(F.collect_set("o_orderpriority")).alias("items"))
+     .select(F.concat_ws("\t", "items").alias("value")).write.text(path))
+    return (readers.read_transactions(t.spark, path).select(F.explode("items").alias("item")).groupBy("item")
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
+@query("triples_file", """SELECT COUNT(*) AS lines, COUNT(DISTINCT c_custkey) AS subjects FROM
+  (SELECT c_custkey, c_name AS v FROM customer WHERE c_name IS NOT NULL UNION ALL
+   SELECT c_custkey, c_mktsegment FROM customer WHERE c_mktsegment IS NOT NULL)""")
+def triples_file(t: Tables) -> DataFrame:
+    """N-Triples lines of two customer columns, written and read as text."""
+    path = folder(t, "triples")
+    kinds = {"c_name": ("http://example.org/name", "http://example.org/string"),
+             "c_mktsegment": ("http://example.org/segment", "http://example.org/string")}
+    writers.write_triples(writers.to_triples(t.customer, "c_custkey", kinds, "http://example.org/customer/"), path)
+    subject = F.regexp_extract("value", r"^<([^>]*)>", 1)
+    return t.spark.read.text(path).agg(F.count(F.lit(1)).alias("lines"), F.count_distinct(subject).alias("subjects"))

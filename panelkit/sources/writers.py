@@ -8,15 +8,25 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from panelkit.scale import checkpoint, small
+
 
 def write_parquet(df: DataFrame, path: str, mode: str = "overwrite", files: int | None = None) -> None:
     """Parquet sink; ``files`` fixes the number of files of a small result."""
-    (df.coalesce(files) if files else df).write.mode(mode).parquet(path)
+    (df.repartition(files) if files else df).write.mode(mode).parquet(path)
+
+
+def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
+    """CSV with a header in as many files as there are partitions."""
+    df.write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
-def write_csv_single(df: DataFrame, path: str, sep: str = ",") -> None:
-    """One CSV file with a header, for hand-over of small tables."""
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+def write_csv_single(df: DataFrame, path: str, sep: str = ",", max_bytes: int = 256 << 20) -> None:
+    """One CSV file with a header, for hand-over of small tables; a table beyond ``max_bytes`` is refused."""
+    df = checkpoint(df)
+    if not small(df, max_bytes):
+        raise ValueError("the table is too large for one file; write_csv takes any size")
+    df.repartition(1).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
