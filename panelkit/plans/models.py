@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from panelkit.functions.vectors import to_array, to_vector
 from panelkit.operators import encode, models, select
+from panelkit.operators.rows import split_train_test
 from panelkit.operators.scores import gini
 from panelkit.plans.registry import query
 from panelkit.scale import checkpoint
@@ -36,8 +37,11 @@ def vectors(t: Tables) -> DataFrame:
                                to_vector("embedding").alias("v"))
 
 
-def predictions(model, rows: DataFrame, key: str) -> DataFrame:
-    return model.transform(rows).select(key, "label", "prediction")
+def predictions(fit, rows: DataFrame, key: str, label: str = "label") -> DataFrame:
+    """Predictions for the training and the test part by the model that ``fit`` makes of the training part."""
+    parted = checkpoint(split_train_test(rows, key, 0.25))
+    part = F.when(F.col("is_test") == 1, "test").otherwise("train").alias("part")
+    return fit(parted.where("is_test = 0")).transform(parted).select(key, label, "prediction", part)
 
 
 @query("logistic")
@@ -69,13 +73,13 @@ for _kind in ("tree", "forest", "boosted"):
     @query({"tree": "trees", "forest": "forests", "boosted": "boosted"}[_kind])
     def _classifier(t: Tables, kind: str = _kind) -> DataFrame:
         rows = clients(t)
-        return predictions(models.tree_fit(rows, "label", CLIENT_FEATURES, kind, rounds=ROUNDS), rows, "c_custkey")
+        return predictions(lambda train: models.tree_fit(train, "label", CLIENT_FEATURES, kind, rounds=ROUNDS), rows, "c_custkey")
 
     @query(f"{_kind}_regression")
     def _regression(t: Tables, kind: str = _kind) -> DataFrame:
         rows = clients(t)
-        model = models.tree_fit(rows, "spend", ["c_acctbal", "c_nationkey", "orders", "urgent"], f"{kind}_regression", rounds=ROUNDS)
-        return model.transform(rows).select("c_custkey", "spend", "prediction")
+        cols = ["c_acctbal", "c_nationkey", "orders", "urgent"]
+        return predictions(lambda train: models.tree_fit(train, "spend", cols, f"{kind}_regression", rounds=ROUNDS), rows, "c_custkey", "spend")
 
 
 @query("linear_regression", """WITH m AS (SELECT AVG(p_size) AS mx, AVG(p_partkey) AS mz, AVG(p_retailprice) AS my,
@@ -99,18 +103,18 @@ def polynomial_regression(t: Tables) -> DataFrame:
 
 @query("svm")
 def svm(t: Tables) -> DataFrame:
-    return predictions(models.svm_fit(vectors(t), "label", ["v"]), vectors(t), "vec_id")
+    return predictions(lambda train: models.svm_fit(train, "label", ["v"]), vectors(t), "vec_id")
 
 
 @query("bayes")
 def bayes(t: Tables) -> DataFrame:
-    return predictions(models.bayes_fit(vectors(t), "label", ["v"]), vectors(t), "vec_id")
+    return predictions(lambda train: models.bayes_fit(train, "label", ["v"]), vectors(t), "vec_id")
 
 
 @query("mlp")
 def mlp(t: Tables) -> DataFrame:
     width = t.embeddings.select(F.size("embedding")).first()[0]
-    return predictions(models.mlp_fit(vectors(t), "label", ["v"], width=width), vectors(t), "vec_id")
+    return predictions(lambda train: models.mlp_fit(train, "label", ["v"], width=width), vectors(t), "vec_id")
 
 
 @query("text_bayes")
@@ -118,7 +122,7 @@ def text_bayes(t: Tables) -> DataFrame:
     """Quality of documents from word counts."""
     rows = t.labels.join(t.documents.select("doc_id", "text"), "doc_id").withColumn("label", F.col("quality"))
     pipeline = Pipeline(stages=[encode.text_vectorizer("text"), C.NaiveBayes(labelCol="label", modelType="gaussian")])
-    return predictions(pipeline.fit(rows), rows, "doc_id")
+    return predictions(pipeline.fit, rows, "doc_id")
 
 
 @query("kmeans_curve")
@@ -158,8 +162,6 @@ def cross_validate(t: Tables) -> DataFrame:
 
 @query("classify")
 def classify(t: Tables) -> DataFrame:
-    from panelkit.operators.rows import split_train_test
-
     rows = split_train_test(clients(t), "c_custkey", 0.25)
     out = models.classify(rows, "label", CLIENT_FEATURES, C.LogisticRegression(labelCol="label"), F.col("is_test") == 1)
     return out.select("c_custkey", "label", "prediction")
