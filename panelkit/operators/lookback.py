@@ -190,13 +190,36 @@ def collapsed_rows(panel: DataFrame, days: DataFrame, key: list[str], rd: str, d
 
 def lookback_distinct(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts: str, span: Span, item: str,
                       conditions: dict[str, Column]) -> DataFrame:
-    """Distinct items per panel row and condition, 0 for an empty window."""
+    """Distinct items per panel row and condition, 0 for an empty window.
+
+    The panel dates whose windows hold a day lie next to each other. So each day of an item is one stretch of
+    panel dates, cut where the item's next day takes over, and the items of a date are the stretches begun
+    minus those ended: no log row is repeated for the dates that see it.
+    """
     flags = [F.max(F.when(cond, 1).otherwise(0)).alias(name) for name, cond in conditions.items()]
     items = (log.where(F.col(item).isNotNull() & F.col(ts).isNotNull())
-             .groupBy(*key, F.col(ts).cast("date").alias("_ts"), item).agg(*flags))
-    hits = lookback_rows(panel, items, key, rd, "_ts", span)
-    per_item = hits.groupBy(*key, rd, item).agg(*[F.max(n).alias(n) for n in conditions])
-    found = per_item.groupBy(*key, rd).agg(*[F.sum(n).alias(n) for n in conditions])
+             .groupBy(*key, F.col(ts).cast("date").alias("_day"), item).agg(*flags))
+    names = F.filter(F.array(*[F.when(F.col(n) == 1, F.lit(n)) for n in conditions]), lambda n: n.isNotNull())
+    seen = items.select(*key, "_day", item, F.explode(names).alias("_name"))
+    days = items.select(*key, "_day").distinct().withColumn("_bucket", _bucket("_day", [span]))
+    dates = panel.select(*key, rd).distinct()
+    reach = (_bucketed(dates, key, rd, [span]).join(days, [*key, "_bucket"]).where(span.holds(0, F.col("_day")))
+             .groupBy(*key, "_day").agg(F.min(rd).alias("_first"), F.max(rd).alias("_last")))
+    placed = skew_join(seen, reach, [*key, "_day"])
+    order = W.partitionBy(*key, item, "_name").orderBy("_day")
+    placed = placed.withColumn("_next", F.lead("_first").over(order))
+    over = F.coalesce(F.col("_next") <= F.col("_last"), F.lit(False))
+    steps = F.array(F.struct(F.col("_first").alias("_at"), F.lit(1).alias("_now"), F.lit(0).alias("_then")),
+                    F.struct(F.when(over, F.col("_next")).otherwise(F.col("_last")).alias("_at"),
+                             F.when(over, -1).otherwise(0).alias("_now"), F.when(over, 0).otherwise(-1).alias("_then")))
+    steps = placed.select(*key, "_name", F.inline(steps))
+    sums = steps.groupBy(*key, F.col("_at").alias(rd)).agg(
+        *[F.sum(F.when(F.col("_name") == n, F.col(c)).otherwise(0)).alias(f"{c}_{n}") for n in conditions for c in ("_now", "_then")])
+    line = dates.join(sums, [*key, rd], "left").fillna(0, [f"{c}_{n}" for n in conditions for c in ("_now", "_then")])
+    upto = W.partitionBy(*key).orderBy(rd).rowsBetween(W.unboundedPreceding, W.currentRow)
+    before = W.partitionBy(*key).orderBy(rd).rowsBetween(W.unboundedPreceding, -1)
+    found = line.select(*key, rd, *[(F.sum(f"_now_{n}").over(upto) + F.coalesce(F.sum(f"_then_{n}").over(before), F.lit(0)))
+                                    .cast("long").alias(n) for n in conditions])
     return panel.join(found, [*key, rd], "left").fillna(0, list(conditions))
 
 
