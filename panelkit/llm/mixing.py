@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from panelkit import scale
-from panelkit.llm.common import WORD_BREAKS, parts_for, written
+from panelkit.llm.common import WORD_BREAKS, written
 
 #: Weights of the sources in the order of their names, repeating.
 WEIGHTS = (3, 1, 2)
