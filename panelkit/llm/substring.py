@@ -10,7 +10,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import Words, runs, signed, slices, mix, words, written
+from panelkit import scale
+from panelkit.llm.common import BROADCAST_BYTES, Words, mix, runs, signed, slices, words, written
 
 #: Words of a factor that counts as a duplicate.
 WINDOW = 50
@@ -153,11 +154,11 @@ def repeats(docs: DataFrame) -> DataFrame:
     # whole blocks settle themselves; blocks that share an anchor but not all words meet window by window
     edges = (index.groupBy("anchor").agg(F.min("r.doc_id").alias("a"), F.max("r.doc_id").alias("b"))
              .where("a < b").select("anchor"))
-    asked = index.join(edges, "anchor", "left_semi").groupBy("r.doc_id", "r._text").agg(
+    asked = written(index.join(edges, "anchor", "left_semi").groupBy("r.doc_id", "r._text").agg(
         F.collect_list(F.struct(F.col("r.place").alias("place"), "n", "anchor", "content", F.col("r.doc_id").alias("least")))
-        .alias("blocks"))
+        .alias("blocks")))
     texts = docs.select("doc_id", F.xxhash64("text").alias("_text"), "text")
-    windows = written(texts.join(asked, ["doc_id", "_text"]).select("doc_id", "text", "blocks").mapInArrow(
+    windows = written(_joined(texts, asked, False).select("doc_id", "text", "blocks").mapInArrow(
         _edge_windows, "anchor long, content long, n int, nth int, window long, least long").distinct())
     first = windows.groupBy("anchor", "window").agg(F.min("least").alias("lo"), F.max("least").alias("hi")).where("lo < hi")
     masks = (windows.join(first, ["anchor", "window"]).where("least > lo").groupBy(*key)
@@ -169,6 +170,23 @@ def repeats(docs: DataFrame) -> DataFrame:
             .where("mask is not null"))
 
 
+def _joined(texts: DataFrame, found: DataFrame, keep_all: bool) -> DataFrame:
+    """Texts with their row of ``found``; with ``keep_all`` also all other texts, with nulls.
+
+    While the keys of ``found`` are small enough to be sent to every executor, only texts that have a row are
+    moved; beyond, all texts are.
+    """
+    keys, cols = ["doc_id", "_text"], [c for c in found.columns if c not in ("doc_id", "_text")]
+    ids = written(found.select(*keys))
+    if not scale.small(ids, BROADCAST_BYTES):
+        return texts.join(found, keys, "left" if keep_all else "inner")
+    hit = texts.join(F.broadcast(ids), keys, "left_semi").join(found, keys)
+    if not keep_all:
+        return hit
+    rest = texts.join(F.broadcast(ids), keys, "left_anti")
+    return hit.unionByName(rest.select("*", *[F.lit(None).cast(found.schema[c].dataType).alias(c) for c in cols]))
+
+
 def remove(docs: DataFrame) -> DataFrame:
     """Every document without its repeated passages (needs doc_id, text): n_words, n_removed, kept_sha256, kept, factors.
 
@@ -180,9 +198,9 @@ def remove(docs: DataFrame) -> DataFrame:
     below WINDOW words lose nothing; rows with equal doc_id are not earlier than one another, and a null
     doc_id is neither a reference nor cut. An empty table gives no rows; extra columns are left out.
     """
-    found = repeats(docs).groupBy("doc_id", "_text").agg(F.collect_set(F.struct("place", "n", "mask")).alias("ranges"))
+    found = written(repeats(docs).groupBy("doc_id", "_text").agg(F.collect_set(F.struct("place", "n", "mask")).alias("ranges")))
     texts = docs.select("doc_id", F.xxhash64("text").alias("_text"), F.coalesce("text", F.lit("")).alias("text"))
     kind = docs.schema["doc_id"].dataType.simpleString()
-    return texts.join(found, ["doc_id", "_text"], "left").select("doc_id", "text", "ranges").mapInArrow(
+    return _joined(texts, found, True).select("doc_id", "text", "ranges").mapInArrow(
         _cut, f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string, kept string, "
               "factors array<struct<start:long,end:long>>")
