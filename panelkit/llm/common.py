@@ -77,10 +77,12 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column and the offsets of its rows; null counts as empty."""
     if column.null_count:
         column = column.fill_null("")
-    column = column.cast(pa.large_string())
     n = len(column)
+    if not n:
+        return np.zeros(0, np.uint8), np.zeros(1, np.int64)
     _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, np.int64, n + 1, column.offset * 8) if n else np.zeros(1, np.int64)
+    kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    at = np.frombuffer(offsets, kind, n + 1, column.offset * kind().itemsize).astype(np.int64)
     raw = np.frombuffer(data, np.uint8) if data is not None and data.size else np.zeros(0, np.uint8)
     return raw[at[0]:at[-1]], at - at[0]
 
@@ -93,6 +95,7 @@ def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]
         b = max(a + 1, int(np.searchsorted(at, at[a] + SLICE_BYTES, "right")) - 1)
         yield a, b, raw[at[a]:at[b]], at[a:b + 1] - at[a]
         a = b
+    pa.default_memory_pool().release_unused()  # a worker's share of memory is small: freed batches go back at once
 
 
 def words(raw: np.ndarray, at: np.ndarray, lower: bool = False) -> Words:

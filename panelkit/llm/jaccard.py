@@ -17,7 +17,7 @@ SHINGLE = 5
 PERCENT = 80
 #: Entries of one part of the counting index, and entries a task gathers before it hands them on.
 PART_ENTRIES = 2_000_000
-BATCH_ENTRIES = 1_000_000
+BATCH_ENTRIES = 500_000
 #: Minima and bands that pick each set's first partner; they only order the work.
 BANDS, BAND_ROWS = 4, 2
 
@@ -126,9 +126,17 @@ def _entries(parts: int, percent: int):
     return emit
 
 
+def _packed(column: pa.Array) -> np.ndarray:
+    """The 64-bit numbers of all rows of a binary column, one after the other."""
+    at = np.frombuffer(column.buffers()[1], np.int32, len(column) + 1, 4 * column.offset) if len(column) else [0, 0]
+    data = column.buffers()[2]
+    return np.frombuffer(data, np.uint64, (at[-1] - at[0]) // 8, int(at[0])) if data is not None and at[-1] > at[0] else np.zeros(0, np.uint64)
+
+
 def _count_shared(table: pa.Table) -> pa.Table:
     """For one part of the index: how many of its hashes each set shares with another set."""
-    cols = {c: np.frombuffer(b"".join(table[c].to_pylist()), np.uint64) for c in ("hashes", "sets", "shared", "ids", "counts")}
+    cols = {c: np.concatenate([_packed(x) for x in table[c].chunks] or [np.zeros(0, np.uint64)])
+            for c in ("hashes", "sets", "shared", "ids", "counts")}
     if len(cols["hashes"]):
         h, sig = _unique_pairs(np.stack([cols["hashes"], cols["sets"]]))
         same = np.zeros(len(h), bool)
