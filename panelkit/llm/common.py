@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -16,6 +17,8 @@ from panelkit import scale
 SLICE_BYTES = 1 << 20
 #: Most bytes, as JSON text, of a written table that is sent to every executor.
 BROADCAST_BYTES = 16 << 20
+#: Name under which a worker process keeps the word tables of tokenizers.
+WORD_TABLES = "_panelkit_word_tables"
 #: What separates words: space, tab, line feed, vertical tab, form feed, carriage return.
 WORD_BREAKS = " \t\n\x0b\f\r"
 
@@ -75,6 +78,7 @@ _LOWER[65:91] += 32
 
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a text column and the offsets of its rows; null counts as empty."""
+    vars(sys.modules.get("tokenizers", sys)).pop(WORD_TABLES, None)  # this worker does other work now
     if column.null_count:
         column = column.fill_null("")
     n = len(column)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import parts_for, written
+from panelkit.llm.common import WORD_TABLES, parts_for, written
 
 #: Pieces packed together by one task.
 GROUP_PIECES = 16_384
@@ -44,15 +44,15 @@ class WordIds:
     def __init__(self, path: str, limit: int = CACHE_WORDS):
         from tokenizers import Tokenizer, pre_tokenizers
 
-        self.tokenizer = Tokenizer.from_file(path)
-        suffix = self.tokenizer.model.end_of_word_suffix
-        vocab = self.tokenizer.get_vocab()
+        # parts come normalised and cut, each once: what is left to do is to merge their bytes
+        self.merger = Tokenizer.from_file(path)
+        self.path, self.plain = path, None
+        suffix = self.merger.model.end_of_word_suffix
+        vocab = self.merger.get_vocab()
         self.ends = np.zeros(max(vocab.values()) + 1, bool)
         if suffix:
             self.ends[[i for t, i in vocab.items() if t.endswith(suffix)]] = True
         self.by_part = bool(suffix)
-        # parts come normalised and cut, each once: what is left to do is to merge their bytes
-        self.merger = Tokenizer.from_file(path)
         self.merger.normalizer = None
         self.merger.pre_tokenizer = pre_tokenizers.Sequence([pre_tokenizers.Split(" ", "removed"),
                                                              pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)])
@@ -84,7 +84,9 @@ class WordIds:
         self._learn_parts(list(set(parts).difference(self.parts)))
         ids = b"".join(map(self.parts.__getitem__, parts)).split(_GAP) if plain else []
         self.known.update(zip(plain, ids))
-        for word, e in zip(whole, self.tokenizer.encode_batch_fast(whole, add_special_tokens=False)):
+        if whole and self.plain is None:
+            self.plain = type(self.merger).from_file(self.path)
+        for word, e in zip(whole, self.plain.encode_batch_fast(whole, add_special_tokens=False) if whole else ()):
             self.known[word] = np.asarray(e.ids, "<u4").tobytes()
 
     def of(self, texts: list[str]) -> list[bytes]:
@@ -101,11 +103,12 @@ class WordIds:
 def shared_words(path: str) -> WordIds:
     """The table of a worker process, which its tasks fill together; it is bounded by CACHE_WORDS.
 
-    It hangs on the tokenizer library because the functions of this package come anew with every task.
+    It hangs on the tokenizer library because the functions of this package come anew with every task. A worker
+    that turns to another operator of this package gives it back.
     """
     import tokenizers
 
-    held = tokenizers.__dict__.setdefault("_word_ids", {})
+    held = tokenizers.__dict__.setdefault(WORD_TABLES, {})
     if path not in held:
         held[path] = WordIds(path)
     return held[path]
