@@ -25,8 +25,9 @@ STEP_CHARS = 1 << 20
 TEXTS = 256
 
 
-#: Words whose parts can be cut here just as the tokenizer cuts them: printable ASCII and Latin letters.
-_PLAIN = re.compile("[!-~\u00c0-\u024f]+")
+#: Words whose parts can be cut here just as the tokenizer cuts them: printable ASCII and Latin letters. Letters whose
+#: lower-case form lies beyond that range (such as U+018F) are left to the tokenizer.
+_PLAIN = re.compile("[!-~" + "".join(c for c in map(chr, range(0xc0, 0x250)) if max(c.lower()) < "\u0250") + "]+")
 _PARTS = re.compile("'s|'t|'re|'ve|'m|'ll|'d|[a-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+|[0-9]| |[^ a-z0-9\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+")
 
 #: Stands for the space between two words while their ids are joined; no id is as large.

@@ -227,6 +227,17 @@ def test_word_ids_are_the_tokenizers():
             assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids
 
 
+def test_word_ids_of_every_latin_letter():
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    tok, words = Tokenizer.from_file(path), packing.WordIds(path)
+    letters = [chr(c) for c in (*range(0x21, 0x7f), *range(0xc0, 0x250))]
+    texts = [w.format(c) for c in letters for w in ("{}", "{}li", "a{}", "b{}a", "é{}é", "1{}'s", "{0}{0}-x")] + ["Əli Ɛnam Ɔkyena Ɓata"]
+    for t, ids in zip(texts, words.of(texts)):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((700, 12)).round(2) / 4
