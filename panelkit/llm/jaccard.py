@@ -303,10 +303,13 @@ def links(docs: DataFrame, texts: DataFrame, named: DataFrame, percent: int, par
         _entries(parts, percent), "part int, hashes binary, sets binary, shared binary, ids binary, counts binary")
     shared = packed.groupBy("part").applyInArrow(_count_shared, "sig long, shared long")
     shared = shared.groupBy("sig").agg(F.sum("shared").alias("shared"))
-    reps = named.where("n > 0").groupBy("sig", "n").agg(F.min(F.struct("doc_id", "_text")).alias("r"))
+    # a row with an id stands for its set where there is one, so rows without are looked up for few sets
+    reps = named.where("n > 0").groupBy("sig", "n").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "_text")).alias("r"))
     live = written(reps.join(shared, "sig").where(F.col("shared") >= _meetings(F.col("n"), percent))
                    .select("sig", "n", "shared", "r.doc_id", "r._text"))
-    sets = written(texts.join(sized(live.select("sig", "n", "doc_id", "_text")), ["doc_id", "_text"]).dropDuplicates(["sig"]).select("sig", "n", "text")
+    picked = sized(live.select("sig", "n", F.col("doc_id").alias("_id"), F.col("_text").alias("_hash")))
+    same = F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("_text") == F.col("_hash"))
+    sets = written(texts.join(picked, same).dropDuplicates(["sig"]).select("sig", "n", "text")
                    .mapInArrow(_elements, "sig long, n long, elems binary"))
     keys = sets.select("sig", "elems").mapInArrow(_band_keys, "sig long, key long")
     keys = written(keys)

@@ -154,6 +154,19 @@ def test_jaccard_odd(spark, odd):
     assert collections.Counter(r["doc_id"] for r in kept.collect()) == collections.Counter([0, 2, 3, 4, 5, 6, None, 7, 8, 9])
 
 
+def test_jaccard_links_sets_of_rows_without_id(spark):
+    rng = random.Random(9)
+    text = lambda: [f"w{rng.randrange(3000)}" for _ in range(100)]
+    one, two, chain = text(), text(), text()
+    docs = [(None, one), (5, one), (7, one + ["x"]), (None, two), (8, two + ["x"]), (None, two + ["y"]),
+            (11, chain), (None, chain + ["a"] * 12), (12, chain + ["a"] * 12 + text()[:14]), (20, text()), (None, text())]
+    docs = [(d, " ".join(w)) for d, w in docs]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    assert collections.Counter(map(tuple, jaccard.join(df).collect())) == plain_groups(docs)
+    kept = [r["doc_id"] for r in jaccard.keep_one(df).collect()]
+    assert collections.Counter(kept) == collections.Counter([5, 8, 11, 20, None])
+
+
 def plain_spans(t):
     out = [(m.start(), 0, m.end()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
     out += [(m.start(), 1, m.end()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) < 256 for x in m.group().split("."))]
