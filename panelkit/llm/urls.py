@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from dataclasses import dataclass
 
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.llm.common import sized, written
+
 #: Fixed rules: verdict, host, path. A rule fits its host and all subdomains below its path.
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"),
          ("allow", "org", "/fr/"))
@@ -16,8 +18,6 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 MIN_SUPPORT = 0.005
 #: Share of the URLs with a combination that must carry the label.
 MIN_CONFIDENCE = 0.7
-#: Tokens of one URL that enter mining, the most frequent ones; it bounds the combinations. Matching uses all tokens.
-MAX_BASKET = 12
 #: Mined rules that are kept, the most confident ones.
 MAX_RULES = 5_000
 
@@ -63,42 +63,66 @@ class Mined:
     support: float
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-         max_basket: int = MAX_BASKET, max_rules: int = MAX_RULES) -> list[Mined]:
-    """Rules ``tokens -> verdict`` from rows (tokens, verdict or null), by FP-growth over all of them.
+def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
+    """Rules (tokens, verdict, confidence, support) from rows (tokens, verdict or null), a table.
 
     Support and confidence are shares of all rows, labelled or not, so a token common outside the labelled
-    rows cannot carry a verdict. A rule is dropped when one with fewer of its tokens is as confident. At
-    most ``max_rules`` rows reach the driver.
+    rows cannot carry a verdict. All frequent tokens of a row count. A rule is dropped when one with fewer of
+    its tokens is as confident. Sets grow by one token a level; a set that is rare under every verdict, has a
+    subset in the same rows, or has one verdict in all its rows is not grown, since no rule above it would stay.
     """
+    spark = labelled.sparkSession
     n = labelled.count()
-    if not n:
-        return []
-    frequent = (labelled.select(F.explode("tokens").alias("t")).groupBy("t").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") >= min_support * n))
-    ranks = labelled.select(F.monotonically_increasing_id().alias("id"), "verdict", F.explode("tokens").alias("t"))
+    verdicts = sorted(r[0] for r in labelled.select("verdict").where("verdict is not null").distinct().collect())
+    rules = spark.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double")
+    if not verdicts:
+        return rules
+    least = max(1, math.ceil(min_support * n))
+    # numbered in a step of its own: beside explode every token would get a number
+    ranks = labelled.withColumn("id", F.monotonically_increasing_id()).select(
+        "id", "verdict", F.explode(F.array_distinct("tokens")).alias("t"))
     # at most 1 / min_support tokens per place in a basket are frequent, so their table is small
-    baskets = (ranks.join(F.broadcast(frequent), "t").groupBy("id", "verdict")
-               .agg(F.sort_array(F.collect_list(F.struct("n", "t")), asc=False).alias("s"))
-               .select(F.concat(F.slice(F.transform("s", lambda x: x["t"]), 1, max_basket),
-                                F.when(F.col("verdict").isNotNull(), F.array(F.concat(F.lit("="), "verdict")))
-                                .otherwise(F.array())).alias("items")))
-    model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(baskets)
-    found = (model.associationRules.where(F.startswith(F.col("consequent")[0], F.lit("=")))
-             .where(~F.exists("antecedent", lambda t: F.startswith(t, F.lit("="))))
-             .select(F.array_sort("antecedent").alias("tokens"), F.substring(F.col("consequent")[0], 2, 99).alias("verdict"),
-                     "confidence", "support")
-             .orderBy(F.col("confidence").desc(), F.size("tokens"), F.col("support").desc(), "tokens", "verdict")
-             .limit(max_rules).collect())
-    kept: list[Mined] = []
-    by_first: dict[str, list[tuple[frozenset, str, float]]] = {}
-    for r in sorted(found, key=lambda r: (len(r["tokens"]), r["tokens"], r["verdict"])):
-        own = frozenset(r["tokens"])
-        if any(x < own and v == r["verdict"] and c >= r["confidence"] for t in own for x, v, c in by_first.get(t, ())):
-            continue
-        by_first.setdefault(min(own), []).append((own, r["verdict"], r["confidence"]))
-        kept.append(Mined(tuple(r["tokens"]), r["verdict"], r["confidence"], r["support"]))
-    return kept
+    frequent = (ranks.where("verdict is not null").groupBy("t", "verdict").agg(F.count(F.lit(1)).alias("n"))
+                .where(F.col("n") >= least).select("t").distinct())
+    baskets = ranks.join(F.broadcast(frequent), "t").groupBy("id", "verdict").agg(F.sort_array(F.collect_list("t")).alias("rest"))
+    baskets = baskets.groupBy("rest", "verdict").agg(F.count(F.lit(1)).alias("w"))
+    seen, before, level = written(baskets.withColumn("set", F.expr("cast(array() as array<string>)"))), None, 0
+    while not seen.isEmpty():
+        level += 1
+        # a row stands for equal baskets and one of their sets; rest holds the tokens after the set's last
+        seen = seen.select("verdict", "w", F.posexplode("rest").alias("at", "t"), "rest", "set").select(
+            "verdict", "w", F.concat("set", F.array("t")).alias("set"), F.expr("slice(rest, at + 2, size(rest))").alias("rest"))
+        by_verdict = F.array(*[F.sum(F.when(F.col("verdict") == v, F.col("w")).otherwise(0)) for v in verdicts])
+        sets = seen.groupBy("set").agg(F.sum("w").alias("n"), by_verdict.alias("c")).where(F.array_max("c") >= least)
+        sets = sets.withColumn("sure", F.transform("c", lambda x: x / F.col("n")))
+        if before is None:
+            sets = sets.withColumn("best", F.transform("c", lambda x: F.lit(-1.0)))
+        else:
+            subsets = sets.select("*", F.explode(F.transform("set", lambda t: F.array_remove("set", t))).alias("sub"))
+            met = subsets.join(sized(before), "sub").groupBy("set").agg(
+                F.first("n").alias("n"), F.first("c").alias("c"), F.first("sure").alias("sure"), F.count(F.lit(1)).alias("k"),
+                F.min("sub_n").alias("sub_n"), F.array(*[F.max(F.col("sub_best")[i]) for i in range(len(verdicts))]).alias("best"))
+            sets = met.where((F.col("k") == level) & (F.col("sub_n") > F.col("n"))).select("set", "n", "c", "sure", "best")
+        sets = written(sets)
+        for i, v in enumerate(verdicts):
+            sure, count = F.col("sure")[i], F.col("c")[i]
+            rules = rules.unionByName(
+                sets.where((count >= least) & (sure >= min_confidence) & (sure > F.col("best")[i]))
+                .select(F.col("set").alias("tokens"), F.lit(v).alias("verdict"), sure.alias("confidence"), (count / n).alias("support")))
+        before = written(sets.where(F.array_max("c") < F.col("n")).select(
+            F.col("set").alias("sub"), F.col("n").alias("sub_n"),
+            F.zip_with("sure", "best", lambda x, y: F.greatest(x, y)).alias("sub_best")))
+        live = sized(before).select(F.col("sub").alias("set"))
+        seen = written(seen.where(F.size("rest") > 0).join(live, "set"))
+    return rules
+
+
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
+         max_rules: int = MAX_RULES) -> list[Mined]:
+    """The rules of ``mined_rules`` in the driver, at most ``max_rules``, the most confident ones."""
+    found = mined_rules(labelled, min_support, min_confidence).orderBy(
+        F.col("confidence").desc(), F.size("tokens"), F.col("support").desc(), "tokens", "verdict").limit(max_rules).collect()
+    return [Mined(tuple(r["tokens"]), r["verdict"], r["confidence"], r["support"]) for r in found]
 
 
 def match(rows: DataFrame, mined: list[Mined], default: str = "allow") -> DataFrame:
@@ -130,7 +154,7 @@ def match(rows: DataFrame, mined: list[Mined], default: str = "allow") -> DataFr
 def judge(pages: DataFrame, rules=RULES, **mining) -> DataFrame:
     """Host, path, fitting fixed rule and verdict of every page (needs page_id, url).
 
-    URLs with a fixed rule are the labelled ones; FP-growth mines token combinations from all URLs with
+    URLs with a fixed rule are the labelled ones; level-wise counting mines token combinations from all URLs with
     those labels, and URLs without a rule get the verdict of the best mined rule they match, or allow. Null
     URLs and URLs without ``://`` have empty host and path and no tokens, so they are allowed. Repeated
     rows are judged each. An empty table gives no rows; extra columns are left out.

@@ -1,6 +1,7 @@
 """Quality rules, URL filters, sharding, mixing, packing and search against plain versions."""
 
 import collections
+import itertools
 import random
 import re
 import zlib
@@ -88,6 +89,32 @@ def test_mined_rules_match_by_their_tokens(spark):
     assert found[(("y",), "block")] == 1.0 and (("x", "y"), "block") not in found and (("x",), "block") not in found
 
 
+def plain_rules(rows, least, sure):
+    """All rules of small token sets by counting every combination."""
+    found = {}
+    for k in range(1, max(len(t) for t, _ in rows) + 1):
+        for x in {c for t, _ in rows for c in itertools.combinations(sorted(t), k)}:
+            hits = [v for t, v in rows if set(x) <= set(t)]
+            for v in {"block", "allow"}:
+                c = hits.count(v)
+                if c >= least and c / len(hits) >= sure and not any(set(y) < set(x) and found[y, w] >= c / len(hits) for y, w in found if w == v):
+                    found[x, v] = c / len(hits)
+    return found
+
+
+def test_mined_rules_count_every_token(spark):
+    rng = random.Random(6)
+    rows = [(["t%d" % i for i in range(6) if rng.random() < 0.6], rng.choice(["block", "block", "allow", None])) for _ in range(120)]
+    rows = [(t, "block" if {"t0", "t3"} <= set(t) and rng.random() < 0.9 else v) for t, v in rows]
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    assert {(m.tokens, m.verdict): m.confidence for m in urls.mine(df, min_support=0.05)} == plain_rules(rows, 6, 0.7)
+    # the one telling token is the rarest of a URL with 16 frequent ones
+    common = [f"c{i:02}" for i in range(15)]
+    rows = [([*common, "rare"], "block")] * 10 + [(common, None)] * 90
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    assert [(m.tokens, m.verdict, m.confidence) for m in urls.mine(df)] == [(("rare",), "block", 1.0)]
+
+
 def test_shards(spark, odd):
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "copy").otherwise(F.col("id").cast("string")).alias("text"))
     for df in (many, odd):
