@@ -8,6 +8,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit import scale
 from panelkit.llm.common import sized, written
 
 #: Fixed rules: verdict, host, path. A rule fits its host and all subdomains below its path.
@@ -18,8 +19,6 @@ RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "exa
 MIN_SUPPORT = 0.005
 #: Share of the URLs with a combination that must carry the label.
 MIN_CONFIDENCE = 0.7
-#: Mined rules that are kept, the most confident ones.
-MAX_RULES = 5_000
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -117,34 +116,36 @@ def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confi
     return rules
 
 
-def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE,
-         max_rules: int = MAX_RULES) -> list[Mined]:
-    """The rules of ``mined_rules`` in the driver, at most ``max_rules``, the most confident ones."""
-    found = mined_rules(labelled, min_support, min_confidence).orderBy(
-        F.col("confidence").desc(), F.size("tokens"), F.col("support").desc(), "tokens", "verdict").limit(max_rules).collect()
+def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> list[Mined]:
+    """The rules of ``mined_rules`` as a list in the driver, for small tables."""
+    found = mined_rules(labelled, min_support, min_confidence).collect()
     return [Mined(tuple(r["tokens"]), r["verdict"], r["confidence"], r["support"]) for r in found]
 
 
-def match(rows: DataFrame, mined: list[Mined], default: str = "allow") -> DataFrame:
+def match(rows: DataFrame, mined: list[Mined] | DataFrame, default: str = "allow") -> DataFrame:
     """Adds ``mined`` and ``mined_verdict``: the most confident rule whose tokens the row all has.
 
     An inverted index holds each rule under one of its tokens; a row looks its tokens up and checks the rest
     of the rules it meets. Ties go to more tokens, then to block, then to the smaller token list. Without a
     match the verdict is ``default``. ``rows`` needs ``tokens``.
     """
-    spark = rows.sparkSession
-    count: dict[str, int] = {}
-    for m in mined:
-        for t in m.tokens:
-            count[t] = count.get(t, 0) + 1
-    index = spark.createDataFrame(
-        [(min(m.tokens, key=lambda t: (count[t], t)), list(m.tokens), m.verdict, m.confidence) for m in mined]
-        + [("", [], default, -1.0)], "lead string, needs array<string>, found string, confidence double")
+    if not isinstance(mined, DataFrame):
+        mined = rows.sparkSession.createDataFrame([(list(m.tokens), m.verdict, m.confidence) for m in mined],
+                                                  "tokens array<string>, verdict string, confidence double")
+    index = written(mined.select(F.monotonically_increasing_id().alias("id"), F.col("tokens").alias("needs"),
+                                 F.col("verdict").alias("found"), "confidence"))
+    each = index.select("id", F.explode("needs").alias("t"))
+    rarest = each.join(each.groupBy("t").agg(F.count(F.lit(1)).alias("k")), "t").groupBy("id").agg(F.min(F.struct("k", "t")).alias("m"))
+    index = index.join(rarest, "id").select(F.col("m.t").alias("lead"), "needs", "found", "confidence")
     keys = [c for c in rows.columns if c != "tokens"]
     # a row number parts equal rows; the rows of one number are neighbours, so sums inside the task shrink them to one
     seen = rows.withColumn("_row", F.monotonically_increasing_id()).select(
         "*", F.explode(F.concat(F.col("tokens"), F.array(F.lit("")))).alias("lead"))
-    hits = seen.join(F.broadcast(index), "lead").where(F.size(F.array_except("needs", "tokens")) == 0)
+    # a small index is sent to all, a large one is joined by lead with hot tokens dealt apart; the row's own entry has no rule
+    hits = scale.lookup_join(seen, index, ["lead"]).where(
+        (F.col("lead") == "") | (F.size(F.array_except("needs", "tokens")) == 0)).select(
+        "_row", *keys, F.coalesce("needs", F.array().cast("array<string>")).alias("needs"),
+        F.coalesce("found", F.lit(default)).alias("found"), F.coalesce("confidence", F.lit(-1.0)).alias("confidence"))
     best = F.max(F.struct("confidence", F.size("needs").alias("k"), (F.col("found") == "block").alias("b"),
                           F.concat_ws(" ", "needs").alias("mined"), F.col("found").alias("v")))
     return (hits.groupBy("_row", *keys).agg(best.alias("_b"))
@@ -164,7 +165,7 @@ def judge(pages: DataFrame, rules=RULES, **mining) -> DataFrame:
     rows = rows.withColumn("_f", fixed_rule(F.col("host"), F.col("path"), rules)).select(
         "page_id", "host", "path", F.col("_f.rule").alias("rule"), F.col("_f.verdict").alias("_fixed"),
         tokens(url, F.col("host"), F.col("path")).alias("tokens"))
-    mined = mine(rows.select("tokens", F.col("_fixed").alias("verdict")), **mining)
+    mined = mined_rules(rows.select("tokens", F.col("_fixed").alias("verdict")), **mining)
     return match(rows, mined).select("page_id", "host", "path", "rule",
                                      F.coalesce("_fixed", "mined_verdict").alias("verdict"),
                                      F.when(F.col("rule").isNull(), F.col("mined")).alias("mined"))

@@ -115,6 +115,18 @@ def test_mined_rules_count_every_token(spark):
     assert [(m.tokens, m.verdict, m.confidence) for m in urls.mine(df)] == [(("rare",), "block", 1.0)]
 
 
+def test_less_confident_rules_stand_beside_many_certain_ones(spark):
+    # one certain token among 12 others: 4,095 redundant supersets; two such groups fill more than 5,000 places
+    rows = [([f"{g}{i:02}" for i in range(13)], "block") for g in "ab" for _ in range(10)]
+    rows += [(["weak"], "block")] * 8 + [(["weak"], None)] * 2
+    df = spark.createDataFrame(rows, "tokens array<string>, verdict string")
+    rules = urls.mined_rules(df, min_support=0.1)
+    got = {(tuple(r["tokens"]), r["verdict"]): r["confidence"] for r in rules.collect()}
+    assert got == {((f"{g}{i:02}",), "block"): 1.0 for g in "ab" for i in range(13)} | {(("weak",), "block"): 0.8}
+    pages = spark.createDataFrame([(1, ["weak"]), (2, ["a03", "weak"]), (3, ["none"])], "k int, tokens array<string>")
+    assert sorted(map(tuple, urls.match(pages, rules).collect())) == [(1, "weak", "block"), (2, "a03", "block"), (3, None, "allow")]
+
+
 def test_shards(spark, odd):
     many = spark.range(4000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 3 == 0, "copy").otherwise(F.col("id").cast("string")).alias("text"))
     for df in (many, odd):
