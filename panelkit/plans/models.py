@@ -17,8 +17,6 @@ from panelkit.plans.registry import query
 from panelkit.scale import checkpoint
 from panelkit.tables import Tables
 
-#: Boosting rounds of the registered queries; the operators' own default is 100.
-ROUNDS = 10
 CLIENT_FEATURES = ["c_acctbal", "c_nationkey", "orders", "spend", "urgent"]
 
 
@@ -73,13 +71,13 @@ for _kind in ("tree", "forest", "boosted"):
     @query({"tree": "trees", "forest": "forests", "boosted": "boosted"}[_kind])
     def _classifier(t: Tables, kind: str = _kind) -> DataFrame:
         rows = clients(t)
-        return predictions(lambda train: models.tree_fit(train, "label", CLIENT_FEATURES, kind, rounds=ROUNDS), rows, "c_custkey")
+        return predictions(lambda train: models.tree_fit(train, "label", CLIENT_FEATURES, kind), rows, "c_custkey")
 
     @query(f"{_kind}_regression")
     def _regression(t: Tables, kind: str = _kind) -> DataFrame:
         rows = clients(t)
         cols = ["c_acctbal", "c_nationkey", "orders", "urgent"]
-        return predictions(lambda train: models.tree_fit(train, "spend", cols, f"{kind}_regression", rounds=ROUNDS), rows, "c_custkey", "spend")
+        return predictions(lambda train: models.tree_fit(train, "spend", cols, f"{kind}_regression"), rows, "c_custkey", "spend")
 
 
 @query("linear_regression", """WITH m AS (SELECT AVG(p_size) AS mx, AVG(p_partkey) AS mz, AVG(p_retailprice) AS my,

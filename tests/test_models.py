@@ -250,3 +250,26 @@ def test_original_price_stands_next_to_the_best(spark):
     before = spark.createDataFrame([(1, 0.06, 0.12, 12.0), (2, 0.07, 0.0, 6.0)], "client int, r double, c double, n double")
     out = rows(pricing.with_original(best, before, ["client"], "r", "c", "n").select("client", "rate", "original_rate", F.round("original_margin", 6)))
     assert out == [(1, 0.05, 0.06, 0.26), (2, 0.1, 0.07, 0.07)]
+
+
+@pytest.mark.parametrize("name", ["boosted", "boosted_regression"])
+def test_boosting_queries_use_the_default_rounds(spark, monkeypatch, name):
+    import inspect
+
+    from panelkit.operators import models as operators
+    from panelkit.plans import registry
+
+    class Called(Exception):
+        pass
+
+    plain = inspect.signature(operators.tree_fit)
+
+    def fit(*args, **named):
+        call = plain.bind(*args, **named)
+        call.apply_defaults()
+        raise Called(call.arguments["rounds"])
+
+    registry.load()
+    monkeypatch.setattr(operators, "tree_fit", fit)
+    with pytest.raises(Called, match="^100$"):
+        registry.QUERIES[name](spark, "/root/testdata/sf0.001")
