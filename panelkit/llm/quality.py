@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit import scale
 from panelkit.llm.common import written
 
 #: Frequent words of English, German, French and Spanish prose.
@@ -21,9 +22,9 @@ BREAKS = r"[\x20\x09-\x0D]+"
 CLASSES = {"lower": "[^a-z]+", "upper": "[^A-Z]+", "digit": "[^0-9]+", "accented": r"[^\p{L}&&[^a-zA-Z]]+"}
 N_CLASSES = len(CLASSES) + 3
 
-#: Languages with a reference of their own, the largest ones; all others share one pooled reference.
+#: Languages with a reference of their own in the query's SQL. The operator has one for each, without a limit.
 MAX_LANGUAGES = 256
-#: A reference needs as many words; a smaller language is judged by the pooled reference.
+#: A reference needs as many words; a smaller language has no distance.
 MIN_REFERENCE_WORDS = 2_000
 #: A text needs as many words for the character distance, and as many common words for the word distance.
 MIN_WORDS = 50
@@ -89,11 +90,10 @@ def measures(docs: DataFrame) -> DataFrame:
                        covered.alias("n_repeat_words"), classes.alias("classes"), commons.alias("commons"))
 
 
-def references(measured: DataFrame, max_languages: int = MAX_LANGUAGES,
-               min_words: int = MIN_REFERENCE_WORDS) -> DataFrame:
+def references(measured: DataFrame, min_words: int = MIN_REFERENCE_WORDS) -> DataFrame:
     """Histograms of each language over all its documents: lang (null: the pooled one), p_class, p_word.
 
-    At most ``max_languages + 1`` rows, so the table can be sent to every executor. Documents are summed
+    One row for each language of at least ``min_words`` words, however many there are. Documents are summed
     inside each task first; a task sends one row per language and common word.
     """
     # per language first (few rows), then the pool is the sum of the languages
@@ -101,13 +101,12 @@ def references(measured: DataFrame, max_languages: int = MAX_LANGUAGES,
         F.sum("n_words").alias("n"), *[F.sum(F.col("classes")[k]).alias(f"c{k}") for k in range(N_CLASSES)])
     counts = (measured.select("lang", F.explode("commons").alias("e")).groupBy("lang", F.col("e.word").alias("word"))
               .agg(F.sum("e.n").alias("n")))
-    large = (sums.where(F.col("lang").isNotNull() & (F.col("n") >= min_words))
-             .orderBy(F.col("n").desc(), "lang").limit(max_languages))
+    large = sums.where(F.col("lang").isNotNull() & (F.col("n") >= min_words))
     pooled = sums.agg(*[F.sum(c).alias(c) for c in sums.columns[1:]]).select(F.lit(None).cast("string").alias("lang"), "*")
     total = sum((F.col(f"c{k}") for k in range(1, N_CLASSES)), F.col("c0"))
     shares = F.array(*[F.coalesce(F.col(f"c{k}") / F.nullif(total, F.lit(0)), F.lit(0.0)) for k in range(N_CLASSES)])
     classes = large.unionByName(pooled).select("lang", shares.alias("p_class"))
-    by_word = counts.join(F.broadcast(large.select("lang")), "lang").unionByName(
+    by_word = counts.join(large.select("lang"), "lang").unionByName(
         counts.groupBy("word").agg(F.sum("n").alias("n")).select(F.lit(None).cast("string").alias("lang"), "word", "n"))
     shares = by_word.groupBy("lang").agg(F.sum("n").alias("_all"), F.collect_list(F.struct("word", "n")).alias("_w"))
     shares = shares.select("lang", F.map_from_entries(F.transform(
@@ -128,12 +127,14 @@ def _sum(array: Column) -> Column:
 def judge(measured: DataFrame, reference: DataFrame, min_words: int = MIN_WORDS, min_common: int = MIN_COMMON,
           max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Adds class_distance, word_distance (null below the minimum lengths), base_failed and kept."""
-    own = F.broadcast(reference.where("lang is not null").select(
-        F.col("lang").alias("_lang"), F.col("p_class").alias("_pc"), F.col("p_word").alias("_pw")))
+    own = reference.where("lang is not null").select("lang", F.col("p_class").alias("_pc"), F.col("p_word").alias("_pw"))
     pool = F.broadcast(reference.where("lang is null").select(F.col("p_class").alias("_gc"), F.col("p_word").alias("_gw")))
-    d = measured.join(own, measured["lang"] == F.col("_lang"), "left").withColumn("_one", F.lit(1))
+    d = scale.lookup_join(measured, own, ["lang"]).withColumn("_one", F.lit(1))
     d = d.join(pool.withColumn("_one", F.lit(1)), "_one", "left")
-    d = d.select("*", F.coalesce("_pc", "_gc").alias("_rc"), F.coalesce("_pw", "_gw").alias("_rw"),
+    # only texts of unknown language are held against the pool; a known one without a reference has no distance
+    unknown = F.col("lang").isNull()
+    d = d.select("*", F.when(unknown, F.col("_gc")).otherwise(F.col("_pc")).alias("_rc"),
+                 F.when(unknown, F.col("_gw")).otherwise(F.col("_pw")).alias("_rw"),
                  _all(F.col("classes")).alias("_n"), F.aggregate("commons", F.lit(0).cast("long"),
                                                                  lambda s, e: s + e["n"]).alias("_m"))
     pairs = F.arrays_zip(F.transform("classes", lambda c: c / F.col("_n")).alias("p"), F.col("_rc").alias("q"))
@@ -146,8 +147,8 @@ def judge(measured: DataFrame, reference: DataFrame, min_words: int = MIN_WORDS,
     root = lambda x: F.sqrt(F.greatest(F.lit(0.0), F.least(F.lit(1.0), x)))
     d = d.select(
         *measured.columns,
-        F.when((F.col("n_words") >= min_words) & (F.col("_n") > 0), root(by_class)).alias("class_distance"),
-        F.when((F.col("n_words") >= min_words) & (F.col("_m") >= min_common), root(by_word)).alias("word_distance"))
+        F.when(F.col("_rc").isNotNull() & (F.col("n_words") >= min_words) & (F.col("_n") > 0), root(by_class)).alias("class_distance"),
+        F.when(F.col("_rw").isNotNull() & (F.col("n_words") >= min_words) & (F.col("_m") >= min_common), root(by_word)).alias("word_distance"))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     far = (F.coalesce(F.col("class_distance") > max_class, F.lit(False))
            | F.coalesce(F.col("word_distance") > max_word, F.lit(False)))
@@ -163,8 +164,8 @@ def quality(docs: DataFrame, **limits) -> DataFrame:
 
     One pass over the texts writes the counts; the language references are sums of those counts over all
     documents, and each text is compared with its language's by the Jensen-Shannon distance (root of the
-    divergence, base 2) of character classes and of common words. A language with too few words, or null,
-    is compared with the pooled reference. Null and empty texts have no words and fail the base rule;
+    divergence, base 2) of character classes and of common words. Rows of null language are compared
+    with the pooled reference; a language with too few words for a reference gives no distance. Null and empty texts have no words and fail the base rule;
     repeated rows are judged each; ties do not arise; an empty table gives no rows; extra columns are
     left out. All of it is column functions.
     """

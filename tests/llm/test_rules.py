@@ -57,6 +57,19 @@ def test_quality_distance(spark):
     assert row["class_distance"] == pytest.approx(np.sqrt((half(p, q) + half(q, p)) / 2))
 
 
+def test_quality_references_of_many_and_of_small_languages(spark):
+    rng = random.Random(8)
+    text = lambda letters, n: " ".join("".join(rng.choices(letters, k=5)) for _ in range(n))
+    latin, greek = "abcdefghijklmnop", "αβγδεζηθικλμνξο"
+    rows = [(i, text(latin, 2100), f"l{i:03}") for i in range(257)] + [(300, text(greek, 2050), "el"), (301, text(greek, 100), "small"),
+                                                                      (302, text(greek, 100), None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(4)
+    got = {r["doc_id"]: r for r in quality.quality(docs).where("doc_id >= 300").collect()}
+    assert got[300]["kept"] and got[300]["class_distance"] == pytest.approx(0.0, abs=1e-6)
+    assert got[301]["kept"] and got[301]["class_distance"] is None and got[301]["word_distance"] is None
+    assert not got[302]["kept"] and got[302]["class_distance"] > 0.32
+
+
 def test_urls(spark):
     cases = ["http://A.Net/x?q=1", "https://example.net/en/1#t", "http://sub.example.net/fr/1", "x://example.com/de/a", "http://example.com/d",
              "ftp://org/fr/", "http://o.org?x", "http://net", "http://network/", "no scheme", "", None, "a://b://c/d", "http://www.net:80/x", "://net/\n/x"]
