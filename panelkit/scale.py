@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import re
 import tempfile
 import uuid
 import weakref
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: Most bytes, as JSON text, of a table that is sent to every executor.
 BROADCAST_BYTES = 4 << 20
@@ -38,13 +40,19 @@ def checkpoint(df: DataFrame) -> DataFrame:
     read just the columns they need, and the known size lets small tables be broadcast.
     """
     spark = df.sparkSession
-    ensure_checkpoint_dir(spark)
-    path = f"{spark.sparkContext.getCheckpointDir()}/table-{uuid.uuid4().hex}"
+    path = scratch(spark, "table")
     df.write.parquet(path)
-    _written.append((weakref.ref(spark), path))
     return spark.read.schema(df.schema).parquet(path)
 
 
+def scratch(spark: SparkSession, name: str) -> str:
+    """A new folder name in the shared checkpoint folder; ``release`` deletes what is written there."""
+    ensure_checkpoint_dir(spark)
+    path = f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+    _written.append((weakref.ref(spark), path))
+    return path
+
+
 def release(spark: SparkSession) -> int:
     """Delete the tables that ``checkpoint`` wrote for this session; results still to be read must be gone or kept.
 
@@ -80,6 +88,12 @@ def small(table: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (table.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0) <= max_bytes
 
 
+def is_scan(df: DataFrame) -> bool:
+    """Whether ``df`` only selects from one set of files, so that its rows come in the same order in every run."""
+    nodes = re.findall(r"^[\s:+-]*(\w+)", df._jdf.queryExecution().optimizedPlan().toString(), re.M)
+    return bool(nodes) and {*nodes} <= {"Project", "Filter", "Relation", "RelationV2"}
+
+
 def hot_keys(df: DataFrame, on: list[str], rows_per_part: int = ROWS_PER_PART) -> DataFrame:
     """Keys with more than ``rows_per_part`` rows and the number of parts to split each into.
 
@@ -97,8 +111,9 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
     """Equi join whose hot keys on the left are split into parts; the right side repeats per part.
 
     ``right`` should be small per key. ``how`` is ``inner``, ``left``, ``left_semi`` or ``left_anti``. The hot
-    keys stay a table, however many there are. Rows are dealt to parts by their place, so equal rows part too;
-    rows with a NULL key, which match nothing, are dealt over all tasks.
+    keys stay a table, however many there are. Rows of a hot key are dealt to parts by their place, so equal rows
+    part too; places must not change when a lost task runs again, so a left side that is more than a scan is
+    written first. Rows with a NULL key, which match nothing, are dealt over all tasks by their values.
     """
     if how not in ("inner", "left", "left_semi", "left_anti"):
         raise ValueError(f"skew_join cannot do a {how} join")
@@ -106,13 +121,16 @@ def skew_join(left: DataFrame, right: DataFrame, on: list[str], how: str = "inne
     no_key = F.lit(False)
     for c in on:
         no_key = no_key | F.col(c).isNull()
-    place = F.monotonically_increasing_id()
-    salt = (F.when(no_key, -1 - F.pmod(place, F.lit(4096))).when(F.col("_parts").isNull(), F.lit(0))
-            .otherwise(F.pmod(place, F.col("_parts"))).cast("int"))
+    values = F.xxhash64(*[f.name for f in left.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    dealt = (-1 - F.pmod(values, F.lit(4096))).cast("int")
     if marks.isEmpty():
-        salted = left.withColumn("_salt", F.when(no_key, -1 - F.pmod(place, F.lit(4096))).otherwise(F.lit(0)).cast("int"))
+        salted = left.withColumn("_salt", F.when(no_key, dealt).otherwise(F.lit(0)))
         return salted.join(right.withColumn("_salt", F.lit(0)), [*on, "_salt"], how).drop("_salt")
-    salted = left.join(marks, on, "left").withColumn("_salt", salt).drop("_parts")
+    left = left if is_scan(left) else checkpoint(left)
+    place = F.monotonically_increasing_id()
+    salted = (left.withColumn("_place", place).withColumn("_null", F.when(no_key, dealt)).join(marks, on, "left")
+              .withColumn("_salt", F.coalesce("_null", F.pmod("_place", "_parts").cast("int"), F.lit(0)))
+              .drop("_place", "_null", "_parts"))
     copies = (right.join(marks, on, "left")
               .withColumn("_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_parts"), F.lit(1)) - 1)))
               .drop("_parts"))
