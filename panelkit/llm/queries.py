@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from panelkit.llm import jaccard, mixing, packing, pii, quality, sharding, substring, topk, toxicity, urls
+from panelkit import scale
+from panelkit.llm import jaccard, mixing, packing, pii, quality, sharding, substring, topk, toxicity, urls, warc
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -144,3 +145,13 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op10_sharding")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.shard(table(spark, sf_dir, "documents"))
+
+
+@query("op11_warc", sql="""
+WITH p AS (SELECT page_id, COALESCE(html, '') AS h FROM pages),
+g AS (SELECT h, MAX(page_id) AS m FROM p WHERE strlen(h) >= 1000 GROUP BY 1)
+SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
+  CASE WHEN m > page_id THEN 'revisit' ELSE 'response' END AS record_type, CASE WHEN m > page_id THEN m END AS refers_to,
+  TRUE AS intact FROM p LEFT JOIN g USING (h)""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"), scale.scratch(spark, "warc"), payload=False)

@@ -21,7 +21,8 @@ COLUMNS = {
     "op5_": "doc_id piece start length ids_crc32 sequence_id offset", "op6_": "query_id rank vec_id score",
     "op7_": "doc_id n_shingles component_id", "op8_": "page_id host path rule verdict",
     "op9_": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
-    "op10_": "doc_id size text_crc32 law shard slot grown_shard"}
+    "op10_": "doc_id size text_crc32 law shard slot grown_shard",
+    "op11_": "page_id payload_bytes payload_digest record_type refers_to"}
 
 
 def test_every_operator_has_one_query():
@@ -38,7 +39,7 @@ def test_query_covers_its_table(spark, name):
     if name.startswith(("op5_", "op6_")):
         assert out.count() > 0
     else:
-        source = "pages" if name.startswith("op8_") else "documents"
+        source = "pages" if name.startswith(("op8_", "op11_")) else "documents"
         assert out.count() == spark.read.parquet(f"{SF}/{source}.parquet").count()
 
 
