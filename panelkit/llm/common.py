@@ -91,22 +91,25 @@ def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return raw[at[0]:at[-1]], at - at[0]
 
 
-def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
-    """Rows ``a`` to ``b`` of a text column with their bytes and offsets, at most SLICE_BYTES or one row each."""
+def slices(column: pa.Array, size: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """Rows ``a`` to ``b`` of a text column with their bytes and offsets, at most ``size`` bytes or one row each."""
     raw, at = text_bytes(column)
     a, n = 0, len(at) - 1
     while a < n:
-        b = max(a + 1, int(np.searchsorted(at, at[a] + SLICE_BYTES, "right")) - 1)
+        b = max(a + 1, int(np.searchsorted(at, at[a] + size, "right")) - 1)
         yield a, b, raw[at[a]:at[b]], at[a:b + 1] - at[a]
         a = b
     pa.default_memory_pool().release_unused()  # a worker's share of memory is small: freed batches go back at once
 
 
-def words(raw: np.ndarray, at: np.ndarray, lower: bool = False) -> Words:
-    """Maximal runs of bytes that are not word breaks, never across texts. ``lower`` folds A-Z only."""
+def words(raw: np.ndarray, at: np.ndarray, lower: bool = False, breaks: np.ndarray = _SPACE) -> Words:
+    """Maximal runs of bytes that are not word breaks, never across texts. ``lower`` folds A-Z only.
+
+    ``breaks`` says for each of the 256 byte values whether it separates words.
+    """
     data = _LOWER[raw] if lower else raw
     inside = np.zeros(len(data) + 1, bool)
-    inside[:-1] = ~_SPACE[data]
+    inside[:-1] = ~breaks[data]
     begins = inside.copy()
     begins[1:] &= ~inside[:-1]
     edges = at[:-1][inside[at[:-1]]] if len(data) else at[:0]
@@ -158,6 +161,42 @@ def runs(hashes: np.ndarray, n: int) -> np.ndarray:
     return out[:len(hashes) - n + 1]
 
 
+def gather(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> pa.Array:
+    """Byte ranges as a string column."""
+    size = end - start
+    offsets = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+    inner = np.arange(offsets[-1]) - np.repeat(offsets[:-1], size)
+    bytes_ = np.ascontiguousarray(data[np.repeat(start, size) + inner])
+    return pa.LargeStringArray.from_buffers(len(size), pa.py_buffer(offsets), pa.py_buffer(bytes_)).cast(pa.string())
+
+
+class Distinct:
+    """Sums by 64-bit key inside a task, and the columns stored with each key when it was first seen."""
+
+    def __init__(self) -> None:
+        self.keys, self.number, self.sums = np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.stored: list[list[pa.Array]] = []
+
+    def add(self, keys: np.ndarray, store) -> None:
+        """Count ``keys``; ``store(places)`` gives the columns of those places in ``keys`` that are new."""
+        unique, first, counts = np.unique(keys, return_index=True, return_counts=True)
+        at = np.searchsorted(self.keys, unique)
+        old = at < len(self.keys)
+        old[old] = self.keys[at[old]] == unique[old]
+        self.sums[self.number[at[old]]] += counts[old]
+        new = unique[~old]
+        if len(new):
+            self.stored.append(store(first[~old]))
+            both = np.concatenate([self.keys, new])
+            order = np.argsort(both, kind="stable")
+            self.number = np.concatenate([self.number, np.arange(len(new)) + len(self.sums)])[order]
+            self.keys, self.sums = both[order], np.concatenate([self.sums, counts[~old]])
+
+    def columns(self) -> list[pa.Array]:
+        """The stored columns and the sums, one row for each key."""
+        return [pa.concat_arrays(c) for c in zip(*self.stored)] + [pa.array(self.sums, pa.int64())]
+
+
 def signed(x: np.ndarray) -> np.ndarray:
     """The same bits as Spark's long."""
     return x.view(np.int64)

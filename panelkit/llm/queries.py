@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from panelkit import scale
-from panelkit.llm import jaccard, mixing, packing, pii, quality, sharding, substring, topk, toxicity, urls, warc
+from panelkit.llm import collocations, jaccard, mixing, packing, pii, quality, sharding, substring, topk, toxicity, urls, variants, warc
 from panelkit.llm.common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -155,3 +155,32 @@ SELECT page_id, strlen(h)::BIGINT AS payload_bytes, sha1(h) AS payload_digest,
   TRUE AS intact FROM p LEFT JOIN g USING (h)""")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"), scale.scratch(spark, "warc"), payload=False)
+
+
+_LOWER = "translate(COALESCE(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query("op12_phrase_collocations", sql=rf"""
+WITH p AS (SELECT COALESCE(lang, 'und') AS lang, regexp_extract_all(unnest(string_split_regex({_LOWER}, '[.,;:!?
+-
+]')), '[^ 	]+') AS ws
+  FROM documents),
+g AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS g
+  FROM (SELECT *, unnest(range(1, len(ws) - k + 2)) AS i FROM p, (VALUES (1), (2), (3)) v(k))),
+f AS (SELECT lang, k, g, COUNT(*) AS a FROM g GROUP BY ALL HAVING COUNT(*) >= 10),
+w AS (SELECT *, string_split(g, ' ') AS ws FROM f WHERE k > 1),
+cut AS (SELECT w.lang, w.g, w.a, c, l.a AS l, r.a AS r, (1000000::HUGEINT * w.a * w.a // (l.a::HUGEINT * r.a))::BIGINT AS score
+  FROM (SELECT *, unnest(range(1, k)) AS c FROM w) w JOIN f l ON l.lang = w.lang AND l.g = array_to_string(ws[1:c], ' ')
+  JOIN f r ON r.lang = w.lang AND r.g = array_to_string(ws[c + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, g ORDER BY score, c) = 1),
+held AS (SELECT lang, array_to_string(ws[i:i + 1], ' ') AS g, MAX(a) AS longer FROM w, (VALUES (1), (2)) v(i) WHERE k = 3 GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN held USING (lang, g) WHERE longer IS NULL OR 100 * longer < 50 * a)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, g) AS rank, g AS phrase, a, l, r, n::BIGINT AS n, score
+FROM kept JOIN (SELECT lang, SUM(len(ws)) AS n FROM p GROUP BY 1) USING (lang) QUALIFY rank <= 2000""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return collocations.mine(table(spark, sf_dir, "documents"))
+
+
+@query("op13_spelling_variants")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return variants.group(table(spark, sf_dir, "documents"))

@@ -22,7 +22,8 @@ COLUMNS = {
     "op7_": "doc_id n_shingles component_id", "op8_": "page_id host path rule verdict",
     "op9_": "doc_id n_words word_chars n_symbols n_dup_lines n_repeat_words base_failed kept",
     "op10_": "doc_id size text_crc32 law shard slot grown_shard",
-    "op11_": "page_id payload_bytes payload_digest record_type refers_to"}
+    "op11_": "page_id payload_bytes payload_digest record_type refers_to",
+    "op12_": "lang rank phrase a l r n score", "op13_": "word form root n n_near form_n"}
 
 
 def test_every_operator_has_one_query():
@@ -36,7 +37,7 @@ def test_query_covers_its_table(spark, name):
     out = QUERIES[name](spark, SF)
     want = next(v for k, v in COLUMNS.items() if name.startswith(k)).split()
     assert out.columns[:len(want)] == want
-    if name.startswith(("op5_", "op6_")):
+    if name.startswith(("op5_", "op6_", "op12_", "op13_")):
         assert out.count() > 0
     else:
         source = "pages" if name.startswith(("op8_", "op11_")) else "documents"
