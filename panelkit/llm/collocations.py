@@ -69,9 +69,9 @@ class Phrases:
 
 
 def _seeds(lang: pa.Array) -> np.ndarray:
-    """A number for each row's language."""
+    """A number for each row's language, unrelated to the hash of a word of the same name."""
     raw, at = text_bytes(lang)
-    return hash_ranges(raw, at[:-1], at[1:])
+    return mix(hash_ranges(raw, at[:-1], at[1:]) * _M1 + _M2)
 
 
 # ---- summaries -----------------------------------------------------------------------------------

@@ -58,6 +58,11 @@ def test_odd_rows(spark, odd):
     assert C.mine(odd.where("false")).count() == 0
 
 
+def test_words_named_like_languages(spark):
+    rows = [("en la en la es", "es"), ("es la es la en", "en")] * 12
+    assert {tuple(r) for r in C.mine(spark.createDataFrame(rows, "text string, lang string")).collect()} == plain(rows)
+
+
 def test_hot_word_is_dealt_out(spark):
     """A word that is part of nearly all phrases: its look-up is split, the scores stay."""
     rows = [(f"the x{i % 40} of the y{i % 30}", "en") for i in range(600)]
