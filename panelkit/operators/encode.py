@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.scalars import words
-from panelkit.operators.windows import quantile_label
+from panelkit.operators.quantiles import quantile_label
 from panelkit.scale import lookup_join
 
 

@@ -7,8 +7,8 @@ from pyspark.sql import functions as F
 
 from panelkit.functions import vectors as V
 from panelkit.operators import encode as E
+from panelkit.operators import quantiles
 from panelkit.operators import select as X
-from panelkit.operators import windows
 from panelkit.operators.scores import confusion_matrix, gini
 from panelkit.plans.registry import query
 from panelkit.tables import Tables
@@ -51,7 +51,7 @@ def quantile_cells(t: Tables) -> DataFrame:
 
 @query("quantile_label", "SELECT o_orderkey, ntile(7) OVER (ORDER BY o_totalprice, o_orderkey) AS label FROM orders")
 def quantile_label(t: Tables) -> DataFrame:
-    return windows.quantile_label(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", ["o_orderkey"], 7,
+    return quantiles.quantile_label(t.orders.select("o_orderkey", "o_totalprice"), "o_totalprice", ["o_orderkey"], 7,
                                   "label").select("o_orderkey", "label")
 
 
