@@ -21,7 +21,7 @@ TOP = 2000
 #: Name of the language of texts that have none.
 NO_LANGUAGE = "und"
 #: Bytes of text tokenized at once; occurrences summed inside a task before they are sent on.
-SLICE, LOCAL = 2 << 20, 6_000_000
+SLICE, LOCAL = 1 << 20, 2_000_000
 #: Phrase occurrences of one hash partition, about; most partitions, as a power of two.
 PER_PARTITION, MOST_BITS = 1 << 22, 20
 #: Bits of the filter of surviving phrases that is sent to every executor (8 MB, whatever the input).
