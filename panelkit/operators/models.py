@@ -5,7 +5,6 @@ from __future__ import annotations
 import math
 import sys
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pandas as pd
@@ -24,8 +23,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.functions.vectors import vector_at
+from panelkit.operators import trees
 from panelkit.operators.rows import cap_sample, split_train_test
-from panelkit.operators.select import correlated_columns, tree_power
+from panelkit.operators.select import correlated_columns
 from panelkit.scale import checkpoint
 
 
@@ -242,46 +242,26 @@ def evaluate(predicted: DataFrame, label: str) -> DataFrame:
 
 
 def segment_trees(df: DataFrame, segment: str, target: str, cols: list[str], depth: int = 4, min_rows: int = 1000,
-                  max_bins: int = 32, seed: int = 7) -> dict[str, PipelineModel]:
-    """One small tree per segment, NULL a segment of its own; the segments are a business dictionary."""
-    names = [r[segment] for r in df.select(segment).distinct().orderBy(segment).collect()]
-    tree = C.DecisionTreeClassifier(labelCol=target, maxDepth=depth, minInstancesPerNode=min_rows, maxBins=max_bins,
-                                    cacheNodeIds=True, checkpointInterval=10, seed=seed)
-    return {n: fit(df.where(F.col(segment).eqNullSafe(F.lit(n))), cols, tree) for n in names}
+                  max_bins: int = 32) -> trees.GroupTrees:
+    """One small tree per segment, NULL a segment of its own, all of them grown in one run."""
+    return trees.fit(df, [segment], target, cols, depth=depth, min_rows=min_rows, max_bins=max_bins)
 
 
 def fit_micro_segments(df: DataFrame, segment: str, target: str, numbers: list[str], categories: list[str], path: str,
-                       keep: int = 20, max_values: int = 4, depth: int = 4, min_rows: int = 1000, max_bins: int = 32,
-                       seed: int = 7) -> dict:
-    """Per segment: index its small categories, keep its best features, fit a small tree and save it under ``path``.
+                       keep: int = 20, max_values: int = 4, depth: int = 4, min_rows: int = 1000, max_bins: int = 32) -> None:
+    """Per segment: its small categories, its best features, a small tree; all of them are saved under ``path``.
 
     A category with more than ``max_values`` values in the segment is left out; a missing value is a value of its
-    own. NULL is a segment too. Returns the folder of each segment's model.
+    own. NULL is a segment too. The number of jobs does not depend on the number of segments.
     """
-    saved = {}
-    for at, name in enumerate(r[segment] for r in df.select(segment).distinct().orderBy(segment).collect()):
-        rows = df.where(F.col(segment).eqNullSafe(F.lit(name)) & F.col(target).isNotNull())
-        widths = rows.agg(*[F.count_distinct(c).alias(c) for c in categories]).first() if categories else {}
-        small = [c for c in categories if 0 < widths[c] <= max_values]
-        first = [StringIndexer(inputCol=c, outputCol=f"_index_{c}", handleInvalid="keep").fit(rows) for c in small]
-        indexed = PipelineModel(first).transform(rows)
-        ranked = tree_power(indexed, target, [*numbers, *[f"_index_{c}" for c in small]], depth, keep)
-        tree = C.DecisionTreeClassifier(labelCol=target, maxDepth=depth, minInstancesPerNode=min_rows, maxBins=max_bins, seed=seed)
-        model = fit(indexed, [c for c, *_ in ranked], tree)
-        saved[name] = f"{path}/{at}"
-        PipelineModel([*first, *model.stages]).write().overwrite().save(saved[name])
-    return saved
-
-
-def label_micro_segments(df: DataFrame, segment: str, saved: dict) -> DataFrame:
-    """Adds ``micro_segment`` from the saved models; rows of a segment without one keep NULL."""
-    parts = [leaf_id(PipelineModel.load(path), df.where(F.col(segment).eqNullSafe(F.lit(name))), F.coalesce(F.col(segment), F.lit("none")))
-             for name, path in saved.items()]
-    known = F.lit(False)
-    for name in saved:
-        known = known | F.col(segment).eqNullSafe(F.lit(name))
-    rest = df.where(~known).withColumn("micro_segment", F.lit(None).cast("string"))
-    return reduce(DataFrame.unionByName, parts, rest)
+    trees.fit(df, [segment], target, numbers, categories, depth, min_rows, max_bins, max_values, keep).save(path)
+
+
+def label_micro_segments(df: DataFrame, segment: str, model: trees.GroupTrees) -> DataFrame:
+    """Adds ``micro_segment``, ``Segment_Leaf``, stable between months; rows of a segment without a tree keep NULL."""
+    name = F.concat_ws("_", F.coalesce(F.col(segment).cast("string"), F.lit("none")), F.col("leaf").cast("string"))
+    return model.transform(df.drop("leaf", "prediction")).withColumn("micro_segment", F.when(F.col("leaf").isNotNull(), name)).drop(
+        "leaf", "prediction")
 
 
 def leaf_id(model: PipelineModel, df: DataFrame, segment: Column) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from itertools import combinations
 
-from pyspark.ml.classification import DecisionTreeClassifier, LogisticRegression
+from pyspark.ml.classification import LogisticRegression
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.stat import Correlation
@@ -12,6 +12,8 @@ from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.operators import trees
+
 
 def corr_pairs(df: DataFrame, cols: list[str]) -> DataFrame:
     """Pearson correlation of every column pair from one pass."""
@@ -51,45 +53,47 @@ def drop_correlated(df: DataFrame, cols: list[str], threshold: float = 0.7, meth
     return df.drop(*correlated_columns(df, cols, threshold, method))
 
 
-def single_feature_power(df: DataFrame, target: str, cols: list[str], keep: int = 20, bins: int = 16) -> DataFrame:
-    """Share of rows the majority class of their bin gets right, per feature, best ``keep`` features.
+def single_feature_power(df: DataFrame, target: str, cols: list[str], keep: int = 20, bins: int = 16,
+                         accuracy: int = 10_000) -> DataFrame:
+    """Share of rows the majority class of their bin gets right and the number of bins, per feature.
 
-    Numbers fall into equal-width bins, strings are their own bins. All features share one pass.
+    Numbers fall into quantile bins, whose borders come from mergeable sketches (off by one row in
+    ``accuracy`` at most); strings are their own bins. All features share the two passes. The features with the least
+    power are dropped, unless all have it; of the others the best ``keep`` stay, equal ones by fewer bins, then by name.
     """
-    numeric = [c for c, t in df.dtypes if c in cols and t != "string"]
-    ext = df.agg(F.struct(*[F.min(c).cast("double").alias(f"lo_{c}") for c in numeric],
-                          *[F.max(c).cast("double").alias(f"hi_{c}") for c in numeric])).scalar() if numeric else None
+    kinds = dict(df.dtypes)
+    numeric = [c for c in cols if kinds[c] != "string"]
+    shares = [i / bins for i in range(1, bins)]
+    ends = df.agg(*[F.percentile_approx(F.col(c).cast("double"), shares, accuracy).alias(f"c{i}")
+                    for i, c in enumerate(numeric)]).first() if numeric else ()
 
     def bin_of(c: str):
         if c not in numeric:
             return F.col(c)
-        part = F.try_divide(F.col(c).cast("double") - ext[f"lo_{c}"], ext[f"hi_{c}"] - ext[f"lo_{c}"])
-        return F.least(F.floor(part * bins), F.lit(bins - 1)).cast("string")
+        x = F.col(c).cast("double")
+        borders = F.array(*[F.lit(float(e)) for e in sorted(set(ends[numeric.index(c)] or []))]).cast("array<double>")
+        return F.when(x.isNotNull(), F.size(F.filter(borders, lambda e: e < x))).cast("string")
 
     cells = F.array(*[F.struct(F.lit(c).alias("feature"), bin_of(c).alias("bin")) for c in cols])
     counts = (df.select(F.col(target).alias("_t"), F.inline(cells)).groupBy("feature", "bin", "_t")
               .agg(F.count(F.lit(1)).alias("n")))
     best = counts.groupBy("feature", "bin").agg(F.max("n").alias("hit"), F.sum("n").alias("n"))
-    return (best.groupBy("feature").agg((F.sum("hit") / F.sum("n")).alias("power"), F.count(F.lit(1)).alias("cells"))
+    power = best.groupBy("feature").agg((F.sum("hit") / F.sum("n")).alias("power"), F.count(F.lit(1)).alias("cells"))
+    # a row a feature is left: its own extremes are a scalar
+    ends_ = power.agg(F.struct(F.min("power").alias("lo"), F.max("power").alias("hi"))).scalar()
+    return (power.where((F.col("power") > ends_["lo"]) | (ends_["lo"] == ends_["hi"]))
             .orderBy(F.desc("power"), "cells", "feature").limit(keep))
 
 
 def tree_power(df: DataFrame, target: str, cols: list[str], depth: int = 4, keep: int = 20) -> list[tuple]:
-    """The same ranking by one small tree per feature: (feature, share right, leaves); the weakest feature goes first."""
-    out = []
-    for c in cols:
-        rows = _complete(df.select(c, target).where(F.col(target).isNotNull()), [c]).withColumnRenamed("_v", "features")
-        model = DecisionTreeClassifier(labelCol=target, maxDepth=depth).fit(rows)
-        share = model.transform(rows).agg(F.avg((F.col("prediction") == F.col(target)).cast("double"))).first()[0]
-        out.append((c, share, (model.numNodes + 1) // 2))
-    return best_features(out, keep)
-
-
-def best_features(ranked: list[tuple], keep: int) -> list[tuple]:
-    """The best ``keep`` of (feature, share, size) after those with the least share are dropped, unless all have it."""
-    least = min((r[1] for r in ranked), default=0.0)
-    left = [r for r in ranked if r[1] > least] or ranked
-    return sorted(left, key=lambda r: (-r[1], r[2], r[0]))[:keep]
+    """The same ranking by one small tree per feature: (feature, share right, leaves); the weakest feature goes first.
+
+    All trees grow on one table of counts; only the ranking reaches the driver.
+    """
+    kinds = dict(df.dtypes)
+    text = [c for c in cols if kinds[c] == "string"]
+    power = trees.feature_power(df, [], target, [c for c in cols if c not in text], text, depth)
+    return [(r["feature"], r["power"], r["leaves"]) for r in trees.best_features(power, keep).orderBy("rank").collect()]
 
 
 #: Regularisation strengths tried by the selection (fixed values).

@@ -2,19 +2,17 @@
 
 from __future__ import annotations
 
-import uuid
-
 from pyspark.ml import Pipeline
 from pyspark.ml import classification as C
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.vectors import to_array, to_vector
-from panelkit.operators import encode, models, select
+from panelkit.operators import encode, models, select, trees
 from panelkit.operators.rows import split_train_test
 from panelkit.operators.scores import gini
 from panelkit.plans.registry import query
-from panelkit.scale import checkpoint
+from panelkit.scale import checkpoint, scratch
 from panelkit.tables import Tables
 
 CLIENT_FEATURES = ["c_acctbal", "c_nationkey", "orders", "spend", "urgent"]
@@ -183,12 +181,8 @@ def segment_trees(t: Tables) -> DataFrame:
     rows = clients(t).withColumn("one", F.lit(1))
     cells = encode.quantile_bins(rows, "spend", "orders", ["c_custkey"], 3, 2)
     cols = ["c_acctbal", "c_nationkey", "urgent"]
-    fitted = models.segment_trees(cells, "c_mktsegment", "cell", cols, min_rows=10)
-    parts = [models.leaf_id(model, cells.where(F.col("c_mktsegment") == name), F.col("c_mktsegment")) for name, model in fitted.items()]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out.select("c_custkey", "cell", "micro_segment")
+    model = models.segment_trees(cells, "c_mktsegment", "cell", cols, min_rows=10)
+    return models.label_micro_segments(cells, "c_mktsegment", model).select("c_custkey", "cell", "micro_segment")
 
 
 @query("micro_segments")
@@ -199,10 +193,11 @@ def micro_segments(t: Tables) -> DataFrame:
         F.max_by("o_orderpriority", F.struct("o_orderdate", "o_orderkey")).alias("last_priority"))
     rows = checkpoint(clients(t).join(orders, "c_custkey", "left"))
     cells = checkpoint(encode.quantile_bins(rows, "spend", "orders", ["c_custkey"], 3, 2))
-    path = f"{t.spark.sparkContext.getCheckpointDir()}/segments-{uuid.uuid4().hex}"
-    saved = models.fit_micro_segments(cells, "c_mktsegment", "cell", ["c_acctbal", "c_nationkey", "urgent"],
-                                      ["last_status", "last_priority"], path, min_rows=10)
-    return models.label_micro_segments(cells, "c_mktsegment", saved).select("c_custkey", "c_mktsegment", "cell", "micro_segment")
+    path = scratch(t.spark, "segments")
+    models.fit_micro_segments(cells, "c_mktsegment", "cell", ["c_acctbal", "c_nationkey", "urgent"],
+                              ["last_status", "last_priority"], path, min_rows=10)
+    return models.label_micro_segments(cells, "c_mktsegment", trees.load(t.spark, path)).select(
+        "c_custkey", "c_mktsegment", "cell", "micro_segment")
 
 
 #: Part types by frequency, ties by name, and the dummy vector of a type; the last type has none.

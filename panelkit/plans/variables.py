@@ -109,14 +109,17 @@ def drop_rank_correlated(t: Tables) -> DataFrame:
     return t.part.groupBy("p_type").agg(*[F.round(F.avg(c), 6).alias(c) for c in kept.columns])
 
 
-@query("feature_power", """WITH e AS (SELECT MIN(p_size) AS lo, MAX(p_size) AS hi, MIN(p_retailprice) AS plo, MAX(p_retailprice) AS phi FROM part),
-c AS (SELECT 'p_size' AS feature, CAST(CAST(least(floor((p_size - lo) / (hi - lo) * 16), 15) AS BIGINT) AS VARCHAR) AS bin, p_type AS t, COUNT(*) AS n FROM part, e GROUP BY 2, 3
-UNION ALL SELECT 'p_retailprice', CAST(CAST(least(floor((p_retailprice - plo) / (phi - plo) * 16), 15) AS BIGINT) AS VARCHAR), p_type, COUNT(*) FROM part, e GROUP BY 2, 3
-UNION ALL SELECT 'p_brand', p_brand, p_type, COUNT(*) FROM part GROUP BY 2, 3),
-b AS (SELECT feature, bin, MAX(n) AS hit, SUM(n) AS n FROM c GROUP BY 1, 2)
-SELECT feature, round(SUM(hit) / SUM(n), 6) AS power, COUNT(*) AS cells FROM b GROUP BY 1""")
+@query("feature_power", """WITH v AS (SELECT 'p_size' AS feature, p_size::DOUBLE AS x, p_type AS t FROM part
+UNION ALL SELECT 'p_retailprice', p_retailprice, p_type FROM part UNION ALL SELECT 'p_partkey', p_partkey, p_type FROM part),
+r AS (SELECT feature, x, row_number() OVER (PARTITION BY feature ORDER BY x) AS rn, COUNT(*) OVER (PARTITION BY feature) AS n FROM v),
+e AS (SELECT feature, list_distinct(list(x)) AS ends FROM r, range(1, 16) k(i) WHERE rn = CAST(ceil(i * n / 16.0) AS BIGINT) GROUP BY 1),
+c AS (SELECT feature, len(list_filter(ends, lambda b: b < x))::VARCHAR AS bin, t, COUNT(*) AS n FROM v JOIN e USING (feature) GROUP BY ALL
+UNION ALL SELECT 'p_brand', p_brand, p_type, COUNT(*) FROM part GROUP BY ALL),
+b AS (SELECT feature, bin, MAX(n) AS hit, SUM(n) AS n FROM c GROUP BY 1, 2),
+p AS (SELECT feature, SUM(hit) / SUM(n) AS power, COUNT(*) AS cells FROM b GROUP BY 1)
+SELECT feature, round(power, 6) AS power, cells FROM p WHERE power > (SELECT MIN(power) FROM p)""")
 def feature_power(t: Tables) -> DataFrame:
-    out = X.single_feature_power(t.part, "p_type", ["p_size", "p_retailprice", "p_brand"])
+    out = X.single_feature_power(t.part, "p_type", ["p_size", "p_retailprice", "p_partkey", "p_brand"])
     return out.withColumn("power", F.round("power", 6))
 
 
@@ -148,14 +151,16 @@ def polynomial_columns(t: Tables) -> DataFrame:
 
 #: Products of x and y up to the fourth degree, in the order of the expansion: by the power of y, then of x.
 POWERS = [(i, j) for j in range(5) for i in range(5 - j) if i + j]
+#: The same products in the same order of factors, so that the doubles agree to the last bit.
+PRODUCTS = ", ".join(" * ".join(["y"] * j + ["x"] * i) for i, j in POWERS)
 
 
 @query("polynomial_features", f"""WITH p AS (SELECT p_partkey, p_size::DOUBLE AS x, p_retailprice / 1000 AS y FROM part)
-SELECT p_partkey, [{', '.join(f'round(pow(x, {i}) * pow(y, {j}), 6)' for i, j in POWERS)}] AS poly FROM p""")
+SELECT p_partkey, [{PRODUCTS}] AS poly FROM p""")
 def polynomial_features(t: Tables) -> DataFrame:
     rows = t.part.select("p_partkey", F.col("p_size").cast("double").alias("x"), (F.col("p_retailprice") / 1000).alias("y"))
     out = E.polynomial_features(rows, ["x", "y"], 4)
-    return out.select("p_partkey", F.transform(V.to_array("poly"), lambda v: F.round(v, 6)).alias("poly"))
+    return out.select("p_partkey", V.to_array("poly").alias("poly"))
 
 
 @query("vector_round_trip", """SELECT vec_id, round(embedding[1]::DOUBLE, 6) AS first, round(embedding[2]::DOUBLE, 6) AS second, len(embedding) AS size FROM embeddings""")
