@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -24,8 +25,10 @@ NO_LANGUAGE = "und"
 SLICE, LOCAL = 1 << 20, 2_000_000
 #: Phrase occurrences of one hash partition, about; most partitions, as a power of two.
 PER_PARTITION, MOST_BITS = 1 << 22, 20
-#: Bits of the filter of surviving phrases that is sent to every executor (8 MB, whatever the input).
-FILTER_BITS = 26
+#: Counters of a summary, as a multiple of the fewest that lose no frequent phrase; more of them let fewer rare ones stay.
+SLACK = 4
+#: Bits of the filter of surviving phrases that is sent to every executor (16 MB, whatever the input).
+FILTER_BITS = 27
 #: Parts in which the best phrases of a language are looked for first.
 RANK_PARTS = 64
 
@@ -168,13 +171,13 @@ def survivors(summary: DataFrame, bits: int, min_count: int, filter_bits: int =
     inner = max(0, filter_bits - bits)
 
     def reduce(table: pa.Table) -> pa.Table:
-        capacity = sum(table.column("mass").to_pylist()) // min_count + 1
+        capacity = SLACK * (sum(table.column("mass").to_pylist()) // min_count + 1)
         now, lost, waiting, held = (np.zeros(0, np.uint32), np.zeros(0, np.int64)), 0, [], 0
         rows = zip(table.column("n").to_pylist(), table.column("keys"), table.column("counts"))
         for n, keys, counts in rows:
             waiting.append((np.frombuffer(keys.as_py(), "<u4"), _unpack(counts.as_py(), n)))
             held += n
-            if held >= 4 * capacity:
+            if held >= capacity:
                 keys, counts, cut = merge([now, *waiting], capacity)
                 now, lost, waiting, held = (keys, counts), lost + cut, [], 0
         if waiting:
@@ -192,9 +195,10 @@ def survivors(summary: DataFrame, bits: int, min_count: int, filter_bits: int =
 # ---- exact counts --------------------------------------------------------------------------------
 
 def _exact(docs: DataFrame, bits: int, blocks: list, most: int, filter_bits: int, local: int) -> DataFrame:
-    """Occurrences, inside each task, of the phrases that the filter lets through: lang, k, phrase, n.
+    """Occurrences, inside each task, of the phrases that the filter lets through, packed by hash partition.
 
-    A row of k = 0 has all words of a language. Inside a task, phrases are told apart by 64 bits.
+    Columns part, lang, phrase, n (lists of equal length); part -1 has all words of a language, without a
+    phrase. Inside a task, phrases are told apart by 64 bits.
     """
     inner = max(0, filter_bits - bits)
     live = np.zeros(1 << (bits + inner), bool)
@@ -205,37 +209,56 @@ def _exact(docs: DataFrame, bits: int, blocks: list, most: int, filter_bits: int
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passed = np.frombuffer(shared.value, np.uint8)
+        seen, totals = Distinct(), {}
 
-        def emit(lang: pa.Array, k: int, phrase: pa.Array, n: pa.Array) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([lang, pa.array(np.full(len(lang), k), pa.int32()), phrase, n], ["lang", "k", "phrase", "n"])
+        def packed(part: np.ndarray, first: np.ndarray, columns: list[pa.Array]) -> pa.RecordBatch:
+            ends = pa.array(np.append(first, len(columns[0])).astype(np.int32))
+            return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *[pa.ListArray.from_arrays(ends, c) for c in columns]],
+                                              ["part", "lang", "phrase", "n"])
 
-        seen = [Distinct() for _ in range(most)]
-
-        def flush() -> Iterator[pa.RecordBatch]:
-            for k, found in enumerate(seen):
-                if len(found.sums):
-                    lang, phrase, n = found.columns()
-                    yield emit(lang, k + 1, phrase, n)
-                seen[k] = Distinct()
+        def flush() -> pa.RecordBatch:
+            part = (seen.keys >> np.uint64(32) >> np.uint64(32 - bits)).astype(np.int32)
+            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
+            order = pa.array(seen.number)
+            return packed(part[first], first, [c.take(order) for c in seen.columns()])
 
         for batch in batches:
             lang, seeds = batch.column(0), _seeds(batch.column(0))
             for a, b, raw, at in slices(batch.column(1), SLICE):
                 phrases = Phrases(raw, at, seeds[a:b], most)
-                total = np.bincount(phrases.text, minlength=b - a)
-                yield emit(lang.slice(a, b - a), 0, pa.nulls(b - a, pa.string()), pa.array(total, pa.int64()))
+                for name, n in zip(lang.slice(a, b - a).to_pylist(), np.bincount(phrases.text, minlength=b - a).tolist()):
+                    totals[name] = totals.get(name, 0) + n
                 text, start, end = phrases.joined_text()
                 for k, (h, place) in enumerate(zip(phrases.hashes, phrases.places)):
                     bit = h >> shift
                     hit = (passed[(bit >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (bit & np.uint64(7)).astype(np.uint8))) & 1 > 0
                     place = place[hit]
-                    seen[k].add(h[hit], lambda new: [lang.take(pa.array(phrases.text[place[new]] + a)),
-                                                     gather(text, start[place[new]], end[place[new] + k])])
-                if sum(len(x.sums) for x in seen) >= local // 6:
-                    yield from flush()
-        yield from flush()
+                    seen.add(h[hit], lambda new: [lang.take(pa.array(phrases.text[place[new]] + a)),
+                                                  gather(text, start[place[new]], end[place[new] + k])])
+                if len(seen.sums) >= local // 2:
+                    yield flush()
+                    seen = Distinct()
+        if len(seen.sums):
+            yield flush()
+        if totals:
+            yield packed(np.array([-1]), np.array([0]), [pa.array(list(totals), pa.string()), pa.array([""] * len(totals), pa.string()),
+                                                         pa.array(list(totals.values()), pa.int64())])
+
+    return docs.mapInArrow(count, "part int, lang array<string>, phrase array<string>, n array<long>")
+
+
+def _summed(counts: DataFrame, min_count: int) -> DataFrame:
+    """Sums over all tasks by language and text, of at least ``min_count``: lang, k, phrase, n."""
+    def add(table: pa.Table) -> pa.Table:
+        every = table.column("part")[0].as_py() < 0
+        flat = pa.table({c: pc.list_flatten(table.column(c)) for c in ("lang", "phrase", "n")})
+        flat = flat.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
+        if not every:
+            flat = flat.filter(pc.greater_equal(flat.column("n_sum"), min_count))
+        k = pa.chunked_array([pa.array(np.zeros(len(flat)), pa.int32())]) if every else pc.add(pc.count_substring(flat.column("phrase"), " "), pa.scalar(1, pa.int32()))
+        return pa.table([flat.column("lang"), k, flat.column("phrase"), flat.column("n_sum")], ["lang", "k", "phrase", "n"])
 
-    return docs.mapInArrow(count, "lang string, k int, phrase string, n long")
+    return counts.groupBy("part").applyInArrow(add, "lang string, k int, phrase string, n long")
 
 
 def frequent(docs: DataFrame, most: int = MAX_WORDS, min_count: int = MIN_COUNT, per_partition: int = PER_PARTITION,
@@ -252,8 +275,7 @@ def frequent(docs: DataFrame, most: int = MAX_WORDS, min_count: int = MIN_COUNT,
     occurrences = (docs.agg(F.sum(F.octet_length("text"))).first()[0] or 0) * most // 2
     bits = min(MOST_BITS, max(0, int(occurrences // per_partition).bit_length()))
     blocks = survivors(summaries(docs, bits, most, local), bits, min_count, filter_bits).select("part", "block").collect()
-    counts = _exact(docs, bits, blocks, most, filter_bits, local).groupBy("lang", "k", "phrase").agg(F.sum("n").alias("n"))
-    return written(counts.where((F.col("n") >= min_count) | (F.col("k") == 0)))
+    return written(_summed(_exact(docs, bits, blocks, most, filter_bits, local), min_count))
 
 
 # ---- scores --------------------------------------------------------------------------------------
