@@ -27,7 +27,9 @@ SLICE, LOCAL = 1 << 20, 2_000_000
 PER_PARTITION, MOST_BITS = 1 << 22, 20
 #: Counters of a summary, as a multiple of the fewest that lose no frequent phrase; more of them let fewer rare ones stay.
 SLACK = 4
-#: Bits of the filter of surviving phrases that is sent to every executor (16 MB, whatever the input).
+#: Bits of a hash, after those that name its partition, by which a summary tells phrases apart.
+KEY_BITS = 27
+#: Bits (KEY_BITS at most) of the filter of surviving phrases that is sent to every executor (16 MB, whatever the input).
 FILTER_BITS = 27
 #: Parts in which the best phrases of a language are looked for first.
 RANK_PARTS = 64
@@ -110,6 +112,16 @@ def merge(parts: list[tuple[np.ndarray, np.ndarray]], capacity: int) -> tuple[np
     return keys[left], counts[left] - cut, cut
 
 
+def _pack_keys(keys: np.ndarray) -> bytes:
+    """Ascending keys as their differences, all low bytes first: high ones are mostly 0 and shrink when they are moved."""
+    return np.diff(keys, prepend=np.uint32(0)).astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _unpack_keys(data: bytes, n: int) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(4, n).T).view("<u4").ravel()
+    return np.cumsum(steps, dtype=np.uint32)
+
+
 def _pack(counts: np.ndarray) -> bytes:
     """Counts in a byte each; larger ones follow in full."""
     large = counts[counts >= 255].astype("<i8")
@@ -132,7 +144,7 @@ def _phrase_keys(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[Phras
 def summaries(docs: DataFrame, bits: int, most: int, local: int = LOCAL) -> DataFrame:
     """Counts of phrase hashes inside each task, one row per hash partition: part, mass, n, keys, counts.
 
-    A partition is the hashes with the same first ``bits`` bits; of a hash, the 32 bits after them are kept. Two
+    A partition is the hashes with the same first ``bits`` bits; of a hash, the KEY_BITS bits after them are kept. Two
     phrases that agree in those only make each other look more frequent, which the exact pass undoes.
     """
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -140,18 +152,18 @@ def summaries(docs: DataFrame, bits: int, most: int, local: int = LOCAL) -> Data
 
         def flush() -> pa.RecordBatch:
             keys, counts = tally(np.concatenate(held))
-            part = (keys >> np.uint64(32)).astype(np.int64)
+            part = (keys >> np.uint64(KEY_BITS)).astype(np.int64)
             first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
             ends = np.append(first[1:], len(keys))
-            low = (keys & np.uint64(0xFFFFFFFF)).astype("<u4")
+            low = (keys & np.uint64((1 << KEY_BITS) - 1)).astype(np.uint32)
             return pa.RecordBatch.from_arrays(
                 [pa.array(part[first], pa.int32()), pa.array(np.add.reduceat(counts, first), pa.int64()), pa.array(ends - first, pa.int32()),
-                 pa.array([low[a:b].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                 pa.array([_pack_keys(low[a:b]) for a, b in zip(first, ends)], pa.binary()),
                  pa.array([_pack(counts[a:b]) for a, b in zip(first, ends)], pa.binary())],
                 ["part", "mass", "n", "keys", "counts"])
 
         for phrases in _phrase_keys(batches, most):
-            held += [h >> np.uint64(32 - bits) for h in phrases.hashes if len(h)]
+            held += [h >> np.uint64(64 - KEY_BITS - bits) for h in phrases.hashes if len(h)]
             if sum(map(len, held)) >= local:
                 yield flush()
                 held = []
@@ -175,7 +187,7 @@ def survivors(summary: DataFrame, bits: int, min_count: int, filter_bits: int =
         now, lost, waiting, held = (np.zeros(0, np.uint32), np.zeros(0, np.int64)), 0, [], 0
         rows = zip(table.column("n").to_pylist(), table.column("keys"), table.column("counts"))
         for n, keys, counts in rows:
-            waiting.append((np.frombuffer(keys.as_py(), "<u4"), _unpack(counts.as_py(), n)))
+            waiting.append((_unpack_keys(keys.as_py(), n), _unpack(counts.as_py(), n)))
             held += n
             if held >= capacity:
                 keys, counts, cut = merge([now, *waiting], capacity)
@@ -185,7 +197,7 @@ def survivors(summary: DataFrame, bits: int, min_count: int, filter_bits: int =
             now, lost = (keys, counts), lost + cut
         left = now[0][now[1] + lost >= min_count]
         block = np.zeros(1 << inner, bool)
-        block[(left.astype(np.uint64) >> np.uint64(32 - inner)).astype(np.int64)] = True
+        block[left >> np.uint32(KEY_BITS - inner)] = True
         return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "n": pa.array([len(left)], pa.int64()),
                          "block": pa.array([np.packbits(block).tobytes()], pa.binary())})
 

@@ -105,3 +105,5 @@ def test_no_frequent_key_is_lost():
 def test_counts_pack():
     counts = np.array([1, 254, 255, 256, 10 ** 12, 3])
     assert C._unpack(C._pack(counts), len(counts)).tolist() == counts.tolist()
+    keys = np.array([0, 1, 7, 300, 70_000, 2 ** 27 - 1], np.uint32)
+    assert C._unpack_keys(C._pack_keys(keys), len(keys)).tolist() == keys.tolist()
