@@ -5,6 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
+from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,6 +21,9 @@ MIN_SUPPORT = 0.005
 #: Share of the URLs with a combination that must carry the label.
 MIN_CONFIDENCE = 0.7
 
+#: Marks the item that stands for a row's verdict.
+VERDICT = "\x00"
+
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 
@@ -65,55 +69,58 @@ class Mined:
 def mined_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> DataFrame:
     """Rules (tokens, verdict, confidence, support) from rows (tokens, verdict or null), a table.
 
-    Support and confidence are shares of all rows, labelled or not, so a token common outside the labelled
-    rows cannot carry a verdict. All frequent tokens of a row count. A rule is dropped when one with fewer of
-    its tokens is as confident. Sets grow by one token a level; a set that is rare under every verdict, has a
-    subset in the same rows, or has one verdict in all its rows is not grown, since no rule above it would stay.
+    Spark's FP-growth mines the frequent sets of whole baskets: all tokens of a row that are frequent under a
+    verdict, and its verdict as one more item. Support and confidence are shares of all rows, labelled or not, so a
+    token common outside the labelled rows cannot carry a verdict. A rule is dropped when one with fewer of its tokens is as
+    confident. Tokens that stand in exactly the same rows would make every set of them frequent; they are mined as one
+    and put back into the rules afterwards.
     """
     spark = labelled.sparkSession
-    n = labelled.count()
-    verdicts = sorted(r[0] for r in labelled.select("verdict").where("verdict is not null").distinct().collect())
-    rules = spark.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double")
-    if not verdicts:
-        return rules
+    rows = written(labelled.select(F.monotonically_increasing_id().alias("id"), "verdict", F.array_distinct("tokens").alias("tokens")))
+    n = rows.count()
+    empty = spark.createDataFrame([], "tokens array<string>, verdict string, confidence double, support double")
     least = max(1, math.ceil(min_support * n))
-    # numbered in a step of its own: beside explode every token would get a number
-    ranks = labelled.withColumn("id", F.monotonically_increasing_id()).select(
-        "id", "verdict", F.explode(F.array_distinct("tokens")).alias("t"))
-    # at most 1 / min_support tokens per place in a basket are frequent, so their table is small
-    frequent = (ranks.where("verdict is not null").groupBy("t", "verdict").agg(F.count(F.lit(1)).alias("n"))
-                .where(F.col("n") >= least).select("t").distinct())
-    baskets = ranks.join(F.broadcast(frequent), "t").groupBy("id", "verdict").agg(F.sort_array(F.collect_list("t")).alias("rest"))
-    baskets = baskets.groupBy("rest", "verdict").agg(F.count(F.lit(1)).alias("w"))
-    seen, before, level = written(baskets.withColumn("set", F.expr("cast(array() as array<string>)"))), None, 0
-    while not seen.isEmpty():
-        level += 1
-        # a row stands for equal baskets and one of their sets; rest holds the tokens after the set's last
-        seen = seen.select("verdict", "w", F.posexplode("rest").alias("at", "t"), "rest", "set").select(
-            "verdict", "w", F.concat("set", F.array("t")).alias("set"), F.expr("slice(rest, at + 2, size(rest))").alias("rest"))
-        by_verdict = F.array(*[F.sum(F.when(F.col("verdict") == v, F.col("w")).otherwise(0)) for v in verdicts])
-        sets = seen.groupBy("set").agg(F.sum("w").alias("n"), by_verdict.alias("c")).where(F.array_max("c") >= least)
-        sets = sets.withColumn("sure", F.transform("c", lambda x: x / F.col("n")))
-        if before is None:
-            sets = sets.withColumn("best", F.transform("c", lambda x: F.lit(-1.0)))
-        else:
-            subsets = sets.select("*", F.explode(F.transform("set", lambda t: F.array_remove("set", t))).alias("sub"))
-            met = subsets.join(sized(before), "sub").groupBy("set").agg(
-                F.first("n").alias("n"), F.first("c").alias("c"), F.first("sure").alias("sure"), F.count(F.lit(1)).alias("k"),
-                F.min("sub_n").alias("sub_n"), F.array(*[F.max(F.col("sub_best")[i]) for i in range(len(verdicts))]).alias("best"))
-            sets = met.where((F.col("k") == level) & (F.col("sub_n") > F.col("n"))).select("set", "n", "c", "sure", "best")
-        sets = written(sets)
-        for i, v in enumerate(verdicts):
-            sure, count = F.col("sure")[i], F.col("c")[i]
-            rules = rules.unionByName(
-                sets.where((count >= least) & (sure >= min_confidence) & (sure > F.col("best")[i]))
-                .select(F.col("set").alias("tokens"), F.lit(v).alias("verdict"), sure.alias("confidence"), (count / n).alias("support")))
-        before = written(sets.where(F.array_max("c") < F.col("n")).select(
-            F.col("set").alias("sub"), F.col("n").alias("sub_n"),
-            F.zip_with("sure", "best", lambda x, y: F.greatest(x, y)).alias("sub_best")))
-        live = sized(before).select(F.col("sub").alias("set"))
-        seen = written(seen.where(F.size("rest") > 0).join(live, "set"))
-    return rules
+    each = rows.select("id", "verdict", F.explode("tokens").alias("t"))
+    frequent = written(each.where("verdict is not null").groupBy("t", "verdict").agg(F.count(F.lit(1)).alias("n"))
+                       .where(F.col("n") >= least).select("t").distinct())
+    if frequent.isEmpty():
+        return empty
+    held = each.join(sized(frequent), "t")
+    # equal sums of two hashes over the rows of a token: the same rows
+    marks = held.groupBy("t").agg(*[F.bit_xor(F.xxhash64("id", F.lit(i))).alias(f"h{i}") for i in range(2)], F.count(F.lit(1)).alias("n"))
+    alike = written(marks.groupBy("h0", "h1", "n").agg(F.array_sort(F.collect_list("t")).alias("members")).select(
+        F.col("members")[0].alias("t"), "members"))
+    baskets = written(held.join(sized(alike.select("t")), "t").groupBy("id", "verdict").agg(F.collect_list("t").alias("items")).select(
+        F.when(F.col("verdict").isNull(), F.col("items")).otherwise(F.concat("items", F.array(F.concat(F.lit(VERDICT), "verdict")))).alias("items")))
+    found = FPGrowth(itemsCol="items", minSupport=min(1.0, (least - 0.5) / baskets.count())).fit(baskets).freqItemsets
+    tag = F.filter("items", lambda x: F.startswith(x, F.lit(VERDICT)))
+    sets = written(found.select(F.array_sort(F.filter("items", lambda x: ~F.startswith(x, F.lit(VERDICT)))).alias("set"),
+                                F.substring(F.get(tag, 0), len(VERDICT) + 1, 1 << 20).alias("verdict"), "freq").where(F.size("set") > 0))
+    counted = sets.where("verdict is not null").join(sets.where("verdict is null").select("set", F.col("freq").alias("n")), "set")
+    sure = written(counted.select("set", "verdict", F.col("freq").alias("c"), (F.col("freq") / F.col("n")).alias("sure")))
+    # the most confident part of each set, from one length to the next; every part of a frequent set is frequent
+    best = written(sure.where(F.size("set") == 1).withColumn("best", F.lit(-1.0)))
+    kept, size = [best], 1
+    while not best.isEmpty():
+        size += 1
+        below = best.select(F.col("set").alias("sub"), "verdict", F.greatest("sure", "best").alias("b"))
+        parts = sure.where(F.size("set") == size).select("*", F.explode(F.transform("set", lambda t: F.array_remove("set", t))).alias("sub"))
+        best = written(parts.join(below, ["sub", "verdict"]).groupBy("set", "verdict").agg(
+            F.first("c").alias("c"), F.first("sure").alias("sure"), F.max("b").alias("best")))
+        kept.append(best)
+    rules = kept[0]
+    for more in kept[1:]:
+        rules = rules.unionByName(more)
+    rules = written(rules.where((F.col("sure") >= min_confidence) & (F.col("sure") > F.col("best"))).select(
+        F.col("set").alias("tokens"), "verdict", F.col("sure").alias("confidence"), (F.col("c") / n).alias("support")))
+    several = sized(alike.where(F.size("members") > 1).select(F.col("t").alias("_t"), "members"))
+    for i in range(max(0, size - 1) if not alike.where(F.size("members") > 1).isEmpty() else 0):
+        token = F.try_element_at("tokens", F.lit(i + 1))
+        options = F.explode(F.coalesce("members", F.array(token)))
+        rules = rules.withColumn("_t", token).join(several, "_t", "left").select("*", options.alias("_o")).select(
+            F.when(F.col("_t").isNull(), F.col("tokens")).otherwise(
+                F.transform("tokens", lambda x, at: F.when(at == i, F.col("_o")).otherwise(x))).alias("tokens"), "verdict", "confidence", "support")
+    return rules.withColumn("tokens", F.array_sort("tokens"))
 
 
 def mine(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_confidence: float = MIN_CONFIDENCE) -> list[Mined]:
@@ -155,7 +162,7 @@ def match(rows: DataFrame, mined: list[Mined] | DataFrame, default: str = "allow
 def judge(pages: DataFrame, rules=RULES, **mining) -> DataFrame:
     """Host, path, fitting fixed rule and verdict of every page (needs page_id, url).
 
-    URLs with a fixed rule are the labelled ones; level-wise counting mines token combinations from all URLs with
+    URLs with a fixed rule are the labelled ones; FP-growth mines token combinations from all URLs with
     those labels, and URLs without a rule get the verdict of the best mined rule they match, or allow. Null
     URLs and URLs without ``://`` have empty host and path and no tokens, so they are allowed. Repeated
     rows are judged each. An empty table gives no rows; extra columns are left out.
