@@ -22,8 +22,6 @@ BREAKS = r"[\x20\x09-\x0D]+"
 CLASSES = {"lower": "[^a-z]+", "upper": "[^A-Z]+", "digit": "[^0-9]+", "accented": r"[^\p{L}&&[^a-zA-Z]]+"}
 N_CLASSES = len(CLASSES) + 3
 
-#: Languages with a reference of their own in the query's SQL. The operator has one for each, without a limit.
-MAX_LANGUAGES = 256
 #: A reference needs as many words; a smaller language has no distance.
 MIN_REFERENCE_WORDS = 2_000
 #: A text needs as many words for the character distance, and as many common words for the word distance.
@@ -128,13 +126,12 @@ def judge(measured: DataFrame, reference: DataFrame, min_words: int = MIN_WORDS,
           max_class: float = MAX_CLASS_DISTANCE, max_word: float = MAX_WORD_DISTANCE) -> DataFrame:
     """Adds class_distance, word_distance (null below the minimum lengths), base_failed and kept."""
     own = reference.where("lang is not null").select("lang", F.col("p_class").alias("_pc"), F.col("p_word").alias("_pw"))
-    pool = F.broadcast(reference.where("lang is null").select(F.col("p_class").alias("_gc"), F.col("p_word").alias("_gw")))
-    d = scale.lookup_join(measured, own, ["lang"]).withColumn("_one", F.lit(1))
-    d = d.join(pool.withColumn("_one", F.lit(1)), "_one", "left")
+    pool = reference.where("lang is null").agg(F.first(F.struct("p_class", "p_word")))  # one row, a scalar for all
+    d = scale.lookup_join(measured, own, ["lang"]).withColumn("_pool", pool.scalar())
     # only texts of unknown language are held against the pool; a known one without a reference has no distance
     unknown = F.col("lang").isNull()
-    d = d.select("*", F.when(unknown, F.col("_gc")).otherwise(F.col("_pc")).alias("_rc"),
-                 F.when(unknown, F.col("_gw")).otherwise(F.col("_pw")).alias("_rw"),
+    d = d.select("*", F.when(unknown, F.col("_pool.p_class")).otherwise(F.col("_pc")).alias("_rc"),
+                 F.when(unknown, F.col("_pool.p_word")).otherwise(F.col("_pw")).alias("_rw"),
                  _all(F.col("classes")).alias("_n"), F.aggregate("commons", F.lit(0).cast("long"),
                                                                  lambda s, e: s + e["n"]).alias("_m"))
     pairs = F.arrays_zip(F.transform("classes", lambda c: c / F.col("_n")).alias("p"), F.col("_rc").alias("q"))

@@ -119,12 +119,11 @@ c AS (SELECT *, list_concat(known, [length(text) - word_chars, n_symbols, word_c
 cl AS (SELECT doc_id, lang, n_words, unnest(classes)::DOUBLE AS n, unnest(range({quality.N_CLASSES})) AS k FROM c),
 cw AS (SELECT doc_id, lang, n_words, w, COUNT(*)::DOUBLE AS n FROM (SELECT doc_id, lang, n_words, lower(unnest(ws)) AS w FROM c)
   WHERE w IN ({_LIST}) GROUP BY ALL),
-big AS (SELECT lang FROM c WHERE lang IS NOT NULL GROUP BY 1 HAVING SUM(n_words) >= {quality.MIN_REFERENCE_WORDS}
-  ORDER BY SUM(n_words) DESC, lang LIMIT {quality.MAX_LANGUAGES}),
-own AS (SELECT c.doc_id, COALESCE(big.lang, '') AS ref FROM c LEFT JOIN big USING (lang)),
-rc AS (SELECT ref, k, n / SUM(n) OVER (PARTITION BY ref) AS q FROM (SELECT lang AS ref, k, SUM(n) AS n FROM cl SEMI JOIN big USING (lang) GROUP BY 1, 2
+big AS (SELECT lang FROM c WHERE lang IS NOT NULL GROUP BY 1 HAVING SUM(n_words) >= {quality.MIN_REFERENCE_WORDS}),
+own AS (SELECT doc_id, CASE WHEN lang IS NULL THEN '' ELSE 'l' || lang END AS ref FROM c WHERE lang IS NULL OR lang IN (SELECT lang FROM big)),
+rc AS (SELECT ref, k, n / SUM(n) OVER (PARTITION BY ref) AS q FROM (SELECT 'l' || lang AS ref, k, SUM(n) AS n FROM cl SEMI JOIN big USING (lang) GROUP BY 1, 2
   UNION ALL SELECT '', k, SUM(n) FROM cl GROUP BY 2)),
-rw AS (SELECT ref, w, n / SUM(n) OVER (PARTITION BY ref) AS q FROM (SELECT lang AS ref, w, SUM(n) AS n FROM cw SEMI JOIN big USING (lang) GROUP BY 1, 2
+rw AS (SELECT ref, w, n / SUM(n) OVER (PARTITION BY ref) AS q FROM (SELECT 'l' || lang AS ref, w, SUM(n) AS n FROM cw SEMI JOIN big USING (lang) GROUP BY 1, 2
   UNION ALL SELECT '', w, SUM(n) FROM cw GROUP BY 2)),
 dc AS (SELECT doc_id, sqrt(greatest(0, SUM({_JS.format(p='p', q='q')}) / 2)) AS d
   FROM (SELECT doc_id, k, n / NULLIF(SUM(n) OVER (PARTITION BY doc_id), 0) AS p FROM cl WHERE n_words >= {quality.MIN_WORDS})
