@@ -16,8 +16,10 @@ WEIGHTS = (3, 1, 2)
 BUDGET = 1.5
 #: Most copies of a document, and so most words of a source in its own sizes.
 MAX_COPIES = 2
-#: The knapsack runs on what is left once it is at most as many words.
-KNAPSACK_WORDS = 1 << 14
+#: Sums kept by the knapsack, over all its stages.
+SUMS = 1 << 21
+#: Documents of each size left out of the even share at first, and at last.
+RESERVE, MOST_RESERVE = 1, 512
 #: Documents of one length ranked together by one task.
 ROWS_PER_BUCKET = 20_000
 
@@ -54,65 +56,83 @@ def targets(sources: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: i
     return rows.select("source", "source_size", F.least(F.col("_cap"), F.lit(level) * F.col("_w")).alias("target"))
 
 
-def knapsack(sizes: np.ndarray, counts: np.ndarray, budget: int) -> np.ndarray:
-    """How many of each size (at most ``counts``) so that the sum is the largest that is at most ``budget``.
+def nearest(sizes: np.ndarray, counts: np.ndarray, budget: int, most: int = SUMS) -> np.ndarray:
+    """How many of each size (at most ``counts``) so that the sum comes nearest to ``budget``, on either side of it.
 
-    Bounded subset sum over all sums up to the budget: ``last[s]`` is the size that first reached s, ``used``
-    how many of that size it took, so each chain back uses no size beyond its count.
+    Bounded subset sum over the sums that can be reached, however large they are: size by size, with the sums
+    kept in order and those out of reach of the budget left out. That is exact while there are at most
+    ``most`` sums in all stages together. Beyond, only one sum in each of equal intervals is kept while large sizes
+    are laid, so the error stays within what small sizes, which come last, can fill.
     """
-    last = np.full(budget + 1, -1, np.int64)
-    reached = np.zeros(budget + 1, bool)
-    reached[0] = True
-    for j, (size, count) in enumerate(zip(sizes, counts)):
-        if reached[budget]:
-            break
-        if size <= 0 or size > budget or count <= 0:
-            continue
-        used = np.zeros(budget + 1, np.int64)
-        for at in range(size, budget + 1, size):
-            here, back = slice(at, min(at + size, budget + 1)), slice(at - size, min(at, budget + 1 - size))
-            new = ~reached[here] & reached[back] & (used[back] < count)
-            if new.any():
-                used[here][new] = used[back][new] + 1
-                reached[here][new] = True
-                last[here][new] = j
+    order = np.argsort(-sizes, kind="stable")
+    order = order[(sizes[order] > 0) & (counts[order] > 0)]
     took = np.zeros(len(sizes), np.int64)
-    at = int(np.flatnonzero(reached)[-1])
-    while at:
-        took[last[at]] += 1
-        at -= int(sizes[last[at]])
+    if not len(order):
+        return took
+    room = max(1024, most // len(order))
+    after = np.concatenate([np.cumsum((sizes * counts)[order][::-1])[::-1][1:], [0]])  # what later sizes can add
+    stages, sums = [], np.zeros(1, np.int64)
+    for i, rest in zip(order, after):
+        size, left = int(sizes[i]), int(counts[i])
+        step, new = 1, sums
+        while left > 0:  # 1, 2, 4 ... of a size and the remainder make up any number of it
+            step = min(step, left)
+            new = np.union1d(new, new + step * size)
+            left -= step
+            step *= 2
+            # one sum above the budget is enough, and one that can no longer come up to it
+            high, low = np.searchsorted(new, budget), np.searchsorted(new, budget - rest - left * size, "right")
+            new = new[max(0, low - 1):high + 1]
+            if len(new) > room:
+                cell = (new - new[0]) // max(1, -(-(int(new[-1] - new[0]) + 1) // room))
+                new = new[np.concatenate([[True], cell[1:] != cell[:-1]]) | (new == new[-1])]
+        stages.append(sums)
+        sums = new
+    at = int(sums[np.abs(sums - budget).argmin()])
+    for i, before in zip(order[::-1], stages[::-1]):
+        k = np.arange(int(min(counts[i], at // sizes[i])) + 1)
+        want = at - k * int(sizes[i])
+        place = np.minimum(np.searchsorted(before, want), len(before) - 1)
+        hit = np.flatnonzero(before[place] == want)
+        took[i] = hit[0]
+        at = int(want[hit[0]])
     return took
 
 
-def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, small: int = KNAPSACK_WORDS) -> np.ndarray:
-    """How many documents of each size to take so that the sum comes as near below ``budget`` as it can.
+def fit(sizes: np.ndarray, counts: np.ndarray, budget: int, most: int = SUMS) -> np.ndarray:
+    """How many documents of each size to take so that the sum comes as near to ``budget`` as it can.
 
-    Every size first gives its even share, larger sizes then fill the gap down to ``small`` words, and the
-    knapsack settles the rest exactly.
+    Every size first gives its even share but for RESERVE documents, which are free like those beyond the share; a source
+    with fewer of every size is free as a whole. What is left of the budget is fitted by the knapsack
+    of ``nearest``. A difference below half the greatest common divisor of the sizes is
+    the least there can be; only if it is larger is more of the even share freed.
     """
     total = int((sizes * counts).sum())
-    if budget >= total:
+    if budget >= total or not total:
         return counts.copy()
-    took = np.array([int(c) * budget // total for c in counts], np.int64) if total else np.zeros(len(sizes), np.int64)
-    left = budget - int((sizes * took).sum())
-    for i in np.argsort(-sizes, kind="stable"):
-        if left <= small:
-            break
-        if sizes[i] > 0:
-            more = int(min(counts[i] - took[i], (left - small + sizes[i] - 1) // sizes[i], left // sizes[i]))
-            took[i] += more
-            left -= more * int(sizes[i])
-    if left > 0:
-        order = np.argsort(-sizes, kind="stable")  # large sizes reach far with few documents
-        took[order] += knapsack(sizes[order], (counts - took)[order], min(left, small))
-    return took
+    unit = int(np.gcd.reduce(sizes[(sizes > 0) & (counts > 0)]))
+    share = np.array([int(c) * budget // total for c in counts], np.int64)
+    best, gap, reserve = None, None, RESERVE
+    while True:
+        fixed = np.maximum(0, share - reserve)
+        free = np.minimum(counts - fixed, 2 * reserve + 2)
+        left = budget - int((sizes * fixed).sum())
+        took = nearest(sizes, free, left, most)
+        off = abs(left - int((sizes * took).sum()))
+        if gap is None or off < gap:
+            best, gap = fixed + took, off
+        if 2 * gap <= unit or not fixed.any() and (free == counts).all():
+            return best
+        reserve *= 8
+        if reserve > MOST_RESERVE:
+            return best
 
 
 def _plan(group: pd.DataFrame) -> pd.DataFrame:
     """For one source: how many documents of each size are taken once and how many twice."""
     group = group.sort_values("size", ignore_index=True)
     sizes, counts = group["size"].to_numpy(np.int64), group["n"].to_numpy(np.int64)
-    total, budget = int((sizes * counts).sum()), int(np.floor(group["target"].iloc[0]))
+    total, budget = int((sizes * counts).sum()), int(np.floor(group["target"].iloc[0] + 0.5))
     rounds, rest = divmod(budget, total) if total else (0, 0)
     extra = fit(sizes, counts, rest)
     return group.assign(rounds=rounds, extra=extra)[["_sid", "size", "rounds", "extra"]]
@@ -134,12 +154,24 @@ def mix(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MA
 
 
 def repeat(docs: DataFrame, **options) -> DataFrame:
-    """The rows, with all their columns, as often as the mix takes them; rows it does not take go."""
-    plan = _mixed(docs, **options).where("copies > 0").groupBy("doc_id", "_text").agg(F.sum("copies").alias("_copies"))
-    plan = plan.select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "_copies")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash")).dropDuplicates(["id", "hash"])
+    """The rows, with all their columns, as often as the mix takes them; rows it does not take go.
+
+    Rows that agree in doc_id and text share their copies: each gets the same number, and those that are first
+    by their other columns one more if the number does not divide. Nulls, empty texts, an empty table and extra columns
+    are as in ``mix``; a table may have any columns besides.
+    """
+    plan = _mixed(docs, **options).groupBy("doc_id", "_text").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
+    plan = plan.where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "_copies", "_rows")
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
     joined = rows.join(plan, rows["id"].eqNullSafe(plan["_id"]) & (rows["hash"] == plan["_hash"]))
-    return joined.select("row", F.explode(F.sequence(F.lit(1), F.col("_copies").cast("int"))).alias("_nth")).select("row.*")
+    share, rest = F.floor(F.col("_copies") / F.col("_rows")), F.pmod("_copies", "_rows")
+    whole = joined.where(rest == 0).select("row", share.alias("_n"))
+    # only rows repeated and taken unevenly are ranked, over as many tasks as they need
+    part = joined.where(rest > 0).select("row", "_copies", "_rows", F.to_json(F.struct("id", "hash")).alias("_key"),
+                                         F.to_json("row").alias("_order"))
+    ranked = scale.rank_within(part, ["_key"], ["_order"], "_r").select("row", (share + (F.col("_r") <= rest).cast("long")).alias("_n"))
+    return (whole.unionByName(ranked).where("_n > 0")
+            .select("row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_nth")).select("row.*"))
 
 
 def _mixed(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MAX_COPIES, seed: int = 17,
