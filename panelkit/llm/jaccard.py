@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.llm.common import WORD_BREAKS, components, mix, parts_for, runs, signed, sized, slices, words, written
 
@@ -282,7 +283,8 @@ def groups(docs: DataFrame, percent: int = PERCENT, part_entries: int = PART_ENT
 def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
     """The rows, with all their columns, of one document of each group: the smallest doc_id, null last.
 
-    Rows with an empty set all stay; of rows with equal doc_id and text in a group one stays.
+    Rows with an empty set all stay, so those of null and empty texts do; of rows with equal doc_id and text in a group the
+    one that is first by a hash of its columns stays. An empty table gives no rows; extra columns, whatever their names, are kept.
     """
     found = groups(docs, percent)
     first = (found.where("n > 0").groupBy("_group")
@@ -290,9 +292,10 @@ def keep_one(docs: DataFrame, percent: int = PERCENT) -> DataFrame:
              .select(F.col("r.doc_id").alias("_id"), F.col("r._text").alias("_hash")))
     blank = F.length(F.translate(F.coalesce("text", F.lit("")), WORD_BREAKS, "")) == 0
     rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"), blank.alias("blank"))
+    place = F.xxhash64(*[F.col("row")[f.name] for f in docs.schema.fields if f.name != "text" and not isinstance(f.dataType, T.MapType)])
     chosen = (rows.where("not blank").join(first, rows["id"].eqNullSafe(F.col("_id")) & (rows["hash"] == F.col("_hash")), "left_semi")
-              .dropDuplicates(["id", "hash"]))
-    return chosen.unionByName(rows.where("blank")).select("row.*")
+              .groupBy("id", "hash").agg(F.min_by("row", place).alias("row")))
+    return chosen.select("row").unionByName(rows.where("blank").select("row")).select("row.*")
 
 
 def links(docs: DataFrame, texts: DataFrame, named: DataFrame, percent: int, part_entries: int) -> DataFrame:
