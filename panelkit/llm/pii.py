@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,6 +30,8 @@ HIDDEN = 16
 SAMPLE_DOCS, SAMPLE_WINDOWS = 800, 6
 EPOCHS, BATCH, RATE = 12, 64, 0.02
 CHUNK = 1024
+#: Characters around a word with a digit or @ that belong to its area.
+MARGIN = 16
 
 #: Characters with a class of their own; other digits, letters and signs share one each.
 _SINGLE = "@.-+() _%:=/,;\"'#\n\t|"
@@ -134,24 +137,6 @@ def _emissions(p, code, live, keep: list | None = None):
     return states, score
 
 
-def decode(p, code: np.ndarray, live: np.ndarray) -> np.ndarray:
-    """Best tag sequence (T, N) of each window by Viterbi over the CRF."""
-    _, score = _emissions(p, code, live)
-    steps, n, k = score.shape
-    best, back = p["first"] + score[0], np.zeros((steps, n, k), np.int8)
-    for t in range(1, steps):
-        via = best[:, :, None] + p["trans"]
-        back[t] = via.argmax(1)
-        best = np.where(live[t][:, None], via.max(1) + score[t], best)
-        back[t][~live[t]] = np.arange(k)
-    tags = np.zeros((steps, n), np.int8)
-    tags[-1] = best.argmax(1)
-    rows = np.arange(n)
-    for t in range(steps - 1, 0, -1):
-        tags[t - 1] = back[t][rows, tags[t]]
-    return tags
-
-
 def _lse(x, axis):
     top = x.max(axis, keepdims=True)
     return np.log(np.exp(x - top).sum(axis)) + top.squeeze(axis)
@@ -258,7 +243,7 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
     for batch in batches:
         out = []
         for doc, value in zip(batch.column(0).to_pylist(), batch.column(1)):
-            text, rng = value.as_py(), np.random.default_rng(int(doc) & 0xFFFFFFFF)
+            text, rng = value.as_py(), np.random.default_rng(int(doc) & 0xFFFFFFFF if isinstance(doc, int) else zlib.crc32(str(doc).encode()))
             spans = base_spans(text)
             spots = [s for s, _, _ in spans] or [m.start() for m in re.finditer(r"[0-9@]", text)]
             rows = []
@@ -280,8 +265,9 @@ def fit(docs: DataFrame, sample_docs: int = SAMPLE_DOCS, seed: int = 5) -> dict[
     """
     some = docs.where(F.col("doc_id").isNotNull() & F.col("text").rlike("[0-9@]"))
     drawn = some.select("doc_id").orderBy(F.xxhash64("doc_id", F.lit(23)), "doc_id").limit(sample_docs).distinct()
-    rows = some.select("doc_id", "text").join(F.broadcast(drawn), "doc_id").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    cut = rows.mapInArrow(_sample_windows, "doc_id long, windows array<struct<text:string,spans:array<array<bigint>>>>")
+    rows = some.select("doc_id", "text").join(F.broadcast(drawn), "doc_id")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cut = rows.mapInArrow(_sample_windows, f"doc_id {kind}, windows array<struct<text:string,spans:array<array<bigint>>>>")
     got = sorted((w["text"], [tuple(s) for s in w["spans"]]) for r in cut.collect() for w in r["windows"])
     rng = np.random.default_rng(seed)
     return train(got + [variants(t, s, rng) for t, s in got if s])
@@ -302,27 +288,90 @@ def plausible(kind: int, text: str) -> bool:
     return 9 <= len(digits) <= 15 and not re.search("[A-Za-z]", text) and len(re.findall("[0-9]+", text)) >= 3
 
 
-def tag_windows(p, codes: list[np.ndarray], anchored: list[np.ndarray]) -> list[np.ndarray]:
-    """Tags of whole texts: overlapping windows are decoded, each character takes its tag from the window in
-    which it stands farthest from an edge.
+def areas(code: np.ndarray) -> list[tuple[int, int]]:
+    """Where personal data can stand: words (no blank inside) with a digit or @, and MARGIN characters around them.
 
-    Every kind of span needs a digit or an @, so a window without one decodes to no span and is not run.
+    Every kind of span holds a digit or an @, and what belongs to it but has none (separators, words of a separated address) is near.
+    ``code`` has the character classes of a text.
     """
-    tags = [np.zeros(len(c), np.int8) for c in codes]
+    blank = np.flatnonzero(np.isin(code, [_SINGLE.index(c) for c in " \n\t"]))
+    anchors = np.flatnonzero((code == len(_SINGLE)) | (code == 0))
+    word = np.unique(np.searchsorted(blank, anchors))
+    edges = np.concatenate([[-1], blank, [len(code)]])
+    start, end = np.maximum(0, edges[word] + 1 - MARGIN), np.minimum(len(code), edges[word + 1] + MARGIN)
+    if not len(word):
+        return []
+    apart = np.concatenate([[True], start[1:] > np.maximum.accumulate(end)[:-1]])
+    first = np.flatnonzero(apart)
+    return list(zip(start[first].tolist(), np.maximum.reduceat(end, first).tolist()))
+
+
+def viterbi(p, score: list[np.ndarray], first: list[bool], last: list[bool]) -> list[np.ndarray]:
+    """Best tags of stretches of text from their emissions; a stretch that does not begin or end its text has tag 0 beside it."""
+    out: list = [None] * len(score)
+    order = sorted(range(len(score)), key=lambda i: len(score[i]))
+    for a in range(0, len(order), CHUNK):
+        rows = order[a:a + CHUNK]
+        size = np.array([len(score[i]) for i in rows])
+        steps, n, k = int(size.max()), len(rows), score[rows[0]].shape[1]
+        s = np.zeros((steps, n, k), np.float32)
+        for j, i in enumerate(rows):
+            s[:size[j], j] = score[i]
+        best = np.where(np.array([first[i] for i in rows])[:, None], p["first"], p["trans"][0]) + s[0]
+        back = np.zeros((steps, n, k), np.int8)
+        for t in range(1, steps):
+            via = best[:, :, None] + p["trans"]
+            live = t < size
+            back[t] = np.where(live[:, None], via.argmax(1), np.arange(k))
+            best = np.where(live[:, None], via.max(1) + s[t], best)
+        best = best + np.where(np.array([last[i] for i in rows])[:, None], 0, p["trans"][:, 0])
+        tags = np.zeros((steps, n), np.int8)
+        tags[-1] = best.argmax(1)
+        for t in range(steps - 1, 0, -1):
+            tags[t - 1] = back[t][np.arange(n), tags[t]]
+        for j, i in enumerate(rows):
+            out[i] = tags[:size[j], j]
+    return out
+
+
+def tag_texts(p, texts: list[str], everywhere: bool = False) -> list[np.ndarray]:
+    """Tags of whole texts from overlapping windows, reconciled by one Viterbi pass over each text.
+
+    A character's emissions are the mean of those of all windows it is in. Every window that holds a character of an area
+    is run, so inside areas nothing depends on where they are cut; characters outside have tag 0. ``everywhere``
+    makes each text one area.
+    """
+    codes = [classes(t) for t in texts]
+    spots = [([(0, len(c))] if len(c) else []) if everywhere else areas(c) for c in codes]
+    base = np.concatenate([[0], np.cumsum([len(c) for c in codes])]).astype(np.int64)
+    flat = np.concatenate([np.zeros(0, np.int8), *codes])
+    wanted = np.zeros(len(flat), bool)
     todo = []
-    for i, (c, hit) in enumerate(zip(codes, anchored)):
-        last = max(0, -(-(len(c) - WINDOW) // STRIDE))
-        near = np.unique(np.concatenate([hit // STRIDE, (hit - (WINDOW - STRIDE)) // STRIDE])) if len(hit) else hit
-        todo += [(i, int(w)) for w in near if 0 <= w <= last]
-    edge = (WINDOW - STRIDE) // 2
+    for i, found in enumerate(spots):
+        windows: set[int] = set()
+        top = max(0, -(-(len(codes[i]) - WINDOW) // STRIDE))
+        for s, e in found:
+            wanted[base[i] + s:base[i] + e] = True
+            windows.update(range(max(0, (s - WINDOW) // STRIDE + 1), min(top, (e - 1) // STRIDE) + 1))
+        todo += [(i, w) for w in sorted(windows)]
+    place = np.cumsum(wanted) - 1
+    total, times = np.zeros((int(wanted.sum()), len(KINDS) + 1), np.float32), np.zeros(int(wanted.sum()), np.float32)
     for a in range(0, len(todo), CHUNK):
         part = todo[a:a + CHUNK]
         code, live = _padded([codes[i][w * STRIDE:w * STRIDE + WINDOW] for i, w in part])
-        found = decode(p, code, live)
-        for j, (i, w) in enumerate(part):
-            n = int(live[:, j].sum())
-            lo, hi = edge if w else 0, n if w * STRIDE + n >= len(codes[i]) else n - edge
-            tags[i][w * STRIDE + lo:w * STRIDE + hi] = found[lo:hi, j]
+        _, score = _emissions(p, code, live)
+        at = np.array([base[i] + w * STRIDE for i, w in part]) + np.arange(len(live))[:, None]
+        use = live & wanted[np.minimum(at, len(flat) - 1)]
+        spot = place[at[use]]
+        np.add.at(total, spot, score[use])
+        np.add.at(times, spot, 1)
+    total /= np.maximum(times, 1)[:, None]
+    stretches = [(i, s, e) for i, found in enumerate(spots) for s, e in found]
+    scores = [total[place[base[i] + s]:place[base[i] + e - 1] + 1] for i, s, e in stretches]
+    tags = [np.zeros(len(t), np.int8) for t in texts]
+    for (i, s, e), found in zip(stretches, viterbi(p, scores, [s == 0 for _, s, _ in stretches],
+                                                  [e == len(texts[i]) for i, _, e in stretches])):
+        tags[i][s:e] = found
     return tags
 
 
@@ -366,9 +415,7 @@ def _search(p: dict, column: pa.Array) -> Iterator[tuple[int, str, list, list]]:
     for a in range(0, len(having), 256):
         rows = having[a:a + 256].tolist()
         texts = [column[i].as_py() for i in rows]
-        codes = [classes(t) for t in texts]
-        anchored = [np.flatnonzero((c == len(_SINGLE)) | (c == 0)) for c in codes]
-        for i, text, tags in zip(rows, texts, tag_windows(p, codes, anchored)):
+        for i, text, tags in zip(rows, texts, tag_texts(p, texts)):
             base = base_spans(text)
             yield i, text, base, sorted(base + added_spans(text, tags, base))
 
@@ -404,7 +451,11 @@ def find(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
 
 
 def mask(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
-    """The rows, with all their columns, and every span in ``text`` replaced by its kind; no row moves."""
+    """The rows, with all their columns, and every span in ``text`` replaced by its kind; no row moves.
+
+    Null and empty texts stay as they are, repeated rows are masked each, an empty table gives no rows; extra columns,
+    whatever their names, are kept.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
