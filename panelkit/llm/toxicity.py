@@ -18,8 +18,8 @@ WINDOW, STRIDE = 64, 48
 CHAR_BUCKETS, CHAR_SIZE = 1 << 13, 12
 WORD_BUCKETS, WORD_SIZE = 1 << 13, 8
 HIDDEN = 8
-#: The training sample: labelled documents of each class, windows of each, longest word in bytes.
-SAMPLE_DOCS, SAMPLE_WINDOWS, SAMPLE_BYTES = 1_500, 8, 64
+#: The training sample: labelled documents of each class, windows of each.
+SAMPLE_DOCS, SAMPLE_WINDOWS = 1_500, 8
 #: Passes over the sample; small samples get more, so that there are STEPS steps at least.
 EPOCHS, STEPS, BATCH, RATE = 6, 400, 64, 0.01
 #: Pull of the vectors towards zero.
@@ -245,8 +245,8 @@ def _subset(v: Vocabulary, known: np.ndarray) -> Vocabulary:
     return out
 
 
-def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """At most SAMPLE_WINDOWS windows of each document, spread evenly over the whole text."""
+def _sample_windows(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """At most ``most`` windows of each document, spread evenly over the whole text."""
     for batch in batches:
         out = []
         for a, b, raw, at in slices(batch.column(2)):
@@ -254,9 +254,9 @@ def _sample_windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
             data = raw.tobytes()
             for lo, hi in zip(w.first[:-1], w.first[1:]):
                 starts = window_starts(hi - lo)
-                if len(starts) > SAMPLE_WINDOWS:
-                    starts = starts[np.linspace(0, len(starts) - 1, SAMPLE_WINDOWS).astype(int)]
-                out.append([b" ".join(data[s:min(e, s + SAMPLE_BYTES)] for s, e in zip(
+                if len(starts) > most:
+                    starts = starts[np.linspace(0, len(starts) - 1, most).astype(int)]
+                out.append([b" ".join(data[s:e] for s, e in zip(
                     w.start[lo + x:min(lo + x + WINDOW, hi)], w.end[lo + x:min(lo + x + WINDOW, hi)])) for x in starts])
         yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.binary()))],
                                          ["doc_id", "toxic", "windows"])
@@ -267,18 +267,20 @@ def held_out(doc_id: Column) -> Column:
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(5)) == 0
 
 
-def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS) -> dict[str, np.ndarray]:
+def fit(docs: DataFrame, labels: DataFrame, sample_docs: int = SAMPLE_DOCS, sample_windows: int = SAMPLE_WINDOWS) -> dict[str, np.ndarray]:
     """Train on at most ``sample_docs`` labelled documents of each class, drawn by a hash of doc_id.
 
-    The sample is bounded in documents, windows and word length, so what reaches the driver does not grow
-    with the corpus. Labels of held-out rows are not read; null labels are ignored; a document labelled both
+    Of a longer document ``sample_windows`` windows over its whole length are learnt, with their whole words, so what
+    reaches the driver does not grow with the corpus. Labels of held-out rows are not read; null labels are ignored; a document labelled both
     ways counts as toxic.
     """
     known = labels.where(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
     draw = lambda v: known.where(F.col("toxic") == v).orderBy(F.xxhash64("doc_id", F.lit(11)), "doc_id").limit(sample_docs)
     rows = docs.join(F.broadcast(draw(0).unionByName(draw(1))), "doc_id").select("doc_id", "toxic", "text")
-    cut = rows.mapInArrow(_sample_windows, "doc_id long, toxic int, windows array<binary>")
+    kind = docs.schema["doc_id"].dataType.simpleString()
+    cut = rows.withColumn("toxic", F.col("toxic").cast("int")).mapInArrow(
+        lambda batches: _sample_windows(batches, sample_windows), f"doc_id {kind}, toxic int, windows array<binary>")
     got = sorted({(r["doc_id"], r["toxic"], tuple(bytes(x) for x in r["windows"])) for r in cut.collect()})
     return train([[x.decode(errors="replace") for x in t] for _, _, t in got], [y for _, y, _ in got])
 
@@ -328,7 +330,11 @@ def score(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
 
 
 def keep_clean(docs: DataFrame, model: dict[str, np.ndarray], threshold: float = 0.5) -> DataFrame:
-    """The rows, with all their columns, whose text scores below ``threshold``; no row moves."""
+    """The rows, with all their columns, whose text scores below ``threshold``; no row moves.
+
+    Null, empty and blank texts have the score of the bias alone; repeated rows are judged each; an empty table gives no
+    rows; extra columns, whatever their names, are kept.
+    """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
