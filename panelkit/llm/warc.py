@@ -245,7 +245,7 @@ def round_trip(pages: DataFrame, path: str, payload: bool = True, **options) ->
     """
     spark, kind = pages.sparkSession, pages.schema["page_id"].dataType
     write(pages, path, **options)
-    found = resolve(written(captures(read(spark, path, payload))))
+    found = resolve(written(captures(written(read(spark, path, payload)))))  # archives are parsed once
     first = F.col("type") == "response"
     page = lambda fields: F.url_decode(fields["page_id"]).cast(kind)
     read_sha1 = F.when(first, F.col("response.payload_sha1")).otherwise(F.col("origin.payload_sha1"))
