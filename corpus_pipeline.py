@@ -1,4 +1,10 @@
-"""From raw documents to packed training sequences: five stages, each one operator over all its predecessor kept."""
+"""From raw documents to packed training sequences: five stages, each one operator over all its predecessor kept.
+
+In every stage null and empty texts count as texts without words: the network gives them the score of its bias alone, no
+text is near them, they hold no personal data, the mix never takes them. Repeated rows are rows like others until one
+of each group of copies stays; ties go to the smaller doc_id, null last. Empty tables give empty tables; extra columns,
+whatever their names, pass all stages but the last.
+"""
 
 from __future__ import annotations
 
@@ -23,6 +29,8 @@ def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def private(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The documents with personal data replaced by its kind."""
     out = pii.mask(docs, pii.fit(docs))
+    if "n_chars" not in docs.columns:
+        return out
     return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
