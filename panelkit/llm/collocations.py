@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +30,9 @@ PER_PARTITION, MOST_BITS = 1 << 22, 20
 SLACK = 4
 #: Bits of a hash, after those that name its partition, by which a summary tells phrases apart.
 KEY_BITS = 27
-#: Bits (KEY_BITS at most) of the filter of surviving phrases that is sent to every executor (16 MB, whatever the input).
-FILTER_BITS = 27
+#: Bits (KEY_BITS at most) of the Bloom filter of surviving phrases that is sent to every executor (16 MB, whatever the
+#: input), and places that a phrase sets in it.
+FILTER_BITS, FILTER_PLACES = 27, 3
 #: Parts in which the best phrases of a language are looked for first.
 RANK_PARTS = 64
 
@@ -173,6 +175,12 @@ def summaries(docs: DataFrame, bits: int, most: int, local: int = LOCAL) -> Data
     return docs.mapInArrow(count, "part int, mass long, n int, keys binary, counts binary")
 
 
+def _places(keys: np.ndarray, inner: int) -> Iterator[np.ndarray]:
+    """The places of keys in their partition's block of 2^inner bits."""
+    for i in range(FILTER_PLACES):
+        yield (mix(keys.astype(np.uint64) + _M1 * np.uint64(i + 1)) >> np.uint64(64 - inner)).astype(np.int64) if inner else np.zeros(len(keys), np.int64)
+
+
 def survivors(summary: DataFrame, bits: int, min_count: int, filter_bits: int = FILTER_BITS) -> DataFrame:
     """Hashes of every partition that may be frequent, as a block of the filter: part, n, block.
 
@@ -197,7 +205,8 @@ def survivors(summary: DataFrame, bits: int, min_count: int, filter_bits: int =
             now, lost = (keys, counts), lost + cut
         left = now[0][now[1] + lost >= min_count]
         block = np.zeros(1 << inner, bool)
-        block[left >> np.uint32(KEY_BITS - inner)] = True
+        for place in _places(left, inner):
+            block[place] = True
         return pa.table({"part": pa.array([table.column("part")[0].as_py()], pa.int32()), "n": pa.array([len(left)], pa.int64()),
                          "block": pa.array([np.packbits(block).tobytes()], pa.binary())})
 
@@ -209,30 +218,49 @@ def survivors(summary: DataFrame, bits: int, min_count: int, filter_bits: int =
 def _exact(docs: DataFrame, bits: int, blocks: list, most: int, filter_bits: int, local: int) -> DataFrame:
     """Occurrences, inside each task, of the phrases that the filter lets through, packed by hash partition.
 
-    Columns part, lang, phrase, n (lists of equal length); part -1 has all words of a language, without a
-    phrase. Inside a task, phrases are told apart by 64 bits.
+    Columns part, lang, phrases (a line each), counts; part -1 has all words of a language, as an empty phrase.
+    Inside a task, phrases are told apart by 64 bits.
     """
     inner = max(0, filter_bits - bits)
     live = np.zeros(1 << (bits + inner), bool)
     for r in blocks:
         live[r["part"] << inner:(r["part"] + 1) << inner] = np.unpackbits(np.frombuffer(r["block"], np.uint8), count=1 << inner)
     shared = docs.sparkSession.sparkContext.broadcast(np.packbits(live).tobytes())
-    shift = np.uint64(64 - bits - inner)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         passed = np.frombuffer(shared.value, np.uint8)
         seen, totals = Distinct(), {}
 
-        def packed(part: np.ndarray, first: np.ndarray, columns: list[pa.Array]) -> pa.RecordBatch:
-            ends = pa.array(np.append(first, len(columns[0])).astype(np.int32))
-            return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), *[pa.ListArray.from_arrays(ends, c) for c in columns]],
-                                              ["part", "lang", "phrase", "n"])
+        def may_be_frequent(h: np.ndarray) -> np.ndarray:
+            """Places of the hashes that the filter lets through."""
+            named = h >> np.uint64(64 - KEY_BITS - bits)
+            block, keys = (named >> np.uint64(KEY_BITS)).astype(np.int64) << inner, named & np.uint64((1 << KEY_BITS) - 1)
+            left = np.arange(len(h))
+            for i in range(FILTER_PLACES):
+                bit = block[left] + next(itertools.islice(_places(keys[left], inner), i, None))
+                left = left[(passed[bit >> 3] >> (7 - (bit & 7)).astype(np.uint8)) & 1 > 0]
+            return left
+
+        def packed(part: np.ndarray, lang: pa.Array, phrase: pa.Array, n: np.ndarray) -> pa.RecordBatch:
+            """A row for each partition and language of rows in that order: phrases with a line feed after each, and counts."""
+            codes = lang.dictionary_encode()
+            code = codes.indices.to_numpy(zero_copy_only=False)
+            order = np.lexsort((code, part))
+            part, code, n = part[order], code[order], n[order]
+            lines = pc.binary_join_element_wise(phrase.take(pa.array(order)), pa.scalar(""), "\n")
+            raw, at = text_bytes(lines)
+            first = np.flatnonzero(np.concatenate([[True], (part[1:] != part[:-1]) | (code[1:] != code[:-1])]))
+            ends = np.append(first[1:], len(part))
+            return pa.RecordBatch.from_arrays(
+                [pa.array(part[first], pa.int32()), codes.dictionary.take(pa.array(code[first])),
+                 pa.array([raw[at[a]:at[b]].tobytes() for a, b in zip(first, ends)], pa.binary()),
+                 pa.array([_pack(n[a:b]) for a, b in zip(first, ends)], pa.binary())], ["part", "lang", "phrases", "counts"])
 
         def flush() -> pa.RecordBatch:
-            part = (seen.keys >> np.uint64(32) >> np.uint64(32 - bits)).astype(np.int32)
-            first = np.flatnonzero(np.concatenate([[True], part[1:] != part[:-1]]))
-            order = pa.array(seen.number)
-            return packed(part[first], first, [c.take(order) for c in seen.columns()])
+            lang, phrase, n = seen.columns()
+            part = np.empty(len(seen.keys), np.int32)
+            part[seen.number] = (seen.keys >> np.uint64(32) >> np.uint64(32 - bits)).astype(np.int32)
+            return packed(part, lang, phrase, n.to_numpy())
 
         for batch in batches:
             lang, seeds = batch.column(0), _seeds(batch.column(0))
@@ -242,8 +270,7 @@ def _exact(docs: DataFrame, bits: int, blocks: list, most: int, filter_bits: int
                     totals[name] = totals.get(name, 0) + n
                 text, start, end = phrases.joined_text()
                 for k, (h, place) in enumerate(zip(phrases.hashes, phrases.places)):
-                    bit = h >> shift
-                    hit = (passed[(bit >> np.uint64(3)).astype(np.int64)] >> (np.uint8(7) - (bit & np.uint64(7)).astype(np.uint8))) & 1 > 0
+                    hit = may_be_frequent(h)
                     place = place[hit]
                     seen.add(h[hit], lambda new: [lang.take(pa.array(phrases.text[place[new]] + a)),
                                                   gather(text, start[place[new]], end[place[new] + k])])
@@ -253,17 +280,22 @@ def _exact(docs: DataFrame, bits: int, blocks: list, most: int, filter_bits: int
         if len(seen.sums):
             yield flush()
         if totals:
-            yield packed(np.array([-1]), np.array([0]), [pa.array(list(totals), pa.string()), pa.array([""] * len(totals), pa.string()),
-                                                         pa.array(list(totals.values()), pa.int64())])
+            yield packed(np.full(len(totals), -1, np.int32), pa.array(list(totals), pa.string()), pa.array([""] * len(totals), pa.string()),
+                         np.array(list(totals.values())))
 
-    return docs.mapInArrow(count, "part int, lang array<string>, phrase array<string>, n array<long>")
+    return docs.mapInArrow(count, "part int, lang string, phrases binary, counts binary")
 
 
 def _summed(counts: DataFrame, min_count: int) -> DataFrame:
     """Sums over all tasks by language and text, of at least ``min_count``: lang, k, phrase, n."""
     def add(table: pa.Table) -> pa.Table:
-        every = table.column("part")[0].as_py() < 0
-        flat = pa.table({c: pc.list_flatten(table.column(c)) for c in ("lang", "phrase", "n")})
+        every, parts = table.column("part")[0].as_py() < 0, []
+        for lang, phrases, counts in zip(table.column("lang"), table.column("phrases"), table.column("counts")):
+            raw = np.frombuffer(phrases.as_py(), np.uint8)
+            end = np.flatnonzero(raw == 10)
+            phrase = gather(raw, np.concatenate([[0], end[:-1] + 1]), end)
+            parts.append(pa.table([pa.repeat(lang, len(end)), phrase, pa.array(_unpack(counts.as_py(), len(end)))], ["lang", "phrase", "n"]))
+        flat = pa.concat_tables(parts)
         flat = flat.group_by(["lang", "phrase"]).aggregate([("n", "sum")])
         if not every:
             flat = flat.filter(pc.greater_equal(flat.column("n_sum"), min_count))
