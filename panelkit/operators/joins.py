@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from panelkit.functions.scalars import month_index
-from panelkit.scale import BROADCAST_BYTES, checkpoint
+from panelkit.scale import BROADCAST_BYTES, checkpoint, lookup_join
 
 
 def inner(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
@@ -32,22 +31,54 @@ def anti(rows: DataFrame, other: DataFrame, on: list[str]) -> DataFrame:
     return rows.join(other.select(*on).distinct(), on, "left_anti")
 
 
+def span_cells(first: Column, last: Column, levels: int) -> Column:
+    """The fewest dyadic cells (level, place) that make up the days ``first`` to ``last``: at most two of each level.
+
+    A cell of level l and place p is the 2^l days from p 2^l on. Level by level, a span that begins or ends
+    in the middle of a cell of the next level gives up its outermost cell.
+    """
+    def step(s: Column, level: Column) -> Column:
+        lo, hi = s["lo"], s["hi"]
+        live = lo <= hi
+        left, right = live & (lo % 2 == 1), live & (hi % 2 == 0)
+        cell = lambda p: F.array(F.struct(level.alias("level"), p.alias("place")))
+        none = F.array().cast("array<struct<level:int,place:int>>")
+        cells = F.concat(s["cells"], F.when(left, cell(lo)).otherwise(none), F.when(right, cell(hi)).otherwise(none))
+        half = lambda x: F.floor(x / 2).cast("int")
+        return F.struct(F.when(live, half(F.when(left, lo + 1).otherwise(lo))).otherwise(1).alias("lo"),
+                        F.when(live, half(F.when(right, hi - 1).otherwise(hi))).otherwise(0).alias("hi"), cells.alias("cells"))
+
+    start = F.struct(first.cast("int").alias("lo"), last.cast("int").alias("hi"),
+                     F.array().cast("array<struct<level:int,place:int>>").alias("cells"))
+    return F.aggregate(F.sequence(F.lit(0), F.lit(levels)), start, step, lambda s: s["cells"])
+
+
+def day_cells(day: Column, levels: int) -> Column:
+    """The cell of each level that holds a day."""
+    return F.transform(F.sequence(F.lit(0), F.lit(levels)), lambda level: F.struct(
+        level.alias("level"), F.call_function("shiftright", day.cast("int"), level).alias("place")))
+
+
 def interval_join(facts: DataFrame, dim: DataFrame, key: list[str], at: str, valid_from: str, valid_to: str,
                   values: list[str], how: str = "left") -> DataFrame:
     """Dimension rows whose closed validity interval holds ``at``; an open end is NULL.
 
-    Distinct (key, date) pairs meet the validity months, and the match is joined back to the facts,
-    so the heavy side is shuffled once and never multiplied inside a month.
+    A validity is cut into dyadic cells of days, at most two for each power of two of its length, however long it
+    is, and meets the distinct (key, date) pairs by (key, cell). The match is joined back to the facts by (key,
+    date), with hot pairs dealt over several tasks; so the heavy side is shuffled once and never multiplied.
     """
-    dates = facts.select(*key, at).where(F.col(at).isNotNull()).distinct()
-    extent = dates.agg(F.struct(F.min(at).alias("lo"), F.max(at).alias("hi"))).scalar()
-    start = F.greatest(F.col(valid_from).cast("date"), extent["lo"])
-    end = F.least(F.coalesce(F.col(valid_to).cast("date"), extent["hi"]), extent["hi"])
-    spans = (dim.select(*key, *values, start.alias("_from"), end.alias("_to")).where("_from <= _to")
-             .withColumn("_bucket", F.explode(F.sequence(month_index("_from"), month_index("_to")))))
-    pairs = (dates.withColumn("_bucket", month_index(at)).join(spans, [*key, "_bucket"])
-             .where(F.col(at).between(F.col("_from"), F.col("_to"))).select(*key, at, *values))
-    return facts.join(pairs, [*key, at], how)
+    dates = checkpoint(facts.select(*key, at).where(F.col(at).isNotNull()).distinct())
+    extent = dates.agg(F.min(at).cast("date").alias("lo"), F.max(at).cast("date").alias("hi")).first()
+    days = (extent["hi"] - extent["lo"]).days + 1 if extent["lo"] else 1
+    levels = max(0, (days - 1).bit_length())
+    lo, hi = F.lit(extent["lo"]).cast("date"), F.lit(extent["hi"]).cast("date")
+    begin = F.greatest(F.datediff(F.col(valid_from).cast("date"), lo), F.lit(0))
+    end = F.least(F.coalesce(F.datediff(F.col(valid_to).cast("date"), lo), F.lit(days - 1)), F.lit(days - 1))
+    spans = (dim.where(F.col(valid_from).isNotNull()).select(*key, *values, begin.alias("_from"), end.alias("_to")).where("_from <= _to")
+             .withColumn("_cell", F.explode(span_cells(F.col("_from"), F.col("_to"), levels))).drop("_from", "_to"))
+    asked = dates.withColumn("_cell", F.explode(day_cells(F.datediff(F.col(at).cast("date"), lo), levels)))
+    pairs = asked.join(spans, [*key, "_cell"]).select(*key, at, *values)
+    return lookup_join(facts, pairs, [*key, at], how)
 
 
 def next_period(facts: DataFrame, key: list[str], period: str, values: list[str]) -> DataFrame:

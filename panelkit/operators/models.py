@@ -26,7 +26,7 @@ from panelkit.functions.vectors import vector_at
 from panelkit.operators import trees
 from panelkit.operators.rows import cap_sample, split_train_test
 from panelkit.operators.select import correlated_columns
-from panelkit.scale import checkpoint
+from panelkit.scale import checkpoint, rank_within
 
 
 def mean_fill(df: DataFrame, cols: list[str]) -> tuple[SQLTransformer | None, list[str]]:
@@ -179,12 +179,17 @@ def bisecting_fit(df: DataFrame, cols: list[str], k: int = 5, seed: int = 7) ->
 
 
 def pca_fit(df: DataFrame, cols: list[str], k: int = 2) -> PipelineModel:
-    """Scaled principal components; explained variance is on the last stage."""
+    """Scaled principal components; ``explained_variance`` tells the share of each."""
     stages = [*_inputs(df, cols), StandardScaler(inputCol="features", outputCol="scaled", withMean=True),
               PCA(k=k, inputCol="scaled", outputCol="components")]
     return Pipeline(stages=stages).fit(df)
 
 
+def explained_variance(model: PipelineModel) -> list[float]:
+    """Share of the variance of all scaled columns that each principal component holds, the largest first."""
+    return [float(x) for x in model.stages[-1].explainedVariance.toArray()]
+
+
 def lda_axes(df: DataFrame, label: str, cols: list[str], k: int = 2) -> np.ndarray:
     """Discriminant directions: only class means and the feature covariance reach the driver."""
     rows = _features(df, cols)
@@ -215,14 +220,28 @@ def lda_fit(df: DataFrame, label: str, cols: list[str], k: int = 2) -> DataFrame
     return out.drop(*names)
 
 
+def stratified_folds(df: DataFrame, label: str, key: str, folds: int = 10, name: str = "fold", seed: int = 7) -> DataFrame:
+    """Adds a fold number 0..folds-1: every class is dealt out evenly, its folds differ by one row at most.
+
+    Rows are ranked inside their class by a hash of ``key``, which must identify a row; the rank is distributed
+    and does not depend on how the rows are stored.
+    """
+    hashed = df.withColumn("_h", F.xxhash64(F.col(key), F.lit(seed)))
+    return (rank_within(hashed, [label], ["_h", key], "_r").withColumn(name, F.pmod(F.col("_r") - 1, F.lit(folds)).cast("int"))
+            .drop("_h", "_r", "_r_of"))
+
+
 def cross_validate(pipeline: Estimator, df: DataFrame, label: str, folds: int = 10, grid: dict | None = None,
-                   seed: int = 7) -> DataFrame:
-    """Mean and deviation of the area under the curve per grid point."""
+                   seed: int = 7, key: str | None = None) -> DataFrame:
+    """Mean and deviation of the area under the curve per grid point; with ``key``, over stratified folds."""
     builder = ParamGridBuilder()
     for param, values in (grid or {}).items():
         builder = builder.addGrid(param, values)
-    model = CrossValidator(estimator=pipeline, estimatorParamMaps=builder.build(), numFolds=folds, seed=seed,
-                           evaluator=BinaryClassificationEvaluator(labelCol=label), parallelism=4).fit(df)
+    if key is not None:
+        df = checkpoint(stratified_folds(df, label, key, folds, "_fold", seed))
+    cross = CrossValidator(estimator=pipeline, estimatorParamMaps=builder.build(), numFolds=folds, seed=seed,
+                           evaluator=BinaryClassificationEvaluator(labelCol=label), parallelism=4)
+    model = (cross if key is None else cross.setFoldCol("_fold")).fit(df)
     rows = [(i, float(m), float(s)) for i, (m, s) in enumerate(zip(model.avgMetrics, model.stdMetrics))]
     return df.sparkSession.createDataFrame(rows, "grid_point int, mean double, sd double")
 

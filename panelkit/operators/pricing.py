@@ -114,3 +114,17 @@ def scenario_grid(spark: SparkSession, scenarios: list[dict]) -> DataFrame:
         out = grid if out is None else out.unionByName(grid)
     return out
 
+
+def write_scenarios(best: DataFrame, path: str, by: str = "scenario") -> None:
+    """Write best prices with a folder for each scenario; scenarios that ``best`` does not hold keep their files.
+
+    A rerun of one scenario replaces that one only, when its job commits.
+    """
+    (best.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(by).parquet(path))
+
+
+def read_scenarios(spark: SparkSession, path: str, names: list[str] | None = None, by: str = "scenario") -> DataFrame:
+    """Prices of all scenarios, or of the named ones; only their folders are read."""
+    prices = spark.read.option("basePath", path).parquet(path)
+    prices = prices.withColumn(by, F.col(by).cast("string"))
+    return prices if names is None else prices.where(F.col(by).isin(names))

@@ -8,7 +8,6 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
-from pyspark.ml.fpm import FPGrowth
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -17,6 +16,8 @@ from panelkit.scale import checkpoint, lookup_join
 # executors get the functions below by value and need not have this package installed
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Item sets counted in one pass over the baskets.
+SETS_PER_PASS = 100_000
 BASKETS_PER_BLOCK = 1024
 ITEMS_PER_BLOCK = 2048
 
@@ -101,25 +102,99 @@ def _item_sets(baskets: DataFrame, basket: str, item: str, frequent: DataFrame)
     return kept.groupBy(basket).agg(F.collect_list("item").alias("items")).select("items")
 
 
+def candidates(found: DataFrame) -> DataFrame:
+    """Sets one item longer than those of ``found`` (items, sorted) of which every part of that length is in ``found``.
+
+    Two sets that agree in all but their last item make a candidate; its other parts are looked up.
+    """
+    sets = found.select("items", F.slice("items", 1, F.size("items") - 1).alias("_head"), F.element_at("items", -1).alias("_last"))
+    joined = (sets.alias("a").join(sets.select("_head", F.col("_last").alias("_next")), "_head").where("_last < _next")
+              .select(F.concat("items", F.array("_next")).alias("items")))
+    parts = joined.select("items", F.explode(F.transform("items", lambda x: F.array_remove("items", x))).alias("_part"))
+    whole = parts.join(found.select(F.col("items").alias("_part")), "_part").groupBy("items").agg(F.count(F.lit(1)).alias("_n"))
+    return whole.where(F.col("_n") == F.size("items")).select("items")
+
+
+def _count_sets(wanted: list[list[str]]):
+    """Batches of baskets to the number of them that hold each wanted set, from one bit row for each item."""
+    items = sorted({i for s in wanted for i in s})
+    number = {x: i for i, x in enumerate(items)}
+    columns = np.array([[number[x] for x in s] for s in wanted])
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        total = np.zeros(len(wanted), dtype=np.int64)
+        for batch in batches:
+            sets = batch["items"].tolist()
+            for at in range(0, len(sets), BASKETS_PER_BLOCK):
+                block = sets[at:at + BASKETS_PER_BLOCK]
+                held = np.zeros((len(items), len(block)), dtype=bool)
+                for j, basket in enumerate(block):
+                    known = [number[x] for x in basket if x in number]
+                    held[known, j] = True
+                bits = np.packbits(held, axis=1)
+                for c in range(0, len(columns), 4096):
+                    part = columns[c:c + 4096]
+                    both = bits[part[:, 0]]
+                    for k in range(1, part.shape[1]):
+                        both = both & bits[part[:, k]]
+                    total[c:c + 4096] += np.bitwise_count(both).sum(axis=1, dtype=np.int64)
+        if total.any():
+            left = np.flatnonzero(total)
+            yield pd.DataFrame({"at": left, "n": total[left]})
+
+    return run
+
+
+def set_counts(sets: DataFrame, wanted: DataFrame, per_pass: int = SETS_PER_PASS) -> DataFrame:
+    """Number of baskets (column items) that hold each of the ``wanted`` sets of one length: items, freq.
+
+    A task turns a block of baskets into bits and combines the bit rows of a set's items, so no pair of basket and
+    set is written. The wanted sets go to the tasks ``per_pass`` at a time, in as many passes as they need.
+    """
+    spark = sets.sparkSession
+    passes = max(1, -(-wanted.count() // per_pass))
+    out = None
+    for i in range(passes):
+        # the hash deals the sets evenly, so a part stays near per_pass
+        part = sorted(r["items"] for r in wanted.where(F.pmod(F.xxhash64("items"), F.lit(passes)) == i).collect())
+        if not part:
+            continue
+        names = spark.createDataFrame(list(enumerate(part)), "at long, items array<string>")
+        found = sets.mapInPandas(_count_sets(part), "at long, n long").groupBy("at").agg(F.sum("n").alias("freq"))
+        one = found.join(names, "at").select("items", "freq")
+        out = one if out is None else out.unionByName(one)
+    return wanted.select("items", F.lit(0).cast("long").alias("freq")).where("false") if out is None else out
+
+
 def frequent_itemsets(baskets: DataFrame, basket: str, item: str, min_support: float,
                       max_length: int | None = None) -> DataFrame:
-    """Item sets that reach the support, with their basket count."""
+    """Item sets that reach the support, with their basket count, mined level by level up to ``max_length``.
+
+    Pairs are counted as block products; a longer set is counted only if all its parts are frequent, and
+    nothing longer than ``max_length`` is made. Baskets are reduced to their frequent items once.
+    """
     if min_support <= 0:
         raise ValueError("minimum support must be positive")
     baskets = checkpoint(baskets.where(F.col(item).isNotNull()).select(basket, item).distinct())
     frequent = checkpoint(frequent_items(baskets, basket, item, min_support))
     total = frequent.agg(F.max("baskets")).first()[0]
-    single = frequent.select(F.array(F.col(item).cast("string")).alias("items"), F.col("n").alias("freq"))
+    out = frequent.select(F.array(F.col(item).cast("string")).alias("items"), F.col("n").alias("freq"))
     if not total or max_length == 1:
-        return single
-    if max_length == 2:  # pairs are counted as they are; nothing longer is mined
-        pairs = pair_counts(baskets, basket, item, frequent).where(F.col("n") >= min_support * total)
-        return single.unionByName(pairs.select(F.sort_array(F.array("item_a", "item_b")).alias("items"), F.col("n").alias("freq")))
-    sets = _item_sets(baskets, basket, item, frequent)
-    share = min_support * total / max(1, sets.count())  # baskets without a frequent item are gone
-    found = FPGrowth(itemsCol="items", minSupport=min(1.0, share)).fit(sets).freqItemsets
-    out = found.select(F.sort_array("items").alias("items"), "freq")
-    return out if max_length is None else out.where(F.size("items") <= max_length)
+        return out
+    pairs = pair_counts(baskets, basket, item, frequent).where(F.col("n") >= min_support * total)
+    level = pairs.select(F.sort_array(F.array("item_a", "item_b")).alias("items"), F.col("n").alias("freq"))
+    if max_length == 2:
+        return out.unionByName(level)
+    level, length = checkpoint(level), 2
+    sets = checkpoint(_item_sets(baskets, basket, item, frequent).where(F.size("items") > 2))
+    while not level.isEmpty():
+        out = out.unionByName(level)
+        if length == max_length:
+            break
+        wanted = checkpoint(candidates(level))
+        level = checkpoint(set_counts(sets, wanted).where(F.col("freq") >= min_support * total))
+        length += 1
+    return out
 
 
 def rules(baskets: DataFrame, basket: str, item: str, min_support: float, min_confidence: float = 0.0,

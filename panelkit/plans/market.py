@@ -9,7 +9,7 @@ from panelkit.operators import pricing as P
 from panelkit.operators import rules as R
 from panelkit.operators.stats import kde
 from panelkit.plans.registry import query
-from panelkit.scale import lookup_join
+from panelkit.scale import checkpoint, lookup_join, scratch
 from panelkit.tables import Tables
 
 BANDWIDTH = 0.02
@@ -108,7 +108,11 @@ SCENARIOS = [{"name": "low", "rate": (0.05, 0.07), "commission": (0.0, 0.10), "s
 def price_scenarios(t: Tables) -> DataFrame:
     r, c = densities(t)
     grid = P.weighted_grid(P.scenario_grid(t.spark, SCENARIOS), r, c)
-    return rounded(P.best_price(offers(t), grid, ["l_orderkey", "l_partkey"], "l_quantity", accept, ["l_quantity", "l_tax"]))
+    best = checkpoint(P.best_price(offers(t), grid, ["l_orderkey", "l_partkey"], "l_quantity", accept, ["l_quantity", "l_tax"]))
+    path = scratch(t.spark, "scenarios")
+    P.write_scenarios(best, path)
+    P.write_scenarios(best.where("scenario = 'high'"), path)  # one scenario again: the other stays
+    return rounded(P.read_scenarios(t.spark, path))
 
 
 def baskets(t: Tables) -> DataFrame:
@@ -149,7 +153,19 @@ def short_rules(t: Tables) -> DataFrame:
                       F.round("support", 9).alias("support"), F.round("confidence", 9).alias("confidence"), F.round("lift", 6).alias("lift"))
 
 
-@query("itemset_rules")
+#: All sets of a basket's brands, by the bits of a number; a rule leaves out one of its items.
+RULES = """b AS (SELECT l_orderkey AS basket, list_sort(list_distinct(list(p_brand))) AS items FROM lineitem JOIN part ON p_partkey = l_partkey GROUP BY 1),
+total AS (SELECT COUNT(*) AS n FROM b), m AS (SELECT items, unnest(range(1, 1 << len(items))) AS bits FROM b),
+f AS (SELECT list_filter(items, lambda x, i: (bits >> (i - 1)) & 1 = 1) AS s, COUNT(*) AS n FROM m GROUP BY 1),
+big AS (SELECT s, f.n FROM f, total WHERE f.n >= 0.001 * total.n),
+r AS (SELECT list_filter(s, lambda x: x <> y) AS base, y AS added, n FROM (SELECT *, unnest(s) AS y FROM big WHERE len(s) > 1))"""
+
+
+@query("itemset_rules", f"""WITH {RULES}
+SELECT array_to_string(base, '|') AS items_base, added AS items_add, round(r.n / total.n, 9) AS support, round(r.n / p.n, 9) AS confidence,
+  round(r.n / p.n / (q.n / total.n), 6) AS lift FROM r JOIN big p ON p.s = base JOIN big q ON q.s = [added], total WHERE r.n / p.n >= 0.05
+UNION ALL SELECT '', s[1], round(big.n / total.n, 9), round(big.n / total.n, 9), 1.0 FROM big, total WHERE len(s) = 1 AND big.n / total.n >= 0.05""")
 def itemset_rules(t: Tables) -> DataFrame:
     out = R.rules(baskets(t), "basket", "item", 0.001, 0.05)
-    return out.withColumns({c: F.concat_ws("|", c) for c in ("items_base", "items_add")})
+    return out.select(F.array_join(F.sort_array("items_base"), "|").alias("items_base"), F.concat_ws("|", "items_add").alias("items_add"),
+                      F.round("support", 9).alias("support"), F.round("confidence", 9).alias("confidence"), F.round("lift", 6).alias("lift"))

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from panelkit.functions.vectors import to_array, to_vector
-from panelkit.operators import encode, models, select, trees
+from panelkit.operators import encode, models, neighbours, select, trees, ward
 from panelkit.operators.rows import split_train_test
 from panelkit.operators.scores import gini
 from panelkit.plans.registry import query
@@ -138,7 +138,33 @@ def bisecting(t: Tables) -> DataFrame:
 
 @query("pca")
 def pca(t: Tables) -> DataFrame:
-    return models.pca_fit(vectors(t), ["v"], 2).transform(vectors(t)).select("vec_id", to_array("components").alias("components"))
+    model = models.pca_fit(vectors(t), ["v"], 2)
+    share = F.array(*map(F.lit, models.explained_variance(model)))
+    return model.transform(vectors(t)).select("vec_id", to_array("components").alias("components"), share.alias("explained"))
+
+
+@query("ward")
+def ward_groups(t: Tables) -> DataFrame:
+    """Five groups of customers by balance, spend and orders, scaled, by Ward's distance."""
+    cols = ["c_acctbal", "spend", "orders"]
+    scaled = encode.standard_scale(clients(t), cols)
+    return ward.ward(scaled.select("c_custkey", F.array(*[f"{c}_scaled" for c in cols]).alias("v")), "v", 5).select("c_custkey", "group")
+
+
+@query("knn_hashed")
+def knn_hashed(t: Tables) -> DataFrame:
+    """The five nearest vectors of every vector, among those that share a hash bucket with it."""
+    rows = t.embeddings.select("vec_id", "embedding", "label")
+    return neighbours.knn_hashed(rows, rows, "vec_id", "embedding", "label").select(
+        "vec_id", "neighbour", F.round("distance", 6).alias("distance"))
+
+
+@query("fold_sizes", """WITH c AS (SELECT COALESCE(COUNT(*), 0) AS n, label FROM (SELECT CAST(COALESCE(MAX(o_totalprice), 0) > 450000 AS INT) AS label
+  FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey) GROUP BY label)
+SELECT label, CAST(f AS INT) AS fold, n // 10 + CAST(f < n % 10 AS BIGINT) AS n FROM c, range(10) k(f) WHERE n // 10 + CAST(f < n % 10 AS BIGINT) > 0""")
+def fold_sizes(t: Tables) -> DataFrame:
+    """Rows of each class in each of ten stratified folds."""
+    return models.stratified_folds(clients(t), "label", "c_custkey").groupBy("label", "fold").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("lda")
@@ -149,11 +175,9 @@ def lda(t: Tables) -> DataFrame:
 
 @query("cross_validate")
 def cross_validate(t: Tables) -> DataFrame:
-    rows = encode.assemble(clients(t).select("label", *CLIENT_FEATURES), CLIENT_FEATURES).select("label", "features").persist()
+    rows = encode.assemble(clients(t).select("c_custkey", "label", *CLIENT_FEATURES), CLIENT_FEATURES).select("c_custkey", "label", "features")
     estimator = C.LogisticRegression(labelCol="label")
-    out = models.cross_validate(estimator, rows, "label", 10, {estimator.regParam: [0.01, 0.1]})
-    rows.unpersist()
-    return out
+    return models.cross_validate(estimator, rows, "label", 10, {estimator.regParam: [0.01, 0.1]}, key="c_custkey")
 
 
 @query("classify")

@@ -9,8 +9,8 @@ from panelkit.operators import markov as M
 from panelkit.plans.panels import USER_STATES, user_states
 from panelkit.plans.registry import query
 from panelkit.plans.views import event_log
-from panelkit.streaming.arms import arm_stats_stream, arm_ucb
-from panelkit.scale import ensure_checkpoint_dir
+from panelkit.streaming.arms import arm_stats_stream, arm_ucb, arm_ucb_stream
+from panelkit.scale import ensure_checkpoint_dir, scratch
 from panelkit.tables import Tables
 
 CHURN, JOINER = "error", "signup"
@@ -122,6 +122,14 @@ def arm_ucb_query(t: Tables) -> DataFrame:
     return arm_ucb(t.events, "props", reward()).withColumns({c: F.round(c, 9) for c in ("mean", "upper_bound")})
 
 
+@query("arm_ucb_stream", """WITH a AS (SELECT props AS arm, COUNT(*) AS trials, COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS rewards FROM events GROUP BY 1)
+SELECT arm, trials, rewards, round(rewards / trials, 9) AS mean, round(rewards / trials + sqrt(1.5::DOUBLE * ln((SELECT SUM(trials) FROM a) + 1) / trials), 9) AS upper_bound FROM a""")
+def arm_ucb_stream_query(t: Tables) -> DataFrame:
+    folder = scratch(t.spark, "bounds")
+    out = arm_ucb_stream(t.spark, f"{t.directory}/events*.parquet", t.events.schema, "props", reward(), f"{folder}/out", f"{folder}/state")
+    return out.withColumns({c: F.round(c, 9) for c in ("mean", "upper_bound")})
+
+
 @query("arm_stats_stream", """SELECT props AS arm, COUNT(*) AS trials, COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) AS rewards,
   round(COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) / COUNT(*), 9) AS mean, COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) + 1 AS alpha,
   COUNT(*) - COUNT(CASE WHEN event_type = 'purchase' THEN 1 END) + 1 AS beta FROM events GROUP BY 1""")

@@ -20,11 +20,10 @@ def arm_stats(events: DataFrame, arm: str, reward: Column) -> DataFrame:
             .withColumn("beta", F.col("trials") - F.col("rewards") + 1))
 
 
-def arm_ucb(events: DataFrame, arm: str, reward: Column, arms: list[str] = ()) -> DataFrame:
-    """Upper confidence bound per arm, the next arm to try first; an arm never tried leads."""
-    stats = arm_stats(events, arm, reward)
+def upper_bounds(stats: DataFrame, arms: list[str] = ()) -> DataFrame:
+    """Upper confidence bounds from totals by arm, the next arm to try first; an arm never tried leads."""
     if arms:
-        known = events.sparkSession.createDataFrame([(a,) for a in arms], "arm string")
+        known = stats.sparkSession.createDataFrame([(a,) for a in arms], "arm string")
         stats = known.join(stats, "arm", "left").fillna(0, ["trials", "rewards"])
     n = stats.agg(F.sum("trials")).scalar()
     bound = F.col("mean") + F.sqrt(F.try_divide(EXPLORE * F.log(n + 1), F.col("trials")))
@@ -33,6 +32,35 @@ def arm_ucb(events: DataFrame, arm: str, reward: Column, arms: list[str] = ()) -
             .orderBy(F.desc("upper_bound"), "arm"))
 
 
+def arm_ucb(events: DataFrame, arm: str, reward: Column, arms: list[str] = ()) -> DataFrame:
+    """Upper confidence bound per arm of all events."""
+    return upper_bounds(arm_stats(events, arm, reward), arms)
+
+
+def arm_ucb_stream(spark: SparkSession, path: str, schema: T.StructType, arm: str, reward: Column, out: str,
+                   state: str, arms: list[str] = (), files_per_batch: int | None = None) -> DataFrame:
+    """Upper bounds after all files of ``path`` that have come so far, from totals that the stream keeps.
+
+    The state store holds the totals of every arm; each batch gives all of them, whose sum is the number of
+    trials so far, and the bounds of that moment are written to ``out/batch=N``. A batch that runs again after a failure
+    replaces its own folder only, and a restart goes on from the state folder, so events count once. Both folders must be
+    shared by all executors. The bounds of the last batch are returned.
+    """
+    reader = spark.readStream.schema(schema)
+    if files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+
+    def put(batch: DataFrame, number: int) -> None:
+        upper_bounds(batch, arms).write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    query = (arm_stats(reader.parquet(path), arm, reward).writeStream.outputMode("complete").option("checkpointLocation", state)
+             .foreachBatch(put).trigger(availableNow=True).start())
+    query.awaitTermination()
+    every = spark.read.parquet(out)
+    last = every.agg(F.max("batch")).first()[0]
+    return every.where(F.col("batch") == last).drop("batch").orderBy(F.desc("upper_bound"), "arm")
+
+
 def arm_stats_stream(spark: SparkSession, path: str, schema: T.StructType, arm: str, reward: Column, out: str,
                      state: str) -> DataFrame:
     """Feed all files of ``path`` through a running aggregation and read its last result.
