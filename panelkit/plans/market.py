@@ -10,6 +10,7 @@ from panelkit.operators import rules as R
 from panelkit.operators.stats import kde
 from panelkit.plans.registry import query
 from panelkit.scale import checkpoint, lookup_join, scratch
+from panelkit.sources.writers import export_rules
 from panelkit.tables import Tables
 
 BANDWIDTH = 0.02
@@ -169,3 +170,16 @@ def itemset_rules(t: Tables) -> DataFrame:
     out = R.rules(baskets(t), "basket", "item", 0.001, 0.05)
     return out.select(F.array_join(F.sort_array("items_base"), "|").alias("items_base"), F.concat_ws("|", "items_add").alias("items_add"),
                       F.round("support", 9).alias("support"), F.round("confidence", 9).alias("confidence"), F.round("lift", 6).alias("lift"))
+
+
+@query("exported_rules", f"""WITH {BASKETS} SELECT a AS item_a, b AS item_b, round(two.n / total.n, 8) AS support, round(two.n / oa.n, 8) AS confidence,
+  round(two.n / oa.n / (ob.n / total.n), 8) AS lift FROM two, total, one oa, one ob WHERE oa.item = two.a AND ob.item = two.b
+  AND two.n / total.n >= {SUPPORT} AND two.n / oa.n >= 0.1""")
+def exported_rules(t: Tables) -> DataFrame:
+    """Rules of two items, exported as tab separated text and read back."""
+    path = scratch(t.spark, "rules")
+    export_rules(R.rules(baskets(t), "basket", "item", SUPPORT, 0.1, max_length=2), path, "tsv")
+    cells = F.split("value", "\t")
+    return t.spark.read.text(path).select(
+        cells[0].alias("item_a"), cells[1].alias("item_b"), cells[2].cast("double").alias("support"),
+        cells[3].cast("double").alias("confidence"), cells[4].cast("double").alias("lift"))

@@ -194,6 +194,36 @@ def json_round_trip(t: Tables) -> DataFrame:
     return readers.read_json(t.spark, path, "conv_id long, turn long, role string, text string", multi_line=False)
 
 
+@query("sql_scan", "SELECT n_nationkey, n_name, n_regionkey FROM nation")
+def sql_scan(t: Tables) -> DataFrame:
+    return readers.sql_scan(t.spark, f"{t.directory}/nation.parquet").select("n_nationkey", "n_name", "n_regionkey")
+
+
+@query("tsv_round_trip", """SELECT c_custkey, replace(c_name, '"', '') AS c_name, c_acctbal FROM customer""")
+def tsv_round_trip(t: Tables) -> DataFrame:
+    """Tab separated lines without quoting, written as text and read by their declared schema."""
+    path = folder(t, "tsv")
+    lines = t.customer.select(F.concat_ws("\t", "c_custkey", F.replace("c_name", F.lit('"'), F.lit("")), "c_acctbal").alias("value"))
+    head = t.spark.createDataFrame([("c_custkey\tc_name\tc_acctbal",)], "value string")
+    # the first row of each file is its header: a file for each part, the header ahead of its lines
+    parted = lines.withColumn("_p", F.pmod(F.xxhash64("value"), F.lit(4)))
+    every = parted.withColumn("_n", F.lit(1)).unionByName(
+        head.withColumn("_p", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(3).cast("long")))).withColumn("_n", F.lit(0)))
+    every.repartition(4, "_p").sortWithinPartitions("_p", "_n").drop("_n").write.partitionBy("_p").text(path)
+    out = readers.read_tsv(t.spark, f"{path}/_p=*", "c_custkey long, c_name string, c_acctbal double")
+    return out.select("c_custkey", "c_name", "c_acctbal")
+
+
+@query("json_array", "SELECT p_partkey, p_name, p_size FROM part")
+def json_array(t: Tables) -> DataFrame:
+    """Files that hold one JSON array each, read whole."""
+    path = folder(t, "arrays")
+    arrays = t.part.select("p_partkey", "p_name", "p_size").groupBy(F.floor(F.col("p_partkey") / 500).alias("g")).agg(
+        F.collect_list(F.struct("p_partkey", "p_name", "p_size")).alias("rows"))
+    arrays.select("g", F.to_json("rows").alias("value")).repartition("g").write.partitionBy("g").text(path)
+    return readers.read_json(t.spark, f"{path}/g=*", "p_partkey long, p_name string, p_size int", multi_line=True)
+
+
 @query("parquet_files", "SELECT r_regionkey, r_name FROM region")
 def parquet_files(t: Tables) -> DataFrame:
     """A dictionary table copied whole, then written again as two files."""

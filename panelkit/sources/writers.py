@@ -83,7 +83,7 @@ def export_rules(rules: DataFrame, path: str, kind: str = "json") -> None:
     if kind != "tsv":
         raise ValueError("kind must be json or tsv")
     pairs = rules.where((F.size("items_base") == 1) & (F.size("items_add") == 1))
-    pairs.select(F.format_string("%s\t%s\t%.8f\t%.8f\t%.8f", F.col("items_base")[0], F.col("items_add")[0],
+    pairs.select(F.format_string("%s\t%s\t%.8f\t%.8f\t%.8f", F.get("items_base", F.lit(0)), F.get("items_add", F.lit(0)),
                                  "support", "confidence", "lift").alias("value")).write.mode("overwrite").text(path)
 
 
