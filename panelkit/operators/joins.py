@@ -67,8 +67,8 @@ def interval_join(facts: DataFrame, dim: DataFrame, key: list[str], at: str, val
     is, and meets the distinct (key, date) pairs by (key, cell). The match is joined back to the facts by (key,
     date), with hot pairs dealt over several tasks; so the heavy side is shuffled once and never multiplied.
     """
-    dates = checkpoint(facts.select(*key, at).where(F.col(at).isNotNull()).distinct())
-    extent = dates.agg(F.min(at).cast("date").alias("lo"), F.max(at).cast("date").alias("hi")).first()
+    dates = facts.select(*key, at).where(F.col(at).isNotNull()).distinct()
+    extent = facts.agg(F.min(at).cast("date").alias("lo"), F.max(at).cast("date").alias("hi")).first()
     days = (extent["hi"] - extent["lo"]).days + 1 if extent["lo"] else 1
     levels = max(0, (days - 1).bit_length())
     lo, hi = F.lit(extent["lo"]).cast("date"), F.lit(extent["hi"]).cast("date")
