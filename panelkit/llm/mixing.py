@@ -161,17 +161,21 @@ def repeat(docs: DataFrame, **options) -> DataFrame:
     are as in ``mix``; a table may have any columns besides.
     """
     plan = _mixed(docs, **options).groupBy("doc_id", "_text").agg(F.sum("copies").alias("_copies"), F.count(F.lit(1)).alias("_rows"))
-    plan = plan.where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "_copies", "_rows")
-    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
-    joined = rows.join(plan, rows["id"].eqNullSafe(plan["_id"]) & (rows["hash"] == plan["_hash"]))
     share, rest = F.floor(F.col("_copies") / F.col("_rows")), F.pmod("_copies", "_rows")
-    whole = joined.where(rest == 0).select("row", share.alias("_n"))
-    # only rows repeated and taken unevenly are ranked, over as many tasks as they need
-    part = joined.where(rest > 0).select("row", "_copies", "_rows", F.to_json(F.struct("id", "hash")).alias("_key"),
-                                         F.to_json("row").alias("_order"))
-    ranked = scale.rank_within(part, ["_key"], ["_order"], "_r").select("row", (share + (F.col("_r") <= rest).cast("long")).alias("_n"))
-    return (whole.unionByName(ranked).where("_n > 0")
-            .select("row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_nth")).select("row.*"))
+    plan = written(plan.where("_copies > 0").select(F.col("doc_id").alias("_id"), F.col("_text").alias("_hash"), "_rows",
+                                                    share.alias("_share"), rest.alias("_rest")))
+    rows = docs.select(F.struct("*").alias("row"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("hash"))
+
+    def planned(part: DataFrame) -> DataFrame:
+        return rows.join(part, rows["id"].eqNullSafe(part["_id"]) & (rows["hash"] == part["_hash"]))
+
+    taken = planned(plan.where("_rest = 0")).select("row", F.col("_share").alias("_n"))
+    uneven = plan.where("_rest > 0")
+    if not uneven.isEmpty():  # only rows repeated and taken unevenly are ranked, over as many tasks as they need
+        part = planned(uneven).select("row", "_share", "_rest", F.to_json(F.struct("id", "hash")).alias("_key"), F.to_json("row").alias("_order"))
+        ranked = scale.rank_within(part, ["_key"], ["_order"], "_r")
+        taken = taken.unionByName(ranked.select("row", (F.col("_share") + (F.col("_r") <= F.col("_rest")).cast("long")).alias("_n")))
+    return (taken.where("_n > 0").select("row", F.explode(F.sequence(F.lit(1), F.col("_n").cast("int"))).alias("_nth")).select("row.*"))
 
 
 def _mixed(docs: DataFrame, weights=WEIGHTS, budget: float = BUDGET, most: int = MAX_COPIES, seed: int = 17,
