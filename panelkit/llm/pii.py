@@ -412,8 +412,8 @@ def _search(p: dict, column: pa.Array) -> Iterator[tuple[int, str, list, list]]:
     raw, at = text_bytes(column)
     hits = np.flatnonzero(((raw >= 48) & (raw <= 57)) | (raw == 64))
     having = np.flatnonzero(np.diff(np.searchsorted(hits, at)) > 0)
-    for a in range(0, len(having), 256):
-        rows = having[a:a + 256].tolist()
+    for a in range(0, len(having), 64):
+        rows = having[a:a + 64].tolist()
         texts = [column[i].as_py() for i in rows]
         for i, text, tags in zip(rows, texts, tag_texts(p, texts)):
             base = base_spans(text)
