@@ -24,7 +24,10 @@ ITEMS_PER_BLOCK = 2048
 
 def frequent_items(baskets: DataFrame, basket: str, item: str, min_support: float) -> DataFrame:
     """Baskets per item, for the items that reach the support."""
-    unique = baskets.where(F.col(item).isNotNull()).select(basket, item).distinct()
+    return _frequent(baskets.where(F.col(item).isNotNull()).select(basket, item).distinct(), basket, item, min_support)
+
+
+def _frequent(unique: DataFrame, basket: str, item: str, min_support: float) -> DataFrame:
     total = unique.agg(F.count_distinct(basket)).scalar()
     return (unique.groupBy(item).agg(F.count(F.lit(1)).alias("n")).withColumn("baskets", total)
             .where(F.col("n") >= F.lit(min_support) * F.col("baskets")))
@@ -32,7 +35,7 @@ def frequent_items(baskets: DataFrame, basket: str, item: str, min_support: floa
 
 def _count_block(sets: list[np.ndarray]) -> Iterator[pd.DataFrame]:
     sizes = [len(s) for s in sets]
-    names, codes = np.unique(np.concatenate(sets).astype(str), return_inverse=True)
+    codes, names = pd.factorize(np.concatenate(sets).astype(object), sort=True)
     rows = np.repeat(np.arange(len(sets)), sizes)
     starts = range(0, len(names), ITEMS_PER_BLOCK)
 
@@ -67,10 +70,12 @@ def pair_counts(baskets: DataFrame, basket: str, item: str, frequent: DataFrame)
     A basket is reduced to its frequent items, at most (mean basket size / support) of them. Blocks of
     baskets are counted together as a matrix product, so pairs of single baskets are never written.
     """
-    unique = baskets.where(F.col(item).isNotNull()).select(basket, F.col(item).cast("string").alias("item")).distinct()
-    kept = lookup_join(unique, frequent.select(F.col(item).cast("string").alias("item")), ["item"], "left_semi")
-    sets = kept.groupBy(basket).agg(F.collect_list("item").alias("items")).where(F.size("items") > 1).select("items")
-    return (sets.mapInPandas(_count_together, "item_a string, item_b string, n long")
+    unique = baskets.where(F.col(item).isNotNull()).select(basket, item).distinct()
+    return _pairs(_item_sets(unique, basket, item, frequent))
+
+
+def _pairs(sets: DataFrame) -> DataFrame:
+    return (sets.where(F.size("items") > 1).mapInPandas(_count_together, "item_a string, item_b string, n long")
             .groupBy("item_a", "item_b").agg(F.sum("n").alias("n")))
 
 
@@ -80,7 +85,8 @@ def pair_rules(baskets: DataFrame, basket: str, item: str, min_support: float, m
     if min_support <= 0:
         raise ValueError("minimum support must be positive")
     baskets = checkpoint(baskets.select(basket, item).distinct())
-    frequent = checkpoint(frequent_items(baskets, basket, item, min_support))
+    baskets = baskets.where(F.col(item).isNotNull())
+    frequent = checkpoint(_frequent(baskets, basket, item, min_support))
     pairs = pair_counts(baskets, basket, item, frequent)
     both = pairs.select("item_a", "item_b", "n").unionByName(
         pairs.select(F.col("item_b").alias("item_a"), F.col("item_a").alias("item_b"), "n"))
@@ -95,10 +101,10 @@ def pair_rules(baskets: DataFrame, basket: str, item: str, min_support: float, m
                    & (F.col("lift") >= min_lift)))
 
 
-def _item_sets(baskets: DataFrame, basket: str, item: str, frequent: DataFrame) -> DataFrame:
-    """Baskets as sets of their frequent items, of which there are few; others cannot be in a frequent set."""
-    unique = baskets.select(basket, F.col(item).cast("string").alias("item")).distinct()
-    kept = lookup_join(unique, frequent.select(F.col(item).cast("string").alias("item")), ["item"], "left_semi")
+def _item_sets(unique: DataFrame, basket: str, item: str, frequent: DataFrame) -> DataFrame:
+    """Baskets, of unique rows, as sets of their frequent items, of which there are few; others cannot be in a frequent set."""
+    text = F.col(item).cast("string").alias("item")
+    kept = lookup_join(unique.select(basket, text), frequent.select(text), ["item"], "left_semi")
     return kept.groupBy(basket).agg(F.collect_list("item").alias("items")).select("items")
 
 
@@ -118,8 +124,8 @@ def candidates(found: DataFrame) -> DataFrame:
 def _count_sets(wanted: list[list[str]]):
     """Batches of baskets to the number of them that hold each wanted set, from one bit row for each item."""
     items = sorted({i for s in wanted for i in s})
-    number = {x: i for i, x in enumerate(items)}
-    columns = np.array([[number[x] for x in s] for s in wanted])
+    index = pd.Index(items, dtype=object)
+    columns = np.array([index.get_indexer(s) for s in wanted])
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         total = np.zeros(len(wanted), dtype=np.int64)
@@ -128,9 +134,8 @@ def _count_sets(wanted: list[list[str]]):
             for at in range(0, len(sets), BASKETS_PER_BLOCK):
                 block = sets[at:at + BASKETS_PER_BLOCK]
                 held = np.zeros((len(items), len(block)), dtype=bool)
-                for j, basket in enumerate(block):
-                    known = [number[x] for x in basket if x in number]
-                    held[known, j] = True
+                rows = index.get_indexer(np.concatenate(block).astype(object))
+                held[rows[rows >= 0], np.repeat(np.arange(len(block)), [len(b) for b in block])[rows >= 0]] = True
                 bits = np.packbits(held, axis=1)
                 for c in range(0, len(columns), 4096):
                     part = columns[c:c + 4096]
@@ -173,20 +178,27 @@ def frequent_itemsets(baskets: DataFrame, basket: str, item: str, min_support: f
     Pairs are counted as block products; a longer set is counted only if all its parts are frequent, and
     nothing longer than ``max_length`` is made. Baskets are reduced to their frequent items once.
     """
+    return _mined(baskets, basket, item, min_support, max_length)[0]
+
+
+def _mined(baskets: DataFrame, basket: str, item: str, min_support: float, max_length: int | None) -> tuple[DataFrame, int | None]:
+    """The frequent item sets and the number of baskets, None if nothing is frequent."""
     if min_support <= 0:
         raise ValueError("minimum support must be positive")
     baskets = checkpoint(baskets.where(F.col(item).isNotNull()).select(basket, item).distinct())
-    frequent = checkpoint(frequent_items(baskets, basket, item, min_support))
+    frequent = checkpoint(_frequent(baskets, basket, item, min_support))
     total = frequent.agg(F.max("baskets")).first()[0]
     out = frequent.select(F.array(F.col(item).cast("string")).alias("items"), F.col("n").alias("freq"))
     if not total or max_length == 1:
-        return out
-    pairs = pair_counts(baskets, basket, item, frequent).where(F.col("n") >= min_support * total)
+        return out, total
+    # the sets are written once for all levels
+    sets = checkpoint(_item_sets(baskets, basket, item, frequent).where(F.size("items") > 1))
+    pairs = _pairs(sets).where(F.col("n") >= min_support * total)
     level = pairs.select(F.sort_array(F.array("item_a", "item_b")).alias("items"), F.col("n").alias("freq"))
     if max_length == 2:
-        return out.unionByName(level)
+        return out.unionByName(level), total
     level, length = checkpoint(level), 2
-    sets = checkpoint(_item_sets(baskets, basket, item, frequent).where(F.size("items") > 2))
+    sets = sets.where(F.size("items") > 2)
     while not level.isEmpty():
         out = out.unionByName(level)
         if length == max_length:
@@ -194,7 +206,7 @@ def frequent_itemsets(baskets: DataFrame, basket: str, item: str, min_support: f
         wanted = checkpoint(candidates(level))
         level = checkpoint(set_counts(sets, wanted).where(F.col("freq") >= min_support * total))
         length += 1
-    return out
+    return out, total
 
 
 def rules(baskets: DataFrame, basket: str, item: str, min_support: float, min_confidence: float = 0.0,
@@ -202,9 +214,8 @@ def rules(baskets: DataFrame, basket: str, item: str, min_support: float, min_co
     """Rules with one added item; single items come with an empty base, confidence = support and lift 1."""
     if min_support <= 0:
         raise ValueError("minimum support must be positive")
-    baskets = checkpoint(baskets.where(F.col(item).isNotNull()).select(basket, item).distinct())
-    found = checkpoint(frequent_itemsets(baskets, basket, item, min_support, max_length))
-    total = baskets.agg(F.count_distinct(basket)).scalar()
+    mined, total = _mined(baskets, basket, item, min_support, max_length)
+    found, total = checkpoint(mined), F.lit(total).cast("long")
     sizes = found.select(F.col("items").alias("_set"), F.col("freq").alias("_n"))
     # each frequent set gives one rule per item it adds to the rest of the set, which is frequent too
     made = found.where(F.size("items") > 1).select("items", "freq", F.explode("items").alias("added"))
