@@ -87,9 +87,12 @@ def best_price(offers: DataFrame, grid: DataFrame, keys: list[str], instalments:
     nothing = F.struct(F.lit(float("-inf")).alias("profit"), F.array().cast(f"array<{found}>").alias("cells"))
     winners = searches.select(*[c for c in searches.columns if not c.startswith("_")],
                               F.aggregate(F.transform("_cells", price), nothing, keep_best).alias("_won"))
+    # an offer's rows are dealt out by its keys before they get their prices; both steps below group them there
     if shared:
-        winners = lookup_join(offers.select(*dict.fromkeys([*keys, *inputs])),
+        winners = lookup_join(offers.select(*dict.fromkeys([*keys, *inputs])).repartition(*keys),
                               winners.select(*inputs, *tag, "_won"), inputs, "inner")
+    else:
+        winners = winners.repartition(*keys)
     by_profit = (winners.select(*keys, *tag, F.col("_won.profit").alias("profit"), F.explode("_won.cells").alias("_cell"))
                  .groupBy(*keys, *tag, "profit").agg(F.collect_set("_cell").alias("_cells")))
     best = by_profit.groupBy(*keys, *tag).agg(F.max_by("_cells", "profit").alias("_cells"))
