@@ -63,22 +63,52 @@ def interval_join(facts: DataFrame, dim: DataFrame, key: list[str], at: str, val
                   values: list[str], how: str = "left") -> DataFrame:
     """Dimension rows whose closed validity interval holds ``at``; an open end is NULL.
 
-    A validity is cut into dyadic cells of days, at most two for each power of two of its length, however long it
-    is, and meets the distinct (key, date) pairs by (key, cell). The match is joined back to the facts by (key,
-    date), with hot pairs dealt over several tasks; so the heavy side is shuffled once and never multiplied.
+    A validity is cut where the key's next one begins. The parts before the cuts are disjoint, so a running window over
+    the key's dates and beginnings finds the only one that can hold a date: a date is one row and a validity is one row.
+    The parts that reach past a cut exist only where validities overlap; they meet the dates of their keys by cells
+    (``_reaching_pairs``). The match is joined back to the facts by (key, date), with hot pairs dealt over several tasks.
     """
-    dates = facts.select(*key, at).where(F.col(at).isNotNull()).distinct()
-    extent = facts.agg(F.min(at).cast("date").alias("lo"), F.max(at).cast("date").alias("hi")).first()
+    known = F.lit(True)
+    for c in key:
+        known = known & F.col(c).isNotNull()
+    begin, end = F.col(valid_from).cast("date"), F.col(valid_to).cast("date")
+    spans = (dim.where(known).select(*key, F.struct(*values).alias("_row"), begin.alias("_from"), end.alias("_to"))
+             .where(F.col("_from").isNotNull() & (F.col("_to").isNull() | (F.col("_from") <= F.col("_to")))))
+    # both kinds of parts are read from one written table: validities that begin together are cut the same way
+    cut = checkpoint(spans.withColumn("_next", F.lead("_from").over(W.partitionBy(*key).orderBy("_from"))))
+    dates = facts.select(*key, at).where(known & F.col(at).isNotNull()).distinct()
+    begins = cut.where("_next IS NULL OR _next > _from").select(
+        *key, F.col("_from").alias("_day"), F.lit(0).alias("_mark"),
+        F.struct("_row", F.least("_to", F.date_add("_next", -1)).alias("_until")).alias("_part"))
+    line = dates.select(*key, at, F.col(at).cast("date").alias("_day"), F.lit(1).alias("_mark"))
+    upto = W.partitionBy(*key).orderBy("_day", "_mark").rowsBetween(W.unboundedPreceding, W.currentRow)
+    run = line.unionByName(begins, allowMissingColumns=True).withColumn("_part", F.last("_part", ignorenulls=True).over(upto))
+    until = F.col("_part._until")
+    pairs = (run.where((F.col("_mark") == 1) & F.col("_part").isNotNull() & (until.isNull() | (F.col("_day") <= until)))
+             .select(*key, at, "_part._row.*"))
+    reaching = cut.where("_next IS NOT NULL AND (_to IS NULL OR _to >= _next)")
+    if not reaching.isEmpty():
+        pairs = pairs.unionByName(_reaching_pairs(dates, reaching, key, at))
+    return lookup_join(facts, pairs, [*key, at], how)
+
+
+def _reaching_pairs(dates: DataFrame, reaching: DataFrame, key: list[str], at: str) -> DataFrame:
+    """Dates inside ``_next`` to ``_to`` of the same key, with the row of that validity.
+
+    A span is cut into dyadic cells of days, at most two for each power of two of its length, however long it is, and
+    meets the cells of each date by (key, cell); only keys that have such a span take part.
+    """
+    dates = dates.join(reaching.select(*key).distinct(), key, "left_semi")
+    extent = dates.agg(F.min(at).cast("date").alias("lo"), F.max(at).cast("date").alias("hi")).first()
     days = (extent["hi"] - extent["lo"]).days + 1 if extent["lo"] else 1
     levels = max(0, (days - 1).bit_length())
-    lo, hi = F.lit(extent["lo"]).cast("date"), F.lit(extent["hi"]).cast("date")
-    begin = F.greatest(F.datediff(F.col(valid_from).cast("date"), lo), F.lit(0))
-    end = F.least(F.coalesce(F.datediff(F.col(valid_to).cast("date"), lo), F.lit(days - 1)), F.lit(days - 1))
-    spans = (dim.where(F.col(valid_from).isNotNull()).select(*key, *values, begin.alias("_from"), end.alias("_to")).where("_from <= _to")
+    lo = F.lit(extent["lo"]).cast("date")
+    begin = F.greatest(F.datediff("_next", lo), F.lit(0))
+    end = F.least(F.coalesce(F.datediff("_to", lo), F.lit(days - 1)), F.lit(days - 1))
+    spans = (reaching.select(*key, "_row", begin.alias("_from"), end.alias("_to")).where("_from <= _to")
              .withColumn("_cell", F.explode(span_cells(F.col("_from"), F.col("_to"), levels))).drop("_from", "_to"))
     asked = dates.withColumn("_cell", F.explode(day_cells(F.datediff(F.col(at).cast("date"), lo), levels)))
-    pairs = asked.join(spans, [*key, "_cell"]).select(*key, at, *values)
-    return lookup_join(facts, pairs, [*key, at], how)
+    return asked.join(spans, [*key, "_cell"]).select(*key, at, "_row.*")
 
 
 def next_period(facts: DataFrame, key: list[str], period: str, values: list[str]) -> DataFrame:
