@@ -126,15 +126,20 @@ def _bucket(day: str | Column, spans: list[Span]) -> Column:
     return F.floor(month_index(day) / _width(spans)).cast("int")
 
 
+def _bounds(spans: list[Span]) -> dict[str, Column]:
+    """First and last day of each window, as columns ``_first<i>`` and ``_last<i>``."""
+    return {f"_{end}{i}": getattr(s, end).cast("date") for i, s in enumerate(spans) for end in ("first", "last")}
+
+
 def _bucketed(panel: DataFrame, key: list[str], rd: str, spans: list[Span]) -> DataFrame:
-    """Panel rows repeated for every bucket of months their widest window touches."""
-    cols = []
-    for i, s in enumerate(spans):
-        cols += [s.first.cast("date").alias(f"_first{i}"), s.last.cast("date").alias(f"_last{i}")]
-    rows = panel.select(*key, rd).distinct().select(*key, rd, *cols)
-    first = F.least(*[F.col(f"_first{i}") for i in range(len(spans))]) if len(spans) > 1 else F.col("_first0")
-    last = F.greatest(*[F.col(f"_last{i}") for i in range(len(spans))]) if len(spans) > 1 else F.col("_last0")
-    return (rows.where(first <= last)
+    """Panel rows repeated for every bucket of months their widest window touches.
+
+    They carry no window bounds: those follow from ``rd`` and are made again behind the shuffle (``_bounds``).
+    """
+    bounds = list(_bounds(spans).values())
+    first = F.least(*bounds[::2]) if len(spans) > 1 else bounds[0]
+    last = F.greatest(*bounds[1::2]) if len(spans) > 1 else bounds[1]
+    return (panel.select(*key, rd).distinct().where(first <= last)
             .withColumn("_bucket", F.explode(F.sequence(_bucket(first, spans), _bucket(last, spans)))))
 
 
@@ -143,7 +148,7 @@ def window_agg(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts: st
     """Measures of the log per (key, rd) that has any log row in a window; names are measure + suffix."""
     windows = list(spans.values())
     days = daily(log, key, ts, measures).withColumn("_bucket", _bucket("_day", windows))
-    joined = _bucketed(panel, key, rd, windows).join(days, [*key, "_bucket"])
+    joined = _bucketed(panel, key, rd, windows).join(days, [*key, "_bucket"]).withColumns(_bounds(windows))
     any_holds = None
     for i, s in enumerate(windows):
         test = s.holds(i, F.col("_day"))
@@ -176,7 +181,7 @@ def lookback_rows(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts:
     """
     dated = log.withColumn("_day", F.col(ts).cast("date"))
     days = dated.select(*key, "_day").distinct().withColumn("_bucket", _bucket("_day", [span]))
-    pairs = (_bucketed(panel, key, rd, [span]).join(days, [*key, "_bucket"])
+    pairs = (_bucketed(panel, key, rd, [span]).join(days, [*key, "_bucket"]).withColumns(_bounds([span]))
              .where(span.holds(0, F.col("_day"))).select(*key, "_day", rd))
     return skew_join(dated, pairs, [*key, "_day"]).drop("_day")
 
@@ -184,8 +189,8 @@ def lookback_rows(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts:
 def collapsed_rows(panel: DataFrame, days: DataFrame, key: list[str], rd: str, day: str, span: Span) -> DataFrame:
     """As ``lookback_rows`` for a log already collapsed per key and day, which has no hot keys left."""
     log = days.withColumn("_bucket", _bucket(day, [span]))
-    return (_bucketed(panel, key, rd, [span]).join(log, [*key, "_bucket"]).where(span.holds(0, F.col(day)))
-            .drop("_bucket", "_first0", "_last0"))
+    return (_bucketed(panel, key, rd, [span]).join(log, [*key, "_bucket"]).withColumns(_bounds([span]))
+            .where(span.holds(0, F.col(day))).drop("_bucket", "_first0", "_last0"))
 
 
 def lookback_distinct(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts: str, span: Span, item: str,
@@ -203,7 +208,7 @@ def lookback_distinct(panel: DataFrame, log: DataFrame, key: list[str], rd: str,
     seen = items.select(*key, "_day", item, F.explode(names).alias("_name"))
     days = items.select(*key, "_day").distinct().withColumn("_bucket", _bucket("_day", [span]))
     dates = panel.select(*key, rd).distinct()
-    reach = (_bucketed(dates, key, rd, [span]).join(days, [*key, "_bucket"]).where(span.holds(0, F.col("_day")))
+    reach = (_bucketed(dates, key, rd, [span]).join(days, [*key, "_bucket"]).withColumns(_bounds([span])).where(span.holds(0, F.col("_day")))
              .groupBy(*key, "_day").agg(F.min(rd).alias("_first"), F.max(rd).alias("_last")))
     placed = skew_join(seen, reach, [*key, "_day"])
     order = W.partitionBy(*key, item, "_name").orderBy("_day")

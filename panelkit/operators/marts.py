@@ -17,7 +17,7 @@ from panelkit.operators import lookback as L
 from panelkit.operators.aggregates import dedupe_then_agg, limits_features, pivot_actions
 from panelkit.operators.joins import interval_join, wide_join
 from panelkit.operators.windows import best_row, frame, lag_of, lead_label, moving
-from panelkit.scale import checkpoint, lookup_join
+from panelkit.scale import checkpoint, lookup_join, parts_for
 
 # Codes of the source systems (fixed values).
 ACTIONS = {"logins": [95], "transfers_a": [184], "transfers_b": [168], "transfers_c": [172], "transfers_d": [176],
@@ -281,7 +281,8 @@ def credit_bureau_mart(panel: DataFrame, reports: DataFrame, requests: DataFrame
 
 def transfers_by_bank(transactions: DataFrame) -> DataFrame:
     """Unique transfers in and out per contract, day and bank; the name flag holds when name and surname agree."""
-    chosen = transactions.where(F.col("kind").isin(TRANSFER_IN, TRANSFER_OUT))
+    # both steps group rows that lie together, so the records are dealt out once
+    chosen = transactions.where(F.col("kind").isin(TRANSFER_IN, TRANSFER_OUT)).repartition("kind", "contract", "day", "bank")
     return dedupe_then_agg(
         chosen, ["kind", "contract", "day", "amount", "account", "bank"],
         {"name": F.max("same_name"), "surname": F.max("same_surname")},
@@ -307,41 +308,60 @@ def account_operations(operations: DataFrame) -> DataFrame:
         (F.max("branch_amount").over(recent) > 0).cast("int").alias("had_branch"))
 
 
-def main_banks(deposits: DataFrame, transfers: DataFrame, near: L.Span, wide: L.Span, suffix: str) -> DataFrame:
-    """Main bank per client and date: by amount and by count in the near window, by amount in the wide one.
+def by_month(left: DataFrame, right: DataFrame, key: str, how: str = "left", month: str = "rd") -> DataFrame:
+    """Equi join on (key, month) of two sides that lie by ``key`` alone, without dealing either out again.
 
-    The wide window holds the near one, so both come from one pass.
+    The month is compared as two bounds: an equality would be a join key, and Spark deals both sides out by all of
+    them. A key has at most one row per calendar month on the right, so it compares calendar by calendar.
     """
-    per = transfers.groupBy("contract", "day", "bank").agg(F.sum("amount").alias("amount"), F.count(F.lit(1)).alias("_n"))
-    found = L.collapsed_rows(deposits.select("contract", "rd"), per, ["contract"], "rd", "day", wide)
-    close = near.test(F.col("day"))
-    banks = (deposits.select("client", "contract", "rd").join(found.where(F.col("bank").isNotNull()), ["contract", "rd"])
-             .groupBy("client", "rd", "bank")
-             .agg(F.sum("amount").alias("_wide"), F.sum(F.when(close, F.col("amount"))).alias("_near"),
-                  F.sum(F.when(close, F.col("_n"))).alias("_rows")))
+    other = right.select(F.col(key).alias("_key"), F.col(month).alias("_month"), *[c for c in right.columns if c not in (key, month)])
+    same = (F.col(key) == F.col("_key")) & (F.col(month) <= F.col("_month")) & (F.col(month) >= F.col("_month"))
+    return left.join(other, same, how).drop("_key", "_month")
 
-    def top(size: str) -> Column:
-        return F.min_by("bank", F.when(F.col(size).isNotNull(), F.struct(-F.col(size), F.col("bank"))))
 
-    return banks.groupBy("client", "rd").agg(top("_near").alias(f"by_amount{suffix}"), top("_rows").alias(f"by_count{suffix}"),
-                                             top("_wide").alias(f"by_amount{suffix}_wide"))
+def main_banks(deposits: DataFrame, transfers: DataFrame, near: L.Span, wide: dict[int, L.Span],
+               suffixes: dict[int, str], parts: int) -> DataFrame:
+    """Main bank per client and date for each kind of transfer: by amount and by count in the near window, by amount in the wide one.
+
+    The wide windows hold the near one, so all come from one pass: dates and transfers meet once per contract, whose
+    calendar bounds both, and a client's banks are dealt out once.
+    """
+    day = F.col("day")
+    inside = reduce(Column.__or__, [(F.col("kind") == k) & span.test(day) for k, span in wide.items()])
+    close = near.test(day)
+    moved = transfers.where(F.col("bank").isNotNull() & F.col("kind").isin(*wide)).select("contract", "kind", "day", "bank", "amount")
+    pairs = (deposits.select("client", "contract", "rd").join(moved, "contract").where(inside)
+             .select("client", "rd", "kind", "bank", "amount", close.alias("_close")))
+    banks = pairs.repartition(parts, "client").groupBy("client", "rd", "kind", "bank").agg(
+        F.sum("amount").alias("_wide"), F.sum(F.when(F.col("_close"), F.col("amount"))).alias("_near"),
+        F.count(F.when(F.col("_close"), 1)).alias("_rows"))
+
+    def top(kind: int, size: str) -> Column:
+        return F.min_by("bank", F.when((F.col("kind") == kind) & F.col(size).isNotNull(), F.struct(-F.col(size), F.col("bank"))))
+
+    return banks.withColumn("_rows", F.when(F.col("_rows") > 0, F.col("_rows"))).groupBy("client", "rd").agg(
+        *[top(k, c).alias(n) for k, suffix in suffixes.items()
+          for c, n in (("_near", f"by_amount{suffix}"), ("_rows", f"by_count{suffix}"), ("_wide", f"by_amount{suffix}_wide"))])
 
 
 def deposit_mart(panel: DataFrame, deposits: DataFrame, transactions: DataFrame, operations: DataFrame) -> DataFrame:
     """Accounts, balances against earlier months, transfers, standing orders, main banks, payment type.
 
     ``deposits`` has client, contract, rd, start, balance, active and salary, one row per contract
-    and rd; transfers are summed per contract and day before they are joined.
+    and rd; transfers are summed per contract and day before they are joined. Accounts, operations and
+    transfers are dealt out by contract once, what becomes of them by client once; all joins and windows
+    read the rows where they lie.
     """
     transfers = checkpoint(transfers_by_bank(transactions))
-    incoming, outgoing = (transfers.where(F.col("kind") == k).drop("kind") for k in (TRANSFER_IN, TRANSFER_OUT))
     deposits = checkpoint(deposits)
-    per_day = incoming.groupBy("contract", F.col("day").alias("rd")).agg(
+    incoming = transfers.where(F.col("kind") == TRANSFER_IN)
+    per_day = incoming.repartition("contract").groupBy("contract", F.col("day").alias("rd")).agg(
         F.sum("amount").alias("in_amount"), F.sum("transfers").alias("in_count"),
         F.sum(F.col("amount") * F.col("same_person")).alias("same_amount"),
         F.sum(F.col("transfers") * F.col("same_person")).alias("same_count"))
-    rows = (deposits.join(account_operations(operations), ["contract", "rd"], "left")
-            .join(per_day, ["contract", "rd"], "left")
+    rows = by_month(by_month(deposits, account_operations(operations), "contract"), per_day, "contract")
+    parts = parts_for(deposits.count())
+    rows = (rows.repartition(parts, "client")
             .withColumn("_out_mean", S.ratio("_out_sum", "_out_n")))
     paid = S.payment_type(F.sum("atm_recent"), F.sum("branch_recent"), F.sum("in_recent"))
     per = rows.groupBy("client", "rd").agg(
@@ -359,7 +379,7 @@ def deposit_mart(panel: DataFrame, deposits: DataFrame, transactions: DataFrame,
     per = (per.withColumn("_balance_before", S.ratio(F.sum("balance").over(past), F.count("balance").over(past)))
            .withColumn("outgoing_ratio", F.when(F.col("outgoing_mean") == 0, 1.0)
                        .otherwise(S.ratio("outgoing_max", "outgoing_mean"))))
-    out = panel.join(per, ["client", "rd"], "left")
+    out = by_month(panel, per, "client")
     step = F.coalesce(F.col("accounts") - F.max("accounts").over(past), F.lit(0))
     out = out.withColumn("has_opened_account", (step > 0).cast("int")).withColumn(
         "has_closed_account", (step < 0).cast("int"))
@@ -371,9 +391,9 @@ def deposit_mart(panel: DataFrame, deposits: DataFrame, transactions: DataFrame,
     out = out.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in zero}).withColumn(
         "payment_type", F.coalesce("payment_type", F.lit("LackOfTransfer"))).drop("_balance_before")
     near, wide_in, wide_out = (L.month_distance_open("rd", lo, 3) for lo in (1, -6, -5))
-    for suffix, moved, wide in (("_sender", incoming, wide_in), ("_addressee", outgoing, wide_out)):
-        out = out.join(main_banks(deposits, moved, near, wide, suffix), ["client", "rd"], "left")
-    return out
+    banks = main_banks(deposits, transfers, near, {TRANSFER_IN: wide_in, TRANSFER_OUT: wide_out},
+                       {TRANSFER_IN: "_sender", TRANSFER_OUT: "_addressee"}, parts)
+    return by_month(out, banks, "client")
 
 
 def group_mean_impute(df: DataFrame, cols: list[str], by: list[str]) -> DataFrame:
@@ -456,28 +476,35 @@ def churn_base(history: DataFrame, blacklist: DataFrame, product: int = CASH_LOA
     # the true end comes from windows over a contract's own rows, so the history is dealt out and written once
     marked = lag_of(history, "balance", ["contract"], ["rd"], "_before")
     whole = W.partitionBy("contract")
-    marked = marked.withColumn("_big", F.when(big_payment(), F.col("rd")))
+    # rows overdue up to a date: peers of the date count, rows without a contract or a date have none
+    upto = W.partitionBy("contract").orderBy("rd").rangeBetween(W.unboundedPreceding, W.currentRow)
+    overdue = F.sum(F.when(F.col("rd").isNotNull() & (F.col("dpd") > 30), 1).otherwise(0)).over(upto)
+    # rows of the product one to three months back, of the same contract and client: no more than the days of such a window
+    before = L.month_distance("rd", 1, 3)
+    near = W.partitionBy("contract").orderBy(F.unix_date("rd")).rangeBetween(-124, 0)
+    seen = F.collect_list(F.when(F.col("product") == product, F.struct("client", "rd"))).over(near)
+    mine = F.filter("_seen", lambda x: (x["client"] == F.col("client")) & before.test(x["rd"]))
+    marked = marked.withColumns({"_big": F.when(big_payment(), F.col("rd")), "_seen": seen,
+                                 "_late": F.when(F.col("contract").isNotNull(), overdue).otherwise(0)})
+    marked = marked.withColumn("_own", F.when(F.col("contract").isNotNull(), F.size(mine)).otherwise(0)).drop("_seen")
     marked = marked.withColumns({"true_end": F.coalesce(F.min("_big").over(whole), F.max("rd").over(whole)),
                                  "had_big_payment": F.max(F.col("_big").isNotNull().cast("int")).over(whole)})
     history = checkpoint(marked.drop("_before", "_big"))
     seip = history.where("rd <= true_end").withColumn(
         "status_now", F.when((F.col("rd") == F.col("true_end")) & (F.col("had_big_payment") == 1), BIG_PAYMENT_STATUS)
         .otherwise(F.col("status")))
-    keys = seip.select("client", "contract", "rd")
+    # flags hold per client and date, over all contracts the client reports that day: one of them has other rows
+    # beside its own if the client has more than the contract with the fewest
+    per_client = checkpoint(seip.groupBy("client", "rd").agg(
+        (F.sum("_late") == 0).cast("int").alias("dpd_clean"), F.min("_own").alias("_own")))
     own_product = history.where(F.col("product") == product).withColumn("_day", F.col("rd"))
-    other = L.other_rows(keys, own_product, ["client"], "contract", "rd", "_day", L.month_distance("rd", 1, 3), "_other")
-    # flags hold per client and date, over all contracts the client reports that day
-    per_client = keys.select("client", "rd").distinct()
-    others = other.groupBy("client", "rd").agg((F.sum("_other") > 0).cast("int").alias("has_other"))
+    flags = L.lookback_agg(per_client, own_product, ["client"], "rd", "_day", {"": before}, {"_all": L.count()})
+    flags = flags.withColumn("has_other", (F.col("_all") > F.col("_own")).cast("int")).drop("_all", "_own")
     started = history.groupBy("client", "contract", "start").agg(F.lit(1).alias("_one"))
-    flags = L.exists_flag(per_client, started, ["client"], "rd", "start", L.month_distance("rd", 3, 6), "has_new_contract")
+    flags = L.exists_flag(flags, started, ["client"], "rd", "start", L.month_distance("rd", 3, 6), "has_new_contract")
     around = {"_last_3m": L.month_distance("rd", 0, 3), "_next_3m": L.month_distance("rd", -3, 0)}
     flags = L.lookback_agg(flags, blacklist, ["client"], "rd", "month", around, {"blacklisted": L.count()})
     flags = flags.withColumns({f"blacklisted{s}": (F.col(f"blacklisted{s}") > 0).cast("int") for s in around})
-    late = L.history_agg(keys, history.where("dpd > 30").withColumn("_day", F.col("rd")), ["contract"], "rd", "_day",
-                         {"_late": L.count()})
-    late = late.groupBy("client", "rd").agg((F.sum("_late") == 0).cast("int").alias("dpd_clean"))
-    flags = flags.join(others, ["client", "rd"], "left").join(late, ["client", "rd"], "left")
     last = history.agg(F.max("rd")).scalar()
     base = seip.where(F.col("product") == product).join(flags, ["client", "rd"], "left")
     not_refinanced = F.coalesce(F.col("refinancing"), F.lit("")) == ""

@@ -365,7 +365,9 @@ def deposit_mart(t: Tables) -> DataFrame:
         F.when(line <= 3, 17).otherwise(18).alias("kind"))
     zero = F.lit(0).cast("decimal(18,2)")
     part = lambda cond: F.sum(F.when(cond, price).otherwise(zero))
-    operations = t.lineitem.groupBy(F.col("l_orderkey").alias("contract"), month.alias("rd")).agg(
+    # a contract's months and the windows over them lie together, so its lines are dealt out once
+    lines = t.lineitem.select("l_orderkey", "l_shipdate", "l_linenumber", "l_extendedprice").repartition("l_orderkey")
+    operations = lines.groupBy(F.col("l_orderkey").alias("contract"), month.alias("rd")).agg(
         S.count_if(line == 1).alias("standing_orders"), part(line == 1).alias("standing_sum"), F.sum(price).alias("operation_sum"),
         F.count(F.lit(1)).alias("operations"), S.count_if(line == 2).alias("cash_atm"), S.count_if(line == 3).alias("cash_branch"),
         S.count_if(line == 4).alias("transfers_in"), part(line >= 5).alias("outgoing"), part(line.isin(2, 3)).alias("branch_amount"))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from panelkit.scale import parts_for
 from panelkit.tables import Tables
 
 
@@ -37,10 +38,14 @@ def event_log(t: Tables) -> DataFrame:
 
 
 def line_months(t: Tables) -> DataFrame:
-    """Line items collapsed to one row per order and ship month, before any join."""
+    """Line items collapsed to one row per order and ship month, before any join.
+
+    The lines are dealt out by order once: months, the join with the orders and windows over an order read them there.
+    """
     price = money(F.col("l_extendedprice"), 2) * (1 - money("l_discount", 2))
-    return (t.lineitem.groupBy(F.col("l_orderkey").alias("contract"),
-                               F.last_day(F.to_date("l_shipdate")).alias("rd"))
+    lines = t.lineitem.select(F.col("l_orderkey").alias("contract"), F.last_day(F.to_date("l_shipdate")).alias("rd"),
+                              "l_extendedprice", "l_discount", "l_quantity", "l_returnflag", "l_linestatus")
+    return (lines.repartition(parts_for(t.lineitem.count()), "contract").groupBy("contract", "rd")
             .agg(F.sum(price).cast("decimal(24,4)").alias("balance"), F.count(F.lit(1)).alias("lines"),
                  F.max(F.col("l_quantity").cast("int")).alias("quantity"),
                  F.max("l_returnflag").alias("flag"), F.max("l_linestatus").alias("line_status")))

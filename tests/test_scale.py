@@ -99,3 +99,92 @@ def test_running_total_and_median(spark):
 def test_checkpoint_writes_a_table(spark):
     out = scale.checkpoint(spark.range(5).select(F.col("id").alias("a b")))
     assert out.count() == 5 and "FileScan" in out._jdf.queryExecution().executedPlan().toString()
+
+
+def _dealt(df) -> int:
+    """Times that rows are dealt out in the plan of ``df``."""
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning")
+
+
+def test_disjoint_validities_are_not_cut_into_cells(spark, monkeypatch):
+    from datetime import date
+
+    from panelkit.operators import joins
+
+    monkeypatch.setattr(joins, "day_cells", lambda *_: (_ for _ in ()).throw(AssertionError("cells")))
+    dim = spark.createDataFrame([(1, "a", date(2024, 1, 1), date(2024, 1, 31)), (1, "b", date(2024, 2, 1), None)], "k int, v string, f date, t date")
+    facts = spark.createDataFrame([(1, date(2024, 1, 31)), (1, date(2024, 2, 1)), (1, date(2023, 1, 1))], "k int, at date")
+    out = {(r["at"].isoformat(), r["v"]) for r in joins.interval_join(facts, dim, ["k"], "at", "f", "t", ["v"]).collect()}
+    assert out == {("2024-01-31", "a"), ("2024-02-01", "b"), ("2023-01-01", None)}
+
+
+def test_overlapping_and_repeated_validities_all_match(spark):
+    import random
+    from datetime import date, timedelta
+
+    from panelkit.operators import joins
+
+    rng, day = random.Random(3), date(2024, 1, 1)
+    spans = [(k, i, day + timedelta(a), None if n == 9 else day + timedelta(a + n)) for i in range(120)
+             for k, a, n in [(rng.choice([1, 2, None]), rng.randrange(60), rng.choice([-1, 0, 3, 9, 40]))]]
+    spans += [(1, -1, day, day), (1, -2, day, day), (1, -3, None, day)]
+    facts = [(rng.choice([1, 2, 3, None]), rng.choice([None, day + timedelta(rng.randrange(-3, 120))]), i) for i in range(80)]
+    out = joins.interval_join(spark.createDataFrame(facts, "k int, at date, i int"),
+                              spark.createDataFrame(spans, "k int, v int, f date, t date"), ["k"], "at", "f", "t", ["v"])
+    want = [(k, at, i, v) for k, at, i in facts for v in
+            ([v for s, v, f, t in spans if s == k and k and at and f and f <= at and (t is None or at <= t)] or [None])]
+    assert sorted(map(str, map(tuple, out.select("k", "at", "i", "v").collect()))) == sorted(map(str, want))
+
+
+def test_deposit_mart_deals_rows_out_by_contract_and_client_once(spark):
+    from panelkit.plans.feature_marts import deposit_mart
+    from panelkit.tables import Tables
+
+    assert _dealt(deposit_mart(Tables(spark, "/root/testdata/sf0.001"))) <= 8
+
+
+def test_look_back_rows_carry_no_window_bounds(spark):
+    from panelkit.operators import lookback
+
+    panel = spark.sql("SELECT 1 AS k, DATE '2024-03-31' AS rd")
+    assert lookback._bucketed(panel, ["k"], "rd", [lookback.months_back("rd", 3)]).columns == ["k", "rd", "_bucket"]
+
+
+def test_churn_base_counts_own_and_late_rows_where_a_contract_lies(spark, monkeypatch):
+    from panelkit.operators import lookback
+    from panelkit.plans.label_marts import churn_base
+    from panelkit.tables import Tables
+
+    stop = lambda *_, **__: (_ for _ in ()).throw(AssertionError("dealt out again"))
+    monkeypatch.setattr(lookback, "other_rows", stop)
+    monkeypatch.setattr(lookback, "history_agg", stop)
+    churn_base(Tables(spark, "/root/testdata/sf0.001"))
+
+
+def test_line_months_and_windows_over_an_order_are_dealt_out_once(spark):
+    from panelkit.operators.marts import true_end_date
+    from panelkit.plans.label_marts import credit_history
+    from panelkit.tables import Tables
+
+    assert _dealt(true_end_date(credit_history(Tables(spark, "/root/testdata/sf0.001")))) <= 2
+
+
+def test_prices_are_dealt_out_by_offer_once(spark):
+    from panelkit.operators import pricing
+    from panelkit.plans.market import accept
+
+    offers = spark.sql("SELECT id % 5 AS k, 10.0D AS l_quantity, 0.01D * id AS l_tax FROM range(20)")
+    grid = pricing.price_grid(spark).withColumn("weight", F.lit(1.0))
+    best = pricing.best_price(offers, grid, ["k"], "l_quantity", accept, ["l_quantity", "l_tax"])
+    text = best._jdf.queryExecution().executedPlan().toString()
+    assert text.count("Exchange hashpartitioning(k#") == 1 and best.select("k").distinct().count() == 5
+
+
+def test_item_sets_are_written_once(spark, monkeypatch):
+    from panelkit.operators import rules
+
+    made = []
+    plain = rules.lookup_join
+    monkeypatch.setattr(rules, "lookup_join", lambda *a, **k: made.append(1) or plain(*a, **k))
+    rules.rules(spark.sql("SELECT id % 7 AS b, CAST(id % 3 AS STRING) AS i FROM range(60)"), "b", "i", 0.1).count()
+    assert len(made) == 1
