@@ -79,6 +79,11 @@ class Span:
     test: Callable[[Column], Column] | None = None
     width: int = 1
 
+    def contains(self, day: Column) -> Column:
+        """Whether the window of a panel row holds ``day``."""
+        inside = day.between(self.first, self.last)
+        return inside if self.test is None else inside & self.test(day)
+
     def holds(self, i: int, day: Column) -> Column:
         inside = day.between(F.col(f"_first{i}"), F.col(f"_last{i}"))
         return inside if self.test is None else inside & self.test(day)

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from panelkit.functions import scalars as S
 from panelkit.operators import lookback as L
@@ -118,25 +119,51 @@ def inbound_call_mart(panel: DataFrame, calls: DataFrame, reasons: DataFrame,
     return panel.join(found.withColumns(whole), ["client", "rd"], "left")
 
 
+def _sum_type(df: DataFrame, col: str) -> str:
+    """Type that sums of ``col`` keep in a running total; decimals keep their scale."""
+    kind = df.schema[col].dataType
+    return f"decimal(38,{kind.scale})" if isinstance(kind, T.DecimalType) else kind.simpleString()
+
+
 def excess_payment_mart(history: DataFrame, transactions: DataFrame, kind: int = EXCESS_PAYMENT) -> DataFrame:
     """Extra payments relative to the instalment: at the date, in three and six months, and ever.
 
-    ``history`` has contract, client, rd and instalment.
+    ``history`` has contract, client, rd and instalment. Dates and payment days stand on one line per contract and then
+    on one per client, so each is dealt out once by either and no result is joined back.
     """
-    paid = (transactions.where(F.col("kind") == kind).select("client", "contract", "day", "amount").distinct())
-    panel = checkpoint(history.select("contract", "client", "rd", "instalment").distinct())
-    paid = checkpoint(paid.join(panel.select("contract").distinct(), "contract", "left_semi"))
+    panel = history.select("contract", "client", "rd", "instalment").distinct().withColumn("_day", F.col("rd").cast("date"))
+    paid = (transactions.where((F.col("kind") == kind) & F.col("contract").isNotNull() & F.col("day").isNotNull())
+            .select("client", "contract", "day", "amount").distinct())
+    days = (paid.groupBy("contract", "client", F.col("day").cast("date").alias("_day"))
+            .agg(F.count(F.lit(1)).alias("_n"), F.sum("amount").alias("_amount")))
+    line = panel.withColumn("_mark", F.lit(1)).unionByName(days.withColumn("_mark", F.lit(0)), allowMissingColumns=True)
+    is_panel = F.col("_mark") == 1
     spans = {"_now": L.Span(F.col("rd"), F.col("rd")), "_3m": L.months_back("rd", 3), "_6m": L.months_back("rd", 6)}
-    measures = {"payments": L.count(), "amount": L.total("amount")}
-    out = L.lookback_agg(panel, paid, ["contract"], "rd", "day", spans, measures)
-    per_client = panel.select("client", "rd").distinct()
-    ever = L.history_agg(per_client, paid, ["client"], "rd", "day",
-                         {"payments_ever": L.count(), "amount_ever": L.total("amount")})
+    near = W.partitionBy("contract").orderBy(F.unix_date("_day")).rangeBetween(-6 * 31, 0)
+    seen = F.collect_list(F.when(~is_panel, F.struct("_day", "_n", "_amount"))).over(near)
+    owned = F.max("_mark").over(W.partitionBy("contract"))
+    kinds = {"payments": ("_n", "long"), "amount": ("_amount", _sum_type(days, "_amount"))}
+
+    def inside(span: L.Span, name: str) -> Column:
+        c, kind = kinds[name]
+        zero = F.lit(0).cast(kind)
+        rows = F.filter("_seen", lambda x: span.contains(x["_day"]))
+        return F.when(is_panel, F.aggregate(rows, zero, lambda acc, x: (acc + F.coalesce(x[c], zero)).cast(kind)))
+
+    line = line.withColumns({"_seen": seen, "_owned": owned})
+    found = {f"{name}{suffix}": inside(span, name) for suffix, span in spans.items() for name in kinds}
+    # payments of contracts outside the panel do not count for the client
+    counts = (F.col("_mark") == 0) & (F.col("_owned") == 1)
+    line = line.withColumns(found).withColumns({c: F.when(counts, F.col(c)) for c in ("_n", "_amount")}).where(is_panel | counts)
+    upto = W.partitionBy("client").orderBy("_day", "_mark").rowsBetween(W.unboundedPreceding, W.currentRow)
+    line = line.drop("_seen", "_owned").withColumns({"_n_ever": F.sum("_n").over(upto), "_amount_ever": F.sum("_amount").over(upto)})
+    known = F.col("client").isNotNull() & F.col("rd").isNotNull()
     size = F.abs("instalment")
-    return (out.join(ever, ["client", "rd"], "left").select(
+    return line.where(is_panel).select(
         "contract", "rd", "client", S.ratio("amount_now", size).alias("paid_now"), "payments_3m",
         S.ratio("amount_3m", size).alias("paid_3m"), "payments_6m", S.ratio("amount_6m", size).alias("paid_6m"),
-        "payments_ever", (F.col("amount_ever") != 0).cast("int").alias("has_paid_ever")))
+        F.when(known, F.coalesce("_n_ever", F.lit(0))).alias("payments_ever"),
+        F.when(known, (F.coalesce("_amount_ever", F.lit(0)) != 0).cast("int")).alias("has_paid_ever"))
 
 
 #: Reason texts of a rejection by the bank and by the client (fixed values), and the product of the loan mart.

@@ -12,7 +12,7 @@ from panelkit.plans.registry import query
 from panelkit.plans.views import (CLIENT_PANEL, CONTRACT_PANEL, EVENT_LOG, ORDER_LOG, USER_DAY, client_panel,
                                   contract_panel, event_log, months_between, money, order_log, shift, user_day,
                                   whole_months)
-from panelkit.scale import lookup_join, skew_join
+from panelkit.scale import lookup_join, parts_for
 from panelkit.tables import Tables
 
 
@@ -173,12 +173,12 @@ def call_mart(t: Tables) -> DataFrame:
 
 
 def payments(t: Tables) -> DataFrame:
-    """Line items as transactions; returned ones are excess payments."""
+    """Line items as transactions; returned ones are excess payments. The lines are dealt out by order once."""
     heads = t.orders.select(F.col("o_orderkey").alias("contract"), F.col("o_custkey").alias("client"))
     lines = t.lineitem.select(F.col("l_orderkey").alias("contract"), F.to_date("l_shipdate").alias("day"),
                               money("l_extendedprice", 2).alias("amount"),
-                              S.case_of("l_returnflag", {16: ["R"]}, 17).alias("kind")).distinct()
-    return skew_join(lines, heads, ["contract"])
+                              S.case_of("l_returnflag", {16: ["R"]}, 17).alias("kind"))
+    return lines.repartition(parts_for(t.lineitem.count()), "contract").distinct().join(heads, "contract")
 
 
 @query("excess_payment_mart", f"""WITH {CONTRACT_PANEL}, h AS (SELECT contract, client, rd, abs(quantity - 50) AS size FROM contract_panel),

@@ -188,3 +188,23 @@ def test_item_sets_are_written_once(spark, monkeypatch):
     monkeypatch.setattr(rules, "lookup_join", lambda *a, **k: made.append(1) or plain(*a, **k))
     rules.rules(spark.sql("SELECT id % 7 AS b, CAST(id % 3 AS STRING) AS i FROM range(60)"), "b", "i", 0.1).count()
     assert len(made) == 1
+
+
+def test_excess_payments_stand_on_one_line_per_contract_and_client(spark):
+    from datetime import date as d
+
+    from panelkit.operators import marts as M
+
+    history = spark.createDataFrame(
+        [(1, 10, d(2024, 3, 31), -2), (1, 10, d(2024, 6, 30), -2), (2, 10, d(2024, 6, 30), 0), (3, None, d(2024, 6, 30), 4),
+         (4, 11, None, 1), (1, 10, d(2024, 3, 31), -2)], "contract long, client long, rd date, instalment int")
+    paid = spark.createDataFrame(
+        [(10, 1, d(2024, 3, 31), 4.0, 16), (10, 1, d(2024, 1, 15), 2.0, 16), (10, 1, d(2024, 1, 15), 2.0, 16), (10, 1, d(2023, 9, 30), 8.0, 16),
+         (10, 2, d(2024, 6, 30), 5.0, 17), (10, 9, d(2024, 1, 1), 7.0, 16), (None, 3, d(2024, 6, 1), 2.0, 16), (11, 4, None, 2.0, 16)],
+        "client long, contract long, day date, amount double, kind int")
+    out = M.excess_payment_mart(history, paid)
+    assert _dealt(out) <= 5 and "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
+    want = [(1, d(2024, 3, 31), 10, 2.0, 2, 3.0, 3, 7.0, 3, 1), (1, d(2024, 6, 30), 10, 0.0, 1, 2.0, 2, 3.0, 3, 1),
+            (2, d(2024, 6, 30), 10, None, 0, None, 0, None, 3, 1), (3, d(2024, 6, 30), None, 0.0, 1, 0.5, 1, 0.5, None, None),
+            (4, None, 11, 0.0, 0, 0.0, 0, 0.0, None, None)]
+    assert rows(out) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
