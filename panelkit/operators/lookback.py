@@ -267,6 +267,22 @@ def asof_latest(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts: s
     return panel.join(found, [*key, rd], "left")
 
 
+def asof_rows(panel: DataFrame, log: DataFrame, key: list[str], rd: str, ts: str, values: list[str],
+              ties: list[str]) -> DataFrame:
+    """As ``asof_latest`` for a panel with one row per key and date: its rows stand on the line and are not joined back."""
+    known = F.col(ts).isNotNull()
+    for c in key:
+        known = known & F.col(c).isNotNull()
+    pick = F.struct(*[F.col(v) for v in values])
+    # the rows are structs, which Spark combines by sorting: they are dealt out before, so that no split is sorted whole
+    days = (log.where(known).withColumn("_day", F.col(ts).cast("date")).repartition(*key, "_day").groupBy(*key, "_day")
+            .agg(F.max_by(pick, F.struct(ts, *ties)).alias("_row")).withColumn("_mark", F.lit(1)))
+    line = panel.withColumns({"_day": F.col(rd).cast("date"), "_mark": F.lit(0)}).unionByName(days, allowMissingColumns=True)
+    order = W.partitionBy(*key).orderBy("_day", "_mark").rowsBetween(W.unboundedPreceding, W.currentRow)
+    found = line.withColumn("_row", F.last("_row", ignorenulls=True).over(order)).where("_mark = 0")
+    return found.select(*panel.columns, *[F.col("_row")[v].alias(v) for v in values])
+
+
 def other_rows(panel: DataFrame, log: DataFrame, key: list[str], own: str, rd: str, ts: str, span: Span,
                name: str = "others") -> DataFrame:
     """Log rows of the same key in the window that belong to another ``own`` value.

@@ -259,22 +259,17 @@ def credit_bureau_mart(panel: DataFrame, reports: DataFrame, requests: DataFrame
     ``panel`` has client, rd, start and balance. Credits are collapsed per report and end date before
     they meet the panel; only the borrower's own credits (relationship 1) count.
     """
-    base = checkpoint(panel.groupBy("client", "rd").agg(F.min("start").alias("start"), F.sum("balance").alias("balance")))
+    base = (panel.repartition("client").groupBy("client", "rd")
+            .agg(F.min("start").alias("start"), F.sum("balance").alias("balance")))
     log = reports.select("client", F.col("created").alias("day"), "report", "created")
-    latest = L.asof_latest(base, log, ["client"], "rd", "day", ["report", "created"], ["report"])
-    latest = checkpoint(latest.where(F.col("report").isNotNull()))
-    asked = requests.where(F.col("reason") == 1).select("report", "day")
-    keys = latest.select("report", "rd").distinct()
-    queries = L.lookback_agg(keys, asked, ["report"], "rd", "day",
-                             {"_3m": L.month_distance("rd", 0, 3), "_1m": L.month_distance("rd", 0, 1)},
-                             {"queries": L.count()})
-    begun = latest.select("report", "start").distinct()
-    at_start = L.lookback_agg(begun, asked, ["report"], "start", "day", {"": L.month_distance("start", -1, 1)},
-                              {"queries_at_application": L.count()})
+    latest = L.asof_rows(base, log, ["client"], "rd", "day", ["report", "created"], ["report"])
+    latest = latest.where(F.col("report").isNotNull())
+    asked = (requests.where((F.col("reason") == 1) & F.col("day").isNotNull()).select("report", F.col("day").cast("date").alias("_asked"))
+             .repartition("report").groupBy("report", "_asked").agg(F.count(F.lit(1)).alias("_queries")))
     cash, own = F.col("credit_type").isin(CASH_LOANS), F.col("own") == 1
     is_open = F.col("closed").isNull()
     one = lambda c: F.sum(F.when(c, 1).otherwise(0))
-    per_end = (credits.where("relationship = 1")
+    per_end = (credits.where("relationship = 1").repartition("report")
                .groupBy("report", F.add_months("opened", F.col("months")).alias("_end"))
                .agg(F.count(F.lit(1)).alias("_all"), one(cash).alias("_cash"),
                     one(is_open & ~own & (F.col("credit_type") == MORTGAGE)).alias("_mortgage"),
@@ -284,18 +279,23 @@ def credit_bureau_mart(panel: DataFrame, reports: DataFrame, requests: DataFrame
                     one(is_open & cash).alias("_a_cash"), one(is_open).alias("_a"),
                     one(is_open & cash & own).alias("_o_cash"), one(is_open & own).alias("_o"),
                     one((F.months_between("closed", "opened") < F.col("months") - 1) & cash).alias("_early")))
-    rows = latest.join(per_end, "report")
+    # a report's requests and credits meet its dates in one join, and a date's rows lie together behind it
+    rows = latest.join(per_end.unionByName(asked, allowMissingColumns=True), "report")
     live = F.col("_end") > F.col("rd")
+    asked_in = lambda span: F.sum(F.when(span.contains(F.col("_asked")), F.col("_queries")).otherwise(0))
     active = lambda c: F.sum(F.when(live, F.col(c)).otherwise(0))
     agg = rows.groupBy("client", "rd", "report", "created", "start", "balance").agg(
         active("_mortgage").alias("foreign_mortgages"), active("_f_cash").alias("foreign_cash_loans"),
         active("_f").alias("foreign_credits"), active("_f_good").alias("foreign_good_credits"),
         active("_f_balance").alias("foreign_balance"), active("_a_cash").alias("_ac"), active("_a").alias("_aa"),
         active("_o_cash").alias("_oc"), active("_o").alias("_oo"), F.sum("_cash").alias("_c"), F.sum("_all").alias("_n"),
-        F.sum("_early").alias("early_closures"))
+        F.sum("_early").alias("early_closures"),
+        asked_in(L.month_distance("rd", 0, 3)).alias("queries_3m"), asked_in(L.month_distance("rd", 0, 1)).alias("queries_1m"),
+        F.when(F.col("start").isNotNull(), asked_in(L.month_distance("start", -1, 1))).alias("queries_at_application"))
+    agg = agg.where(F.col("_n").isNotNull())
     age = F.months_between("rd", "created")
     own_sum = F.col("balance") * F.col("_n")
-    return (agg.join(queries, ["report", "rd"], "left").join(at_start, ["report", "start"], "left").select(
+    return agg.select(
         "client", "rd", age.alias("months_since_report"), "foreign_mortgages", "foreign_cash_loans", "foreign_credits",
         "foreign_good_credits", "foreign_balance", S.ratio("_ac", "_c").alias("active_cash_share"),
         S.ratio("_aa", "_n").alias("active_share"), S.ratio("_oc", "_ac").alias("own_cash_share"),
@@ -303,7 +303,7 @@ def credit_bureau_mart(panel: DataFrame, reports: DataFrame, requests: DataFrame
         (F.col("foreign_balance") - own_sum).alias("balance_difference"),
         S.ratio("foreign_balance", own_sum).alias("balance_ratio"),
         F.when(age > 3, F.lit(float(NO_RECENT_REPORT))).otherwise(F.col("queries_3m") / (4 - age)).alias("queries_per_month"),
-        "queries_3m", "queries_1m", "queries_at_application"))
+        "queries_3m", "queries_1m", "queries_at_application")
 
 
 def transfers_by_bank(transactions: DataFrame) -> DataFrame:

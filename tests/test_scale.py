@@ -208,3 +208,23 @@ def test_excess_payments_stand_on_one_line_per_contract_and_client(spark):
             (2, d(2024, 6, 30), 10, None, 0, None, 0, None, 3, 1), (3, d(2024, 6, 30), None, 0.0, 1, 0.5, 1, 0.5, None, None),
             (4, None, 11, 0.0, 0, 0.0, 0, 0.0, None, None)]
     assert rows(out) == sorted(want, key=lambda r: tuple((v is None, str(v)) for v in r))
+
+
+def test_bureau_requests_and_credits_meet_a_report_once(spark):
+    from datetime import date as d
+
+    from panelkit.operators import marts as M
+
+    panel = spark.createDataFrame([(1, d(2024, 6, 30), d(2024, 2, 1), 10.0), (1, d(2024, 6, 30), d(2024, 3, 1), 5.0), (2, d(2024, 6, 30), None, 1.0),
+                                   (None, d(2024, 6, 30), d(2024, 2, 1), 1.0)], "client long, rd date, start date, balance double")
+    reports = spark.createDataFrame([(1, 7, d(2024, 5, 31)), (1, 6, d(2024, 4, 30)), (1, 8, d(2024, 6, 30)), (2, 9, d(2024, 5, 31)), (None, 5, d(2024, 1, 1))],
+                                    "client long, report long, created date")
+    asked = spark.createDataFrame([(7, d(2024, 6, 1), 1), (7, d(2024, 6, 1), 1), (7, d(2024, 2, 20), 1), (7, d(2024, 6, 2), 2), (6, d(2024, 6, 1), 1),
+                                   (9, None, 1)], "report long, day date, reason int")
+    credit = (d(2024, 1, 1), None, 12, 2, 0, 30, 4.0, 1)
+    credits = spark.createDataFrame([(7, *credit), (7, *credit), (9, *credit), (6, *credit)],
+                                    "report long, opened date, closed date, months int, credit_type int, own int, dpd int, balance double, relationship int")
+    out = M.credit_bureau_mart(panel, reports, asked, credits)
+    assert _dealt(out) <= 7 and "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
+    got = {tuple(r) for r in out.select("client", "foreign_credits", "foreign_balance", "queries_3m", "queries_1m", "queries_at_application").collect()}
+    assert got == {(1, 2, 8.0, 2, 2, 1), (2, 1, 4.0, 0, 0, None)}
