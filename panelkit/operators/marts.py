@@ -184,8 +184,9 @@ def best_applications(applications: DataFrame, risk: DataFrame, segments: DataFr
                          (status.isNull() | (status == "ClientRejected"), F.lit(2)),
                          (status == "BankRejected", F.lit(3))], F.lit(4))
     rows = applications.withColumn("status", application_status()).withColumn("age", S.age_years("birth", as_of))
-    best = best_row(rows, ["client", "day"], [order, F.col("application")])
-    best = best.join(risk, "application", "left")
+    # the rows are structs, which Spark combines by sorting: they are dealt out before, so that no split is sorted whole
+    best = best_row(rows.repartition("client", "day"), ["client", "day"], [order, F.col("application")])
+    best = checkpoint(best.join(risk, "application", "left"))  # the interval join reads its facts several times
     return interval_join(best, segments, ["client"], "day", "valid_from", "valid_to", ["segment"])
 
 
@@ -199,21 +200,22 @@ def loan_application_mart(history: DataFrame, applications: DataFrame, risk: Dat
     if product is not None:
         applications = applications.where(F.col("product") == product).drop("product")
     best = checkpoint(best_applications(applications, risk, segments, as_of))
-    history = checkpoint(history)
-    panel = history.groupBy("client", "contract", "rd").agg(F.min("start").alias("start"), F.max("balance").alias("balance"))
+    # the history lies by contract and is collapsed there before it is written
+    panel = checkpoint(history.groupBy("client", "contract", "rd").agg(
+        F.min("start").alias("start"), F.max("balance").alias("balance"),
+        F.max(F.months_between("planned_end", "start")).alias("_tenor")))
     per_month = savings.groupBy("client", F.col("month").alias("rd")).agg(F.max("savings").alias("savings"))
-    panel = panel.join(per_month, ["client", "rd"], "left")
-    opened = history.groupBy("contract", "client").agg(
-        F.min("start").alias("start"), F.max(F.months_between("planned_end", "start")).alias("tenor_months"))
+    opened = panel.groupBy("contract", "client").agg(F.min("start").alias("start"), F.max("_tenor").alias("tenor_months"))
     near = L.Span(F.add_months("start", -1), F.add_months("start", 1),
                   lambda day: F.abs(F.months_between(day, F.col("start"))) < 1)
-    opened = L.lookback_agg(opened, savings, ["client"], "start", "month", {"": near},
-                            {"savings_at_start": L.Measure("max", F.col("savings"), 0)})
-    first = opened.join(best.where(F.col("contract").isNotNull()).drop("status", "rejection"), ["contract", "client"])
+    # only contracts that an application opened need their savings
+    applied = best.where(F.col("contract").isNotNull()).drop("status", "rejection")
+    first = L.lookback_agg(opened.join(applied, ["contract", "client"]), savings, ["client"], "start", "month", {"": near},
+                           {"savings_at_start": L.Measure("max", F.col("savings"), 0)})
     dates = panel.groupBy("client", "rd", "start").agg(F.count(F.lit(1)).alias("_n"))
     log = best.select("client", "day", "risk", "income", "marital", "own", "status")
     recent = _recent_applications(dates, log)
-    out = panel.join(recent, ["client", "rd"], "left").join(
+    out = panel.join(per_month, ["client", "rd"], "left").join(recent, ["client", "rd"], "left").join(
         first.select("contract", "client", F.col("risk").alias("risk_at_start"), F.col("income").alias("income_at_start"),
                      F.col("marital").alias("marital_at_start"), "age", "education", "income_type", "segment",
                      F.col("day").alias("_applied"), "tenor_months", "savings_at_start"), ["contract", "client"], "left")

@@ -106,7 +106,8 @@ def other_contracts(t: Tables) -> DataFrame:
 
 def priority_history(t: Tables) -> DataFrame:
     """Priority of a client valid from an order day to the day before the next order day."""
-    per_day = (order_log(t).groupBy("client", "day")
+    # texts are combined by sorting: the orders are dealt out before, so that no split is sorted whole
+    per_day = (order_log(t).repartition("client", "day").groupBy("client", "day")
                .agg(F.min_by("priority", "contract").alias("priority")))
     after = windows.lead_label(per_day, "day", ["client"], ["day"], [1], "next_day")
     return after.select("client", "priority", F.col("day").alias("valid_from"),

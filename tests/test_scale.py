@@ -228,3 +228,21 @@ def test_bureau_requests_and_credits_meet_a_report_once(spark):
     assert _dealt(out) <= 7 and "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
     got = {tuple(r) for r in out.select("client", "foreign_credits", "foreign_balance", "queries_3m", "queries_1m", "queries_at_application").collect()}
     assert got == {(1, 2, 8.0, 2, 2, 1), (2, 1, 4.0, 0, 0, None)}
+
+
+def test_best_applications_are_dealt_out_before_they_are_sorted(spark, monkeypatch):
+    from datetime import date as d
+
+    from panelkit.operators import marts as M
+
+    apps = spark.createDataFrame([(1, 5, d(2024, 1, 1), None, "Bank", d(1990, 1, 1)), (2, 5, d(2024, 1, 1), 2, "", d(1990, 1, 1))],
+                                 "application long, client long, day date, contract long, rejection string, birth date")
+    risk = spark.createDataFrame([(1, 1), (2, 3)], "application long, risk int")
+    spans = spark.createDataFrame([(5, d(2023, 1, 1), None, "a")], "client long, valid_from date, valid_to date, segment string")
+    plans, write = [], M.checkpoint
+    monkeypatch.setattr(M, "checkpoint", lambda df: plans.append(df._jdf.queryExecution().executedPlan().toString()) or write(df))
+    out = M.best_applications(apps, risk, spans, F.lit("2024-06-01").cast("date"))
+    assert [(r["application"], r["risk"], r["segment"]) for r in out.collect()] == [(2, 3, "a")]
+    # the facts of the interval join are written, and no split is sorted before the rows are dealt out
+    assert len(plans) == 1 and plans[0].index("SortAggregate") < plans[0].index("Exchange hashpartitioning(client")
+    assert "SortAggregate" not in plans[0][plans[0].index("Exchange hashpartitioning(client"):].split("\n:")[0]
