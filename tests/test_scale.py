@@ -246,3 +246,13 @@ def test_best_applications_are_dealt_out_before_they_are_sorted(spark, monkeypat
     # the facts of the interval join are written, and no split is sorted before the rows are dealt out
     assert len(plans) == 1 and plans[0].index("SortAggregate") < plans[0].index("Exchange hashpartitioning(client")
     assert "SortAggregate" not in plans[0][plans[0].index("Exchange hashpartitioning(client"):].split("\n:")[0]
+
+
+def test_blocks_of_the_model_input_are_joined_once(spark):
+    from panelkit.operators import marts as M
+
+    label = spark.createDataFrame([(1, "t", "a"), (2, "t", "a"), (3, "u", "a")], "id int, tag string, rd string")
+    block = spark.createDataFrame([(1, 4.0, 1), (1, 2.0, 9)], "id int, age double, n int")
+    out = M.model_input(label, {"b": block}, "id", "t", zero=["n"], impute=["age"], by="rd")
+    assert _dealt(out) == 0
+    assert rows(out.select("id", "age", "n")) == [(1, 2.0, 9), (2, 2.0, 0)]
