@@ -285,7 +285,8 @@ def credit_bureau_mart(panel: DataFrame, reports: DataFrame, requests: DataFrame
     rows = latest.join(per_end.unionByName(asked, allowMissingColumns=True), "report")
     live = F.col("_end") > F.col("rd")
     asked_in = lambda span: F.sum(F.when(span.contains(F.col("_asked")), F.col("_queries")).otherwise(0))
-    active = lambda c: F.sum(F.when(live, F.col(c)).otherwise(0))
+    # a request adds nothing to the sums of credits, not even zero: a sum of unknown balances stays unknown
+    active = lambda c: F.sum(F.when(F.col("_all").isNotNull(), F.when(live, F.col(c)).otherwise(0)))
     agg = rows.groupBy("client", "rd", "report", "created", "start", "balance").agg(
         active("_mortgage").alias("foreign_mortgages"), active("_f_cash").alias("foreign_cash_loans"),
         active("_f").alias("foreign_credits"), active("_f_good").alias("foreign_good_credits"),

@@ -220,14 +220,14 @@ def test_bureau_requests_and_credits_meet_a_report_once(spark):
     reports = spark.createDataFrame([(1, 7, d(2024, 5, 31)), (1, 6, d(2024, 4, 30)), (1, 8, d(2024, 6, 30)), (2, 9, d(2024, 5, 31)), (None, 5, d(2024, 1, 1))],
                                     "client long, report long, created date")
     asked = spark.createDataFrame([(7, d(2024, 6, 1), 1), (7, d(2024, 6, 1), 1), (7, d(2024, 2, 20), 1), (7, d(2024, 6, 2), 2), (6, d(2024, 6, 1), 1),
-                                   (9, None, 1)], "report long, day date, reason int")
+                                   (9, None, 1), (9, d(2024, 6, 3), 1)], "report long, day date, reason int")
     credit = (d(2024, 1, 1), None, 12, 2, 0, 30, 4.0, 1)
-    credits = spark.createDataFrame([(7, *credit), (7, *credit), (9, *credit), (6, *credit)],
+    credits = spark.createDataFrame([(7, *credit), (7, *credit), (9, *credit[:-2], None, 1), (6, *credit)],
                                     "report long, opened date, closed date, months int, credit_type int, own int, dpd int, balance double, relationship int")
     out = M.credit_bureau_mart(panel, reports, asked, credits)
     assert _dealt(out) <= 7 and "FileScan" not in out._jdf.queryExecution().executedPlan().toString()
     got = {tuple(r) for r in out.select("client", "foreign_credits", "foreign_balance", "queries_3m", "queries_1m", "queries_at_application").collect()}
-    assert got == {(1, 2, 8.0, 2, 2, 1), (2, 1, 4.0, 0, 0, None)}
+    assert got == {(1, 2, 8.0, 2, 2, 1), (2, 1, None, 1, 1, None)}
 
 
 def test_best_applications_are_dealt_out_before_they_are_sorted(spark, monkeypatch):
