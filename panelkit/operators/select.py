@@ -102,10 +102,14 @@ REG_GRID = [0.0, 0.025, 0.5, 0.1, 0.2, 0.4]
 
 def nonzero_coefficients(df: DataFrame, target: str, cols: list[str], grid: list[float] = REG_GRID, folds: int = 3,
                          elastic_net: float = 1.0, seed: int = 7) -> list[str]:
-    """Columns with a non-zero coefficient after a cross-validated penalised fit."""
+    """Columns with a non-zero coefficient after a cross-validated penalised fit.
+
+    The models are fitted one after another: PySpark hands all threads of a validator the same local properties, and one
+    that clears its execution's number fails another ("Cannot parse null string").
+    """
     rows = _complete(df.where(F.col(target).isNotNull()), cols).withColumnRenamed("_v", "features")
     model = LogisticRegression(labelCol=target, elasticNetParam=elastic_net)
     params = ParamGridBuilder().addGrid(model.regParam, grid).build()
-    best = CrossValidator(estimator=model, estimatorParamMaps=params, numFolds=folds, seed=seed, parallelism=4,
+    best = CrossValidator(estimator=model, estimatorParamMaps=params, numFolds=folds, seed=seed,
                           evaluator=BinaryClassificationEvaluator(labelCol=target)).fit(rows).bestModel
     return [c for c, w in zip(cols, best.coefficients.toArray()) if w != 0.0]

@@ -274,3 +274,12 @@ def test_boosting_queries_use_the_default_rounds(spark, monkeypatch, name):
     monkeypatch.setattr(operators, "tree_fit", fit)
     with pytest.raises(Called, match="^100$"):
         registry.QUERIES[name](spark, "/root/testdata/sf0.001")
+
+
+def test_penalised_fits_share_no_threads(spark, monkeypatch):
+    seen = []
+    plain = select.CrossValidator
+    monkeypatch.setattr(select, "CrossValidator", lambda **options: seen.append(options.get("parallelism", 1)) or plain(**options))
+    df = spark.createDataFrame([(float(i), i % 2) for i in range(40)], "a double, y int")
+    select.nonzero_coefficients(df, "y", ["a"], grid=[0.0], folds=2)
+    assert seen == [1]
