@@ -11,7 +11,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from panelkit.llm.common import WORD_BREAKS, components, mix, parts_for, runs, signed, sized, slices, words, written
+from panelkit.llm.common import WORD_BREAKS, components, give_back, lean, mix, parts_for, runs, signed, sized, slices, words, written
 
 #: Words of a shingle, and the smallest similarity of linked sets in hundredths.
 SHINGLE = 5
@@ -63,6 +63,7 @@ def _meetings(n: Column, percent: int) -> Column:
     return F.lit(1) + F.floor(n * F.lit(percent) / F.lit(1000))
 
 
+@lean
 def _name_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         size, name = [], []
@@ -110,6 +111,7 @@ def _unique_pairs(pair: np.ndarray) -> np.ndarray:
 
 
 def _entries(parts: int, percent: int):
+    @lean
     def emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, count = [], 0
         for batch in batches:
@@ -147,10 +149,14 @@ def _count_shared(table: pa.Table) -> pa.Table:
         ids, n = np.unique(sig[same], return_counts=True)
     else:
         ids, n = cols["ids"][:0], np.zeros(0, np.int64)
-    return pa.table({"sig": signed(np.concatenate([ids, cols["ids"]])),
-                     "shared": np.concatenate([n.astype(np.int64), cols["counts"].view(np.int64)])})
+    out = pa.table({"sig": signed(np.concatenate([ids, cols["ids"]])),
+                    "shared": np.concatenate([n.astype(np.int64), cols["counts"].view(np.int64)])})
+    del cols
+    give_back()
+    return out
 
 
+@lean
 def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for a, b, raw, at in slices(batch.column(2)):
@@ -159,6 +165,7 @@ def _elements(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                               pa.array(sets, pa.binary())], ["sig", "n", "elems"])
 
 
+@lean
 def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seeds = mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64))
     for batch in batches:
@@ -175,6 +182,7 @@ def _band_keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _linked(percent: int):
+    @lean
     def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             good = []
@@ -195,6 +203,7 @@ def verified(pairs: DataFrame, sets: DataFrame, percent: int = PERCENT) -> DataF
 
 
 def _explode(head_only: bool, percent: int):
+    @lean
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             held = [np.frombuffer(e.as_buffer(), np.uint64) for e in batch.column(3)]

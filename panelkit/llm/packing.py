@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 import unicodedata
 import zlib
@@ -13,12 +14,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import WORD_TABLES, parts_for, written
+from panelkit.llm.common import WORD_TABLES, give_back, lean, parts_for, written
 
 #: Pieces packed together by one task.
 GROUP_PIECES = 16_384
-#: Words a worker process remembers the ids of.
-CACHE_WORDS = 500_000
+#: Words a worker process remembers the ids of, and one of how many of them parts of words.
+CACHE_WORDS, PARTS_SHARE = 500_000, 4
 #: Characters of one text cut into words at a time.
 STEP_CHARS = 1 << 20
 #: Texts whose new words are learnt together.
@@ -95,6 +96,8 @@ class WordIds:
         if len(self.known) > self.limit:
             self.known, self.parts = {"": b""}, {" ": _GAP}
         cut = [[t.replace("\n", " ").split(" ") for t in _steps(text)] for text in texts]
+        if len(self.parts) > self.limit // PARTS_SHARE:  # only words that are new ask for parts
+            self.parts = {" ": _GAP}
         new = set().union(*[ws for steps in cut for ws in steps]).difference(self.known)
         if new:
             self.learn(list(new))
@@ -107,6 +110,7 @@ def shared_words(path: str) -> WordIds:
     It hangs on the tokenizer library because the functions of this package come anew with every task. A worker
     that turns to another operator of this package gives it back.
     """
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"  # a task has one core; threads of the tokenizer keep memory of their own
     import tokenizers
 
     held = tokenizers.__dict__.setdefault(WORD_TABLES, {})
@@ -131,6 +135,7 @@ def _steps(text: str) -> Iterator[str]:
 
 
 def _cut(path: str, length: int, end_id: int):
+    @lean
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = shared_words(path)
         end = np.uint32(end_id).tobytes()
@@ -147,6 +152,7 @@ def _cut(path: str, length: int, end_id: int):
             yield pa.RecordBatch.from_arrays([doc.take(pa.array(rows)), pa.array(k.astype(np.int32)), pa.array(at),
                                               pa.array(n), pa.array(crc)],
                                              ["doc_id", "piece", "start", "length", "ids_crc32"])
+            give_back()
 
     return pieces
 

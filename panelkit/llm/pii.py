@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import text_bytes
+from panelkit.llm.common import lean, slices
 from panelkit.llm.neural import Adam, sigmoid, tanh
 
 KINDS = ("email", "ip", "card", "phone")
@@ -409,9 +409,11 @@ def masked(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 def _search(p: dict, column: pa.Array) -> Iterator[tuple[int, str, list, list]]:
     """Row, text, fixed spans and all spans of each text of a column that may hold any."""
-    raw, at = text_bytes(column)
-    hits = np.flatnonzero(((raw >= 48) & (raw <= 57)) | (raw == 64))
-    having = np.flatnonzero(np.diff(np.searchsorted(hits, at)) > 0)
+    having = [np.zeros(0, np.int64)]
+    for a, _, raw, at in slices(column):
+        hits = np.flatnonzero(((raw >= 48) & (raw <= 57)) | (raw == 64))
+        having.append(a + np.flatnonzero(np.diff(np.searchsorted(hits, at)) > 0))
+    having = np.concatenate(having)
     for a in range(0, len(having), 64):
         rows = having[a:a + 64].tolist()
         texts = [column[i].as_py() for i in rows]
@@ -421,6 +423,7 @@ def _search(p: dict, column: pa.Array) -> Iterator[tuple[int, str, list, list]]:
 
 
 def _find(model):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = batch.num_rows
@@ -459,6 +462,7 @@ def mask(docs: DataFrame, model: dict[str, np.ndarray]) -> DataFrame:
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = {i: masked(text, whole) for i, text, _, whole in _search(shared.value, batch.column(at)) if whole}

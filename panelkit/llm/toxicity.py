@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from panelkit.llm.common import Words, mix, slices, words
+from panelkit.llm.common import Words, lean, mix, slices, words
 from panelkit.llm.neural import Adam, sigmoid, tanh
 
 #: Words of a window and words between window starts.
@@ -308,6 +308,7 @@ def _text_scores(p: dict, column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.
 
 
 def _score(model):
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             scores, counts, tops = _text_scores(model.value, batch.column(1))
@@ -338,6 +339,7 @@ def keep_clean(docs: DataFrame, model: dict[str, np.ndarray], threshold: float =
     shared = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index("text")
 
+    @lean
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             yield batch.filter(pa.array(_text_scores(shared.value, batch.column(at))[0] < threshold))

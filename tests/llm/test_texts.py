@@ -356,3 +356,27 @@ def test_toxicity(spark, odd):
     assert toxicity.score(docs.where("false"), model).count() == 0
     flat = toxicity.fit(docs, known.where("toxic = 0"))  # one class only: its share for every text
     assert len({r["score"] for r in toxicity.score(docs, flat).collect()}) == 1
+
+
+def test_worker_memory_stays_bounded():
+    """Digits are looked for a megabyte at a time, and parts of words are forgotten before the words are."""
+    import tracemalloc
+
+    from tokenizers import Tokenizer
+
+    from panelkit.llm import packing
+    from panelkit.llm.queries import tokenizer_path
+
+    texts = pa.array(["plain words " * 300] * 8_000 + ["call 5"], pa.string())  # 29 MB
+    tracemalloc.start()
+    found = [(i, t) for i, t, _, _ in pii._search(pii.fresh(), texts)]
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found == [(8_000, "call 5")] and most < 16 << 20
+
+    words = packing.WordIds(tokenizer_path(), limit=400)
+    plain = Tokenizer.from_file(tokenizer_path())
+    for i in range(20):
+        text = " ".join(f"w{chr(97 + i)}{chr(97 + j)}x{j}" for j in range(12))
+        assert words.of([text]) == [np.asarray(plain.encode(text, add_special_tokens=False).ids, "<u4").tobytes()]
+    assert len(words.known) > 200 and len(words.parts) < 200
