@@ -298,6 +298,8 @@ def leaf_id(model: PipelineModel, df: DataFrame, segment: Column) -> DataFrame:
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KNN_BLOCK = 2048
+#: Blocks a task holds, rows of a slice that asks it, rows of a tile of products.
+KNN_HELD, KNN_SLICE, KNN_TILE = 8, 1 << 16, 512
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -338,62 +340,180 @@ def _neighbours_of_blocks(k: int, skip_self: bool, columns: list[str]):
     return run
 
 
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.array(vectors.tolist(), dtype=float).reshape(len(vectors), -1)
+
+
+def _closest(asking: np.ndarray, own: np.ndarray, bound: np.ndarray, held: np.ndarray, ids: np.ndarray, columns: np.ndarray,
+             k: int, skip_self: bool, have: np.ndarray | None = None) -> np.ndarray:
+    """The ``k`` nearest of the held rows ``columns`` (and of those found before) for each asking row, none beyond ``bound``.
+
+    Returns rows (asking row, held row, distance) in the order of asking row, distance and held row. Tiles of products
+    tell which pairs may be near enough, within a margin for their rounding; only those get exact distances.
+    """
+    found = [np.zeros((0, 3)) if have is None else have]
+    width = held.shape[1]
+    squares, norms = (asking ** 2).sum(axis=1), (held ** 2).sum(axis=1)
+    margin = 8 * (width + 8) * np.finfo(float).eps
+    for a in range(0, len(asking), KNN_TILE):
+        rows = np.arange(a, min(a + KNN_TILE, len(asking)))
+        mine, limit = [], bound[rows]
+        for b in range(0, len(columns), 4 * KNN_TILE):
+            cols = columns[b:b + 4 * KNN_TILE]
+            product = asking[rows] @ held[cols].T
+            product *= -2
+            product += norms[cols]  # the squared distance but for the asking row's own square
+            off = margin * (squares[rows] + norms[cols].max())
+            if k <= product.shape[1] - skip_self and np.isinf(limit).any():  # no bound yet: the tile's own k-th distance is one
+                seen = np.where(own[rows][:, None] == ids[cols], np.inf, product) if skip_self else product
+                kth = np.partition(seen, k - 1, axis=1)[:, k - 1] + squares[rows] + off
+                limit = np.fmin(limit, np.sqrt(np.maximum(kth, 0)) + 1e-9)
+            at, near = np.nonzero(product <= ((limit + 1e-9) ** 2 - squares[rows] + off)[:, None])
+            for c in range(0, len(at), 1 << 16):
+                i, j = rows[at[c:c + (1 << 16)]], cols[near[c:c + (1 << 16)]]
+                d = np.round(np.sqrt(((asking[i] - held[j]) ** 2).sum(axis=1)), 9)
+                good = np.isfinite(d) & (d <= bound[i] + 1e-9)
+                if skip_self:
+                    good &= own[i] != ids[j]
+                mine.append(np.stack([i[good], j[good], d[good]], axis=1))
+                if len(mine) > 1 and sum(map(len, mine)) > 1 << 18:
+                    mine = [_first_of(np.concatenate(mine), k)]
+        if mine:
+            found.append(_first_of(np.concatenate(mine), k))
+    return _first_of(np.concatenate(found), k)
+
+
+def _first_of(found: np.ndarray, k: int) -> np.ndarray:
+    """The first ``k`` rows of each asking row by distance and held row."""
+    found = found[np.lexsort((found[:, 1], found[:, 2], found[:, 0]))]
+    first = np.append(True, found[1:, 0] != found[:-1, 0])[:len(found)]
+    start = np.maximum.accumulate(np.where(first, np.arange(len(found)), 0)) if len(found) else np.zeros(0, int)
+    return found[np.arange(len(found)) - start < k]
+
+
+def _places(batches: Iterator[pd.DataFrame]) -> Iterator[tuple[pd.DataFrame, pd.DataFrame]]:
+    """Batches sorted by place and role (0 training, 1 asking): the training rows of a place by id, with the rows that ask."""
+    at, held, have = None, [], None
+    for batch in batches:
+        for place, part in batch.groupby("place", sort=False):
+            if place != at:
+                at, held, have = place, [], None
+            if (part["role"] == 0).any():
+                held.append(part[part["role"] == 0])
+                have = None
+            want = part[part["role"] == 1]
+            if len(want):
+                if have is None:
+                    have = pd.concat(held).sort_values("id", ignore_index=True) if held else part[:0]
+                yield have, want
+
+
+def _bounds(k: int, skip_self: bool):
+    """Each asking row of a place with the distance of its ``k``-th nearest there, infinite where there are fewer."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for have, want in _places(batches):
+            bound = np.full(len(want), np.inf)
+            if len(have):
+                best = _closest(_matrix(want["v"]), want["id"].to_numpy(), bound, _matrix(have["v"]), have["id"].to_numpy(),
+                                np.arange(len(have)), k, skip_self)
+                rows, count = np.unique(best[:, 0].astype(int), return_counts=True)
+                full = rows[count >= k]
+                bound[full] = best[np.append(best[1:, 0] != best[:-1, 0], True)[:len(best)], 2][count >= k]
+            yield pd.DataFrame({"id": want["id"], "v": want["v"], "bound": bound})
+
+    return run
+
+
+def _within(k: int, skip_self: bool, centres: np.ndarray, radius: np.ndarray, columns: list[str]):
+    """The ``k`` best training rows of a place for each asking row, cell by cell, none beyond the row's bound."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for have, want in _places(batches):
+            if not len(have):
+                continue
+            x, held, ids, own = _matrix(want["v"]), _matrix(have["v"]), have["id"].to_numpy(), want["id"].to_numpy()
+            bound, cells = want["bound"].to_numpy().copy(), have["cell"].to_numpy().astype(int)
+            best = np.zeros((0, 3))
+            for c in np.unique(cells):
+                rows = np.flatnonzero(_distances(x, centres[c:c + 1])[:, 0] - radius[c] <= bound + 1e-9)
+                part = _closest(x[rows], own[rows], bound[rows], held, ids, np.flatnonzero(cells == c), k, skip_self)
+                part[:, 0] = rows[part[:, 0].astype(int)]
+                best = _first_of(np.concatenate([best, part]), k)
+                asked, count = np.unique(best[:, 0].astype(int), return_counts=True)
+                last = best[np.append(best[1:, 0] != best[:-1, 0], True)[:len(best)], 2]
+                bound[asked[count >= k]] = np.fmin(bound[asked[count >= k]], last[count >= k])
+            i, j = best[:, 0].astype(int), best[:, 1].astype(int)
+            yield pd.DataFrame(dict(zip(columns, (own[i], ids[j], best[:, 2], have["label"].to_numpy()[j]))))
+
+    return run
+
+
 def knn(train: DataFrame, test: DataFrame, key: str, features: str, label: str, k: int = 5,
-        block: int = KNN_BLOCK, skip_self: bool = True) -> DataFrame:
+        block: int = KNN_BLOCK, skip_self: bool = True, held: int = KNN_HELD) -> DataFrame:
     """The exact ``k`` nearest training rows of every test row as (key, neighbour, distance, label).
 
-    Training rows are assigned to the nearest of a few pivots. The pivot distances bound how far the
-    k-th neighbour can be, and cells beyond that bound are skipped. Cells are cut into blocks of about
-    ``block`` rows; a task holds one block while the rows that ask pass by in batches. The pivots grow with the
-    root of the rows. Exact search stays super-linear in many dimensions, where cells exclude little.
+    Training rows are assigned to the nearest of a few pivots; the pivots grow with the root of the rows. Cells are cut
+    into blocks of about ``block`` rows, and a task holds ``held`` blocks while a slice of the rows that ask passes by in
+    batches. A row first asks one place of its nearest cell; that k-th distance then bounds which cells it still asks
+    and which rows it gets back. Exact search stays quadratic in many dimensions, where cells exclude little: the copies
+    of a row that asks are one for each ``held`` blocks, and a pair costs one product of vectors.
     """
-    need = k + 1 if skip_self else k
-    n_train = train.count()
+    spark, kinds = train.sparkSession, dict(train.dtypes)
+    n_train, n_test = train.count(), test.count()
     pivots = max(1, math.isqrt(n_train // max(1, block // 16)))
     centres = np.array([r[features] for r in cap_sample(train, pivots, key).orderBy(key).collect()], dtype=float)
+    if not len(centres):
+        return spark.createDataFrame([], f"{key} {kinds[key]}, neighbour {kinds[key]}, distance double, neighbour_label {kinds[label]}")
 
     @F.pandas_udf("struct<cell:int,gap:double>")
     def nearest(v: pd.Series) -> pd.DataFrame:
-        d = _distances(np.array(v.tolist(), dtype=float), centres)
+        d = _distances(_matrix(v), centres)
         cell = d.argmin(axis=1)
         return pd.DataFrame({"cell": cell.astype("int32"), "gap": d[np.arange(len(d)), cell]})
 
-    placed = (train.select(key, features, label).withColumn("_n", nearest(F.col(features)))
-              .select(key, features, label, F.col("_n.cell").alias("cell"), F.col("_n.gap").alias("gap"))
-              .withColumn("part", F.pmod(F.xxhash64(key), F.lit(max(1, -(-n_train // block)))).cast("int")))
-    local = W.partitionBy("cell", "part").orderBy("gap", key)
-    near = placed.select("cell", "part", "gap", key).withColumn("_r", F.row_number().over(local)).where(F.col("_r") <= need)
-    across = W.partitionBy("cell").orderBy("gap", key)
-    shape = {r["cell"]: r for r in placed.groupBy("cell").agg(
-        F.max("gap").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}  # one row per pivot
-    firsts = (near.withColumn("_r", F.row_number().over(across)).where(F.col("_r") <= need)
-              .groupBy("cell").agg(F.sort_array(F.collect_list("gap")).alias("gaps")).collect())
-    cells = np.array(sorted(shape), dtype=int)
-    radius = np.array([shape[c]["radius"] for c in cells])
-    gaps = {r["cell"]: np.array(r["gaps"]) for r in firsts}
-    blocks = {int(c): max(1, -(-shape[c]["n"] // block)) for c in cells}
+    def celled(df: DataFrame, *cols: Column) -> DataFrame:
+        rows = df.select(F.col(key).alias("id"), F.col(features).alias("v"), *cols).withColumn("_n", nearest(F.col("v")))
+        return rows.select("*", F.col("_n.cell").alias("cell"), F.col("_n.gap").alias("gap")).drop("_n")
+
+    given = checkpoint(celled(train, F.col(label).alias("label")))
+    shape = {r["cell"]: r for r in given.groupBy("cell").agg(F.max("gap").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
+    radius = np.full(len(centres), -np.inf)  # one row per pivot
+    blocks, first, total = {}, {}, 0
+    for c in sorted(shape):
+        radius[c] = shape[c]["radius"]
+        blocks[c], first[c] = max(1, -(-shape[c]["n"] // block)), total
+        total += blocks[c]
+    parts = {c: list(range(first[c] // held, (first[c] + blocks[c] - 1) // held + 1)) for c in shape}
+    table = lambda d: F.create_map(*[F.lit(x) for kv in d.items() for x in kv])
+    part = F.floor((table(first)[F.col("cell")] + F.pmod(F.xxhash64("id", "v"), table(blocks)[F.col("cell")])) / held).cast("int")
+    given = given.withColumn("part", part)
+    nothing = F.lit(None).cast(kinds[label])
+
+    def lined(have: DataFrame, want: DataFrame, count: int) -> DataFrame:
+        # the rows of a place come first and are held, its askers then pass by in batches: nothing is copied for them
+        both = have.withColumn("role", F.lit(0)).unionByName(want.withColumn("role", F.lit(1)), allowMissingColumns=True)
+        return both.repartition(count, "place").sortWithinPartitions("place", "role")
+
+    places = max(c[-1] for c in parts.values()) + 1
+    # first a place of the own cell: it may hold other cells too, which only makes the bound tighter
+    asked = celled(test).withColumn("place", part).drop("cell", "gap")
+    start = given.select("id", "v", F.col("part").alias("place"))
+    bounds = checkpoint(lined(start, asked, places).mapInPandas(
+        _bounds(k, skip_self), f"id {kinds[key]}, v {dict(test.dtypes)[features]}, bound double"))
 
     @F.pandas_udf("array<int>")
-    def reachable(v: pd.Series) -> pd.Series:
-        d = _distances(np.array(v.tolist(), dtype=float), centres[cells])
-        out = []
-        for row in d:
-            reach = np.sort(np.concatenate([row[i] + gaps[c] for i, c in enumerate(cells)]))
-            bound = reach[min(need, len(reach)) - 1] + 1e-9
-            out.append([int(c) for c, lo in zip(cells, row - radius) if lo <= bound])
-        return pd.Series(out)
-
-    count_of = F.create_map(*[F.lit(x) for kv in blocks.items() for x in kv])
-    asked = (test.select(F.col(key).alias("id"), F.col(features).alias("v"), F.lit(None).cast(dict(train.dtypes)[label]).alias("label"))
-             .withColumn("cell", F.explode(reachable(F.col("v"))))
-             .withColumn("block", F.explode(F.sequence(F.lit(0), count_of[F.col("cell")] - 1))).withColumn("role", F.lit(1)))
-    given = (placed.select(F.col(key).alias("id"), F.col(features).alias("v"), F.col(label).alias("label"), "cell",
-                           F.pmod(F.xxhash64(key), count_of[F.col("cell")]).cast("int").alias("block"), F.lit(0).alias("role")))
-    key_type, label_type = dict(train.dtypes)[key], dict(train.dtypes)[label]
-    # the rows of a block come first and are held, its askers then pass by in batches: nothing is copied for them
-    lined = given.unionByName(asked).repartition("cell", "block").sortWithinPartitions("cell", "block", "role")
-    near_rows = lined.mapInPandas(_neighbours_of_blocks(k, skip_self, [key, "neighbour", "distance", "neighbour_label"]),
-                                  f"{key} {key_type}, neighbour {key_type}, distance double, neighbour_label {label_type}")
+    def reachable(v: pd.Series, bound: pd.Series) -> pd.Series:
+        near = _distances(_matrix(v), centres) - radius <= bound.to_numpy()[:, None] + 1e-9
+        return pd.Series([sorted({p for c in np.flatnonzero(row) for p in parts.get(int(c), ())}) for row in near])
+
+    slices = max(1, -(-n_test // KNN_SLICE))
+    asked = (bounds.withColumn("_part", F.explode(reachable("v", "bound")))
+             .select("id", "v", "bound", (F.col("_part") * slices + F.pmod(F.xxhash64("id", "v"), F.lit(slices))).cast("int").alias("place")))
+    dealt = given.select("id", "v", "label", "cell", F.explode(F.sequence(F.col("part") * slices, F.col("part") * slices + slices - 1)).alias("place"))
+    near_rows = lined(dealt, asked.withColumn("label", nothing), places * slices).mapInPandas(
+        _within(k, skip_self, centres, radius, [key, "neighbour", "distance", "neighbour_label"]),
+        f"{key} {kinds[key]}, neighbour {kinds[key]}, distance double, neighbour_label {kinds[label]}")
     rank = W.partitionBy(key).orderBy("distance", "neighbour")
     return near_rows.withColumn("_r", F.row_number().over(rank)).where(F.col("_r") <= k).drop("_r")
 

@@ -129,6 +129,30 @@ def test_neighbours_against_brute_force(spark, skip_self):
     assert sorted(map(tuple, got.select("id", "neighbour").collect())) == want
 
 
+def test_neighbours_over_many_places(spark):
+    rng = np.random.default_rng(6)
+    x = np.concatenate([rng.normal(size=(300, 6)), rng.normal(size=(200, 6)) * 1e-3 + 9, np.zeros((60, 6)), [[1e6] * 6]])
+    df = spark.createDataFrame([(i, v.tolist(), int(i % 3)) for i, v in enumerate(x)], "id int, v array<double>, y int")
+    got = models.knn(df, df, "id", "v", "y", 4, block=16, held=2).collect()
+    d = np.round(np.sqrt(((x[:, None] - x[None]) ** 2).sum(axis=2)), 9)
+    np.fill_diagonal(d, np.inf)
+    want = {(i, int(j), d[i, j], int(j % 3)) for i in range(len(x)) for j in np.lexsort((np.arange(len(x)), d[i]))[:4]}
+    assert len(got) == 4 * len(x) and set(map(tuple, got)) == want
+    assert models.knn(df.where("false"), df, "id", "v", "y").count() == 0
+
+
+def test_neighbours_get_few_exact_distances(monkeypatch):
+    x = np.random.default_rng(7).normal(size=(4_000, 64))
+    counted, ids = [], np.arange(len(x))
+    first = models._first_of
+    monkeypatch.setattr(models, "_first_of", lambda found, k: counted.append(len(found)) or first(found, k))
+    best = models._closest(x[:500], ids[:500], np.full(500, np.inf), x, ids, ids, 5, True)
+    d = np.round(np.sqrt(((x[:500, None] - x[None]) ** 2).sum(axis=2)), 9)
+    d[ids[:500], ids[:500]] = np.inf
+    assert best[:, 1].astype(int).reshape(500, 5).tolist() == np.argsort(d, axis=1, kind="stable")[:, :5].tolist()
+    assert sum(counted) < 500 * 4_000 // 20
+
+
 def test_histogram_fit_and_density(spark):
     df = spark.createDataFrame([(float(v),) for v in [0, 1, 1, 2, 4]], "x double")
     hist = rows(stats.histogram(df, "x", 4).select("bin", "n", "midpoint", "density"))
