@@ -299,7 +299,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 KNN_BLOCK = 2048
 #: Blocks a task holds, rows of a slice that asks it, rows of a tile of products.
-KNN_HELD, KNN_SLICE, KNN_TILE = 8, 1 << 16, 512
+KNN_HELD, KNN_SLICE, KNN_TILE = 16, 1 << 16, 256
 
 
 def _distances(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -352,23 +352,26 @@ def _closest(asking: np.ndarray, own: np.ndarray, bound: np.ndarray, held: np.nd
     tell which pairs may be near enough, within a margin for their rounding; only those get exact distances.
     """
     found = [np.zeros((0, 3)) if have is None else have]
-    width = held.shape[1]
-    squares, norms = (asking ** 2).sum(axis=1), (held ** 2).sum(axis=1)
-    margin = 8 * (width + 8) * np.finfo(float).eps
+    held_x, width = held[columns], held.shape[1]
+    squares, norms = (asking ** 2).sum(axis=1), (held_x ** 2).sum(axis=1)
+    # short numbers are enough to leave pairs out, unless their squares would not fit
+    kind = np.float32 if max(squares.max(initial=0), norms.max(initial=0)) < 1e30 else np.float64
+    margin = 4 * (width + 8) * np.finfo(kind).eps
+    left = np.concatenate([asking, np.ones((len(asking), 1))], axis=1).astype(kind)
+    right = np.concatenate([-2 * held_x, norms[:, None]], axis=1).astype(kind).T
     for a in range(0, len(asking), KNN_TILE):
         rows = np.arange(a, min(a + KNN_TILE, len(asking)))
         mine, limit = [], bound[rows]
-        for b in range(0, len(columns), 4 * KNN_TILE):
-            cols = columns[b:b + 4 * KNN_TILE]
-            product = asking[rows] @ held[cols].T
-            product *= -2
-            product += norms[cols]  # the squared distance but for the asking row's own square
-            off = margin * (squares[rows] + norms[cols].max())
+        for b in range(0, len(columns), 8 * KNN_TILE):
+            cols = columns[b:b + 8 * KNN_TILE]
+            product = left[rows] @ right[:, b:b + 8 * KNN_TILE]  # the squared distance but for the asking row's own square
+            off = margin * (squares[rows] + np.fmax.reduce(norms[b:b + 8 * KNN_TILE])) + 1e-30
             if k <= product.shape[1] - skip_self and np.isinf(limit).any():  # no bound yet: the tile's own k-th distance is one
                 seen = np.where(own[rows][:, None] == ids[cols], np.inf, product) if skip_self else product
                 kth = np.partition(seen, k - 1, axis=1)[:, k - 1] + squares[rows] + off
                 limit = np.fmin(limit, np.sqrt(np.maximum(kth, 0)) + 1e-9)
-            at, near = np.nonzero(product <= ((limit + 1e-9) ** 2 - squares[rows] + off)[:, None])
+            reach = np.minimum((limit + 1e-9) ** 2 - squares[rows] + off, np.finfo(kind).max).astype(kind)
+            at, near = np.divmod(np.flatnonzero(product <= np.nextafter(reach, kind(np.inf))[:, None]), len(cols))
             for c in range(0, len(at), 1 << 16):
                 i, j = rows[at[c:c + (1 << 16)]], cols[near[c:c + (1 << 16)]]
                 d = np.round(np.sqrt(((asking[i] - held[j]) ** 2).sum(axis=1)), 9)
@@ -465,6 +468,8 @@ def knn(train: DataFrame, test: DataFrame, key: str, features: str, label: str,
     centres = np.array([r[features] for r in cap_sample(train, pivots, key).orderBy(key).collect()], dtype=float)
     if not len(centres):
         return spark.createDataFrame([], f"{key} {kinds[key]}, neighbour {kinds[key]}, distance double, neighbour_label {kinds[label]}")
+    finite = np.isfinite(centres).all(axis=1)  # rows with other components are nobody's neighbours, and no pivots
+    centres = centres[finite] if finite.any() else np.zeros((1, centres.shape[1]))
 
     @F.pandas_udf("struct<cell:int,gap:double>")
     def nearest(v: pd.Series) -> pd.DataFrame:
@@ -477,11 +482,11 @@ def knn(train: DataFrame, test: DataFrame, key: str, features: str, label: str,
         return rows.select("*", F.col("_n.cell").alias("cell"), F.col("_n.gap").alias("gap")).drop("_n")
 
     given = checkpoint(celled(train, F.col(label).alias("label")))
-    shape = {r["cell"]: r for r in given.groupBy("cell").agg(F.max("gap").alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
+    shape = {r["cell"]: r for r in given.groupBy("cell").agg(F.max(F.nanvl("gap", F.lit(None))).alias("radius"), F.count(F.lit(1)).alias("n")).collect()}
     radius = np.full(len(centres), -np.inf)  # one row per pivot
     blocks, first, total = {}, {}, 0
     for c in sorted(shape):
-        radius[c] = shape[c]["radius"]
+        radius[c] = -np.inf if shape[c]["radius"] is None else shape[c]["radius"]
         blocks[c], first[c] = max(1, -(-shape[c]["n"] // block)), total
         total += blocks[c]
     parts = {c: list(range(first[c] // held, (first[c] + blocks[c] - 1) // held + 1)) for c in shape}

@@ -141,6 +141,15 @@ def test_neighbours_over_many_places(spark):
     assert models.knn(df.where("false"), df, "id", "v", "y").count() == 0
 
 
+def test_neighbours_beside_a_row_without_place(spark):
+    x = np.random.default_rng(8).normal(size=(30, 3))
+    df = spark.createDataFrame([(i, v.tolist(), 1) for i, v in enumerate(x)] + [(-1, [float("nan")] * 3, 1)], "id int, v array<double>, y int")
+    got = models.knn(df, df, "id", "v", "y", 2, block=16)
+    d = ((x[:, None] - x[None]) ** 2).sum(axis=2)
+    np.fill_diagonal(d, np.inf)
+    assert sorted(map(tuple, got.select("id", "neighbour").collect())) == sorted((i, int(j)) for i in range(30) for j in np.argsort(d[i])[:2])
+
+
 def test_neighbours_get_few_exact_distances(monkeypatch):
     x = np.random.default_rng(7).normal(size=(4_000, 64))
     counted, ids = [], np.arange(len(x))
