@@ -329,6 +329,25 @@ def test_word_ids_of_every_latin_letter():
         assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
 
 
+def test_word_ids_are_learnt_by_part(monkeypatch):
+    """Words that differ in case or signs share their parts, a full table keeps the frequent ones, stretches cut no word."""
+    from tokenizers import Tokenizer
+
+    path = tokenizer_path()
+    tok, words = Tokenizer.from_file(path), packing.WordIds(path, limit=6)
+    words.of(["Alpha, beta. alpha\n(BETA) Éa, éa 12 don't"])
+    assert set(words.known) == {"", "alpha", "beta", "éa", ",", ".", "(", ")", "1", "2", "don't"}
+    words.of(["alpha gamma"])
+    assert set(words.known) == {"", "alpha", "gamma"}
+
+    monkeypatch.setattr(packing, "STEP_BYTES", 24)
+    rng = random.Random(1)
+    parts = [*"aAzÉ  \n\t09,.<|'×ǅİ漢\u0301", "<|endoftext|>", " the ", "don't", "''s's", "42nd", "Straße"]
+    texts = ["".join(rng.choices(parts, k=rng.choice([0, 1, 3, 9, 200]))) for _ in range(300)] + ["", " ", "\n\n", "a" * 60, "漢" * 30 + " b"]
+    for t, ids in zip(texts, words.of(texts), strict=True):
+        assert np.frombuffer(ids, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids, t
+
+
 def test_top_k(spark):
     rng = np.random.default_rng(1)
     x = rng.standard_normal((700, 12)).round(2) / 4
