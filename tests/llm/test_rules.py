@@ -371,3 +371,34 @@ def test_top_k(spark):
         assert set(got) == {i for i, _ in live if i % 50 == 0}
     assert topk.top_k(df.where("false"), F.lit(True)).count() == 0
     assert topk.top_k(df.where("vec_id = 1"), F.lit(True)).count() == 0
+
+
+def test_top_k_sends_no_blocks_to_all(spark):
+    """Blocks of queries and of the index meet in the tasks they are dealt to, however small their files; groups agree."""
+    rng = np.random.default_rng(2)
+    x = rng.integers(-3, 4, (400, 6))  # many ties
+    df = spark.createDataFrame([(i % 390, (v / 4).tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<double>").repartition(3)
+    want = collections.Counter()
+    for i, v in enumerate(x):
+        if i % 390 % 50 == 0:
+            best = sorted((-int(w @ v) * 4096, j % 390) for j, w in enumerate(x) if j % 390 != i % 390)[:5]
+            want.update((i % 390, n + 1, j, -s) for n, (s, j) in enumerate(best))
+    assert "Broadcast" not in topk.top_k(df, F.col("vec_id") % 50 == 0)._jdf.queryExecution().executedPlan().toString()
+    for group_blocks in (1, 3, 100):
+        found = topk.top_k(df, F.col("vec_id") % 50 == 0, block_rows=32, query_rows=3, group_blocks=group_blocks)
+        assert collections.Counter(map(tuple, found.collect())) == want
+
+
+def test_search_block_leaves_out_rows_below_a_floor():
+    """A known score spares rows that cannot reach it, and no row that can, ties included."""
+    rng = np.random.default_rng(3)
+    q, v = rng.integers(-200, 200, (9, 16)), rng.integers(-200, 200, (300, 16))
+    v[50:60] = v[50]
+    ids, score = np.arange(300), q @ v.T
+    best = topk.Best(9, 4)
+    for a in range(0, 300, 50):
+        found = list(topk.search_block(q, np.full(9, -1), topk.Segments(v[a:a + 50]), ids[a:a + 50], 4, floor=best.floor))
+        best.add(found, ids[a:a + 50])
+    for i in range(9):
+        order = np.lexsort((ids, -score[i]))[:4]
+        assert best.id[best.place == i].tolist() == order.tolist() and best.floor[i] == score[i][order[-1]]
