@@ -5,6 +5,7 @@ from __future__ import annotations
 from itertools import combinations
 
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from panelkit.operators.lookback import Measure, Span, count, highest, history_agg, lowest, lookback_agg, total
@@ -78,10 +79,26 @@ def action_features(df: DataFrame, keys: list[str], action: str, values: list, a
 
 def limits_features(accounts: DataFrame, key: list[str], rd: str, limit: str, reached: str,
                     months: int = 3) -> DataFrame:
-    """Limit hits in the last months, capped at two plus the current flag, and whether the limit moved."""
-    span = {"": Span(F.add_months(rd, -months), F.col(rd))}
-    out = lookback_agg(accounts, accounts.withColumn("_ts", F.col(rd)), key, rd, "_ts", span,
-                       {"_hits": total(reached), "_hi": highest(limit), "_lo": lowest(limit)})
+    """Limit hits in the last months, capped at two plus the current flag, and whether the limit moved.
+
+    A key's rows lie together and see each other through windows, so no table is joined to itself. The rows of a day
+    are summed on the first of them, so a row looks at no more than the days of its window.
+    """
+    known = F.col(rd).isNotNull()
+    for c in key:
+        known = known & F.col(c).isNotNull()
+    near = W.partitionBy(*key).orderBy("_at")
+    same_day = W.partitionBy(*key, "_at")
+    line = accounts.withColumn("_at", F.unix_date(F.col(rd).cast("date")))
+    line = line.withColumns({"_hits": F.sum(reached).over(same_day), "_hi": F.max(limit).over(same_day),
+                             "_lo": F.min(limit).over(same_day), "_before": F.lag("_at").over(near)})
+    first = known & (F.col("_before").isNull() | (F.col("_before") != F.col("_at")))
+    per_day = F.collect_list(F.when(first, F.struct("_at", "_hits", "_hi", "_lo"))).over(near.rangeBetween(-31 * months, 0))
+    seen = F.filter(per_day, lambda x: x["_at"] >= F.unix_date(F.add_months(rd, -months)))
+    out = line.withColumn("_seen", seen)
+    zero = F.lit(0).cast(line.schema["_hits"].dataType)
+    hits = F.aggregate("_seen", zero, lambda acc, x: (acc + F.coalesce(x["_hits"], zero)).cast(line.schema["_hits"].dataType))
+    out = out.withColumns({"_hits": hits, "_hi": F.array_max("_seen._hi"), "_lo": F.array_min("_seen._lo")})
     return out.select(
         *accounts.columns,
         F.when(F.col("_hits") > 2, 2 + F.col(reached)).otherwise(F.col("_hits")).cast("int")

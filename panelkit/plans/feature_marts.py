@@ -253,7 +253,7 @@ def bureau_mart(t: Tables) -> DataFrame:
         F.col("l_quantity").cast("int").alias("months"), S.case_of("l_linenumber", {18: [1]}, F.col("l_linenumber")).alias("credit_type"),
         (F.col("l_linestatus") == "F").cast("int").alias("own"), (F.round(F.col("l_tax") * 1000) + 30).cast("int").alias("dpd"),
         money("l_extendedprice", 2).alias("balance"), F.when(F.col("l_discount") < 0.085, 1).otherwise(2).alias("relationship"))
-    out = M.credit_bureau_mart(contract_panel(t).select("client", "rd", "start", "balance"), reports, requests, credits)
+    out = M.credit_bureau_mart(contract_panel(t, dealt=False).select("client", "rd", "start", "balance"), reports, requests, credits)
     six = ["months_since_report", "active_cash_share", "active_share", "own_cash_share", "own_share", "balance_ratio",
            "queries_per_month"]
     return out.withColumns({c: F.round(c, 6) for c in six} | {
@@ -353,7 +353,7 @@ FROM vw v LEFT JOIN na a1 ON a1.client = v.client AND a1.rd = v.rd AND a1.kind =
 LEFT JOIN nc c1 ON c1.client = v.client AND c1.rd = v.rd AND c1.kind = 17 LEFT JOIN nc c2 ON c2.client = v.client AND c2.rd = v.rd AND c2.kind = 18
 LEFT JOIN wa w1 ON w1.client = v.client AND w1.rd = v.rd AND w1.kind = 17 LEFT JOIN wa w2 ON w2.client = v.client AND w2.rd = v.rd AND w2.kind = 18""")
 def deposit_mart(t: Tables) -> DataFrame:
-    panel = contract_panel(t)
+    panel = contract_panel(t, dealt=False)
     deposits = panel.select("client", "contract", "rd", "start", "balance", (F.col("line_status") == "O").cast("int").alias("active"),
                             (F.col("flag") == "A").cast("int").alias("salary"))
     price, line = money("l_extendedprice", 2), F.col("l_linenumber")

@@ -140,3 +140,31 @@ def test_limits_are_capped_at_two_plus_now(spark):
     out = {r["rd"].month: r for r in M.limits_mart(acc, dep).collect()}
     assert [out[m]["limit_reached_3m"] for m in range(1, 6)] == [1, 2, 3, 3, 3] and out[5]["limit_changed_3m"] == 1
     assert out[5]["client"] == 7 and out[1]["client"] is None and out[1]["initial_equals_current"] == 1
+
+
+def test_limits_read_their_own_rows_without_a_join(spark):
+    import random
+    from datetime import timedelta
+
+    rng = random.Random(7)
+    days = [D(2023, 11, 28) + timedelta(n) for n in range(190)]
+    some = lambda *xs: rng.choice(xs)
+    acc = [(some(1, 2, 3, None), some(None, *days), some(0, 1, 1, None), some(5, 5, 7, None)) for _ in range(400)]
+    df = spark.createDataFrame(acc, "contract int, rd date, reached int, size int")
+    out = A.limits_features(df, ["contract"], "rd", "size", "reached")
+    assert "Join" not in out._jdf.queryExecution().optimizedPlan().toString()
+
+    def back(d):
+        y, m = (d.year, d.month - 3) if d.month > 3 else (d.year - 1, d.month + 9)
+        last = (D(y + m // 12, m % 12 + 1, 1) - timedelta(1)).day
+        return D(y, m, min(d.day, last))
+
+    def want(c, d, r, s):
+        near = [x for x in acc if x[0] == c and x[1] and back(d) <= x[1] <= d] if c and d else []
+        hits = sum(x[2] or 0 for x in near)
+        sizes = [x[3] for x in near if x[3] is not None]
+        over = None if r is None else 2 + r
+        return c, d, r, s, over if hits > 2 else hits, int(max(sizes) != min(sizes)) if sizes else None
+
+    text = lambda rs: sorted(map(str, rs))
+    assert text(map(tuple, out.collect())) == text(want(*x) for x in acc)
